@@ -4,6 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -52,6 +57,17 @@ def remove(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
-def pick(df: DataFrame, *names: str) -> DataFrame:
-    """Only the named columns, so that further columns of any name cannot clash."""
-    return df.select(*[df[n] for n in names])
+def slices(texts: pa.Array, limit: int) -> Iterator[tuple[int, pa.Array]]:
+    """Cuts a column into runs of at most ``limit`` bytes of text (or a single longer text).
+
+    Yields the place of each run's first text, and the texts, nulls as empty ones.
+    """
+    filled = pc.fill_null(texts, "")
+    ends = np.cumsum(pc.binary_length(filled).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = 0
+    while at < len(filled):
+        before = int(ends[at - 1]) if at else 0
+        stop = max(at + 1, int(np.searchsorted(ends, before + limit, "right")))
+        yield at, filled[at:stop]
+        at = stop
+

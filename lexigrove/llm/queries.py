@@ -18,6 +18,22 @@ def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
+#: Fixed URL rules of the registered query.
+URL_RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/")]
+
+
+def op1_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lexigrove.llm.url_filters import filter_urls
+
+    return filter_urls(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"), URL_RULES)
+
+
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lexigrove.llm.warc import archive_table
+
+    return archive_table(table(spark, sf_dir, "pages"), min_bytes=0)
+
+
 def op3_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lexigrove.llm.token_ids import token_table
 
@@ -36,10 +52,48 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), size=10)
 
 
+def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lexigrove.llm.chat_format import chat_report
+
+    hard = spark.sql("""SELECT * FROM VALUES (-1L, 0L, 'user', '</s>[INST] ok [/INST]'), (-1L, 1L, 'assistant', '</s>[INST] ok [/INST]') AS t(conv_id, turn, role, text)""")
+    return chat_report(table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(hard))
+
+
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lexigrove.llm.mixing import mix_report
+
+    return mix_report(table(spark, sf_dir, "documents"), weights=(5, 2, 1), max_epochs=3)
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lexigrove.llm.toxicity import toxicity_report
+
+    return toxicity_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lexigrove.llm.near_dedup import near_components
+
+    return near_components(table(spark, sf_dir, "documents"), width=5, percent=75, bands=32, rows=4)
+
+
+def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lexigrove.llm.licenses import license_report
+
+    return license_report(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_url_filters": op1_url_filters,
+    "op2_warc": op2_warc,
     "op3_token_ids": op3_token_ids,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_decontamination": op5_decontamination,
+    "op6_chat_format": op6_chat_format,
+    "op7_mixing": op7_mixing,
+    "op8_toxicity": op8_toxicity,
+    "op9_near_dedup": op9_near_dedup,
+    "op10_licenses": op10_licenses,
 }
 
 _OP4 = """
@@ -51,4 +105,36 @@ SELECT doc_id,
 FROM documents
 """
 
-ORACLE_SQL: dict[str, str] = {"op4_exact_dedup": _OP4}
+_OP2 = """
+WITH p AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS hex,
+         min(page_id) OVER (PARTITION BY coalesce(html, '')) AS first
+  FROM pages
+)
+SELECT page_id, payload_bytes,
+       list_reduce(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+         ((('0x' || substr(hex, 1 + 5 * (i // 4), 5))::INT >> (15 - 5 * (i % 4))) & 31)::INT + 1, 1)), lambda a, b: a || b) AS payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to
+FROM p
+"""
+
+_OP6 = """
+WITH rows AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'
+), put AS (
+  SELECT *, length(CASE WHEN regexp_matches(role, '\\[/?INST\\]|</?s>|&(lt|#91|amp);') THEN replace(replace(replace(role, '&', '&amp;'), '[', '&#91;'), '<', '&lt;') ELSE role END) AS n_role,
+         length(CASE WHEN regexp_matches(text, '\\[/?INST\\]|</?s>|&(lt|#91|amp);') THEN replace(replace(replace(text, '&', '&amp;'), '[', '&#91;'), '<', '&lt;') ELSE text END) AS n_text
+  FROM rows
+)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       sum(7 + n_role + 9 + n_text + 4)::BIGINT AS formatted_chars
+FROM put GROUP BY conv_id
+"""
+
+ORACLE_SQL: dict[str, str] = {"op2_warc": _OP2, "op4_exact_dedup": _OP4, "op6_chat_format": _OP6}

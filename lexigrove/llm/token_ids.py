@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lexigrove.llm.common import new_path
+from lexigrove.llm.common import new_path, slices
 
 MAGIC = b"LGPK0001"
 BLOCK = 4096
@@ -36,8 +36,10 @@ _TRAILER = struct.Struct("<QQII8s")
 #: A space with white space on both sides (or at the end of the text): there, words are not
 #: tokenised independently of each other.
 _JOINED_SPACES = r"[\t-\r \x{85}\p{Z}] (?:[\t-\r \x{85}\p{Z}]|\z)"
-#: Chunks that a worker remembers; at most some 150 MB.
-_REMEMBERED = 500_000
+#: Chunks that a worker remembers; some 70 MB.
+_REMEMBERED = 300_000
+#: Bytes of text that a worker encodes at a time.
+_SLICE = 4_000_000
 
 
 def bit_width(vocabulary: int) -> int:
@@ -67,7 +69,7 @@ class PackedWriter:
     def __init__(self, uri: str, width: int):
         system, path = fs.FileSystem.from_uri(uri)
         system.create_dir(path.rpartition("/")[0], recursive=True)
-        self._out = system.open_output_stream(path)
+        self._out = system.open_output_stream(path, compression=None)
         self._out.write(MAGIC)
         self._width, self._held, self._n_held = width, [], 0
         self._offsets, self.count = [len(MAGIC)], 0
@@ -175,8 +177,7 @@ class _Encoder:
         return [known[c] for c in distinct]
 
     def encode(self, texts: pa.Array) -> list[np.ndarray]:
-        """The ids of each text."""
-        texts = pc.fill_null(texts, "")
+        """The ids of each text; there are no nulls."""
         whole = pc.match_substring_regex(texts, _JOINED_SPACES).to_numpy(zero_copy_only=False)
         out: list[np.ndarray] = [None] * len(texts)  # type: ignore[list-item]
         at = np.flatnonzero(whole)
@@ -246,11 +247,12 @@ def write_token_files(
             if writer is None:
                 writer = PackedWriter(f"{folder}/{name}", bit_width(max(encoder.size, end_id + 1)))
             begins, counts = [], []
-            for ids in encoder.encode(batch.column(1)):
-                begins.append(writer.count)
-                writer.add(ids)
-                writer.add(end)
-                counts.append(len(ids) + 1)
+            for _, texts in slices(batch.column(1), _SLICE):
+                for ids in encoder.encode(texts):
+                    begins.append(writer.count)
+                    writer.add(ids)
+                    writer.add(end)
+                    counts.append(len(ids) + 1)
             n = len(counts)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([part] * n, pa.int32()), pa.array([name] * n, pa.string()), pa.array(begins, pa.int64()), pa.array(counts, pa.int64())],
