@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
 from collections.abc import Iterable, Iterator
@@ -18,7 +19,7 @@ ENTRIES = 2_000
 #: Share of labelled toxic documents that a lexicon entry must stand in.
 LEAST_SHARE = 0.02
 #: Share of an entry's labelled documents, both classes weighted alike, that must be toxic.
-LEAST_PRECISION = 0.97
+LEAST_PRECISION = 0.9
 STEM_LENGTHS = (4, 5, 6, 7)
 THRESHOLD = 0.3
 
@@ -199,14 +200,17 @@ def learn_lexicon(rows: DataFrame) -> Lexicon:
         return Lexicon({}, {})
     share, rest = F.col("bad") / n_bad, F.col("good") / max(n_good, 1)
     passed = counts.filter(F.length(F.rtrim("term", F.lit("*"))) >= 4).filter((F.col("bad") >= max(3, LEAST_SHARE * n_bad)) & (share >= LEAST_PRECISION * (share + rest)))
-    entries = {r.term: r.bad for r in passed.orderBy(F.desc("bad"), "term").limit(ENTRIES).collect()}
+    best = passed.orderBy(F.desc("bad"), "term").limit(ENTRIES).collect()
+    entries = {r.term: r.bad for r in best}
+    # log-likelihood ratios; 1 stands for a hundred times likelier in toxic documents
+    weight = {r.term: min(1.5, math.log((r.bad + 0.5) / (n_bad + 1) * (n_good + 1) / (r.good + 0.5)) / math.log(100)) for r in best}
     exact = {t: n for t, n in entries.items() if not t.endswith("*")}
     stems: dict[str, float] = {}
     for term in sorted((t[:-1] for t in entries if t.endswith("*")), key=lambda t: (len(t), t)):
         alone = any(w.startswith(term) and n >= 0.9 * entries[term + "*"] for w, n in exact.items())
         if not alone and not any(term.startswith(s) for s in stems):
-            stems[term] = 1.0
-    words = {w: 1.0 for w in exact if not any(w.startswith(s) for s in stems)}
+            stems[term] = weight[term + "*"]
+    words = {w: weight[w] for w in exact if not any(w.startswith(s) for s in stems)}
     lexicon = Lexicon(words, stems)
 
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
