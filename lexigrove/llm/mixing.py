@@ -104,8 +104,8 @@ def route(patterns: Sequence[tuple[tuple, int]], quotas: Mapping[object, float],
     return given
 
 
-def mix(docs: DataFrame, sources_col: str, weights, id_col: str = "doc_id", text_col: str = "text", share: float = 1.0, max_epochs: int = 3, seed: int = 17) -> tuple[DataFrame, dict, dict]:
-    """(per row: row_no, doc_id, pattern, size, epochs; target of each source; size of each source).
+def mix(docs: DataFrame, sources_col: str, weights, id_col: str = "doc_id", text_col: str = "text", share: float = 1.0, max_epochs: int = 3, seed: int = 17, keep: Sequence[str] = ()) -> tuple[DataFrame, dict, dict]:
+    """(per row: row_no, doc_id, pattern, size, epochs, and the columns of `keep`; target of each source; size of each source).
 
     `sources_col` holds the array of a document's sources.  `weights` maps the sorted list of
     all sources (by code point, null last) to their weights.  Documents are aggregated by
@@ -125,6 +125,7 @@ def mix(docs: DataFrame, sources_col: str, weights, id_col: str = "doc_id", text
             F.to_json(F.array_sort(F.array_distinct(docs[sources_col]))).alias("pattern"),
             size.alias("size"),
             F.xxhash64(F.lit(seed), docs[id_col]).alias("place"),
+            *[docs[c] for c in keep],
         ),
         "mix-sizes",
     )
@@ -145,7 +146,7 @@ def mix(docs: DataFrame, sources_col: str, weights, id_col: str = "doc_id", text
     given = route([x for x in patterns if x[0]], targets, max_epochs)
     rates = [(keys[p], int(n), min(float(max_epochs), sum(given.get(p, {}).values()) / n) if n else 0.0) for p, n in patterns]
     rate = docs.sparkSession.createDataFrame(rates, "pattern string, pattern_size long, rate double")
-    return _select(rows, rate, max_epochs), targets, sizes
+    return _select(rows, rate, max_epochs, keep), targets, sizes
 
 
 def choose_heavy(sizes: Sequence[int], fair: float, least: float, most: float) -> list[bool]:
@@ -185,7 +186,7 @@ def _heavy(rows: DataFrame) -> DataFrame:
     return rows.groupBy("pattern").applyInPandas(choose, "pattern string, row_no long, size long, one int")
 
 
-def _select(rows: DataFrame, rate: DataFrame, max_epochs: int) -> DataFrame:
+def _select(rows: DataFrame, rate: DataFrame, max_epochs: int, keep: Sequence[str]) -> DataFrame:
     """The epochs of each row, from the rate of its pattern."""
     # at most MAX_PATTERNS rows of a few words, here and below
     whole = F.floor("rate")
@@ -214,9 +215,9 @@ def _select(rows: DataFrame, rate: DataFrame, max_epochs: int) -> DataFrame:
     last = at.filter(inside).withColumn("one", (F.col("left") - (run - F.col("size")) > F.col("size") / 2).cast("int"))
     others = at.filter(~inside).withColumn("one", (F.coalesce(F.col("bucket") < F.col("cut_bucket"), F.lit(True)) & (F.col("extra") > 0)).cast("int"))
     heavy = placed.filter("heavy").join(chosen.select("row_no", "one"), "row_no")
-    columns = ["row_no", "doc_id", "pattern", "size", "whole", "one"]
+    columns = ["row_no", "doc_id", "pattern", "size", *keep, "whole", "one"]
     every = last.select(columns).unionByName(others.select(columns)).unionByName(heavy.select(columns))
-    return every.select("row_no", "doc_id", "pattern", "size", F.least(F.col("whole") + F.col("one"), F.lit(max_epochs)).alias("epochs"))
+    return every.select("row_no", "doc_id", "pattern", "size", *keep, F.least(F.col("whole") + F.col("one"), F.lit(max_epochs)).alias("epochs"))
 
 
 def cycling(weights: Sequence[float]):
@@ -237,3 +238,18 @@ def mix_report(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), max_epochs
     first = F.from_json("pattern", "array<string>")[0]
     joined = picked.join(F.broadcast(facts), first.eqNullSafe(facts["source"]), "left")
     return joined.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("epochs")).cast("long").alias("taken"))
+
+
+def mix_documents(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), max_epochs: int = 3, seed: int = 17) -> DataFrame:
+    """The rows of ``docs`` that the mix takes, each as often as it is taken.
+
+    Rows that repeat an id, a text and a source are taken alike.
+    """
+    key = {"__text": F.xxhash64("text"), "__pattern": F.to_json(F.array("source"))}
+    named = docs.select("doc_id", "text", F.array(docs["source"]).alias("sources"), F.xxhash64("text").alias("text_hash"))
+    picked, _, _ = mix(named, "sources", cycling(weights), max_epochs=max_epochs, seed=seed, keep=("text_hash",))
+    taken = picked.filter("epochs > 0").groupBy("doc_id", "text_hash", "pattern").agg(F.max("epochs").alias("__epochs"))
+    chosen, _ = materialise(taken.select(F.col("doc_id").alias("__id"), "text_hash", "pattern", "__epochs"), "mix-taken")
+    on = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__text") == F.col("text_hash")) & F.col("__pattern").eqNullSafe(F.col("pattern"))
+    rows = docs.withColumns(key).join(chosen, on)
+    return rows.withColumn("__copy", F.explode(F.array_repeat(F.lit(1), F.col("__epochs")))).select(*docs.columns)
