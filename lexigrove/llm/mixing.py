@@ -17,8 +17,8 @@ from lexigrove.llm.common import SPACED_WORD, materialise
 MAX_PATTERNS = 200_000
 #: Hash ranges of a pattern's documents, between which one is cut.
 BUCKETS = 4096
-#: A document above this share of its pattern's size is placed before or behind the light ones.
-HEAVY = 1 / 64
+#: Documents above this share of their pattern's size, and all of a pattern of so few, are chosen one by one.
+HEAVY, FEW = 1 / 64, 64
 
 
 def capped_targets(sizes: Mapping[object, int], weights: Mapping[object, float], total: float, max_epochs: float) -> dict[object, float]:
@@ -114,8 +114,8 @@ def mix(docs: DataFrame, sources_col: str, weights, id_col: str = "doc_id", text
 
     Within a pattern, documents stand by a seeded hash of their id, and the place where the
     further words are reached is found from sums of hash ranges, then within one range: no
-    task holds a pattern.  Documents of more than a 64th of their pattern, 63 at most, are
-    chosen first, so that the last document taken is a small one.
+    task holds a pattern.  Documents of more than a 64th of their pattern, and all of a pattern
+    of up to 64 documents, are chosen first, so that the last document taken is a small one.
     """
     size = F.coalesce(F.regexp_count(docs[text_col], F.lit(SPACED_WORD)), F.lit(0)).cast("long")
     rows, _ = materialise(
@@ -129,7 +129,7 @@ def mix(docs: DataFrame, sources_col: str, weights, id_col: str = "doc_id", text
         ),
         "mix-sizes",
     )
-    grouped = rows.groupBy("pattern").agg(F.sum("size").alias("size"))
+    grouped = rows.groupBy("pattern").agg(F.sum("size").alias("size"), F.count(F.lit(1)).alias("n"))
     if grouped.count() > MAX_PATTERNS:
         raise ValueError(f"more than {MAX_PATTERNS} membership patterns; merge rare sources first")
     # one row per pattern, at most MAX_PATTERNS
@@ -144,42 +144,52 @@ def mix(docs: DataFrame, sources_col: str, weights, id_col: str = "doc_id", text
     total = share * sum(n for _, n in patterns)
     targets = capped_targets(sizes, dict(zip(order, weights(order), strict=True)), total, max_epochs)
     given = route([x for x in patterns if x[0]], targets, max_epochs)
-    rates = [(keys[p], int(n), min(float(max_epochs), sum(given.get(p, {}).values()) / n) if n else 0.0) for p, n in patterns]
-    rate = docs.sparkSession.createDataFrame(rates, "pattern string, pattern_size long, rate double")
+    count = {r.pattern: r.n for r in found}
+    rates = [(keys[p], count[keys[p]], int(n), min(float(max_epochs), sum(given.get(p, {}).values()) / n) if n else 0.0) for p, n in patterns]
+    rate = docs.sparkSession.createDataFrame(rates, "pattern string, n_docs long, pattern_size long, rate double")
     return _select(rows, rate, max_epochs, keep), targets, sizes
 
 
 def choose_heavy(sizes: Sequence[int], fair: float, least: float, most: float) -> list[bool]:
-    """Which of a few large documents, in seeded order, to take once more.
+    """Which of a few documents, in seeded order, to take once more.
 
-    Documents are taken until `fair` words are reached, within `least` and `most` where that
-    is possible; then single ones are added, left or swapped while that brings the sum nearer.
+    With light documents to fill up with, `fair` words are taken at most, but `least` where
+    that is possible.  With none (`least` equals `most`), the subset nearest to it is.
     """
+    if least >= most:
+        return nearest_subset(sizes, most)
     taken, held = [False] * len(sizes), 0
     goal = min(max(fair, least), most)
     for i, n in enumerate(sizes):
-        if held + n <= goal:
+        if held + n <= goal or (held < least and held + n <= most):
             taken[i], held = True, held + n
-    off = lambda h: max(least - h, h - most, 0.0)
-    for _ in range(len(sizes)):
-        moves = [((i,), held + (-n if taken[i] else n)) for i, n in enumerate(sizes)]
-        moves += [((i, j), held - a + b) for i, a in enumerate(sizes) if taken[i] for j, b in enumerate(sizes) if not taken[j]]
-        flips, sum_ = min(moves, key=lambda m: (off(m[1]), m), default=((), held))
-        if off(sum_) >= off(held):
-            break
-        for i in flips:
-            taken[i] = not taken[i]
-        held = sum_
+    return taken
+
+
+def nearest_subset(sizes: Sequence[int], goal: float) -> list[bool]:
+    """The subset whose sum is nearest to ``goal``; sums are rounded above a million."""
+    unit = int(goal) // 1_000_000 + 1
+    scaled, at = [round(n / unit) for n in sizes], max(0, round(goal / unit))
+    reach = [1]  # bit s: the sum s can be had from the first documents
+    for n in scaled:
+        reach.append((reach[-1] | reach[-1] << n) & ((1 << (2 * at + 2)) - 1))
+    low = (reach[-1] & ((1 << (at + 1)) - 1)).bit_length() - 1
+    high = reach[-1] >> (at + 1)
+    best = low if not high or at - low <= (high & -high).bit_length() else at + (high & -high).bit_length()
+    taken = [False] * len(sizes)
+    for i in range(len(sizes) - 1, -1, -1):
+        if not reach[i] >> best & 1:
+            taken[i], best = True, best - scaled[i]
     return taken
 
 
 def _heavy(rows: DataFrame) -> DataFrame:
-    """(row_no, one) of the heavy documents; a group has fewer than 64."""
+    """(row_no, one) of the documents chosen one by one; a group has 64 at most."""
 
     def choose(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values(["place", "doc_id", "row_no"])
         extra, light, heavy = float(group.extra.iloc[0]), int(group.light.iloc[0]), int(group["size"].sum())
-        fair = extra * heavy / (heavy + light)
+        fair = extra * heavy / max(1, heavy + light)
         one = choose_heavy(group["size"].tolist(), fair, extra - light, extra)
         return pd.DataFrame({"pattern": group.pattern, "row_no": group.row_no, "size": group["size"], "one": np.array(one, np.int32)})
 
@@ -191,7 +201,7 @@ def _select(rows: DataFrame, rate: DataFrame, max_epochs: int, keep: Sequence[st
     # at most MAX_PATTERNS rows of a few words, here and below
     whole = F.floor("rate")
     placed = rows.join(F.broadcast(rate), "pattern").withColumns(
-        {"whole": whole.cast("int"), "extra": (F.col("rate") - whole) * F.col("pattern_size"), "heavy": F.col("size") > F.col("pattern_size") * HEAVY}
+        {"whole": whole.cast("int"), "extra": (F.col("rate") - whole) * F.col("pattern_size"), "heavy": (F.col("size") > F.col("pattern_size") * HEAVY) | (F.col("n_docs") <= FEW)}
     )
     light = placed.groupBy("pattern").agg(F.sum(F.when(F.col("heavy"), 0).otherwise(F.col("size"))).alias("light"))
     chosen, _ = materialise(_heavy(placed.filter("heavy").join(F.broadcast(light), "pattern")), "mix-heavy")
