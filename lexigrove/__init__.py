@@ -1 +1 @@
-"""."""
+"""Spark-native analytics over collections of structured documents."""

@@ -1 +1 @@
-"""functions"""
+"""Column expressions over text and numbers."""

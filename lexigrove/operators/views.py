@@ -1,0 +1,30 @@
+"""Views of a document that are embedded or indexed."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+from lexigrove.functions.text import squeeze
+
+#: Limits of the embedded text (fixed values).
+BODY_CHARS, SUPPLEMENT_CHARS, SUPPLEMENT_SHARE = 1600, 180, 0.25
+
+
+def excerpt(text: Column, limit: int) -> Column:
+    """The first ``limit`` characters, ended at a word."""
+    flat = squeeze(text)
+    cut = F.substring(flat, 1, limit)
+    return F.when(F.length(flat) <= limit, flat).otherwise(F.regexp_replace(cut, r"\s+\S*$", ""))
+
+
+def body_view(body: Column, supplement: Column) -> Column:
+    """The body's excerpt, and a short supplement's where it is small against the body."""
+    short = (F.length(squeeze(supplement)) > 0) & (F.length(squeeze(supplement)) <= F.length(squeeze(body)) * SUPPLEMENT_SHARE)
+    return F.when(short, F.concat_ws("\n\n", excerpt(body, BODY_CHARS), excerpt(supplement, SUPPLEMENT_CHARS))).otherwise(excerpt(body, BODY_CHARS))
+
+
+def contextual_view(title: Column, context: Column, kind: Column, body: Column, supplement: Column) -> Column:
+    """Title, context and kind before the body view; blank parts are left out."""
+    parts = F.array(title, context, kind, body_view(body, supplement))
+    return F.array_join(F.filter(parts, lambda p: F.coalesce(p, F.lit("")) != ""), "\n")

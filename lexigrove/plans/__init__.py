@@ -1 +1 @@
-"""plans"""
+"""Registered queries and the SQL that states their results."""

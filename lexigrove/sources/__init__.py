@@ -1 +1 @@
-"""sources"""
+"""Readers and writers of tables and document bundles."""
