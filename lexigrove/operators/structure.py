@@ -181,6 +181,7 @@ def ancestor_paths(nodes: DataFrame, depth: int = 3) -> DataFrame:
 
 _ENTRY = re.compile(r"^(?P<title>.*?\S)[ .·…]*\s(?P<page>\d{1,4}|[ivxlcdm]+)\s*$")
 _PART = re.compile(r"^part\s+([ivxlcdm]+|\d+|one|two|three|four|five)\b", re.IGNORECASE)
+_NUMBERED = re.compile(r"^chapter\s+(\d+|[ivxlcdm]+)$", re.IGNORECASE)
 _CHAPTER = re.compile(r"^(chapter\s+)?(\d+|[ivxlcdm]+)[.:)]?\s+\S", re.IGNORECASE)
 
 
@@ -199,6 +200,9 @@ def parse_contents(lines: DataFrame) -> DataFrame:
             carried = ""
             if not line or line.lower() in ("contents", "table of contents"):
                 continue
+            if _NUMBERED.match(line):
+                carried = line + ":"
+                continue
             found = _ENTRY.match(line)
             title, page = (found["title"].rstrip(" ."), found["page"]) if found else (line, None)
             low, n = title.lower(), len(out) + 1
