@@ -90,7 +90,7 @@ def ranked(scores: DataFrame, k: int | None = None) -> DataFrame:
     return out.filter(F.col("rank") <= k) if k else out
 
 
-def fuse(runs: Sequence[DataFrame], n_docs: int, ordinal: DataFrame) -> DataFrame:
+def fuse(runs: Sequence[DataFrame], ordinal: DataFrame) -> DataFrame:
     """(probe_id, doc_id, score): reciprocal rank fusion of score tables.
 
     A document that a run didn't score stands behind all that it scored, in the order of
@@ -142,10 +142,10 @@ def containing(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
         part.append((row.item_id, row.text))
         if len(part) == block:
             found, part = scan(part) if found is None else found.unionAll(scan(part)), []
-    if part or found is None:
-        machine_free = docs.sparkSession.createDataFrame([], "item_id long, doc_id long")
-        last = scan(part) if part else machine_free
-        found = last if found is None else found.unionAll(last)
+    if part:
+        found = scan(part) if found is None else found.unionAll(scan(part))
+    if found is None:
+        found = docs.sparkSession.createDataFrame([], "item_id long, doc_id long")
     return found.distinct()
 
 

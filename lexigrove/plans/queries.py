@@ -123,7 +123,7 @@ def rrf_topk(spark, sf):
     pages, probes = _pages(spark, sf), _probes(spark, sf)
     ordinal = table(spark, sf, "pages").select(F.col("page_id").alias("doc_id"), (F.col("page_id") + 1).alias("ord"))
     runs = [R.bm25(pages, probes, R.PROFILES["fielded_bm25"]), R.chargram_tfidf(pages.filter("field <> 'body'"), probes, R.PROFILES["chargram_tfidf"])]
-    return R.ranked(R.fuse(runs, 0, ordinal), 5)
+    return R.ranked(R.fuse(runs, ordinal), 5)
 
 
 @query

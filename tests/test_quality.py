@@ -58,7 +58,7 @@ def test_fusion_ranks_unscored_documents(spark):
     schema = "probe_id int, doc_id int, score double"
     a, b = spark.createDataFrame([(1, 3, 2.0), (1, 2, 1.0)], schema), spark.createDataFrame([(1, 4, 1.0)], schema)
     ordinal = spark.createDataFrame([(i, i) for i in range(1, 6)], "doc_id int, ord int")
-    got = {r.doc_id: r.score for r in R.fuse([a, b], 5, ordinal).collect()}
+    got = {r.doc_id: r.score for r in R.fuse([a, b], ordinal).collect()}
     # behind the scored ones: run a ranks 3, 2, 1, 4, 5 and run b ranks 4, 1, 2, 3, 5
     want = {3: 1 / 61 + 1 / 64, 2: 1 / 62 + 1 / 63, 4: 1 / 64 + 1 / 61}
     assert got == {k: round(v, 6) for k, v in want.items()}
