@@ -32,13 +32,20 @@ WINDOW_WORDS, WINDOW_CHARS = 4, 60
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 _FOLD = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-_SPACED = {i: " " for i in range(128) if not (48 <= i <= 57 or 65 <= i <= 90 or 97 <= i <= 122)} | _FOLD
+#: The same on UTF-8 bytes, with a space for each byte that stands in no word.
+_BYTES = bytes(b if b >= 0x80 or 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A else b + 32 if 0x41 <= b <= 0x5A else 0x20 for b in range(256))
 #: Digits that stand for letters.
 _LEET = str.maketrans("013457", "oieast")
 _QUOTES = {'"': '"', "“": "”", "„": "“", "«": "»", "‘": "’"}
+#: Words without a hit that a worker remembers; some 30 MB.
 _REMEMBERED = 300_000
 
 
+def distinct_words(text: str) -> set[bytes]:
+    """The lower-cased words of a text, in UTF-8."""
+    return set(text.encode("utf-8", "surrogatepass").translate(_BYTES).split())
+
+
 def allowed(length: int) -> int:
     """Edits within which a word of the lexicon is still met."""
     return 0 if length < 5 else 1 if length < 9 else 2
@@ -62,6 +69,7 @@ class Lexicon:
                 for c in entry:
                     node = node.setdefault(c, {})
                 node[kind] = entry
+        self._bound(self.trie)
         # of a word with k edits, one of k + 1 pieces is left as it was
         self._heads: set[str] = set()
         self._tails: set[str] = set()
@@ -77,9 +85,21 @@ class Lexicon:
                 self._sizes |= {cut, *range(len(w) - k, len(w) + k + 1)}
         self._cuts = sorted({len(x) for x in self._heads | self._tails})
         self._known: dict[str, tuple[str, float, bool] | None] = {}
+        self._plain: set[bytes] = set()
+
+    def _bound(self, node: dict) -> int:
+        """Notes at each node the most edits that an entry beneath it allows."""
+        own = allowed(len(node["word"])) if "word" in node else -1
+        node["most"] = max([own, *(self._bound(below) for c, below in node.items() if len(c) == 1)])
+        return node["most"]
 
     def _possible(self, word: str) -> bool:
-        return len(word) in self._sizes and (any(word[:n] in self._heads or word[-n:] in self._tails for n in self._cuts) or any(m in word for m in self._middles))
+        if len(word) not in self._sizes:
+            return False
+        for n in self._cuts:
+            if word[:n] in self._heads or word[-n:] in self._tails:
+                return True
+        return any([m in word for m in self._middles])
 
     def search(self, word: str) -> tuple[str, float, bool] | None:
         """(entry, weight, misspelled) of the entry that a word meets, or None."""
@@ -99,7 +119,7 @@ class Lexicon:
                 break
             if "stem" in node:
                 return node["stem"], self.stems[node["stem"]], False
-        plain = word.translate(_LEET)
+        plain = word if word.isalpha() else word.translate(_LEET)
         if word in self.ordinary or not self._possible(plain):
             return None
         found = self._near(plain)
@@ -118,13 +138,18 @@ class Lexicon:
                 state = [row[0] + 1]
                 for i, w in enumerate(word):
                     state.append(min(state[i] + 1, row[i + 1] + 1, row[i] + (w != c)))
-                if min(state) <= 2:
+                if min(state) <= below["most"]:
                     stack.append((below, state))
         return best[1] if best else None
 
     def hits(self, text: str) -> list[tuple[str, float]]:
         """(entry, weight in its context) of each word of a text that meets the lexicon."""
-        if not any(self.search(w) for w in set(text.translate(_SPACED).split())):
+        new = distinct_words(text) - self._plain
+        met = {w for w in new if self._search(w.decode("utf-8", "surrogatepass"))}
+        if len(self._plain) > _REMEMBERED:
+            self._plain.clear()
+        self._plain |= new - met
+        if not met:
             return []
         spans = [(m.start(), m.end()) for m in WORD.finditer(text.translate(_FOLD))]
         words = [text[a:b].translate(_FOLD) for a, b in spans]
@@ -183,7 +208,7 @@ def learn_lexicon(rows: DataFrame) -> Lexicon:
         n = Counter()
         for batch in batches:
             for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                words = set(text.translate(_SPACED).split())
+                words = {w.decode("utf-8", "surrogatepass") for w in distinct_words(text)}
                 n[bool(toxic)] += 1
                 seen[bool(toxic)].update(words)
                 seen[bool(toxic)].update({w[:k] + "*" for w in words for k in STEM_LENGTHS if len(w) > k})
