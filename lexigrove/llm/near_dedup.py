@@ -3,10 +3,16 @@
 1.  Every document becomes its set of word shingles; equal sets become one node.
 2.  A node's SuperMinHash signature is cut into bands; nodes that share a band share a bucket.
 3.  In a bucket, every node is paired with the bucket's smallest node only.
-4.  Pairs are filtered by their signatures, and confirmed on the full sets.
-5.  Confirmed pairs are united; where a bucket still has several components, the pairs
-    across components are tried as well, so no pair that shares a bucket goes untried
-    unless its ends are already united.
+4.  Pairs are filtered by their sizes and signatures, and confirmed on the full sets.
+5.  Confirmed pairs are united.  Where a bucket of up to `DIRECT` nodes still has several
+    components, the pairs across components are tried as well.
+6.  Larger buckets of several components come of passages that very many documents share.
+    Their nodes are bucketed anew by an exact prefix filter: similar sets share one of their
+    rarest shingles, and shared passages are not among those.  Steps 3 to 5 follow for
+    these buckets.  So no pair that shares a band goes untried unless its ends are united.
+7.  What is left are groups about one large component: many copies of one text, and copies
+    too far from most of them.  Those are tried in blocks against the group's nodes, each
+    block with an inverted index, and only confirmed links leave a task.
 """
 
 from __future__ import annotations
@@ -27,6 +33,15 @@ WORDS, PERCENT, BANDS, ROWS = 5, 75, 32, 4
 LEAST_AGREEMENT = 0.55
 #: Keys up to which a list of nodes is broadcast (some 40 bytes each); beyond, it is shuffled.
 BROADCAST_KEYS = 500_000
+#: Nodes of a bucket up to which its pairs are tried directly.
+DIRECT = 24
+#: Nodes on either side of a block in which a large group's outsiders are tried.
+BLOCK = 512
+#: A shingle is common if, of one node in `SAMPLED`, so many have it.  Only the order in which
+#: the prefix filter takes shingles rests on this, never what it finds.
+SAMPLED, COMMON = 16, 8
+#: Common shingles are marked in 2^26 bits, 8 MB, whatever their number.
+_MARKS = 1 << 26
 #: Bytes of text that a task holds as numpy arrays at a time.
 _SLICE = 2_000_000
 
@@ -218,23 +233,143 @@ def _few(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= BROADCAST_KEYS else df
 
 
-def _confirm(pairs: DataFrame, nodes: DataFrame, rows: DataFrame, width: int, percent: int, label: str) -> DataFrame:
+def _wanted_sets(wanted: DataFrame, source: DataFrame, width: int, label: str) -> tuple[DataFrame, str]:
+    """(node, elements) of the nodes of ``wanted`` (node, doc_id, text_hash), from one text of each."""
+    few = _few(wanted.select("node", F.col("doc_id").alias("want_id"), F.col("text_hash").alias("want_hash")))
+    found = source.join(few, (source["text_hash"] == few["want_hash"]) & source["doc_id"].eqNullSafe(few["want_id"])).select("node", "text")
+    return materialise(found.mapInArrow(_sets(width), "node binary, elements binary").dropDuplicates(["node"]), label)
+
+
+def _confirm(pairs: DataFrame, nodes: DataFrame, source: DataFrame, width: int, percent: int, label: str) -> DataFrame:
     """The pairs (a, b) of ``pairs`` whose full sets are similar enough."""
-    side = lambda x: nodes.select(F.col("node").alias(x), F.col("n_shingles").alias(f"n_{x}"), F.col("signature").alias(f"signature_{x}"), F.struct("doc_id", "text_hash").alias(f"row_{x}"))
+    side = lambda x: nodes.select(F.col("node").alias(x), F.col("n_shingles").alias(f"n_{x}"), F.col("signature").alias(f"signature_{x}"))
     sized = pairs.join(side("a"), "a").join(side("b"), "b")
     # sets of too different sizes can't be similar enough, whatever they share
     sized = sized.filter(100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
-    near, near_path = materialise(sized.filter(_agrees("signature_a", "signature_b")).drop("signature_a", "signature_b"), f"{label}-near")
-    wanted, wanted_path = materialise(near.select(F.explode(F.array(F.struct(F.col("a").alias("node"), F.col("row_a").alias("row")), F.struct(F.col("b").alias("node"), F.col("row_b").alias("row")))).alias("x")).select("x.node", "x.row.doc_id", "x.row.text_hash").distinct(), f"{label}-wanted")
-    few = _few(wanted.withColumnsRenamed({"doc_id": "want_id", "text_hash": "want_hash"}))
-    # the text of one row of each wanted node
-    found = rows.join(few, (rows["text_hash"] == few["want_hash"]) & rows["doc_id"].eqNullSafe(few["want_id"])).select("node", "text")
-    sets, sets_path = materialise(found.mapInArrow(_sets(width), "node binary, elements binary").dropDuplicates(["node"]), f"{label}-sets")
+    near, near_path = materialise(sized.filter(_agrees("signature_a", "signature_b")).select("a", "b", "n_a", "n_b"), f"{label}-near")
+    ends = near.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    wanted, wanted_path = materialise(ends.join(nodes, "node").select("node", "doc_id", "text_hash"), f"{label}-wanted")
+    sets, sets_path = _wanted_sets(wanted, source, width, f"{label}-sets")
     one = lambda x: sets.select(F.col("node").alias(x), F.col("elements").alias(f"elements_{x}"))
-    both = near.select("a", "b", "n_a", "n_b").join(one("a"), "a").join(one("b"), "b").withColumn("shared", _shared("elements_a", "elements_b"))
+    both = near.join(one("a"), "a").join(one("b"), "b").withColumn("shared", _shared("elements_a", "elements_b"))
     links, _ = materialise(both.filter(100 * F.col("shared") >= percent * (F.col("n_a") + F.col("n_b") - F.col("shared"))).select("a", "b"), f"{label}-links")
     for path in (near_path, wanted_path, sets_path):
-        remove(rows.sparkSession, path)
+        remove(source.sparkSession, path)
+    return links
+
+
+def _bucketed(members: DataFrame, label: str) -> tuple[DataFrame, str]:
+    """(band, node, leader, n) of the buckets with several nodes."""
+    counted = members.groupBy("band").agg(F.min("node").alias("leader"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    return materialise(members.join(counted, "band"), label)
+
+
+def _stars(buckets: DataFrame) -> DataFrame:
+    """Each node with its bucket's smallest."""
+    return buckets.filter("node <> leader").select(F.col("node").alias("a"), F.col("leader").alias("b")).distinct()
+
+
+def _mixed(buckets: DataFrame, found: DataFrame) -> DataFrame:
+    """(band, node, root, main, n) of the buckets of more than two nodes with several components, without
+    their smallest nodes; `main` is the component of those."""
+    grouped = buckets.filter("n > 2").join(found, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    main = F.max(F.when(F.col("node") == F.col("leader"), F.col("root")))
+    several = grouped.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high"), main.alias("main")).filter("low <> high")
+    return grouped.filter("node <> leader").join(several.select("band", "main"), "band").select("band", "node", "root", "main", "n")
+
+
+def _across(mixed: DataFrame) -> DataFrame:
+    """The pairs across components: each node outside its bucket's main component with those of other components."""
+    outside = mixed.filter("root <> main").select("band", F.col("node").alias("a"), F.col("root").alias("root_a"))
+    inside = mixed.select("band", F.col("node").alias("b"), F.col("root").alias("root_b"), "main")
+    return outside.join(inside, "band").filter("root_a <> root_b AND (root_b = main OR a < b)").select("a", "b").distinct()
+
+
+def _common_marks(sets: DataFrame) -> bytes:
+    """A bit for each common shingle, at its number modulo the bits."""
+    sampled = sets.filter(F.pmod(F.xxhash64("node"), F.lit(SAMPLED)) == 0)
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for raw in batch.column(0).to_pylist():
+                yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(raw, np.int64))], names=["shingle"])
+
+    common = sampled.select("elements").mapInArrow(spread, "shingle long").groupBy("shingle").count().filter(F.col("count") >= COMMON)
+    place = F.pmod("shingle", F.lit(_MARKS))
+    pages = common.groupBy(F.bitmap_bucket_number(place).alias("page")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits"))
+    marks = np.zeros(_MARKS // 8, np.uint8)
+    for row in pages.collect():  # 4 KB a row, 8 MB at the most
+        # places count from 1, so place 0 is alone on a page of its own; it may go unmarked
+        if row.page > 0:
+            at = (row.page - 1) * 4096
+            held = np.frombuffer(row.bits, np.uint8)[: len(marks) - at]
+            marks[at : at + len(held)] = held
+    return marks.tobytes()
+
+
+def _prefixes(sets: DataFrame, percent: int) -> DataFrame:
+    """(band, node): the rarest shingles of each set, as many as any similar set must share one of."""
+    shared = sets.sparkSession.sparkContext.broadcast(_common_marks(sets))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        marks = np.frombuffer(shared.value, np.uint8)
+        for batch in batches:
+            nodes, bands = [], []
+            for node, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                elements = np.frombuffer(raw, np.int64)
+                place = elements % _MARKS - 1  # bit p - 1 stands for place p
+                is_common = (marks[place >> 3] >> (place & 7).astype(np.uint8)) & 1
+                length = len(elements) - -(-percent * len(elements) // 100) + 1
+                bands.append(elements[np.lexsort((elements, is_common))[:length]])
+                nodes += [node] * length
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(bands) if bands else [], pa.int64()), pa.array(nodes, pa.binary())], names=["band", "node"])
+
+    return sets.mapInArrow(run, "band long, node binary")
+
+
+def _blockwise(mixed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Confirmed links (a, b) between the components of large buckets.
+
+    Buckets with the same main component form a group.  Its nodes outside that component are
+    tried with all its nodes, both cut into blocks of some `BLOCK` nodes; of an outsider, one
+    link to each other component leaves a block.
+    """
+    members = mixed.select(F.col("main").alias("g"), "node", "root").distinct()
+    counts = members.groupBy("g").agg(F.count(F.lit(1)).alias("n_in"), F.count_if(F.col("root") != F.col("g")).alias("n_out"))
+    blocks = counts.select("g", F.ceil(F.col("n_in") / BLOCK).cast("int").alias("n_in"), F.ceil(F.col("n_out") / BLOCK).cast("int").alias("n_out"))
+    rows, path = materialise(members.join(blocks, "g").join(sets, "node"), "group-rows")
+    again = rows.sparkSession.read.schema(rows.schema).parquet(path)
+    own = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    inside = rows.withColumn("i", own("n_in")).withColumn("o", every("n_out")).select("g", "i", "o", "node", "root", "elements")
+    outside = again.filter("root <> g").withColumn("o", own("n_out")).withColumn("i", every("n_in")).select("g", "i", "o", "node", "root", "elements")
+
+    def link(members: pa.Table, outsiders: pa.Table) -> pa.Table:
+        a, b = [], []
+        if members.num_rows and outsiders.num_rows:
+            nodes, roots = members["node"].to_pylist(), members["root"].to_pylist()
+            held = [np.frombuffer(x, np.uint64) for x in members["elements"].to_pylist()]
+            sizes = np.array([len(x) for x in held])
+            flat, owner = np.concatenate(held), np.repeat(np.arange(len(held)), sizes)
+            order = np.argsort(flat, kind="stable")
+            flat, owner = flat[order], owner[order]
+            for node, root, raw in zip(*(outsiders[c].to_pylist() for c in ("node", "root", "elements")), strict=True):
+                own = np.frombuffer(raw, np.uint64)
+                begin = np.searchsorted(flat, own, "left")
+                n = np.searchsorted(flat, own, "right") - begin
+                at = np.repeat(begin - (np.cumsum(n) - n), n) + np.arange(n.sum())
+                shared = np.bincount(owner[at], minlength=len(held))
+                seen = {root}
+                for k in np.flatnonzero(100 * shared >= percent * (sizes + len(own) - shared)):
+                    if roots[k] not in seen:
+                        seen.add(roots[k])
+                        a.append(node)
+                        b.append(nodes[k])
+        return pa.table({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary())})
+
+    key = ["g", "i", "o"]
+    links, _ = materialise(inside.groupBy(*key).cogroup(outside.groupBy(*key)).applyInArrow(link, "a binary, b binary"), "blocks")
+    remove(rows.sparkSession, path)
     return links
 
 
@@ -247,8 +382,8 @@ def components(links: DataFrame) -> DataFrame:
     """
     spark = links.sparkSession
     flat = lambda e: e.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a <> b").distinct()
-    edges, _ = materialise(flat(links), "edges")
-    total = None
+    edges, edges_path = materialise(flat(links), "edges")
+    total, total_path = None, None
     while not edges.isEmpty():
         parents, path = materialise(edges.groupBy("a").agg(F.min("b").alias("p")), "parents")
         while True:
@@ -258,15 +393,21 @@ def components(links: DataFrame) -> DataFrame:
             parents, path, changed = moved.select("a", "p"), new_path, not moved.filter("moved").isEmpty()
             if not changed:
                 break
-        if total is None:
-            total = parents
-        else:
-            joined = total.join(parents.select(F.col("a").alias("p"), F.col("p").alias("higher")), "p", "left").select("a", F.coalesce("higher", "p").alias("p"))
-            total, _ = materialise(joined.unionByName(parents).distinct(), "roots")
         of = parents.select(F.col("a").alias("x"), F.col("p").alias("root"))
         lifted = edges.join(of.withColumnRenamed("x", "a"), "a", "left").select(F.coalesce("root", "a").alias("a"), "b")
         lifted = lifted.join(of.withColumnRenamed("x", "b"), "b", "left").select("a", F.coalesce("root", "b").alias("b"))
-        edges, _ = materialise(flat(lifted), "edges")
+        edges, new_edges_path = materialise(flat(lifted), "edges")
+        remove(spark, edges_path)
+        edges_path = new_edges_path
+        if total is None:
+            total, total_path = parents, path
+        else:
+            joined = total.join(parents.select(F.col("a").alias("p"), F.col("p").alias("higher")), "p", "left").select("a", F.coalesce("higher", "p").alias("p"))
+            total, new_total_path = materialise(joined.unionByName(parents).distinct(), "roots")
+            remove(spark, total_path)
+            remove(spark, path)
+            total_path = new_total_path
+    remove(spark, edges_path)
     if total is None:
         return links.select(F.col("a").alias("node"), F.col("b").alias("root")).limit(0)
     roots = total.select(F.col("p").alias("node"), F.col("p").alias("root")).distinct()
@@ -295,37 +436,46 @@ def near_components(docs: DataFrame, width: int = WORDS, percent: int = PERCENT,
     best = some.groupBy("node").agg(F.min(F.struct("doc_id", "text_hash")).alias("row"), F.min("doc_id").alias("least"), F.first("n_shingles").alias("n_shingles"), F.first("signature").alias("signature"), F.first("bands").alias("bands"))
     nodes, nodes_path = materialise(best.select("node", "row.doc_id", "row.text_hash", "least", "n_shingles", "signature", "bands"), "nodes")
 
-    members = nodes.select("node", F.explode("bands").alias("band"))
-    counted = members.groupBy("band").agg(F.min("node").alias("leader"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-    buckets, buckets_path = materialise(members.join(counted, "band"), "buckets")
-    stars = buckets.filter("node <> leader").select(F.col("node").alias("a"), F.col("leader").alias("b")).distinct()
-    links = _confirm(stars, nodes, source, width, percent, "star")
+    buckets, buckets_path = _bucketed(nodes.select("node", F.explode("bands").alias("band")), "buckets")
+    links = _confirm(_stars(buckets), nodes, source, width, percent, "star")
     found = components(links)
-
-    # buckets of more than two nodes whose nodes aren't all in one component
-    grouped, grouped_path = materialise(
-        buckets.filter("n > 2").join(found, "node", "left").select("band", "node", "leader", F.coalesce("root", "node").alias("root")), "grouped"
-    )
-    mixed = grouped.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.max(F.when(F.col("node") == F.col("leader"), F.col("root"))).alias("main")).filter("low <> high").select("band", "main")
-    # a node outside the leader's component is tried with each node of other components
-    open_ = grouped.join(mixed, "band").filter("node <> leader")
-    outside = open_.filter("root <> main").select("band", F.col("node").alias("a"), F.col("root").alias("root_a"))
-    inside = open_.select("band", F.col("node").alias("b"), F.col("root").alias("root_b"), "main")
-    across = outside.join(inside, "band").filter("root_a <> root_b AND (root_b = main OR a < b)").select("a", "b").distinct()
-    more = _confirm(across, nodes, source, width, percent, "across")
-    if not more.isEmpty():
-        found = components(links.unionByName(more))
+    mixed, mixed_path = materialise(_mixed(buckets, found), "mixed")
+    pairs = _across(mixed.filter(F.col("n") <= DIRECT))
+    crowd = mixed.filter(F.col("n") > DIRECT).select("node")
+    leaders = buckets.filter(F.col("n") > DIRECT).join(mixed.select("band").distinct(), "band", "left_semi").select(F.col("leader").alias("node"))
+    wanted, wanted_path = materialise(crowd.union(leaders).distinct().join(nodes, "node").select("node", "doc_id", "text_hash"), "crowd")
+    crowded = not wanted.isEmpty()
+    if crowded:
+        sets, sets_path = _wanted_sets(wanted, source, width, "crowd-sets")
+        lists, lists_path = _bucketed(_prefixes(sets, percent), "lists")
+        pairs = pairs.union(_stars(lists)).distinct()
+    found, links = _united(links, found, _confirm(pairs, nodes, source, width, percent, "across"))
+    if crowded:
+        left, left_path = materialise(_mixed(lists, found), "left")
+        direct = _confirm(_across(left.filter(F.col("n") <= DIRECT)), nodes, source, width, percent, "lists")
+        blocks = _blockwise(left.filter(F.col("n") > DIRECT), sets, percent)
+        found, links = _united(links, found, direct.unionByName(blocks))
+        for path in (sets_path, lists_path, left_path):
+            remove(spark, path)
 
     rooted = nodes.select("node", "least").join(found, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     labelled, _ = materialise(rooted.join(least, "root").select("node", "component_id"), "labelled")
     out = signed.select("doc_id", "n_shingles", "node").join(labelled, "node", "left")
     component = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    for path in (nodes_path, buckets_path, grouped_path):
+    for path in (nodes_path, buckets_path, mixed_path, wanted_path):
         remove(spark, path)
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
 
 
+def _united(links: DataFrame, found: DataFrame, more: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Components and links with ``more`` links."""
+    if more.isEmpty():
+        return found, links
+    every = links.unionByName(more)
+    return components(every), every
+
+
 def drop_near_duplicates(docs: DataFrame, **options) -> DataFrame:
     """``docs`` without the documents that another one of their component stands for."""
     dropped = near_components(docs, **options).filter(~F.col("kept")).select("doc_id")

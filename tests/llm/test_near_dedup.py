@@ -72,6 +72,7 @@ def test_shared_passages_and_chains(spark, monkeypatch):
     assert len({c for _, _, c in want}) < len(rows) - 20
     assert got(N.near_components(df)) == want
     monkeypatch.setattr(N, "DIRECT", 2)
+    monkeypatch.setattr(N, "BLOCK", 7)
     assert got(N.near_components(df)) == want
 
 
