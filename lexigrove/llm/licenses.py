@@ -38,7 +38,7 @@ TEMPLATES = [
 ]
 
 #: Words of the notices that are too common to be looked up (fixed values).
-COMMON = "0 1 2 3 4 a and any are for in into is of or the this to under use with without".split()
+COMMON = "0 1 2 3 4 a and any are by for in into is of or the this to under use with without".split()
 
 VOCABULARY = sorted({w for _, notice, _ in TEMPLATES for w in notice.split()} - {*COMMON})
 _NOT_WORD = r"\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F"
