@@ -192,6 +192,43 @@ def select_backend(results: DataFrame, order: Sequence[str] = ("twin_hit_at_1",
     return usable.orderBy(*[F.desc(c) for c in order], "runtime_seconds", "backend_id").limit(1)
 
 
+#: Keys that a run's manifest must have, by kind, and the values of two of them (fixed values).
+MANIFEST_KEYS = {
+    "quality_gate": ("generated_at", "variant_id", "input_pdf", "converter_version", "gate_config"),
+    "challenge_corpus": ("generated_at", "variant_id", "baseline_dir", "entry_count"),
+    "backend_comparison": ("generated_at", "variant_id", "bundle", "benchmark", "backend"),
+    "bundle_generation": ("generated_at", "book_id", "source", "converter_version", "output_dir"),
+}
+STATUSES, FRESHNESS = ("generated", "failed", "skipped", "dry_run"), ("fresh", "stale", "unknown")
+
+
+def run_manifest_errors(manifests: DataFrame) -> DataFrame:
+    """(run_id, error) of run manifests (run_id, kind, payload map): missing keys, unknown kinds and values."""
+    keys, payload = F.map_keys("payload"), F.col("payload")
+    required = F.when(F.lit(False), F.array().cast("array<string>"))
+    for kind, names in MANIFEST_KEYS.items():
+        required = required.when(F.col("kind") == kind, F.array(*[F.lit(n) for n in names]))
+    status = F.coalesce(F.try_element_at(payload, F.lit("artifact_status")), F.lit("generated"))
+    fresh = F.coalesce(F.try_element_at(payload, F.lit("freshness")), F.lit("fresh"))
+    errors = F.concat(
+        F.coalesce(F.array_except(required, keys), F.array(F.concat(F.lit("unknown kind: "), F.col("kind")))),
+        F.array_compact(F.array(F.when(~status.isin(*STATUSES), F.concat(F.lit("invalid artifact_status: "), status)), F.when(~fresh.isin(*FRESHNESS), F.concat(F.lit("invalid freshness: "), fresh)))),
+    )
+    return manifests.select("run_id", F.explode(errors).alias("error"))
+
+
+def largest_blocks(blocks: DataFrame, group: str) -> DataFrame:
+    """The largest block (group, ord, n_tokens) of each group, the first of equal ones."""
+    best = F.max(F.struct("n_tokens", (-F.col("ord")).alias("back")))
+    return blocks.groupBy(group).agg(best.alias("x")).select(group, (-F.col("x.back")).alias("ord"), "x.n_tokens")
+
+
+def over_limits(counts: DataFrame, limits: DataFrame) -> DataFrame:
+    """(code, actual, most) of the codes that stand more often than their limit; codes without a count stand 0 times."""
+    joined = limits.join(counts, "code", "left").select("code", F.coalesce("n", F.lit(0)).alias("actual"), "most")
+    return joined.filter("actual > most")
+
+
 def spec_rows(spark, rows: Sequence[Mapping], schema: str) -> DataFrame:
     """A small spec as a table."""
     return spark.createDataFrame([tuple(r.get(f.split()[0]) for f in schema.split(", ")) for r in rows], schema)

@@ -51,8 +51,8 @@ def weight_of(weights: Mapping[str, float]) -> Column:
     return out.otherwise(0.0)
 
 
-def bm25(corpus: DataFrame, probes: DataFrame, weights: Mapping[str, float]) -> DataFrame:
-    """(probe_id, doc_id, score) of the documents that share a term with the probe.
+def bm25_components(corpus: DataFrame, probes: DataFrame, weights: Mapping[str, float]) -> DataFrame:
+    """(probe_id, doc_id, field, part): the weighted score of each field that shares a term with the probe.
 
     Lengths average over all documents, empty fields included.
     """
@@ -66,7 +66,18 @@ def bm25(corpus: DataFrame, probes: DataFrame, weights: Mapping[str, float]) ->
     length = 1.0 - B + B * F.col("n_terms") / F.when(F.col("mean_terms") == 0, 1.0).otherwise(F.col("mean_terms"))
     gain = F.col("qtf") * idf * (F.col("tf") * (K1 + 1.0)) / (F.col("tf") + K1 * length)
     scored = hit.join(df, ["field", "term"]).join(F.broadcast(sizes), "field").join(wanted, "term")  # a row per field
-    return scored.groupBy("probe_id", "doc_id").agg(F.round(F.sum(gain * weight_of(weights)), 6).alias("score"))
+    return scored.groupBy("probe_id", "doc_id", "field").agg(F.sum(gain * weight_of(weights)).alias("part"))
+
+
+def bm25(corpus: DataFrame, probes: DataFrame, weights: Mapping[str, float]) -> DataFrame:
+    """(probe_id, doc_id, score) of the documents that share a term with the probe."""
+    return bm25_components(corpus, probes, weights).groupBy("probe_id", "doc_id").agg(F.round(F.sum("part"), 6).alias("score"))
+
+
+def explained_share(components: DataFrame) -> DataFrame:
+    """(probe_id, doc_id, explained_share): what the strongest field gives of the best document's score."""
+    totals = components.groupBy("probe_id", "doc_id").agg(F.round(F.sum("part"), 6).alias("score"), F.max("part").alias("most"), F.sum("part").alias("sum"))
+    return ranked(totals, 1).select("probe_id", "doc_id", F.round(F.col("most") / F.col("sum"), 4).alias("explained_share"))
 
 
 def chargram_tfidf(corpus: DataFrame, probes: DataFrame, weights: Mapping[str, float]) -> DataFrame:
@@ -175,6 +186,8 @@ def probe_metrics(scores: DataFrame, gold: DataFrame) -> DataFrame:
     )
 
 
-def miss_class(best_rank: Column) -> Column:
-    """How far the best right answer is from the first place."""
-    return F.when(best_rank.isNull(), "absent").when(best_rank == 1, "hit").when(best_rank <= 3, "near").when(best_rank <= 10, "low").otherwise("deep")
+def miss_class(hit_at_1: Column, recall_at_3: Column, mrr: Column) -> Column:
+    """What a probe misses, "pass" if nothing."""
+    return (
+        F.when((hit_at_1 < 1) & (recall_at_3 < 1), "top1_and_recall_miss").when(hit_at_1 < 1, "top1_miss").when(mrr < 1, "rank_drop").otherwise("pass")
+    )

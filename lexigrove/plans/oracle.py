@@ -169,7 +169,10 @@ ORACLE_SQL: dict[str, str] = {
         FROM gold JOIN documents USING (doc_id) LEFT JOIN labels USING (doc_id))
       SELECT tag, count(*) AS probes, round(avg(mrr), 4) AS mrr, round(avg(hit_at_1), 4) AS hit_at_1 FROM s_m JOIN tags USING (probe_id) GROUP BY tag""",
     "miss_diagnostics": f"""WITH {_GOLD}, {_bm25('s', _FIELDS, 'fielded_bm25')}, {_metrics('s')}
-      SELECT CASE WHEN best_rank IS NULL THEN 'absent' WHEN best_rank = 1 THEN 'hit' WHEN best_rank <= 3 THEN 'near' WHEN best_rank <= 10 THEN 'low' ELSE 'deep' END AS miss_class, count(*) AS probes, round(avg(mrr), 4) AS mrr FROM s_m GROUP BY 1""",
+      SELECT * FROM (SELECT probe_id, CASE WHEN hit_at_1 < 1 AND recall_at_3 < 1 THEN 'top1_and_recall_miss' WHEN hit_at_1 < 1 THEN 'top1_miss' WHEN mrr < 1 THEN 'rank_drop' ELSE 'pass' END AS miss_class, best_rank, mrr FROM s_m) WHERE miss_class <> 'pass'""",
+    "explained_shares": f"""WITH {_bm25('s', _FIELDS, 'fielded_bm25').replace('SELECT probe_id, doc_id, round(', 'SELECT probe_id, doc_id, field, (').replace('::DOUBLE), 6) AS score', '::DOUBLE)) AS part')}
+      SELECT probe_id, doc_id, round(most / total, 4) AS explained_share FROM (SELECT probe_id, doc_id, max(part) AS most, sum(part) AS total FROM s GROUP BY ALL)
+      QUALIFY row_number() OVER (PARTITION BY probe_id ORDER BY round(total, 6) DESC, doc_id) = 1""",
     "dense_topk": f"WITH {_near(_PLAIN, 'n')} SELECT * FROM n",
     "dense_label_votes": f"WITH {_near(_PLAIN, 'n')} SELECT query_id, round(avg((e.label = o.label)::INT), 4) AS same FROM n JOIN embeddings e ON e.vec_id = n.vec_id JOIN embeddings o ON o.vec_id = n.query_id GROUP BY query_id",
     "neighbor_overlap": f"WITH {_near(_PLAIN, 'a')}, {_near(_COARSE, 'b')} SELECT a.query_id, round(count(b.vec_id)::DOUBLE / 5, 4) AS overlap FROM a LEFT JOIN b ON a.query_id = b.query_id AND a.vec_id = b.vec_id GROUP BY a.query_id",
@@ -201,6 +204,15 @@ ORACLE_SQL: dict[str, str] = {
     "percentile_timeout": "SELECT *, greatest(p95 * 2, p99 + 30) AS timeout FROM (SELECT event_type, count(*) AS runs, quantile_disc(value, 0.95) AS p95, quantile_disc(value, 0.99) AS p99 FROM events GROUP BY event_type)",
     "chunk_windows": f'WITH {_CHUNKS} SELECT conv_id, chunk, n_tokens, n_blocks, "window" FROM packed',
     "chunk_window_stats": f'WITH {_CHUNKS} SELECT "window", {_STATS} FROM packed GROUP BY "window"',
+    "largest_atomic_blocks": f"SELECT conv_id, turn AS ord, {_TOKENS(chr(116) + 'ext')} AS n_tokens FROM conversations QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY {_TOKENS(chr(116) + 'ext')} DESC, turn) = 1",
+    "probe_limits": f"""WITH {_TURNS}, {_EDGES}, {_MICRO}, {_REPEATS}, every AS (SELECT code FROM edges UNION ALL SELECT 'boundary_page_many_micro_regions' FROM micro WHERE region_count >= 6 UNION ALL SELECT 'repeated_adjacent_word' FROM repeats),
+      lim(code, most) AS (VALUES ('repeated_adjacent_word', 3), ('block_hyphen_end', 0), ('boundary_page_many_micro_regions', 100000))
+      SELECT lim.code, count(every.code) AS actual, most FROM lim LEFT JOIN every ON lim.code = every.code GROUP BY lim.code, most HAVING count(every.code) > most""",
+    "run_manifest_errors": """WITH r AS (SELECT ['quality_gate', 'challenge_corpus', 'backend_comparison', 'bundle_generation', 'other'][user_id % 5 + 1] AS kind, event_type, CASE WHEN event_id % 3 = 0 THEN 'old' ELSE 'fresh' END AS fresh FROM events),
+      e AS (SELECT unnest(CASE kind WHEN 'quality_gate' THEN ['input_pdf', 'converter_version', 'gate_config'] WHEN 'challenge_corpus' THEN ['baseline_dir', 'entry_count'] WHEN 'backend_comparison' THEN ['bundle', 'benchmark', 'backend']
+          WHEN 'bundle_generation' THEN ['book_id', 'source', 'converter_version', 'output_dir'] ELSE ['unknown kind: other'] END) AS error FROM r
+        UNION ALL SELECT 'invalid artifact_status: ' || event_type FROM r WHERE event_type NOT IN ('generated', 'failed', 'skipped', 'dry_run') UNION ALL SELECT 'invalid freshness: old' FROM r WHERE fresh = 'old')
+      SELECT error, count(*) AS n FROM e GROUP BY error""",
     "backend_choice": "SELECT 'b' || s_suppkey AS backend_id, s_acctbal AS runtime_seconds FROM supplier WHERE s_acctbal > 0 AND s_suppkey % 2 = 0 ORDER BY s_nationkey / 25.0 DESC, s_suppkey % 7 DESC, s_suppkey % 3 DESC, s_acctbal, 'b' || s_suppkey LIMIT 1",
     "offset_votes": """WITH c AS (SELECT l_returnflag, date_diff('day', o_orderdate::DATE, l_shipdate::DATE) AS "offset", count(*) AS n FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY ALL),
       r AS (SELECT *, row_number() OVER w AS place, lead(n, 1, 0) OVER w AS second_count, sum(n) OVER (PARTITION BY l_returnflag) AS total FROM c WINDOW w AS (PARTITION BY l_returnflag ORDER BY n DESC, "offset"))
@@ -220,6 +232,9 @@ ORACLE_SQL: dict[str, str] = {
       p AS (SELECT *, (sum((bucket = 'reference')::INT) OVER (PARTITION BY conv_id ORDER BY turn ROWS UNBOUNDED PRECEDING))::BIGINT AS passage FROM f),
       j AS (SELECT conv_id, passage, {_JOINED('citation')} AS a, {_JOINED('commentary')} AS b, {_JOINED('reference')} AS c, count(*) AS n_fragments FROM p WHERE body <> '' GROUP BY ALL)
       SELECT conv_id, passage, sha256(a) AS citation_sha256, sha256(b) AS commentary_sha256, sha256(c) AS reference_sha256, n_fragments, {_TOKENS("a || ' ' || b || ' ' || c")} AS n_tokens FROM j""",
+    "fragment_attachment": f"""WITH t AS (SELECT *, lead(text) OVER w AS nt, lead(role) OVER w AS nr FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn)), f AS (SELECT *, {_SQUEEZE('text')} AS flat FROM t)
+      SELECT CASE WHEN nt IS NOT NULL AND {_TOKENS('text')} * 2 <= 18 AND len(regexp_extract_all(flat, '[^ ]+')) <= 10 AND flat <> '' AND NOT regexp_matches(flat, '[.!?]["”'')\\]]?$')
+        THEN CASE WHEN role <> nr THEN 'cross-zone-next-anchor' WHEN regexp_matches(trim(nt), '(?i)^([-*][ \\t]*)?[0-9]+[a-z]\\)[ \\t]*$') THEN 'marker-only-next-anchor' END END AS reason, count(*) AS n FROM f GROUP BY 1""",
     "ancestor_paths": """SELECT 'r' || r_regionkey AS node_id, r_name AS path FROM region UNION ALL SELECT 'n' || n_nationkey, r_name || ' > ' || n_name FROM nation JOIN region ON n_regionkey = r_regionkey
       UNION ALL SELECT 'c' || c_custkey, r_name || ' > ' || n_name || ' > ' || c_name FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey""",
     "roman_labels": """SELECT number, list_extract(['','x','xx','xxx','xl','l','lx','lxx','lxxx','xc'], number // 10 + 1) || list_extract(['','i','ii','iii','iv','v','vi','vii','viii','ix'], number % 10 + 1) AS label, number AS value FROM (SELECT DISTINCT p_size AS number FROM part)""",

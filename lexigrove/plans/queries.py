@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from lexigrove.functions import text as X
 from lexigrove.operators import dense as D
+from lexigrove.operators import matching as M
 from lexigrove.operators import quality as Q
 from lexigrove.operators import retrieval as R
 from lexigrove.operators import structure as S
@@ -160,7 +161,13 @@ def retrieval_tag_slices(spark, sf):
 
 @query
 def miss_diagnostics(spark, sf):
-    return _metrics(spark, sf, "fielded_bm25").groupBy(R.miss_class(F.col("best_rank")).alias("miss_class")).agg(F.count(F.lit(1)).alias("probes"), F.round(F.avg("mrr"), 4).alias("mrr"))
+    kind = R.miss_class(F.col("hit_at_1"), F.col("recall_at_3"), F.col("mrr"))
+    return _metrics(spark, sf, "fielded_bm25").withColumn("miss_class", kind).filter("miss_class <> 'pass'").select("probe_id", "miss_class", "best_rank", "mrr")
+
+
+@query
+def explained_shares(spark, sf):
+    return R.explained_share(R.bm25_components(_fields(spark, sf), _probes(spark, sf), R.PROFILES["fielded_bm25"]))
 
 
 # dense
@@ -314,6 +321,26 @@ def chunk_window_stats(spark, sf):
     return Q.token_stats(chunk_windows(spark, sf), "window")
 
 
+@query
+def largest_atomic_blocks(spark, sf):
+    return Q.largest_blocks(table(spark, sf, "conversations").select("conv_id", F.col("turn").alias("ord"), X.token_count(F.col("text")).alias("n_tokens")), "conv_id")
+
+
+@query
+def probe_limits(spark, sf):
+    limits = spark.sql("SELECT * FROM VALUES ('repeated_adjacent_word', 3), ('block_hyphen_end', 0), ('boundary_page_many_micro_regions', 100000) AS t(code, most)")
+    return Q.over_limits(issue_summary(spark, sf).select("code", "n"), limits)
+
+
+@query
+def run_manifest_errors(spark, sf):
+    """Manifests made of events: the properties' keys stand for those of the run."""
+    kinds = F.element_at(F.array(*[F.lit(k) for k in (*Q.MANIFEST_KEYS, "other")]), (F.col("user_id") % 5 + 1).cast("int"))
+    payload = F.create_map(F.lit("generated_at"), F.col("ts").cast("string"), F.lit("variant_id"), F.lit("v"), F.lit("artifact_status"), F.col("event_type"), F.lit("freshness"), F.when(F.col("event_id") % 3 == 0, "old").otherwise("fresh"))
+    runs = table(spark, sf, "events").select(F.col("event_id").alias("run_id"), kinds.alias("kind"), payload.alias("payload"))
+    return Q.run_manifest_errors(runs).groupBy("error").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query
 def run_determinism_hash(spark, sf):
     return Q.run_signature(stemmed_term_df(spark, sf))
@@ -390,6 +417,24 @@ def passages_segmented(spark, sf):
     return turns.select("conv_id", F.posexplode(S.segment_text(F.col("text"), 120)).alias("segment", "part")).select("conv_id", "segment", X.token_count(F.col("part")).alias("n_tokens"))
 
 
+@query
+def fragment_attachment(spark, sf):
+    """Each turn against the next of its conversation; two points lie between the words of a fragment."""
+    by = Window.partitionBy("conv_id").orderBy("turn")
+    after = lambda c: F.lead(c).over(by)
+    turns = table(spark, sf, "conversations").withColumns({"next_text": after("text"), "next_role": after("role"), "next_turn": after("turn")})
+    words = X.token_count(F.col("text"))
+    reason = M.attach_reason(F.col("text"), F.col("role"), F.col("turn"), F.col("next_text"), F.col("next_role"), F.col("next_turn"), words * 2)
+    return turns.select("conv_id", "turn", reason.alias("reason")).groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query
+def heading_matches(spark, sf):
+    """Page titles against the first words of the text of the page."""
+    pages = table(spark, sf, "pages").select("page_id", X.html_field(F.col("html"), "title").alias("title"), X.html_text(F.col("html")).alias("text"))
+    return pages.select("page_id", M.heading_match(F.substring("text", 1, 80), F.col("title")).alias("match_type"))
+
+
 @query
 def ancestor_paths(spark, sf):
     node = lambda df, i, p, n: df.select(i.alias("node_id"), p.alias("parent_id"), n.alias("name"))
