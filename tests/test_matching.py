@@ -24,7 +24,7 @@ def test_attachment(spark, text, zone, region, next_text, next_zone, next_region
 
 
 @pytest.mark.parametrize("line, variant, want", [
-    ("b. Language", "B Language", "exact"), ("The Sign: and more", "The Sign", "inline_variant"), ("The Sign of Writing Itself", "The Signs of Writing Itsell", "fuzzy_variant"),
+    ("b. Language", "B Language", "exact"), ("The Sign: and more", "The Sign", "inline_variant"), ("The Writing Itself Alone", "The Writings Itself Again", "fuzzy_variant"),
     ("Sensibility Cognition", "Sensibilities Cognitive", "fuzzy_variant"), ("Something else here", "The Sign", None), ("", "The Sign", None), ("Nature, Culture, Writing (", "Nature, Culture, Writing", "exact"),
 ])
 def test_headings(spark, line, variant, want):
