@@ -235,6 +235,16 @@ ORACLE_SQL: dict[str, str] = {
     "fragment_attachment": f"""WITH t AS (SELECT *, lead(text) OVER w AS nt, lead(role) OVER w AS nr FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn)), f AS (SELECT *, {_SQUEEZE('text')} AS flat FROM t)
       SELECT CASE WHEN nt IS NOT NULL AND {_TOKENS('text')} * 2 <= 18 AND len(regexp_extract_all(flat, '[^ ]+')) <= 10 AND flat <> '' AND NOT regexp_matches(flat, '[.!?]["”'')\\]]?$')
         THEN CASE WHEN role <> nr THEN 'cross-zone-next-anchor' WHEN regexp_matches(trim(nt), '(?i)^([-*][ \\t]*)?[0-9]+[a-z]\\)[ \\t]*$') THEN 'marker-only-next-anchor' END END AS reason, count(*) AS n FROM f GROUP BY 1""",
+    "page_profiles": f"""WITH l AS (SELECT doc_id, {_SQUEEZE('t')} AS text, ((doc_id + (i - 1) * 53) % 300)::DOUBLE AS x0, (40 + (i - 1) * 14)::DOUBLE AS y0, CASE WHEN (i - 1) % 5 = 4 THEN 8.0 ELSE 10.0 END AS size
+        FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS t, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS i FROM documents)),
+      own AS (SELECT *, max(y0 >= 45) OVER (PARTITION BY doc_id) AS has_body FROM l WHERE text <> ''),
+      main AS (SELECT doc_id, arg_max(size, n * 1000 - size) AS main FROM (SELECT doc_id, size, count(*) AS n FROM own GROUP BY ALL) GROUP BY doc_id),
+      body AS (SELECT * FROM own WHERE NOT has_body OR y0 >= 45),
+      cl AS (SELECT doc_id, count(*) FILTER (n >= 2) AS clusters FROM (SELECT doc_id, round_even(x0 / 24, 0) AS c, count(*) AS n FROM body GROUP BY ALL) GROUP BY doc_id),
+      c AS (SELECT doc_id, count(*) AS body_lines, avg((length(text) < 26)::INT) AS short, avg((size < main - 0.7)::INT) AS small, count(*) FILTER (x0 >= 180) AS right_n FROM body JOIN main USING (doc_id) GROUP BY doc_id),
+      t AS (SELECT doc_id, bool_or(contains(lower(text), 'table ')) AS has_table FROM own GROUP BY doc_id),
+      k AS (SELECT doc_id, CASE WHEN has_table THEN 'table' WHEN right_n >= 8 AND small >= 0.1 THEN 'aside' WHEN clusters >= 3 AND short >= 0.35 THEN 'multi-column' ELSE 'simple' END AS kind, body_lines, clusters FROM c JOIN cl USING (doc_id) JOIN t USING (doc_id))
+      SELECT doc_id, kind, kind <> 'simple' AS complex, body_lines, clusters FROM k""",
     "ancestor_paths": """SELECT 'r' || r_regionkey AS node_id, r_name AS path FROM region UNION ALL SELECT 'n' || n_nationkey, r_name || ' > ' || n_name FROM nation JOIN region ON n_regionkey = r_regionkey
       UNION ALL SELECT 'c' || c_custkey, r_name || ' > ' || n_name || ' > ' || c_name FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey""",
     "roman_labels": """SELECT number, list_extract(['','x','xx','xxx','xl','l','lx','lxx','lxxx','xc'], number // 10 + 1) || list_extract(['','i','ii','iii','iv','v','vi','vii','viii','ix'], number % 10 + 1) AS label, number AS value FROM (SELECT DISTINCT p_size AS number FROM part)""",

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from lexigrove.functions import text as X
 from lexigrove.operators import dense as D
+from lexigrove.operators import gate as G
+from lexigrove.operators import layout as L
 from lexigrove.operators import matching as M
 from lexigrove.operators import quality as Q
 from lexigrove.operators import retrieval as R
@@ -428,6 +430,25 @@ def fragment_attachment(spark, sf):
     return turns.select("conv_id", "turn", reason.alias("reason")).groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query
+def page_profiles(spark, sf):
+    """Documents as pages: lines stand below each other, words of a line are apart by their number."""
+    lines = table(spark, sf, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("i", "text"))
+    place = lines.select("doc_id", "text", ((F.col("doc_id") + F.col("i") * 53) % 300).cast("double").alias("x0"), (F.lit(40) + F.col("i") * 14).cast("double").alias("y0"), F.when(F.col("i") % 5 == 4, 8.0).otherwise(10.0).alias("size"))
+    return L.page_profiles(place, "doc_id")
+
+
+@query
+def gate_failures(spark, sf):
+    """Issues of this corpus against a gate that allows repeated words and few issues."""
+    edges = Q.block_edge_issues(_turns(spark, sf)).select("id", "code")
+    words = Q.repeated_word_issues(table(spark, sf, "documents"), "doc_id", "text").select("id", "code")
+    issues = edges.unionByName(words)
+    allowed = spark.sql("SELECT 'repeated_adjacent_word' AS code")
+    report = G.gate_report(G.unexpected_codes(issues, allowed, "probe", "new code"), G.too_many(issues, 10, "probe"), G.metric_failures(metric_gate(spark, sf), "prices"))
+    return report.select("gate", "failures", F.array_join("messages", "; ").alias("messages"), "status")
+
+
 @query
 def heading_matches(spark, sf):
     """Page titles against the first words of the text of the page."""
