@@ -10,6 +10,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lexigrove.llm.common import frugal, small_batches
+
 #: Lower-cases A-Z and makes a space of every byte that stands in no word.  The bytes of
 #: characters beyond ASCII are all above 0x7F, so they stay whole.
 _FOLD = bytes(b if b >= 0x80 or 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A else b + 32 if 0x41 <= b <= 0x5A else 0x20 for b in range(256))
@@ -111,6 +113,7 @@ def find_contamination(
     Null and empty texts have no words and are never hit; an item without words has no
     window; an item with a null id marks words but is not listed.  Repeated items count once.
     """
+    small_batches(docs.sparkSession)
     out = docs
     spans, items = "hit_spans", "item_ids"
     for k, block in enumerate(_blocks(benchmark, item_col, text_col, block_chars)):
@@ -143,6 +146,7 @@ def _scan(docs: DataFrame, shared, text_col: str, name: str) -> DataFrame:
     token = uuid.uuid4().hex  # a worker builds the set of a block once
 
     @F.arrow_udf("n_words long, spans array<struct<begin:int,end:int>>, items array<string>")
+    @frugal
     def scan(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         if token not in _sets:
             _sets.clear()

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lexigrove.llm.common import materialise, remove, slices
+from lexigrove.llm.common import frugal, materialise, remove, slices, small_batches
 
 WORDS, PERCENT, BANDS, ROWS = 5, 75, 32, 4
 #: Share of equal signature bytes below which a pair is not verified: over five standard
@@ -43,7 +43,7 @@ SAMPLED, COMMON = 16, 8
 #: Common shingles are marked in 2^26 bits, 8 MB, whatever their number.
 _MARKS = 1 << 26
 #: Bytes of text that a task holds as numpy arrays at a time.
-_SLICE = 2_000_000
+_SLICE = 1_000_000
 
 _SPACES = bytes.maketrans(b"\x09\x0a\x0b\x0c\x0dABCDEFGHIJKLMNOPQRSTUVWXYZ", b"     abcdefghijklmnopqrstuvwxyz")
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
@@ -166,7 +166,7 @@ def _signatures(width: int, bands: int, rows: int):
                 owner = np.repeat(np.arange(len(texts)), counts)
                 ranks = np.empty((len(texts), size), np.uint64)
                 # sets that need many steps hold a permutation for each element: few at a time
-                cuts = np.searchsorted(np.cumsum(counts), np.arange(60_000, int(counts.sum()), 60_000))
+                cuts = np.searchsorted(np.cumsum(counts), np.arange(40_000, int(counts.sum()), 40_000))
                 for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(texts)], strict=True):
                     if a < b:
                         lo, hi = int(counts[:a].sum()), int(counts[:b].sum())
@@ -237,7 +237,7 @@ def _wanted_sets(wanted: DataFrame, source: DataFrame, width: int, label: str) -
     """(node, elements) of the nodes of ``wanted`` (node, doc_id, text_hash), from one text of each."""
     few = _few(wanted.select("node", F.col("doc_id").alias("want_id"), F.col("text_hash").alias("want_hash")))
     found = source.join(few, (source["text_hash"] == few["want_hash"]) & source["doc_id"].eqNullSafe(few["want_id"])).select("node", "text")
-    return materialise(found.mapInArrow(_sets(width), "node binary, elements binary").dropDuplicates(["node"]), label)
+    return materialise(found.mapInArrow(frugal(_sets(width)), "node binary, elements binary").dropDuplicates(["node"]), label)
 
 
 def _confirm(pairs: DataFrame, nodes: DataFrame, source: DataFrame, width: int, percent: int, label: str) -> DataFrame:
@@ -294,7 +294,7 @@ def _common_marks(sets: DataFrame) -> bytes:
             for raw in batch.column(0).to_pylist():
                 yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(raw, np.int64))], names=["shingle"])
 
-    common = sampled.select("elements").mapInArrow(spread, "shingle long").groupBy("shingle").count().filter(F.col("count") >= COMMON)
+    common = sampled.select("elements").mapInArrow(frugal(spread), "shingle long").groupBy("shingle").count().filter(F.col("count") >= COMMON)
     place = F.pmod("shingle", F.lit(_MARKS))
     pages = common.groupBy(F.bitmap_bucket_number(place).alias("page")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits"))
     marks = np.zeros(_MARKS // 8, np.uint8)
@@ -324,7 +324,7 @@ def _prefixes(sets: DataFrame, percent: int) -> DataFrame:
                 nodes += [node] * length
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(bands) if bands else [], pa.int64()), pa.array(nodes, pa.binary())], names=["band", "node"])
 
-    return sets.mapInArrow(run, "band long, node binary")
+    return sets.mapInArrow(frugal(run), "band long, node binary")
 
 
 def _blockwise(mixed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -429,9 +429,10 @@ def near_components(docs: DataFrame, width: int = WORDS, percent: int = PERCENT,
     an empty table gives an empty result.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     source = docs.select(docs[id_col].cast("long").alias("doc_id"), F.xxhash64(docs[text_col]).alias("text_hash"), docs[text_col].alias("text"))
     schema = "doc_id long, text_hash long, n_shingles long, node binary, signature binary, bands array<long>"
-    signed, signed_path = materialise(source.mapInArrow(_signatures(width, bands, rows), schema), "signed")
+    signed, signed_path = materialise(source.mapInArrow(frugal(_signatures(width, bands, rows)), schema), "signed")
     some = signed.filter("node IS NOT NULL")
     best = some.groupBy("node").agg(F.min(F.struct("doc_id", "text_hash")).alias("row"), F.min("doc_id").alias("least"), F.first("n_shingles").alias("n_shingles"), F.first("signature").alias("signature"), F.first("bands").alias("bands"))
     nodes, nodes_path = materialise(best.select("node", "row.doc_id", "row.text_hash", "least", "n_shingles", "signature", "bands"), "nodes")

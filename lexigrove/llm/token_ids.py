@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lexigrove.llm.common import new_path, slices
+from lexigrove.llm.common import frugal, new_path, slices, small_batches
 
 MAGIC = b"LGPK0001"
 BLOCK = 4096
@@ -236,6 +236,7 @@ def write_token_files(
     empty table gives an empty index.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     rows = docs.select(docs[id_col].cast("long").alias("id"), docs[text_col].alias("text"))
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -263,7 +264,7 @@ def write_token_files(
 
     schema = "id long, part int, file string, begin long, n_tokens long"
     ordered = rows.repartitionByRange("id").sortWithinPartitions("id")
-    ordered.mapInArrow(write, schema).write.parquet(f"{folder}/index")
+    ordered.mapInArrow(frugal(write), schema).write.parquet(f"{folder}/index")
     return spark.read.schema(schema).parquet(f"{folder}/index")
 
 
@@ -296,7 +297,7 @@ def read_token_files(index: DataFrame, folder: str) -> DataFrame:
 
     # one row per file, and a file per range partition: far below any broadcast limit
     placed = index.join(F.broadcast(before), "part").select("id", "file", "begin", "n_tokens", "before")
-    return placed.mapInArrow(read, "id long, start long, n_tokens long, ids_crc32 long")
+    return placed.mapInArrow(frugal(read), "id long, start long, n_tokens long, ids_crc32 long")
 
 
 def token_table(docs: DataFrame, tokenizer: str, end_id: int = 2, folder: str | None = None) -> DataFrame:

@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lexigrove.llm.common import frugal, small_batches
+
 #: Labelled rows that the lexicon is learned from, at most.
 SAMPLE = 20_000
 #: Lexicon entries, at most.
@@ -20,6 +22,8 @@ ENTRIES = 2_000
 LEAST_SHARE = 0.02
 #: Share of an entry's labelled documents, both classes weighted alike, that must be toxic.
 LEAST_PRECISION = 0.9
+#: Terms whose counts a task holds before it passes them on; some 20 MB.
+COUNTED = 100_000
 STEM_LENGTHS = (4, 5, 6, 7)
 THRESHOLD = 0.3
 
@@ -206,18 +210,25 @@ def learn_lexicon(rows: DataFrame) -> Lexicon:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[bool, Counter] = {False: Counter(), True: Counter()}
         n = Counter()
+
+        def held() -> pa.RecordBatch:
+            terms = list({"": 0} | seen[True] | seen[False])
+            columns = [pa.array([n[x] if t == "" else seen[x][t] for t in terms], pa.int64()) for x in (True, False)]
+            for c in (*seen.values(), n):
+                c.clear()
+            return pa.RecordBatch.from_arrays([pa.array(terms, pa.string()), *columns], names=["term", "bad", "good"])
+
         for batch in batches:
             for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 words = {w.decode("utf-8", "surrogatepass") for w in distinct_words(text)}
                 n[bool(toxic)] += 1
                 seen[bool(toxic)].update(words)
                 seen[bool(toxic)].update({w[:k] + "*" for w in words for k in STEM_LENGTHS if len(w) > k})
-        terms = list(seen[True].keys() | seen[False].keys())
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([*terms, ""], pa.string()), *(pa.array([*(seen[x][t] for t in terms), n[x]], pa.int64()) for x in (True, False))], names=["term", "bad", "good"]
-        )
+                if len(seen[True]) + len(seen[False]) > COUNTED:
+                    yield held()
+        yield held()
 
-    counts = rows.mapInArrow(count, "term string, bad long, good long").groupBy("term").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good")).persist()
+    counts = rows.mapInArrow(frugal(count), "term string, bad long, good long").groupBy("term").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good")).persist()
     total = counts.filter("term = ''").collect()
     n_bad, n_good = (total[0].bad, total[0].good) if total else (0, 0)
     if not n_bad:
@@ -267,7 +278,7 @@ def learn_half(rows: DataFrame, lexicon: Lexicon) -> float:
         keys = [(k, sum(v for c, v in counts.items() if c == (k, True)), sum(v for c, v in counts.items() if c == (k, False))) for k in range(len(grid))]
         yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in keys] , pa.int64()) for i in range(3)] + [pa.array([counts["all"]] * len(keys), pa.int64())], names=["k", "hit", "wrong", "bad"])
 
-    tallied = rows.mapInArrow(tally, "k long, hit long, wrong long, bad long").groupBy("k").agg(*(F.sum(c).alias(c) for c in ("hit", "wrong", "bad"))).collect()
+    tallied = rows.mapInArrow(frugal(tally), "k long, hit long, wrong long, bad long").groupBy("k").agg(*(F.sum(c).alias(c) for c in ("hit", "wrong", "bad"))).collect()
     best = max(tallied, key=lambda r: (2 * r.hit / max(1, r.hit + r.wrong + r.bad), -r.k), default=None)
     cut = grid[best.k] if best else grid[0]
     return cut * (1 - THRESHOLD) / THRESHOLD
@@ -281,6 +292,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, tex
     alone.  Null and empty texts score 0, repeated rows alike; without labels nothing is met;
     other columns stay as they are; an empty table gives an empty result.
     """
+    small_batches(docs.sparkSession)
     rows = training_rows(docs, labels, sample)
     lexicon = learn_lexicon(rows)
     half = learn_half(rows, lexicon)
@@ -288,6 +300,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, tex
     kind = T.StructType([T.StructField("score", T.DoubleType()), T.StructField("hits", T.ArrayType(T.StringType()))])
 
     @F.arrow_udf(kind)
+    @frugal
     def score(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         lexicon = Lexicon(*shared.value)
         for batch in texts:
