@@ -99,8 +99,8 @@ def _index(idf: dict[str, float], rare_words: int) -> Column:
         first = {w: words.index(w) for w in words if w in idf}
         rare = sorted(first.items(), key=lambda x: (-idf[x[0]], x))[:rare_words]
         at = next(i for i in range(len(words)) if words[i : i + len(must)] == must)
-        entries.append({"label": label, "notice": words, "phrase": must, "at": at, "posted": sorted(first), "rare": [{"word": w, "offset": o} for w, o in rare]})
-    kind = "array<struct<label:string,notice:array<string>,phrase:array<string>,at:int,posted:array<string>,rare:array<struct<word:string,offset:int>>>>"
+        entries.append({"label": label, "notice": words, "phrase": must, "at": at, "rare": [{"word": w, "offset": o} for w, o in rare]})
+    kind = "array<struct<label:string,notice:array<string>,phrase:array<string>,at:int,rare:array<struct<word:string,offset:int>>>>"
     return F.from_json(F.lit(json.dumps(entries)), kind)
 
 
@@ -124,16 +124,16 @@ def _matches(idf: dict[str, float], rare_words: int) -> Column:
         found = F.filter(aligned(t), lambda start: _stands(t["phrase"], start + t["at"]))
         return F.transform(found, lambda start: place(t, start))
 
-    possible = F.filter(_index(idf, rare_words), lambda t: F.arrays_overlap("rarest", t["posted"]))
+    possible = F.filter(_index(idf, rare_words), lambda t: F.array_contains("found", t["rare"][0]["word"]))
     return F.flatten(F.transform(possible, of))
 
 
-def scan_licenses(docs: DataFrame, looked_up: int = 6, rare_words: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def scan_licenses(docs: DataFrame, rare_words: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: doc_id, n_words, base_places, base_labels, labels, matches, score.
 
-    The `looked_up` licence words of highest IDF of a file choose the templates whose postings
-    have one of them.  Of such a template, the postings of its `rare_words` highest-IDF words
-    are intersected by relative position, and at each start that is left its mandatory phrase
+    A template is tried if its licence word of highest IDF is among all licence words of a
+    file.  Of such a template, the postings of its `rare_words` highest-IDF words are
+    intersected by relative position, and at each start that is left its mandatory phrase
     must stand word by word.  `matches` are (label, start, share): the share of the notice's
     words that stand in place; `score` is the highest share, 1 with a base phrase, else 0.
 
@@ -143,7 +143,6 @@ def scan_licenses(docs: DataFrame, looked_up: int = 6, rare_words: int = 3, id_c
     """
     rows, _ = materialise(licence_words(docs, id_col, text_col), "licence-words")
     idf = inverse_frequencies(rows)
-    ranked = _words(sorted(idf, key=lambda w: (-idf[w], w)))
     words = F.when(F.col("text").isNotNull(), F.regexp_extract_all(_lower(F.col("text")), F.lit(ALNUM_WORD), F.lit(0))).otherwise(F.array().cast("array<string>"))
     vocabulary = _words(VOCABULARY)
     seen = rows.withColumn("words", words)
@@ -155,7 +154,6 @@ def scan_licenses(docs: DataFrame, looked_up: int = 6, rare_words: int = 3, id_c
             F.filter(F.transform("words", lambda w, i: F.struct(w.alias("word"), i.alias("pos"))), lambda h: F.array_contains(vocabulary, h["word"])),
         ).otherwise(F.array().cast("array<struct<word:string,pos:int>>")),
     )
-    seen = seen.withColumn("rarest", F.slice(F.array_intersect(ranked, F.col("found")), 1, looked_up))
     base, found = _base_places(), _matches(idf, rare_words)
     none_base, none_found = F.array().cast("array<struct<label:string,pos:int>>"), F.array().cast("array<struct<label:string,start:int,share:double>>")
     some = F.size("words") > 0

@@ -42,6 +42,16 @@ def test_methods_labels(spark):
         assert set(filter(None, r.base_labels.split(","))) <= set(r.labels.split(",")) and 0 <= r.score <= 1
 
 
+def test_all_notices_of_a_file(spark):
+    pairs = [(a, b) for a in L.TEMPLATES for b in L.TEMPLATES if a != b] + [tuple(L.TEMPLATES)]
+    words = " ".join(L.VOCABULARY)
+    texts = ["\n\n".join(notice for _, notice, _ in p) for p in pairs]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate([*texts, *(f"{words}\n\n{t}" for t in texts)])], "doc_id long, text string")
+    got = {r.doc_id: set(r.labels.split(",")) for r in L.license_report(docs).collect()}
+    for i, p in enumerate([*pairs, *pairs]):
+        assert {label for label, *_ in p} <= got[i], p
+
+
 def test_edges(spark):
     docs = edge_docs(spark)
     assert rows_of(L.license_report(docs)) == sorted(((r.doc_id, *base(r.text)) for r in docs.collect()), key=str)
