@@ -8,7 +8,7 @@ from collections import Counter
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -16,10 +16,10 @@ from lexigrove.llm.common import frugal, small_batches
 
 #: Labelled rows that the lexicon is learned from, at most.
 SAMPLE = 20_000
-#: Lexicon entries, at most.
-ENTRIES = 2_000
-#: Share of labelled toxic documents that a lexicon entry must stand in.
-LEAST_SHARE = 0.02
+#: Labelled toxic documents that a lexicon entry must stand in.
+LEAST_COUNT = 3
+#: Least log-likelihood ratio (G2) of an entry's counts in both classes; chance reaches it once in ten million terms.
+LEAST_RATIO = 28.4
 #: Share of an entry's labelled documents, both classes weighted alike, that must be toxic.
 LEAST_PRECISION = 0.9
 #: Terms whose counts a task holds before it passes them on; some 20 MB.
@@ -199,12 +199,20 @@ def training_rows(docs: DataFrame, labels: DataFrame, limit: int = SAMPLE) -> Da
     return docs.join(F.broadcast(picked), docs["doc_id"] == F.col("label_id")).select(docs["text"], "toxic").filter("text IS NOT NULL")
 
 
+def ratio(bad: Column, good: Column, n_bad: int, n_good: int) -> Column:
+    """The log-likelihood ratio of a term's document counts against equal shares of both classes."""
+    n, having = n_bad + n_good, bad + good
+    cells = [(bad, having * n_bad), (good, having * n_good), (n_bad - bad, (n - having) * n_bad), (n_good - good, (n - having) * n_good)]
+    return 2 * sum((F.when(seen > 0, seen * F.log(seen * n / met)).otherwise(0.0) for seen, met in cells), F.lit(0.0))
+
+
 def learn_lexicon(rows: DataFrame) -> Lexicon:
     """Learn words and stems that stand in toxic documents alone, as good as.
 
-    Document counts of words and of their first letters are taken on the executors; what
-    reaches the driver is the entries that pass, `ENTRIES` at most, and the ordinary words
-    that are an edit away from one.
+    A term needs `LEAST_COUNT` toxic documents, the precision and a significant difference of
+    both classes; none of these grows with the sample.  Document counts of words and of their
+    first letters are taken on the executors; what reaches the driver is the entries that pass
+    and the ordinary words that are an edit away from one, which the sample bounds.  Without clean documents nothing is learned.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -235,18 +243,22 @@ def learn_lexicon(rows: DataFrame) -> Lexicon:
         counts.unpersist()
         return Lexicon({}, {})
     share, rest = F.col("bad") / n_bad, F.col("good") / max(n_good, 1)
-    passed = counts.filter(F.length(F.rtrim("term", F.lit("*"))) >= 4).filter((F.col("bad") >= max(3, LEAST_SHARE * n_bad)) & (share >= LEAST_PRECISION * (share + rest)))
-    best = passed.orderBy(F.desc("bad"), "term").limit(ENTRIES).collect()
+    able = counts.filter("term <> ''").filter((F.col("bad") >= LEAST_COUNT) & (share >= LEAST_PRECISION * (share + rest)))
+    best = able.filter(ratio(F.col("bad"), F.col("good"), n_bad, n_good) >= LEAST_RATIO).collect()
     entries = {r.term: r.bad for r in best}
     # log-likelihood ratios; 1 stands for a hundred times likelier in toxic documents
     weight = {r.term: min(1.5, math.log((r.bad + 0.5) / (n_bad + 1) * (n_good + 1) / (r.good + 0.5)) / math.log(100)) for r in best}
     exact = {t: n for t, n in entries.items() if not t.endswith("*")}
+    most: Counter = Counter()
+    for w, n in exact.items():
+        for k in STEM_LENGTHS:
+            most[w[:k]] = max(most[w[:k]], n)
     stems: dict[str, float] = {}
     for term in sorted((t[:-1] for t in entries if t.endswith("*")), key=lambda t: (len(t), t)):
-        alone = any(w.startswith(term) and n >= 0.9 * entries[term + "*"] for w, n in exact.items())
-        if not alone and not any(term.startswith(s) for s in stems):
+        alone = most[term] >= 0.9 * entries[term + "*"]
+        if not alone and not any(term[:k] in stems for k in STEM_LENGTHS):
             stems[term] = weight[term + "*"]
-    words = {w: weight[w] for w in exact if not any(w.startswith(s) for s in stems)}
+    words = {w: weight[w] for w in exact if not any(w[:k] in stems for k in STEM_LENGTHS)}
     lexicon = Lexicon(words, stems)
 
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -255,7 +267,7 @@ def learn_lexicon(rows: DataFrame) -> Lexicon:
             yield pa.RecordBatch.from_arrays([pa.array([t for t in terms.to_pylist() if (x := lexicon.search(t)) and x[2]], pa.string())], names=["term"])
 
     clean = counts.filter("good > 0 AND term <> '' AND NOT endswith(term, '*')").select("term")
-    ordinary = [r.term for r in clean.mapInArrow(near, "term string").limit(100 * ENTRIES).collect()]
+    ordinary = [r.term for r in clean.mapInArrow(near, "term string").collect()]
     counts.unpersist()
     return Lexicon(words, stems, ordinary)
 

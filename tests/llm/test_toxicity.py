@@ -64,3 +64,13 @@ def test_learning_ignores_held_out_labels(spark):
     flipped = labels.select("doc_id", ((1 - labels.toxic) * (X.split_of(labels.doc_id) == 2).cast("int") + labels.toxic * (X.split_of(labels.doc_id) != 2).cast("int")).alias("toxic"))
     a, b = (sorted((r.doc_id, r.score) for r in X.toxicity_report(docs, x).collect()) for x in (labels, flipped))
     assert a == b and {i % 2 for i, s in a if s >= 0.3} == {1}
+
+
+def test_learning_needs_no_share_of_all_toxic_rows(spark):
+    slurs = [f"q{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + i // 676)}rk" for i in range(2500)]
+    toxic = [f"row {i} plain " + " ".join(slurs[i * 50 % 2500 :][:50]) for i in range(600)]
+    toxic = [t + " zub raregrub" * (i < 10) + " luckyword" * (i < 3) for i, t in enumerate(toxic)]
+    rows = [(t, 1) for t in toxic] + [(f"row {i} plain and nice", 0) for i in range(600, 4600)]
+    lexicon = X.learn_lexicon(spark.createDataFrame(rows, "text string, toxic int"))
+    assert [w for w in [*slurs, "zub", "raregrub"] if not lexicon.search(w)] == []
+    assert [w for w in ("row", "plain", "luckyword") if lexicon.search(w)] == []
