@@ -6,6 +6,8 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterable, Iterator
+from functools import reduce
+from operator import or_
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -55,13 +57,22 @@ def allowed(length: int) -> int:
     return 0 if length < 5 else 1 if length < 9 else 2
 
 
+def without(word: str, k: int) -> set[str]:
+    """A word without up to k letters."""
+    found = every = {word}
+    for _ in range(k):
+        found = {x[:i] + x[i + 1 :] for x in found for i in range(len(x))}
+        every = every | found
+    return every
+
+
 class Lexicon:
     """Weighted words and stems in one trie.
 
-    A word is met within `allowed` edits, a stem by any word that opens with it.  `search`
-    walks the trie and the Levenshtein automaton of the looked-up word together: the
-    automaton's state is the row of edit distances, and a branch is left as soon as no entry
-    beneath it can be near enough.
+    A word is met within `allowed` edits, a stem by any word that opens with it; both also by
+    digits in place of letters, but for whole numbers.  `search` walks the trie and the
+    Levenshtein automaton of the looked-up word together: the automaton's state is the row of
+    edit distances, and a branch is left as soon as no entry beneath it can be near enough.
     """
 
     def __init__(self, words: dict[str, float], stems: dict[str, float], ordinary: Iterable[str] = ()):
@@ -74,20 +85,19 @@ class Lexicon:
                     node = node.setdefault(c, {})
                 node[kind] = entry
         self._bound(self.trie)
-        # of a word with k edits, one of k + 1 pieces is left as it was
-        self._heads: set[str] = set()
-        self._tails: set[str] = set()
-        self._middles: set[str] = set()
-        self._sizes: set[int] = set()
+        # of a word with k edits, one of k + 1 pieces is left as it was: by length of the looked-up word and place
+        self._pieces: dict[int, dict[tuple[int, int], set[str]]] = {}
         for w in words:
             if k := allowed(len(w)):
                 cut = len(w) // (k + 1)
-                self._heads.add(w[:cut])
-                self._tails.add(w[-cut:])
-                if k == 2:
-                    self._middles.add(w[cut:-cut])
-                self._sizes |= {cut, *range(len(w) - k, len(w) + k + 1)}
-        self._cuts = sorted({len(x) for x in self._heads | self._tails})
+                for n in range(len(w) - k, len(w) + k + 1):
+                    places = [(0, w[:cut]), (n - cut, w[-cut:])]
+                    if k == 2:  # with an edit on either side
+                        places += [(cut + d, w[cut:-cut]) for d in (-1, 0, 1)]
+                    for at, piece in places:
+                        self._pieces.setdefault(n, {}).setdefault((at, at + len(piece)), set()).add(piece)
+        # two words within k edits are alike without k letters of each
+        self._shorter = {hash(x) for w in words if (k := allowed(len(w))) for x in without(w, k)}
         self._known: dict[str, tuple[str, float, bool] | None] = {}
         self._plain: set[bytes] = set()
 
@@ -98,12 +108,15 @@ class Lexicon:
         return node["most"]
 
     def _possible(self, word: str) -> bool:
-        if len(word) not in self._sizes:
+        for (begin, end), pieces in self._pieces.get(len(word), {}).items():
+            if word[begin:end] in pieces:
+                break
+        else:
             return False
-        for n in self._cuts:
-            if word[:n] in self._heads or word[-n:] in self._tails:
-                return True
-        return any([m in word for m in self._middles])
+        return not self._shorter.isdisjoint(map(hash, without(word, 2 if len(word) > 6 else 1)))
+
+    def __reduce__(self):
+        return Lexicon, (self.words, self.stems, self.ordinary)
 
     def search(self, word: str) -> tuple[str, float, bool] | None:
         """(entry, weight, misspelled) of the entry that a word meets, or None."""
@@ -116,18 +129,30 @@ class Lexicon:
     def _search(self, word: str) -> tuple[str, float, bool] | None:
         if word in self.words:
             return word, self.words[word], False
+        if stem := self._stem(word):
+            return stem, self.stems[stem], False
+        plain = word if word.isalpha() else word.translate(_LEET)
+        if word in self.ordinary:
+            return None
+        if plain != word and not word.isdigit():
+            if plain in self.words:
+                return plain, self.words[plain], True
+            if stem := self._stem(plain):
+                return stem, self.stems[stem], True
+        if not self._possible(plain):
+            return None
+        found = self._near(plain)
+        return (found, self.words[found], True) if found else None
+
+    def _stem(self, word: str) -> str | None:
         node = self.trie
         for c in word:
             node = node.get(c)
             if node is None:
-                break
+                return None
             if "stem" in node:
-                return node["stem"], self.stems[node["stem"]], False
-        plain = word if word.isalpha() else word.translate(_LEET)
-        if word in self.ordinary or not self._possible(plain):
-            return None
-        found = self._near(plain)
-        return (found, self.words[found], True) if found else None
+                return node["stem"]
+        return None
 
     def _near(self, word: str) -> str | None:
         best: tuple[int, str] | None = None
@@ -258,7 +283,13 @@ def learn_lexicon(rows: DataFrame) -> Lexicon:
         alone = most[term] >= 0.9 * entries[term + "*"]
         if not alone and not any(term[:k] in stems for k in STEM_LENGTHS):
             stems[term] = weight[term + "*"]
-    words = {w: weight[w] for w in exact if not any(w[:k] in stems for k in STEM_LENGTHS)}
+    words = {w: weight[w] for w in exact}
+    if stems:
+        # words under a stem are met by it; they stand here for their misspellings, rarer ones with the stem's weight
+        under = able.filter(~F.endswith("term", F.lit("*"))).select("term", *(F.substring("term", 1, k).alias(f"s{k}") for k in STEM_LENGTHS))
+        opening = [F.col(f"s{k}").isin([s for s in stems if len(s) == k]) for k in STEM_LENGTHS]
+        for r in under.filter(reduce(or_, opening)).collect():
+            words.setdefault(r.term, next(stems[s] for k in STEM_LENGTHS if (s := r.term[:k]) in stems))
     lexicon = Lexicon(words, stems)
 
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

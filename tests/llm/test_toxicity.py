@@ -1,3 +1,4 @@
+import random
 import zlib
 
 import pytest
@@ -74,3 +75,29 @@ def test_learning_needs_no_share_of_all_toxic_rows(spark):
     lexicon = X.learn_lexicon(spark.createDataFrame(rows, "text string, toxic int"))
     assert [w for w in [*slurs, "zub", "raregrub"] if not lexicon.search(w)] == []
     assert [w for w in ("row", "plain", "luckyword") if lexicon.search(w)] == []
+
+
+def test_near_words_of_a_large_lexicon():
+    pick = random.Random(7)
+    make = lambda n: "".join(pick.choice("abc") for _ in range(n))
+    entries = {make(pick.randrange(3, 12)): 1.0 for _ in range(60)}
+    lexicon = X.Lexicon(entries, {})
+    for word in [make(pick.randrange(1, 14)) for _ in range(3000)]:
+        assert bool(lexicon.search(word)) == any(distance(word, w) <= X.allowed(len(w)) for w in entries), word
+
+
+def test_digits_for_letters():
+    assert LEXICON.search("5cum") == ("scum", 1.0, True) and LEXICON.search("b0coes") == ("boco", 0.5, True)
+    assert X.Lexicon({"sie": 1.0}, {}).search("513") is None
+    assert X.Lexicon({"scum": 1.0}, {}, ["5cum"]).search("5cum") is None
+
+
+def test_misspelled_words_under_a_stem(spark):
+    forms = ["grubby"] * 8 + ["grubbier"] * 8 + ["grubbish"] * 3 + [f"grubb{c}" for c in "aeou"]
+    rows = [(f"row {f} plain", 1) for f in forms * 2] + [(f"row {i} plain", 0) for i in range(600)]
+    lexicon = X.learn_lexicon(spark.createDataFrame(rows, "text string, toxic int"))
+    assert "grub" in lexicon.stems
+    for word in ("grubbies", "6rubby", "9rubby", "grvbby", "gruubby", "grvbbier", "grvbbish", "9rubbish"):
+        assert lexicon.search(word), word
+    assert lexicon.search("gr8bby")[2] and not lexicon.search("grubber")[2]
+    assert lexicon.search("plain") is None
