@@ -11,8 +11,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: The item that marks a labelled URL as unwanted.
-BLOCKED = "=block"
+from lexigrove.llm.toxicity import ratio
+
+#: Least log-likelihood ratio (G2) of a rule's counts; chance reaches it once in ten million rules.
+LEAST_RATIO = 28.4
 #: Mined rules that are broadcast, at most; a run that mines more asks for more support.
 MAX_RULES = 50_000
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -76,25 +78,36 @@ class RuleSet:
         return max((c for t in tokens for need, c in self.by_token.get(t, ()) if need <= tokens), default=0.0)
 
 
-def mine_rules(pages: DataFrame, labels: DataFrame, min_support: float = 0.01, min_count: int = 20, min_confidence: float = 0.5, min_lift: float = 1.5) -> DataFrame:
+def mine_rules(pages: DataFrame, labels: DataFrame, min_support: float = 0.0, min_count: int = 20, min_confidence: float = 0.5, min_lift: float = 1.5) -> DataFrame:
     """(tokens, confidence, support): token combinations of unwanted URLs.
 
     A labelled page, whose `page_id` is a `doc_id` of ``labels``, is a transaction of its URL's
-    tokens, with `BLOCKED` if a label calls it toxic or of low quality.  FP-growth finds the
-    frequent combinations, at least `min_count` times; rules stay if their support, confidence and lift reach the least,
-    and no rule with fewer of their tokens has as much confidence.
+    tokens, unwanted if a label calls it toxic or of low quality.  FP-growth finds the
+    combinations that stand in at least `min_count` unwanted ones, however many there are in
+    all; rules stay if their confidence and lift over all transactions reach the least and
+    both classes differ significantly.
     """
     bad = labels.groupBy("doc_id").agg(F.max(F.coalesce((F.col("toxic") == 1) | (F.col("quality") == 0), F.lit(False))).alias("bad"))
     host, path = host_and_path(pages["url"])
     seen = pages.select(pages["page_id"], host.alias("host"), path.alias("path")).join(bad, F.col("page_id") == F.col("doc_id"))
-    items = F.concat(_tokens("host", "path"), F.when(F.col("bad"), F.array(F.lit(BLOCKED))).otherwise(F.array().cast("array<string>")))
-    baskets = seen.select(items.alias("items"))
-    n = baskets.count()
-    if n < min_count:
+    baskets = seen.select(_tokens("host", "path").alias("items"), "bad")
+    total = baskets.agg(F.count("*").alias("n"), F.count_if("bad").alias("n_bad")).first()
+    n, n_bad = total.n, total.n_bad
+    least = max(min_support * n, min_count)
+    if n_bad < least:
         return pages.sparkSession.createDataFrame([], "tokens array<string>, confidence double, support double")
-    model = FPGrowth(itemsCol="items", minSupport=max(min_support, min_count / n), minConfidence=min_confidence).fit(baskets)
-    rules = model.associationRules.filter(F.col("consequent")[0] == BLOCKED).filter(F.col("lift") >= min_lift)
-    return rules.select(F.array_sort("antecedent").alias("tokens"), "confidence", "support")
+    # half a count less, as the share is rounded up to a count again
+    found = FPGrowth(itemsCol="items", minSupport=(least - 0.5) / n_bad, minConfidence=1.0).fit(baskets.filter("bad").select("items")).freqItemsets
+    found = found.filter(F.col("freq") >= least).select(F.array_sort("items").alias("tokens"), F.col("freq").alias("joint"))
+    # counts over all transactions, met by the rarest token of each combination
+    each = baskets.select("items", F.explode("items").alias("token"))
+    uses = each.groupBy("token").count()
+    rarest = found.select("tokens", "joint", F.explode("tokens").alias("token")).join(uses, "token").groupBy("tokens", "joint").agg(F.min_by("token", F.struct("count", "token")).alias("token"))
+    met = each.join(rarest, "token").filter(F.size(F.array_except("tokens", "items")) == 0)
+    counted = met.groupBy("tokens", "joint").agg(F.count("*").alias("single")).withColumn("confidence", F.col("joint") / F.col("single"))
+    sure = ratio(F.col("joint"), F.col("single") - F.col("joint"), n_bad, n - n_bad) >= LEAST_RATIO
+    rules = counted.filter(sure & (F.col("confidence") >= min_confidence) & (F.col("confidence") * n / n_bad >= min_lift))
+    return rules.select("tokens", "confidence", (F.col("joint") / n).alias("support"))
 
 
 def minimal(rules: Sequence[tuple[Sequence[str], float]]) -> list[tuple[tuple[str, ...], float]]:
@@ -120,7 +133,7 @@ def filter_urls(pages: DataFrame, labels: DataFrame, fixed: Sequence[tuple[str,
     """
     found = mine_rules(pages, labels, **mining).limit(MAX_RULES + 1).collect()
     if len(found) > MAX_RULES:
-        raise ValueError(f"more than {MAX_RULES} rules; raise min_support or min_confidence")
+        raise ValueError(f"more than {MAX_RULES} rules; raise min_count or min_confidence")
     shared = pages.sparkSession.sparkContext.broadcast((list(fixed), minimal([(r.tokens, r.confidence) for r in found])))
     kind = T.StructType([T.StructField("rule", T.StringType()), T.StructField("verdict", T.StringType()), T.StructField("confidence", T.DoubleType())])
     built: list[RuleSet] = []

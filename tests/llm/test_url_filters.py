@@ -73,3 +73,11 @@ def test_inverted_index_equals_all_rules():
 
 def test_minimal_rules():
     assert U.minimal([(("a",), 0.8), (("a", "b"), 0.7), (("b", "c"), 0.9), (("a", "c"), 0.9)]) == [(("a",), 0.8), (("a", "c"), 0.9), (("b", "c"), 0.9)]
+
+
+def test_small_host_of_many_pages(spark):
+    urls = [(i, f"http://{'spam' if i % 120 == 0 else 'news'}.org/{i}") for i in range(3000)]
+    labels = [(i, 1, int(i % 120 == 0 or i % 10 == 1)) for i in range(3000)]
+    pages = spark.createDataFrame(urls, "page_id long, url string")
+    rules = U.minimal([(r.tokens, r.confidence) for r in U.mine_rules(pages, spark.createDataFrame(labels, "doc_id long, quality int, toxic int")).collect()])
+    assert rules == [(("h:spam",), 1.0), (("h:spam.org",), 1.0)]
