@@ -71,6 +71,14 @@ def remove(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def unused(df: DataFrame, label: str) -> str:
+    """A column name that ``df`` doesn't have, in any case of letters."""
+    held, name = {c.lower() for c in df.columns}, f"__{label}"
+    while name in held:
+        name += "_"
+    return name
+
+
 def frugal(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
     """Wraps a function over batches: when its task ends, freed memory goes back to the system.
 

@@ -9,12 +9,14 @@ from collections.abc import Iterable, Iterator
 from functools import reduce
 from operator import or_
 
+import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lexigrove.llm.common import frugal, small_batches
+from lexigrove.llm.common import frugal, materialise, remove, small_batches, unused
 
 #: Labelled rows that the lexicon is learned from, at most.
 SAMPLE = 20_000
@@ -26,6 +28,8 @@ LEAST_RATIO = 28.4
 LEAST_PRECISION = 0.9
 #: Terms whose counts a task holds before it passes them on; some 20 MB.
 COUNTED = 100_000
+#: Words up to which a text is a message that several people may write; longer ones that recur are copies.
+MESSAGE = 20
 STEM_LENGTHS = (4, 5, 6, 7)
 THRESHOLD = 0.3
 
@@ -36,20 +40,72 @@ REPORTS = frozenset("called insult insults quote quoted said says slur term word
 ADDRESSES = frozenset("are du eres es tu u vous you your".split())
 WINDOW_WORDS, WINDOW_CHARS = 4, 60
 
-WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+#: Words: everything but ASCII marks and those of Latin-1, general and CJK punctuation.
+WORD = re.compile("[^\x00-\x2F\x3A-\x60\x7B-\xBF\u2000-\u206F\u3000-\u303F]+")
 _FOLD = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 #: The same on UTF-8 bytes, with a space for each byte that stands in no word.
 _BYTES = bytes(b if b >= 0x80 or 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A else b + 32 if 0x41 <= b <= 0x5A else 0x20 for b in range(256))
 #: Digits that stand for letters.
 _LEET = str.maketrans("013457", "oieast")
+_DIGIT = re.compile("[0-9]")
 _QUOTES = {'"': '"', "“": "”", "„": "“", "«": "»", "‘": "’"}
-#: Words without a hit that a worker remembers; some 30 MB.
+#: Texts that are scored together.
+TOGETHER = 256
+#: Words that a worker remembers; some 30 MB.
 _REMEMBERED = 300_000
+#: Bits of the mark table of shortened entries, 2 MB.
+_MARKS = 24
+_BASE, _GOLDEN = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 
 
-def distinct_words(text: str) -> set[bytes]:
-    """The lower-cased words of a text, in UTF-8."""
-    return set(text.encode("utf-8", "surrogatepass").translate(_BYTES).split())
+def byte_words(text: str) -> list[bytes]:
+    """The lower-cased runs of a text between ASCII marks, in UTF-8; one may hold several words."""
+    return text.encode("utf-8", "surrogatepass").translate(_BYTES).split()
+
+
+def decoded(runs: Iterable[bytes]) -> list[str]:
+    """The words of such runs."""
+    out = []
+    for run in runs:
+        word = run.decode("utf-8", "surrogatepass")
+        out += [word] if run.isascii() or word.isalnum() else WORD.findall(word)
+    return out
+
+
+def distinct_words(text: str) -> set[str]:
+    """The lower-cased words of a text."""
+    return set(decoded(set(byte_words(text))))
+
+
+def _plain(word: str) -> str:
+    """A word with letters in place of digits."""
+    return word.translate(_LEET) if _DIGIT.search(word) else word
+
+
+def _place(sums: np.ndarray) -> np.ndarray:
+    return ((sums * _GOLDEN) >> np.uint64(64 - _MARKS)).astype(np.int64)
+
+
+def shortened(words: list[str], k: int) -> np.ndarray:
+    """Mark places of words of one length without up to ``k`` letters (2 at most), one column for each way.
+
+    A word's polynomial sum less some letters is put together from the sums of its openings.
+    """
+    n = len(words[0])
+    codes = np.array(words).view(np.uint32).reshape(len(words), n).astype(np.uint64)
+    codes = (codes + np.uint64(1)) * _GOLDEN
+    power = np.ones(n + 1, np.uint64)
+    power[1:] = np.multiply.accumulate(np.full(n, _BASE, np.uint64))
+    opening = np.zeros((n + 1, len(words)), np.uint64)  # sums of the first letters
+    for i in range(n):
+        opening[i + 1] = opening[i] * _BASE + codes[:, i]
+    between = lambda a, b: opening[b] - opening[a] * power[b - a]
+    sums = [opening[n]]
+    for i in range(n if k else 0):
+        sums.append(opening[i] * power[n - 1 - i] + between(i + 1, n))
+        for j in range(i + 1, n if k > 1 else 0):
+            sums.append(opening[i] * power[n - 2 - i] + between(i + 1, j) * power[n - 1 - j] + between(j + 1, n))
+    return np.stack([_place(x) for x in sums], axis=1)
 
 
 def allowed(length: int) -> int:
@@ -57,49 +113,42 @@ def allowed(length: int) -> int:
     return 0 if length < 5 else 1 if length < 9 else 2
 
 
-def without(word: str, k: int) -> set[str]:
-    """A word without up to k letters."""
-    found = every = {word}
-    for _ in range(k):
-        found = {x[:i] + x[i + 1 :] for x in found for i in range(len(x))}
-        every = every | found
-    return every
-
-
 class Lexicon:
-    """Weighted words and stems in one trie.
+    """Weighted words, in a trie, and stems.
 
     A word is met within `allowed` edits, a stem by any word that opens with it; both also by
     digits in place of letters, but for whole numbers.  `search` walks the trie and the
     Levenshtein automaton of the looked-up word together: the automaton's state is the row of
     edit distances, and a branch is left as soon as no entry beneath it can be near enough.
+    Words of ``exactly`` and of up to four letters are met as they are only; words of
+    ``ordinary`` are no misspellings.
     """
 
-    def __init__(self, words: dict[str, float], stems: dict[str, float], ordinary: Iterable[str] = ()):
-        self.words, self.stems, self.ordinary = words, stems, frozenset(ordinary)
+    def __init__(self, words: dict[str, float], stems: dict[str, float], ordinary: Iterable[str] = (), exactly: Iterable[str] = ()):
+        self.words, self.stems, self.ordinary, self.exactly = words, stems, frozenset(ordinary), frozenset(exactly)
+        fuzzy = [w for w in words if allowed(len(w)) and w not in self.exactly]
         self.trie: dict = {}
-        for kind, entries in (("word", words), ("stem", stems)):
-            for entry in entries:
-                node = self.trie
-                for c in entry:
-                    node = node.setdefault(c, {})
-                node[kind] = entry
+        for entry in fuzzy:
+            node = self.trie
+            for c in entry:
+                node = node.setdefault(c, {})
+            node["word"] = entry
         self._bound(self.trie)
-        # of a word with k edits, one of k + 1 pieces is left as it was: by length of the looked-up word and place
-        self._pieces: dict[int, dict[tuple[int, int], set[str]]] = {}
-        for w in words:
-            if k := allowed(len(w)):
-                cut = len(w) // (k + 1)
-                for n in range(len(w) - k, len(w) + k + 1):
-                    places = [(0, w[:cut]), (n - cut, w[-cut:])]
-                    if k == 2:  # with an edit on either side
-                        places += [(cut + d, w[cut:-cut]) for d in (-1, 0, 1)]
-                    for at, piece in places:
-                        self._pieces.setdefault(n, {}).setdefault((at, at + len(piece)), set()).add(piece)
         # two words within k edits are alike without k letters of each
-        self._shorter = {hash(x) for w in words if (k := allowed(len(w))) for x in without(w, k)}
+        self._marks = {k: np.zeros(1 << _MARKS >> 3, np.uint8) for k in (1, 2)}
+        self._longest = {1: 0, 2: 0}
+        by_length: dict[int, list[str]] = {}
+        for w in fuzzy:
+            by_length.setdefault(len(w), []).append(w)
+        for n, alike in by_length.items():
+            k = allowed(n)
+            at = shortened(alike, k).ravel()
+            np.bitwise_or.at(self._marks[k], at >> 3, np.uint8(1) << (at & 7).astype(np.uint8))
+            self._longest[k] = max(self._longest[k], n)
+        self._stem_lengths = sorted({len(x) for x in stems})
         self._known: dict[str, tuple[str, float, bool] | None] = {}
         self._plain: set[bytes] = set()
+        self._met: set[bytes] = set()
 
     def _bound(self, node: dict) -> int:
         """Notes at each node the most edits that an entry beneath it allows."""
@@ -107,16 +156,43 @@ class Lexicon:
         node["most"] = max([own, *(self._bound(below) for c, below in node.items() if len(c) == 1)])
         return node["most"]
 
-    def _possible(self, word: str) -> bool:
-        for (begin, end), pieces in self._pieces.get(len(word), {}).items():
-            if word[begin:end] in pieces:
-                break
-        else:
-            return False
-        return not self._shorter.isdisjoint(map(hash, without(word, 2 if len(word) > 6 else 1)))
+    def _possible(self, words: list[str]) -> list[str]:
+        """Those of some words that may be within an entry's edits."""
+        by_length: dict[int, list[str]] = {}
+        for w in words:
+            by_length.setdefault(len(w), []).append(w)
+        found = []
+        for n, alike in by_length.items():
+            near = np.zeros(len(alike), bool)
+            for k, least in ((1, 4), (2, 7)):
+                if least <= n <= self._longest[k] + k:
+                    for i in range(0, len(alike), 8192):
+                        at = shortened(alike[i : i + 8192], k)
+                        near[i : i + 8192] |= ((self._marks[k][at >> 3] >> (at & 7).astype(np.uint8)) & 1).any(axis=1)
+            found += [alike[i] for i in np.flatnonzero(near)]
+        return found
+
+    def meeting(self, words: Iterable[str]) -> set[str]:
+        """Those of many words that meet an entry."""
+        plain = {w: _plain(w) for w in words if not w.isdigit()}
+        possible = set(self._possible(list({*plain.values()})))
+        known = lambda w: w in self.words or self._stem(w)
+        return {w for w, p in plain.items() if (p in possible or known(w) or (p != w and known(p))) and self.search(w)}
+
+    def _note(self, runs: set[bytes]) -> None:
+        """Looks up many runs at once and remembers those with and without a hit."""
+        new = list(runs - self._plain - self._met)
+        if not new:
+            return
+        held = [decoded([run]) for run in new]
+        met = self.meeting({w for words in held for w in words})
+        if len(self._plain) + len(self._met) > _REMEMBERED:
+            self._plain, self._met = runs & self._plain, runs & self._met
+        for run, words in zip(new, held, strict=True):
+            (self._plain if met.isdisjoint(words) else self._met).add(run)
 
     def __reduce__(self):
-        return Lexicon, (self.words, self.stems, self.ordinary)
+        return Lexicon, (self.words, self.stems, self.ordinary, self.exactly)
 
     def search(self, word: str) -> tuple[str, float, bool] | None:
         """(entry, weight, misspelled) of the entry that a word meets, or None."""
@@ -131,28 +207,19 @@ class Lexicon:
             return word, self.words[word], False
         if stem := self._stem(word):
             return stem, self.stems[stem], False
-        plain = word if word.isalpha() else word.translate(_LEET)
-        if word in self.ordinary:
+        if word in self.ordinary or word.isdigit():
             return None
-        if plain != word and not word.isdigit():
+        plain = _plain(word)
+        if plain != word:
             if plain in self.words:
                 return plain, self.words[plain], True
             if stem := self._stem(plain):
                 return stem, self.stems[stem], True
-        if not self._possible(plain):
-            return None
         found = self._near(plain)
         return (found, self.words[found], True) if found else None
 
     def _stem(self, word: str) -> str | None:
-        node = self.trie
-        for c in word:
-            node = node.get(c)
-            if node is None:
-                return None
-            if "stem" in node:
-                return node["stem"]
-        return None
+        return next((word[:k] for k in self._stem_lengths if word[:k] in self.stems), None)
 
     def _near(self, word: str) -> str | None:
         best: tuple[int, str] | None = None
@@ -173,19 +240,22 @@ class Lexicon:
 
     def hits(self, text: str) -> list[tuple[str, float]]:
         """(entry, weight in its context) of each word of a text that meets the lexicon."""
-        new = distinct_words(text) - self._plain
-        met = {w for w in new if self._search(w.decode("utf-8", "surrogatepass"))}
-        if len(self._plain) > _REMEMBERED:
-            self._plain.clear()
-        self._plain |= new - met
-        if not met:
-            return []
+        return self.hits_of([text])[0]
+
+    def hits_of(self, texts: list[str]) -> list[list[tuple[str, float]]]:
+        """The hits of each of some texts."""
+        runs = [set(byte_words(text)) for text in texts]
+        self._note(set().union(*runs))
+        return [[] if self._met.isdisjoint(own) else self._weighed(text) for text, own in zip(texts, runs, strict=True)]
+
+    def _weighed(self, text: str) -> list[tuple[str, float]]:
         spans = [(m.start(), m.end()) for m in WORD.finditer(text.translate(_FOLD))]
         words = [text[a:b].translate(_FOLD) for a, b in spans]
         out = []
+        met = self.meeting(set(words))
         for i, w in enumerate(words):
-            if found := self.search(w):
-                entry, weight, misspelled = found
+            if w in met:
+                entry, weight, misspelled = self.search(w)
                 near = words[max(0, i - WINDOW_WORDS) : i] + words[i + 1 : i + 1 + WINDOW_WORDS]
                 factor = MISSPELLED if misspelled else 1.0
                 if quoted(text, *spans[i]):
@@ -216,12 +286,13 @@ def split_of(doc_id) -> F.Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % 4
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, limit: int = SAMPLE) -> DataFrame:
-    """(text, toxic) of at most ``limit`` labelled rows that aren't held out, by a hash of their ids."""
+def training_rows(docs: DataFrame, labels: DataFrame, limit: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, str]:
+    """(text, toxic) of at most ``limit`` labelled rows that aren't held out, by a hash of their ids, and where they are written."""
     known = labels.filter("toxic IS NOT NULL AND doc_id IS NOT NULL").filter(split_of(F.col("doc_id")) != 2)
-    picked = known.select(F.col("doc_id").alias("label_id"), "toxic").distinct().orderBy(F.xxhash64("label_id"), "label_id", "toxic").limit(limit)
+    picked = known.select(F.col("doc_id").alias("__label_id"), F.col("toxic").alias("__toxic")).distinct().orderBy(F.xxhash64("__label_id"), "__label_id", "__toxic").limit(limit)
     # at most `limit` rows of two numbers
-    return docs.join(F.broadcast(picked), docs["doc_id"] == F.col("label_id")).select(docs["text"], "toxic").filter("text IS NOT NULL")
+    found = docs.select(docs[id_col].alias("__id"), docs[text_col].alias("text")).join(F.broadcast(picked), F.col("__id") == F.col("__label_id"))
+    return materialise(found.filter("text IS NOT NULL").select("text", (F.col("__toxic") == 1).alias("toxic")), "toxicity-rows")
 
 
 def ratio(bad: Column, good: Column, n_bad: int, n_good: int) -> Column:
@@ -231,76 +302,115 @@ def ratio(bad: Column, good: Column, n_bad: int, n_good: int) -> Column:
     return 2 * sum((F.when(seen > 0, seen * F.log(seen * n / met)).otherwise(0.0) for seen, met in cells), F.lit(0.0))
 
 
-def learn_lexicon(rows: DataFrame) -> Lexicon:
-    """Learn words and stems that stand in toxic documents alone, as good as.
+def _terms(word: str) -> list[str]:
+    """A word and its openings."""
+    return [word, *(word[:k] + "*" for k in STEM_LENGTHS if len(word) > k)]
 
-    A term needs `LEAST_COUNT` toxic documents, the precision and a significant difference of
-    both classes; none of these grows with the sample.  Document counts of words and of their
-    first letters are taken on the executors; what reaches the driver is the entries that pass
-    and the ordinary words that are an edit away from one, which the sample bounds.  Without clean documents nothing is learned.
-    """
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: dict[bool, Counter] = {False: Counter(), True: Counter()}
-        n = Counter()
+def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Toxic and clean documents of each term, in parts; of the term "", all documents."""
+    seen: dict[bool, Counter] = {False: Counter(), True: Counter()}
+
+    def held() -> pa.RecordBatch:
+        terms = list(dict.fromkeys([*seen[True], *seen[False]]))
+        columns = [pa.array([seen[x][t] for t in terms], pa.int64()) for x in (True, False)]
+        for c in seen.values():
+            c.clear()
+        return pa.RecordBatch.from_arrays([pa.array(terms, pa.string()), *columns], names=["term", "bad", "good"])
+
+    for batch in batches:
+        for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            seen[toxic].update({t for w in distinct_words(text) for t in _terms(w)} | {""})
+            if len(seen[True]) + len(seen[False]) > COUNTED:
+                yield held()
+    yield held()
 
-        def held() -> pa.RecordBatch:
-            terms = list({"": 0} | seen[True] | seen[False])
-            columns = [pa.array([n[x] if t == "" else seen[x][t] for t in terms], pa.int64()) for x in (True, False)]
-            for c in (*seen.values(), n):
-                c.clear()
-            return pa.RecordBatch.from_arrays([pa.array(terms, pa.string()), *columns], names=["term", "bad", "good"])
 
+def _places(rows: DataFrame, terms: set[str]) -> dict[str, int]:
+    """In how many different places of the toxic documents each of some terms stands.
+
+    Places are told by the two words beside them, but each short message is a place of its own.
+    """
+    shared = rows.sparkSession.sparkContext.broadcast(terms)
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, n = TaskContext.get().partitionId(), 0
         for batch in batches:
-            for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                words = {w.decode("utf-8", "surrogatepass") for w in distinct_words(text)}
-                n[bool(toxic)] += 1
-                seen[bool(toxic)].update(words)
-                seen[bool(toxic)].update({w[:k] + "*" for w in words for k in STEM_LENGTHS if len(w) > k})
-                if len(seen[True]) + len(seen[False]) > COUNTED:
-                    yield held()
-        yield held()
-
-    counts = rows.mapInArrow(frugal(count), "term string, bad long, good long").groupBy("term").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good")).persist()
-    total = counts.filter("term = ''").collect()
-    n_bad, n_good = (total[0].bad, total[0].good) if total else (0, 0)
-    if not n_bad:
-        counts.unpersist()
+            found = set()
+            for n, text in enumerate(batch.column(0).to_pylist(), n + 1):
+                words = ["", *decoded(byte_words(text)), ""]
+                own = f"{part}.{n}" if len(words) <= MESSAGE + 2 else None
+                found |= {(t, own or f"{a} {c}") for a, b, c in zip(words, words[1:], words[2:]) for t in _terms(b) if t in shared.value}
+            yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in found], pa.string()) for i in (0, 1)], names=["term", "place"])
+
+    seen = rows.filter(F.col("toxic").cast("boolean")).select("text").mapInArrow(frugal(find), "term string, place string").distinct()
+    return {r.term: r["count"] for r in seen.groupBy("term").count().collect()}
+
+
+def learn_lexicon(rows: DataFrame) -> Lexicon:
+    """Learn words and stems that stand in toxic documents alone, as good as.
+
+    A term needs `LEAST_COUNT` toxic documents, the precision and a significant difference of
+    both classes; none of these grows with the sample.  Copies of a text say nothing of
+    misspellings and other words, so a stem must pass, and a word be met with edits, by its
+    toxic documents counted at most as often as it stands in different places.  Counts are
+    taken on the executors; what reaches the driver is the entries that pass and the ordinary
+    words that are few edits away from one, which the sample bounds.  Without clean documents
+    nothing is learned.
+    """
+    spark = rows.sparkSession
+    parts = rows.mapInArrow(frugal(_count), "term string, bad long, good long")
+    counts, path = materialise(parts.groupBy("term").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good")), "toxicity-terms")
+    total = counts.filter("term = ''").first()
+    if total is None or not total.bad or not total.good:
+        remove(spark, path)
         return Lexicon({}, {})
-    share, rest = F.col("bad") / n_bad, F.col("good") / max(n_good, 1)
+    n_bad, n_good = total.bad, total.good
+    share, rest = F.col("bad") / n_bad, F.col("good") / n_good
     able = counts.filter("term <> ''").filter((F.col("bad") >= LEAST_COUNT) & (share >= LEAST_PRECISION * (share + rest)))
-    best = able.filter(ratio(F.col("bad"), F.col("good"), n_bad, n_good) >= LEAST_RATIO).collect()
-    entries = {r.term: r.bad for r in best}
+    likely = able.filter(ratio(F.col("bad"), F.col("good"), n_bad, n_good) >= LEAST_RATIO).collect()
+    places = _places(rows, {r.term for r in likely})
+    apart = [(r.term, min(r.bad, places.get(r.term, 0)), r.good) for r in likely]
+    precise = lambda bad, good: bad / n_bad >= LEAST_PRECISION * (bad / n_bad + good / n_good)
+    wide = {t: bad for t, bad, good in apart if bad >= LEAST_COUNT and precise(bad, good) and log_ratio(bad, good, n_bad, n_good) >= LEAST_RATIO}
     # log-likelihood ratios; 1 stands for a hundred times likelier in toxic documents
-    weight = {r.term: min(1.5, math.log((r.bad + 0.5) / (n_bad + 1) * (n_good + 1) / (r.good + 0.5)) / math.log(100)) for r in best}
-    exact = {t: n for t, n in entries.items() if not t.endswith("*")}
+    weight = {r.term: min(1.5, math.log((r.bad + 0.5) / (n_bad + 1) * (n_good + 1) / (r.good + 0.5)) / math.log(100)) for r in likely}
+    exact = {r.term: r.bad for r in likely if not r.term.endswith("*")}
     most: Counter = Counter()
     for w, n in exact.items():
         for k in STEM_LENGTHS:
             most[w[:k]] = max(most[w[:k]], n)
     stems: dict[str, float] = {}
-    for term in sorted((t[:-1] for t in entries if t.endswith("*")), key=lambda t: (len(t), t)):
-        alone = most[term] >= 0.9 * entries[term + "*"]
+    for term in sorted((t[:-1] for t in wide if t.endswith("*")), key=lambda t: (len(t), t)):
+        alone = most[term] >= 0.9 * wide[term + "*"]
         if not alone and not any(term[:k] in stems for k in STEM_LENGTHS):
             stems[term] = weight[term + "*"]
     words = {w: weight[w] for w in exact}
+    exactly = {w for w in words if w not in wide and not any(w[:k] in stems for k in STEM_LENGTHS)}
     if stems:
         # words under a stem are met by it; they stand here for their misspellings, rarer ones with the stem's weight
         under = able.filter(~F.endswith("term", F.lit("*"))).select("term", *(F.substring("term", 1, k).alias(f"s{k}") for k in STEM_LENGTHS))
         opening = [F.col(f"s{k}").isin([s for s in stems if len(s) == k]) for k in STEM_LENGTHS]
         for r in under.filter(reduce(or_, opening)).collect():
             words.setdefault(r.term, next(stems[s] for k in STEM_LENGTHS if (s := r.term[:k]) in stems))
-    lexicon = Lexicon(words, stems)
+    shared = spark.sparkContext.broadcast(Lexicon(words, stems, (), exactly))
 
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            terms = batch.column(0)
-            yield pa.RecordBatch.from_arrays([pa.array([t for t in terms.to_pylist() if (x := lexicon.search(t)) and x[2]], pa.string())], names=["term"])
+            met = shared.value.meeting(batch.column(0).to_pylist())
+            yield pa.RecordBatch.from_arrays([pa.array([t for t in met if shared.value.search(t)[2]], pa.string())], names=["term"])
 
     clean = counts.filter("good > 0 AND term <> '' AND NOT endswith(term, '*')").select("term")
-    ordinary = [r.term for r in clean.mapInArrow(near, "term string").collect()]
-    counts.unpersist()
-    return Lexicon(words, stems, ordinary)
+    ordinary = sorted(r.term for r in clean.mapInArrow(frugal(near), "term string").collect())
+    remove(spark, path)
+    return Lexicon(words, stems, ordinary, exactly)
+
+
+def log_ratio(bad: int, good: int, n_bad: int, n_good: int) -> float:
+    """`ratio` of single counts."""
+    n, having = n_bad + n_good, bad + good
+    cells = [(bad, having * n_bad), (good, having * n_good), (n_bad - bad, (n - having) * n_bad), (n_good - good, (n - having) * n_good)]
+    return 2 * sum(seen * math.log(seen * n / met) for seen, met in cells if seen > 0)
 
 
 def mass(lexicon: Lexicon, text: str | None) -> float:
@@ -314,10 +424,12 @@ def learn_half(rows: DataFrame, lexicon: Lexicon) -> float:
     def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = Counter()
         for batch in batches:
-            for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                m = mass(lexicon, text)
-                counts.update((k, bool(toxic)) for k, cut in enumerate(grid) if m >= cut)
-                counts["all"] += bool(toxic)
+            for i in range(0, batch.num_rows, TOGETHER):
+                part = batch[i : i + TOGETHER]
+                for hits, toxic in zip(lexicon.hits_of(part.column(0).to_pylist()), part.column(1).to_pylist(), strict=True):
+                    m = sum(w for _, w in hits)
+                    counts.update((k, toxic) for k, cut in enumerate(grid) if m >= cut)
+                    counts["all"] += toxic
         keys = [(k, sum(v for c, v in counts.items() if c == (k, True)), sum(v for c, v in counts.items() if c == (k, False))) for k in range(len(grid))]
         yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in keys] , pa.int64()) for i in range(3)] + [pa.array([counts["all"]] * len(keys), pa.int64())], names=["k", "hit", "wrong", "bad"])
 
@@ -327,36 +439,40 @@ def learn_half(rows: DataFrame, lexicon: Lexicon) -> float:
     return cut * (1 - THRESHOLD) / THRESHOLD
 
 
-def score_toxicity(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, text_col: str = "text") -> DataFrame:
-    """``docs`` with `toxicity_score` (0 to 1) and `toxicity_hits` (entries met).
+def score_toxicity(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text", score_col: str = "toxicity_score", hits_col: str = "toxicity_hits") -> DataFrame:
+    """``docs`` with `score_col` (0 to 1) and `hits_col` (entries met).
 
     The score is m / (m + half), where m is the summed weight of all hits of the whole text
     in their contexts.  It is learned from at most `sample` labelled rows and uses the text
     alone.  Null and empty texts score 0, repeated rows alike; without labels nothing is met;
-    other columns stay as they are; an empty table gives an empty result.
+    other columns stay as they are, but a column of one of the two names is replaced; an empty
+    table gives an empty result.
     """
-    small_batches(docs.sparkSession)
-    rows = training_rows(docs, labels, sample)
+    spark = docs.sparkSession
+    small_batches(spark)
+    rows, path = training_rows(docs, labels, sample, id_col, text_col)
     lexicon = learn_lexicon(rows)
     half = learn_half(rows, lexicon)
-    shared = docs.sparkSession.sparkContext.broadcast((lexicon.words, lexicon.stems, lexicon.ordinary))
+    remove(spark, path)
+    shared = spark.sparkContext.broadcast(lexicon)
     kind = T.StructType([T.StructField("score", T.DoubleType()), T.StructField("hits", T.ArrayType(T.StringType()))])
 
     @F.arrow_udf(kind)
     @frugal
     def score(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        lexicon = Lexicon(*shared.value)
+        lexicon = shared.value
         for batch in texts:
             scores, met = [], []
-            for text in batch:
-                hits = lexicon.hits(text.as_py() or "")
-                m = sum(w for _, w in hits)
-                scores.append(m / (m + half))
-                met.append(sorted({e for e, _ in hits}))
+            for i in range(0, len(batch), TOGETHER):
+                for hits in lexicon.hits_of([x or "" for x in batch[i : i + TOGETHER].to_pylist()]):
+                    m = sum(w for _, w in hits)
+                    scores.append(m / (m + half))
+                    met.append(sorted({e for e, _ in hits}))
             yield pa.StructArray.from_arrays([pa.array(scores, pa.float64()), pa.array(met, pa.list_(pa.string()))], ["score", "hits"])
 
-    scored = docs.withColumn("__toxicity", score(docs[text_col]))
-    return scored.select("*", F.col("__toxicity.score").alias("toxicity_score"), F.col("__toxicity.hits").alias("toxicity_hits")).drop("__toxicity")
+    own = unused(docs, "toxicity")
+    scored = docs.withColumn(own, score(docs[text_col]))
+    return scored.withColumns({score_col: F.col(own)["score"], hits_col: F.col(own)["hits"]}).drop(own)
 
 
 def toxicity_report(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -371,5 +487,6 @@ def toxicity_report(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``docs`` without the documents that score `THRESHOLD` or more."""
-    return score_toxicity(docs, labels).filter(F.col("toxicity_score") < THRESHOLD).select(*docs.columns)
+    """``docs`` without the documents that score `THRESHOLD` or more; all columns stay as they are."""
+    score, hits = unused(docs, "score"), unused(docs, "hits")
+    return score_toxicity(docs, labels, score_col=score, hits_col=hits).filter(F.col(score) < THRESHOLD).select(*docs.columns)

@@ -101,3 +101,51 @@ def test_misspelled_words_under_a_stem(spark):
         assert lexicon.search(word), word
     assert lexicon.search("gr8bby")[2] and not lexicon.search("grubber")[2]
     assert lexicon.search("plain") is None
+
+
+def test_words_of_copies_are_met_as_they_are_only(spark):
+    long = " ".join(f"wor{chr(97 + i % 26)}{chr(97 + i // 26)}xy" for i in range(60))
+    rows = [(f"{long} end{i % 2}", 1) for i in range(40)] + [(f"some {chr(97 + i % 26)}{chr(97 + i // 26)} grubby place", 1) for i in range(40)]
+    rows += [(f"row {i} plain and nice", 0) for i in range(600)]
+    lexicon = X.learn_lexicon(spark.createDataFrame(rows, "text string, toxic int"))
+    assert lexicon.search("grvbby") and lexicon.search("grubby") and not lexicon.search("plain")
+    assert not [w for w in long.split() if lexicon.search(f"{w}q")] and not lexicon.stems
+
+
+def test_scores_equal_a_plain_search(spark):
+    folder = "/root/testdata/sf0.001"
+    docs, labels = (spark.read.parquet(f"{folder}/{n}.parquet") for n in ("documents", "labels"))
+    rows, _ = X.training_rows(docs.unionByName(docs.withColumn("doc_id", docs.doc_id + 10**6)), labels.unionByName(labels.withColumn("doc_id", labels.doc_id + 10**6)))
+    lexicon = X.Lexicon({"idiot": 1.0, "worthless": 0.9, "scum": 0.8, "pathetic": 0.7}, {"loweis": 0.6, "vequ": 0.5}, ["pathetics"])
+    half = X.learn_half(rows, lexicon)
+
+    def entry(word):
+        if word in lexicon.words:
+            return word, lexicon.words[word], 1.0
+        if stem := next((s for s in lexicon.stems if word.startswith(s)), None):
+            return stem, lexicon.stems[stem], 1.0
+        if word in lexicon.ordinary or word.isdigit():
+            return None
+        plain = word.translate(X._LEET) if any(c in "0123456789" for c in word) else word
+        if plain not in lexicon.words and (stem := next((s for s in lexicon.stems if plain.startswith(s)), None)):
+            return stem, lexicon.stems[stem], X.MISSPELLED
+        near = sorted((distance(plain, w), w) for w in lexicon.words if distance(plain, w) <= X.allowed(len(w)))
+        return (near[0][1], lexicon.words[near[0][1]], X.MISSPELLED) if near else None
+
+    texts = [r.text or "" for r in docs.collect()][:60] + ["1d1ot! worthles, “scum” 5cum pathetlc loweisx v3quo", "you idiot"]
+    for text, hits in zip(texts, lexicon.hits_of(texts)):
+        words = [(m.group().translate(X._FOLD), m.start(), m.end()) for m in X.WORD.finditer(text)]
+        plain = []
+        for i, (w, a, b) in enumerate(words):
+            if found := entry(w):
+                near = {x[0] for x in words[max(0, i - 4) : i] + words[i + 1 : i + 5]}
+                factor = X.QUOTED if X.quoted(text, a, b) else X.REPORTED if near & X.REPORTS else X.ADDRESSED if near & X.ADDRESSES else 1.0
+                plain.append((found[0], pytest.approx(found[1] * found[2] * factor)))
+        assert hits == plain
+    assert half > 0
+
+
+def test_clashing_columns_stay(spark):
+    docs = spark.createDataFrame([(1, "an idiot", 5, 6, 7), (2, "fine", 8, 9, 10)], "doc_id long, text string, toxicity_score int, toxicity_hits int, __score int")
+    labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, toxic int")
+    assert sorted(map(tuple, X.drop_toxic(docs, labels).collect())) == [(1, "an idiot", 5, 6, 7), (2, "fine", 8, 9, 10)]
