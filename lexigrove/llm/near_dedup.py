@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lexigrove.llm.common import frugal, materialise, remove, slices, small_batches
+from lexigrove.llm.common import frugal, materialise, remove, slices, small_batches, unused
 
 WORDS, PERCENT, BANDS, ROWS = 5, 75, 32, 4
 #: Share of equal signature bytes below which a pair is not verified: over five standard
@@ -37,9 +37,12 @@ BROADCAST_KEYS = 500_000
 DIRECT = 24
 #: Nodes on either side of a block in which a large group's outsiders are tried.
 BLOCK = 512
-#: A shingle is common if, of one node in `SAMPLED`, so many have it.  Only the order in which
+#: A shingle is common if more nodes have it than are tried directly.  Only the order in which
 #: the prefix filter takes shingles rests on this, never what it finds.
-SAMPLED, COMMON = 16, 8
+COMMON = DIRECT + 1
+#: Keys of more than a so-manieth of all rows are joined apart, without a shuffle of their rows;
+#: there are at most so many.
+HOT_KEYS = 10_000
 #: Common shingles are marked in 2^26 bits, 8 MB, whatever their number.
 _MARKS = 1 << 26
 #: Bytes of text that a task holds as numpy arrays at a time.
@@ -258,10 +261,25 @@ def _confirm(pairs: DataFrame, nodes: DataFrame, source: DataFrame, width: int,
     return links
 
 
+def _joined_facts(rows: DataFrame, facts: DataFrame, key: str, n: str, total: int) -> DataFrame:
+    """``rows`` with the facts of their ``key``, of which ``facts`` has one row and counts the rows as ``n``.
+
+    Rows of hot keys meet a broadcast of at most `HOT_KEYS` facts, so no task gets them all.
+    ``facts`` is written already, as it is read several times.
+    """
+    least = max(1, total // HOT_KEYS)
+    hot = F.broadcast(facts.filter(F.col(n) > least))
+    others = rows.join(hot.select(key), key, "left_anti").join(facts.filter(F.col(n) <= least), key)
+    return rows.join(hot, key).unionByName(others)
+
+
 def _bucketed(members: DataFrame, label: str) -> tuple[DataFrame, str]:
     """(band, node, leader, n) of the buckets with several nodes."""
-    counted = members.groupBy("band").agg(F.min("node").alias("leader"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-    return materialise(members.join(counted, "band"), label)
+    counted, path = materialise(members.groupBy("band").agg(F.min("node").alias("leader"), F.count(F.lit(1)).alias("n")).filter("n > 1"), f"{label}-counts")
+    total = counted.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    found = materialise(_joined_facts(members, counted, "band", "n", total), label)
+    remove(members.sparkSession, path)
+    return found
 
 
 def _stars(buckets: DataFrame) -> DataFrame:
@@ -269,13 +287,20 @@ def _stars(buckets: DataFrame) -> DataFrame:
     return buckets.filter("node <> leader").select(F.col("node").alias("a"), F.col("leader").alias("b")).distinct()
 
 
-def _mixed(buckets: DataFrame, found: DataFrame) -> DataFrame:
+def _mixed(buckets: DataFrame, found: DataFrame, label: str) -> tuple[DataFrame, str]:
     """(band, node, root, main, n) of the buckets of more than two nodes with several components, without
     their smallest nodes; `main` is the component of those."""
-    grouped = buckets.filter("n > 2").join(found, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    spark = buckets.sparkSession
+    grouped, path = materialise(buckets.filter("n > 2").join(found, "node", "left").withColumn("root", F.coalesce("root", "node")), f"{label}-grouped")
     main = F.max(F.when(F.col("node") == F.col("leader"), F.col("root")))
-    several = grouped.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high"), main.alias("main")).filter("low <> high")
-    return grouped.filter("node <> leader").join(several.select("band", "main"), "band").select("band", "node", "root", "main", "n")
+    facts = grouped.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high"), main.alias("main"), F.max("n").alias("n"))
+    several, several_path = materialise(facts.filter("low <> high").select("band", "main", "n"), f"{label}-several")
+    total = several.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    mixed = _joined_facts(grouped.filter("node <> leader").drop("n"), several, "band", "n", total)
+    out = materialise(mixed.select("band", "node", "root", "main", "n"), label)
+    remove(spark, path)
+    remove(spark, several_path)
+    return out
 
 
 def _across(mixed: DataFrame) -> DataFrame:
@@ -287,14 +312,12 @@ def _across(mixed: DataFrame) -> DataFrame:
 
 def _common_marks(sets: DataFrame) -> bytes:
     """A bit for each common shingle, at its number modulo the bits."""
-    sampled = sets.filter(F.pmod(F.xxhash64("node"), F.lit(SAMPLED)) == 0)
-
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for raw in batch.column(0).to_pylist():
                 yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(raw, np.int64))], names=["shingle"])
 
-    common = sampled.select("elements").mapInArrow(frugal(spread), "shingle long").groupBy("shingle").count().filter(F.col("count") >= COMMON)
+    common = sets.select("elements").mapInArrow(frugal(spread), "shingle long").groupBy("shingle").count().filter(F.col("count") >= COMMON)
     place = F.pmod("shingle", F.lit(_MARKS))
     pages = common.groupBy(F.bitmap_bucket_number(place).alias("page")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits"))
     marks = np.zeros(_MARKS // 8, np.uint8)
@@ -414,33 +437,26 @@ def components(links: DataFrame) -> DataFrame:
     return total.select(F.col("a").alias("node"), F.col("p").alias("root")).unionByName(roots)
 
 
-def near_components(docs: DataFrame, width: int = WORDS, percent: int = PERCENT, bands: int = BANDS, rows: int = ROWS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id, kept.
-
-    Documents are linked if 100 * |intersection| >= `percent` * |union| of their sets of
-    `width`-word shingles (all words, if there are fewer); A-Z is lower-cased and ASCII white
-    space parts words.  `component_id` is the smallest doc_id of the component, and the
-    document that has it is kept.
+def _components(docs: DataFrame, width: int, percent: int, bands: int, rows: int, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Per row (doc_id, text_hash, n_shingles, node), per node (node, component), and the folders that hold them.
 
-    With 32 bands of 4 rows, a pair of similarity 0.75 shares no band with probability below
-    1e-5, of 0.8 below 1e-7.  Null and empty texts have no shingles and are linked with
-    nothing.  Equal sets need no link.  A null id is no component's smallest, unless all ids
-    are null.  Rows that repeat an id are nodes by their texts; further columns are ignored;
-    an empty table gives an empty result.
+    `component` is the least (no_id, doc_id, text_hash) of the component's rows.  Rows without
+    shingles have a null node.
     """
     spark = docs.sparkSession
     small_batches(spark)
     source = docs.select(docs[id_col].cast("long").alias("doc_id"), F.xxhash64(docs[text_col]).alias("text_hash"), docs[text_col].alias("text"))
     schema = "doc_id long, text_hash long, n_shingles long, node binary, signature binary, bands array<long>"
     signed, signed_path = materialise(source.mapInArrow(frugal(_signatures(width, bands, rows)), schema), "signed")
+    row = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")
     some = signed.filter("node IS NOT NULL")
-    best = some.groupBy("node").agg(F.min(F.struct("doc_id", "text_hash")).alias("row"), F.min("doc_id").alias("least"), F.first("n_shingles").alias("n_shingles"), F.first("signature").alias("signature"), F.first("bands").alias("bands"))
-    nodes, nodes_path = materialise(best.select("node", "row.doc_id", "row.text_hash", "least", "n_shingles", "signature", "bands"), "nodes")
+    best = some.groupBy("node").agg(F.min(row).alias("row"), F.first("n_shingles").alias("n_shingles"), F.first("signature").alias("signature"), F.first("bands").alias("bands"))
+    nodes, nodes_path = materialise(best.select("node", "row", "row.doc_id", "row.text_hash", "n_shingles", "signature", "bands"), "nodes")
 
     buckets, buckets_path = _bucketed(nodes.select("node", F.explode("bands").alias("band")), "buckets")
     links = _confirm(_stars(buckets), nodes, source, width, percent, "star")
     found = components(links)
-    mixed, mixed_path = materialise(_mixed(buckets, found), "mixed")
+    mixed, mixed_path = _mixed(buckets, found, "mixed")
     pairs = _across(mixed.filter(F.col("n") <= DIRECT))
     crowd = mixed.filter(F.col("n") > DIRECT).select("node")
     leaders = buckets.filter(F.col("n") > DIRECT).join(mixed.select("band").distinct(), "band", "left_semi").select(F.col("leader").alias("node"))
@@ -448,25 +464,46 @@ def near_components(docs: DataFrame, width: int = WORDS, percent: int = PERCENT,
     crowded = not wanted.isEmpty()
     if crowded:
         sets, sets_path = _wanted_sets(wanted, source, width, "crowd-sets")
-        lists, lists_path = _bucketed(_prefixes(sets, percent), "lists")
+        prefixes, prefixes_path = materialise(_prefixes(sets, percent), "prefixes")
+        lists, lists_path = _bucketed(prefixes, "lists")
+        remove(spark, prefixes_path)
         pairs = pairs.union(_stars(lists)).distinct()
     found, links = _united(links, found, _confirm(pairs, nodes, source, width, percent, "across"))
     if crowded:
-        left, left_path = materialise(_mixed(lists, found), "left")
+        left, left_path = _mixed(lists, found, "left")
         direct = _confirm(_across(left.filter(F.col("n") <= DIRECT)), nodes, source, width, percent, "lists")
         blocks = _blockwise(left.filter(F.col("n") > DIRECT), sets, percent)
         found, links = _united(links, found, direct.unionByName(blocks))
         for path in (sets_path, lists_path, left_path):
             remove(spark, path)
 
-    rooted = nodes.select("node", "least").join(found, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    labelled, _ = materialise(rooted.join(least, "root").select("node", "component_id"), "labelled")
-    out = signed.select("doc_id", "n_shingles", "node").join(labelled, "node", "left")
-    component = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    for path in (nodes_path, buckets_path, mixed_path, wanted_path):
+    rooted, rooted_path = materialise(nodes.select("node", "row").join(found, "node", "left").withColumn("root", F.coalesce("root", "node")), "rooted")
+    least, least_path = materialise(rooted.groupBy("root").agg(F.min("row").alias("component"), F.count(F.lit(1)).alias("n")), "least")
+    labelled, labelled_path = materialise(_joined_facts(rooted.drop("row"), least, "root", "n", nodes.count()).select("node", "component"), "labelled")
+    for path in (nodes_path, buckets_path, mixed_path, wanted_path, rooted_path, least_path):
         remove(spark, path)
-    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
+    return signed.drop("signature", "bands"), labelled, [signed_path, labelled_path]
+
+
+def near_components(docs: DataFrame, width: int = WORDS, percent: int = PERCENT, bands: int = BANDS, rows: int = ROWS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per document: doc_id, n_shingles, component_id, kept.
+
+    Documents are linked if 100 * |intersection| >= `percent` * |union| of their sets of
+    `width`-word shingles (all words, if there are fewer); A-Z is lower-cased and ASCII white
+    space parts words.  `component_id` is the smallest doc_id of the component, and `kept`
+    says whether a document has it.
+
+    With 32 bands of 4 rows, a pair of similarity 0.75 shares no band with probability below
+    1e-5, of 0.8 below 1e-7.  Null and empty texts have no shingles and are linked with
+    nothing.  Equal sets need no link.  A null id is no component's smallest and isn't kept,
+    unless all ids of the component are null: then its `component_id` is null and all its rows
+    are kept.  Rows that repeat an id are nodes by their texts; further columns are ignored;
+    an empty table gives an empty result.
+    """
+    signed, labelled, _ = _components(docs, width, percent, bands, rows, id_col, text_col)
+    out = signed.select("doc_id", "n_shingles", "node").join(labelled, "node", "left")
+    component = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component.doc_id"))
+    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
 
 
 def _united(links: DataFrame, found: DataFrame, more: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -477,8 +514,27 @@ def _united(links: DataFrame, found: DataFrame, more: DataFrame) -> tuple[DataFr
     return components(every), every
 
 
-def drop_near_duplicates(docs: DataFrame, **options) -> DataFrame:
-    """``docs`` without the documents that another one of their component stands for."""
-    dropped = near_components(docs, **options).filter(~F.col("kept")).select("doc_id")
-    gone, _ = materialise(dropped, "near-copies")
-    return docs.join(_few(gone), "doc_id", "left_anti").select(*docs.columns)
+def drop_near_duplicates(docs: DataFrame, width: int = WORDS, percent: int = PERCENT, bands: int = BANDS, rows: int = ROWS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with exactly one row of each component, all columns as they are.
+
+    It is a row with the component's smallest id, of those the one with the least text hash;
+    null ids come last.  Of rows that repeat id and text, any one stays.  Rows whose texts
+    have no shingles all stay, whatever their ids.
+    """
+    spark = docs.sparkSession
+    signed, labelled, paths = _components(docs, width, percent, bands, rows, id_col, text_col)
+    key, some = ["doc_id", "text_hash"], signed.filter("node IS NOT NULL")
+    first = F.col("component.doc_id").eqNullSafe(F.col("doc_id")) & (F.col("component.text_hash") == F.col("text_hash"))
+    # a text of an id is a member of one component; it goes, or stays once
+    held = some.groupBy(*key, "node").agg(F.count(F.lit(1)).alias("n")).join(labelled, "node")
+    decided, _ = materialise(held.filter(~first | (F.col("n") > 1)).select(F.col("doc_id").alias("__gone_id"), F.col("text_hash").alias("__gone_hash"), first.alias("__once")), "near-copies")
+    for path in paths:
+        remove(spark, path)
+    own, text_hash, number = docs[id_col].cast("long"), unused(docs, "text_hash"), unused(docs, "number")
+    rows_of = docs.withColumns({text_hash: F.xxhash64(docs[text_col]), number: own})
+    on = F.col(number).eqNullSafe(F.col("__gone_id")) & (F.col(text_hash) == F.col("__gone_hash"))
+    whole = rows_of.join(_few(decided), on, "left_anti").select(*docs.columns)
+    once = rows_of.join(_few(decided.filter("__once")), on, "left_semi")
+    if decided.filter("__once").isEmpty():
+        return whole
+    return whole.unionByName(once.dropDuplicates([number, text_hash]).select(*docs.columns))

@@ -85,6 +85,18 @@ def test_edges(spark):
     assert kept.columns == docs.columns and 7 not in {r.doc_id for r in kept.collect()}
 
 
+def test_rows_of_one_id_and_of_none(spark):
+    text = " ".join(f"w{i}" for i in range(40))
+    other, third = " ".join(f"x{i}" for i in range(40)), " ".join(f"y{i}" for i in range(40))
+    rows = [(1, text, 1), (5, text, 2), (5, other, 3), (None, text, 4), (None, third, 5), (None, third + " end", 6), (None, third, 7)]
+    rows += [(8, other + " end", 8), (5, other, 9), (None, None, 10), (None, "", 11), (3, " ", 12), (3, " ", 13)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, text_hash int")
+    kept = {r.text_hash for r in N.drop_near_duplicates(docs).collect()}
+    assert {1, 10, 11, 12, 13} < kept and len(kept & {3, 9}) == len(kept & {5, 6, 7}) == 1 and len(kept) == 7
+    report = {(r.doc_id, r.component_id, r.kept) for r in N.near_components(docs).collect()}
+    assert report == {(1, 1, True), (5, 1, False), (5, 5, True), (None, 1, False), (None, None, True), (8, 5, False), (3, 3, True)}
+
+
 def test_shingles_are_words():
     texts = ["a b c d e f A B c d e F", "", " x ", "é \x0b ü\tA b", "one"]
     elements, counts = N.shingle_sets([t.encode() for t in texts])

@@ -1,3 +1,7 @@
+import itertools
+import math
+import random
+
 import pytest
 from helpers import SMALL
 
@@ -81,3 +85,48 @@ def test_small_host_of_many_pages(spark):
     pages = spark.createDataFrame(urls, "page_id long, url string")
     rules = U.minimal([(r.tokens, r.confidence) for r in U.mine_rules(pages, spark.createDataFrame(labels, "doc_id long, quality int, toxic int")).collect()])
     assert rules == [(("h:spam",), 1.0), (("h:spam.org",), 1.0)]
+
+
+def every_rule(pages, labels, min_count, min_confidence, min_lift):
+    """All token combinations that are rules, by plain enumeration."""
+    bad = {}
+    for d, quality, toxic in labels:
+        bad[d] = bad.get(d, False) or toxic == 1 or quality == 0
+    baskets = [(U.tokens_of(*parts(u)), bad[i]) for i, u in pages if i in bad]
+    n, n_bad = len(baskets), sum(b for _, b in baskets)
+    joint, single = {}, {}
+    for tokens, is_bad in baskets:
+        for k in range(1, len(tokens) + 1):
+            for x in itertools.combinations(sorted(tokens), k):
+                single[x] = single.get(x, 0) + 1
+                joint[x] = joint.get(x, 0) + is_bad
+
+    def g2(b, s):
+        cells = [(b, s * n_bad), (s - b, s * (n - n_bad)), (n_bad - b, (n - s) * n_bad), (n - n_bad - s + b, (n - s) * (n - n_bad))]
+        return 2 * sum(x * math.log(x * n / y) for x, y in cells if x > 0)
+
+    return {x: b / single[x] for x, b in joint.items() if b >= min_count and b / single[x] >= min_confidence and b / single[x] * n / n_bad >= min_lift and g2(b, single[x]) >= U.LEAST_RATIO}
+
+
+@pytest.mark.parametrize("few", [50_000, 0])
+def test_verdicts_equal_all_combinations(spark, monkeypatch, few):
+    monkeypatch.setattr(U, "MAX_BROADCAST", few)
+    pick = random.Random(3)
+    pages = [(i, f"http://{pick.choice(['a.x', 'b.x', 'c.y'])}/{'/'.join(pick.sample(['p', 'q', 'r', 's'], 2))}" + "/win/big" * (i % 3 == 0)) for i in range(900)]
+    labels = [(i, 1, int(pick.random() < (0.9 if "a.x" in u and "/q" in u else 0.8 if "win" in u and "c.y" in u else 0.1))) for i, u in pages if i < 700]
+    rules = every_rule(pages, labels, 20, 0.5, 1.5)
+    assert len({len(x) for x in rules}) > 1
+    args = spark.createDataFrame(pages, "page_id long, url string"), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    got = {r.page_id: (r.verdict, pytest.approx(r.confidence)) for r in U.filter_urls(*args, []).collect()}
+    for i, u in pages:
+        own = U.tokens_of(*parts(u))
+        best = max((c for x, c in rules.items() if set(x) <= own), default=0.0)
+        assert got[i] == ("block" if best else "allow", best)
+
+
+def test_words_that_always_stand_together_are_one_item(spark):
+    shared = "/".join("abcdefghijklm")
+    pages = [(i, f"http://{'spam' if i % 2 else 'news'}.org/{shared if i % 2 else 'read'}/{i}") for i in range(200)]
+    labels = [(i, 1, i % 2) for i in range(200)]
+    rules = U.mine_rule_sets(spark.createDataFrame(pages, "page_id long, url string"), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")).collect()
+    assert len(U.minimal([(r.sets, r.confidence) for r in rules])) == 1 and len(rules) <= 4
