@@ -149,6 +149,7 @@ class Lexicon:
         self._known: dict[str, tuple[str, float, bool] | None] = {}
         self._plain: set[bytes] = set()
         self._met: set[bytes] = set()
+        self._words: set[str] = set()  # that meet an entry, of the runs in `_met`
 
     def _bound(self, node: dict) -> int:
         """Notes at each node the most edits that an entry beneath it allows."""
@@ -181,13 +182,14 @@ class Lexicon:
 
     def _note(self, runs: set[bytes]) -> None:
         """Looks up many runs at once and remembers those with and without a hit."""
+        if len(self._plain) + len(self._met) > _REMEMBERED:
+            self._plain, self._met, self._words = set(), set(), set()
         new = list(runs - self._plain - self._met)
         if not new:
             return
         held = [decoded([run]) for run in new]
         met = self.meeting({w for words in held for w in words})
-        if len(self._plain) + len(self._met) > _REMEMBERED:
-            self._plain, self._met = runs & self._plain, runs & self._met
+        self._words |= met
         for run, words in zip(new, held, strict=True):
             (self._plain if met.isdisjoint(words) else self._met).add(run)
 
@@ -249,16 +251,15 @@ class Lexicon:
         return [[] if self._met.isdisjoint(own) else self._weighed(text) for text, own in zip(texts, runs, strict=True)]
 
     def _weighed(self, text: str) -> list[tuple[str, float]]:
-        spans = [(m.start(), m.end()) for m in WORD.finditer(text.translate(_FOLD))]
-        words = [text[a:b].translate(_FOLD) for a, b in spans]
+        found = list(WORD.finditer(text.translate(_FOLD)))
+        words = [m[0] for m in found]
         out = []
-        met = self.meeting(set(words))
         for i, w in enumerate(words):
-            if w in met:
+            if w in self._words:
                 entry, weight, misspelled = self.search(w)
                 near = words[max(0, i - WINDOW_WORDS) : i] + words[i + 1 : i + 1 + WINDOW_WORDS]
                 factor = MISSPELLED if misspelled else 1.0
-                if quoted(text, *spans[i]):
+                if quoted(text, *found[i].span()):
                     factor *= QUOTED
                 elif not REPORTS.isdisjoint(near):
                     factor *= REPORTED
