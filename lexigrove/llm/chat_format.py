@@ -16,7 +16,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 OPEN, MIDDLE, CLOSE = "[INST] ", " [/INST] ", "</s>"
-_TURN = r"(?s)\[INST\] (.*?) \[/INST\] (.*?)</s>"
 _CONTROL = r"\[/?INST\]|</?s>"
 
 
@@ -34,13 +33,18 @@ def _render(role: Column, text: Column) -> Column:
 
 def parse(formatted: Column) -> Column:
     """The turns of a formatted conversation, or null where it isn't one of this grammar."""
-    whole = F.regexp_extract_all(formatted, F.lit(_TURN), F.lit(0))
-    roles = F.regexp_extract_all(formatted, F.lit(_TURN), F.lit(1))
-    texts = F.regexp_extract_all(formatted, F.lit(_TURN), F.lit(2))
-    turns = F.zip_with(roles, texts, lambda r, t: F.struct(r.alias("role"), t.alias("text")))
-    clean = F.forall(turns, lambda t: ~t["role"].rlike(_CONTROL) & ~t["text"].rlike(_CONTROL))
-    plain = F.transform(turns, lambda t: F.struct(unescape(t["role"]).alias("role"), unescape(t["text"]).alias("text")))
-    return F.when((F.array_join(whole, "") == formatted) & clean, plain)
+    parts = F.split(formatted, CLOSE, -1)  # no mark of a regular expression stands in it
+    turns = F.transform(F.slice(parts, 1, F.size(parts) - 1), _turn)
+    well = F.forall(turns, lambda t: t["well"]) & (F.element_at(parts, -1) == "")
+    return F.when(well, F.transform(turns, lambda t: F.struct(unescape(t["role"]).alias("role"), unescape(t["text"]).alias("text"))))
+
+
+def _turn(part: Column) -> Column:
+    """Role and text of what stands before a closing mark, and whether they are well formed."""
+    at = F.instr(part, MIDDLE)
+    role, text = F.substring(part, len(OPEN) + 1, at - len(OPEN) - 1), F.substring(part, at + len(MIDDLE), F.length(part))
+    well = F.startswith(part, F.lit(OPEN)) & (at > len(OPEN)) & ~role.rlike(_CONTROL) & ~text.rlike(_CONTROL)
+    return F.struct(role.alias("role"), text.alias("text"), well.alias("well"))
 
 
 def _fits(text: Column) -> Column:

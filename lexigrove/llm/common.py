@@ -14,6 +14,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Words between ASCII white space, as a Java regular expression.
 SPACED_WORD = r"[^\x20\x09-\x0D]+"
@@ -79,6 +80,32 @@ def unused(df: DataFrame, label: str) -> str:
     return name
 
 
+#: Keys up to which a counted table is broadcast (some 100 bytes each at the most); beyond, it is shuffled.
+BROADCAST_KEYS = 500_000
+#: Keys that have more than a so-manieth of all rows are joined apart, without a shuffle of their
+#: rows; there are at most so many.
+HOT_KEYS = 10_000
+
+
+def few(df: DataFrame) -> DataFrame:
+    """``df`` with a broadcast hint if it was counted to be small."""
+    return F.broadcast(df) if df.count() <= BROADCAST_KEYS else df
+
+
+def join_facts(rows: DataFrame, facts: DataFrame, keys: list[str], n: str, total: int, how: str = "inner") -> DataFrame:
+    """``rows`` with the facts of their keys, of which ``facts`` has one row and counts the rows as ``n``.
+
+    Few facts are broadcast.  Of more, rows of hot keys meet a broadcast of at most `HOT_KEYS`
+    facts, so no task gets them all.  ``facts`` is written already, as it is read several times.
+    """
+    if facts.count() <= BROADCAST_KEYS:
+        return rows.join(F.broadcast(facts), keys, how)
+    least = max(1, total // HOT_KEYS)
+    hot = F.broadcast(facts.filter(F.col(n) > least))
+    others = rows.join(hot.select(*keys), keys, "left_anti").join(facts.filter(F.col(n) <= least), keys, how)
+    return rows.join(hot, keys).unionByName(others)
+
+
 def frugal(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
     """Wraps a function over batches: when its task ends, freed memory goes back to the system.
 

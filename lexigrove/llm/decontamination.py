@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexigrove.llm.common import frugal, small_batches
+from lexigrove.llm.common import frugal, small_batches, unused
 
 #: Lower-cases A-Z and makes a space of every byte that stands in no word.  The bytes of
 #: characters beyond ASCII are all above 0x7F, so they stay whole.
@@ -100,9 +100,9 @@ def _blocks(benchmark: DataFrame, item_col: str, text_col: str, limit: int) -> I
 
 
 def find_contamination(
-    docs: DataFrame, benchmark: DataFrame, size: int = 10, item_col: str = "item_id", text_col: str = "text", block_chars: int = 8_000_000
+    docs: DataFrame, benchmark: DataFrame, size: int = 10, item_col: str = "item_id", text_col: str = "text", block_chars: int = 8_000_000, out: tuple[str, str, str] = ("n_words", "hit_spans", "item_ids")
 ) -> DataFrame:
-    """The columns of ``docs``, and `n_words`, `hit_spans`, `item_ids` as the scan finds them.
+    """The columns of ``docs``, and `n_words`, `hit_spans`, `item_ids` (or the names of `out`) as the scan finds them.
 
     A window is `size` consecutive words of an item, or all words of a shorter item; a span
     is (first word, word after the last) of touching or overlapping occurrences.  The items
@@ -112,18 +112,20 @@ def find_contamination(
 
     Null and empty texts have no words and are never hit; an item without words has no
     window; an item with a null id marks words but is not listed.  Repeated items count once.
+    Columns of ``docs`` stay as they are, but one of a name in `out` is replaced.
     """
     small_batches(docs.sparkSession)
-    out = docs
-    spans, items = "hit_spans", "item_ids"
+    n_words, spans, items = out
+    found, name = docs, unused(docs, "scan")
     for k, block in enumerate(_blocks(benchmark, item_col, text_col, block_chars)):
         shared = docs.sparkSession.sparkContext.broadcast((block, size))
-        out = _scan(out, shared, text_col, f"__{k}")
+        found = _scan(found, shared, text_col, name)
+        part = F.col(name)
         if k:
-            out = out.withColumns({spans: F.concat(spans, f"__{k}.spans"), items: F.array_union(items, f"__{k}.items")}).drop(f"__{k}")
+            found = found.withColumns({spans: F.concat(spans, part["spans"]), items: F.array_union(items, part["items"])}).drop(name)
         else:
-            out = out.withColumns({"n_words": F.col("__0.n_words"), spans: F.col("__0.spans"), items: F.col("__0.items")}).drop("__0")
-    return out.withColumns({spans: _merged(F.col(spans)), items: F.array_sort(items)})
+            found = found.withColumns({n_words: part["n_words"], spans: part["spans"], items: part["items"]}).drop(name)
+    return found.withColumns({spans: _merged(F.col(spans)), items: F.array_sort(items)})
 
 
 def _merged(spans):
@@ -167,11 +169,12 @@ def remove_contaminated(docs: DataFrame, benchmark: DataFrame, size: int = 10, m
     """``docs`` without contaminated documents, or with the hit spans cut from their texts.
 
     In mode "spans" a text loses the characters from the first to the last word of each span;
-    texts without a hit stay as they are.
+    texts without a hit stay as they are, and so do all other columns.
     """
-    found = find_contamination(docs, benchmark, size, **more)
+    out = tuple(unused(docs, x) for x in ("n_words", "hit_spans", "item_ids"))
+    found, spans = find_contamination(docs, benchmark, size, out=out, **more), out[1]
     if mode == "documents":
-        return found.filter(F.size("hit_spans") == 0).select(*docs.columns)
+        return found.filter(F.size(spans) == 0).select(*docs.columns)
     if mode != "spans":
         raise ValueError(f"mode: {mode}")
 
@@ -180,7 +183,7 @@ def remove_contaminated(docs: DataFrame, benchmark: DataFrame, size: int = 10, m
         return pa.array([_without(t, s) for t, s in zip(texts.to_pylist(), spans.to_pylist(), strict=True)], pa.string())
 
     text = more.get("text_col", "text")
-    return found.withColumn(text, F.when(F.size("hit_spans") > 0, cut(F.col(text), F.col("hit_spans"))).otherwise(F.col(text))).select(*docs.columns)
+    return found.withColumn(text, F.when(F.size(spans) > 0, cut(F.col(text), F.col(spans))).otherwise(F.col(text))).select(*docs.columns)
 
 
 def _without(text: str | None, spans: list[dict]) -> str | None:

@@ -5,12 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexigrove.llm.common import materialise
+from lexigrove.llm.common import join_facts, materialise
 
 
 def digest_runs(docs: DataFrame, runs: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: its id, a unique row number, its run, and what its text is told by.
 
+    A run is made of whole partitions, whose number stands in the row number's upper bits.
+
     Texts are equal if SHA-256, the length in characters and an independent 64-bit hash all
     agree; the last two verify each agreement of digests at every level of the tree.
     """
@@ -21,7 +23,7 @@ def digest_runs(docs: DataFrame, runs: int, id_col: str = "doc_id", text_col: st
         F.sha2(text, 256).alias("digest"),
         F.length(text).alias("n_chars"),
         F.xxhash64(text).alias("check"),
-    ).withColumn("run", F.pmod(F.xxhash64("row_no"), F.lit(runs)).cast("int"))
+    ).withColumn("run", F.pmod(F.shiftright("row_no", 33), F.lit(runs)).cast("int"))
 
 
 def merge_runs(rows: DataFrame, fan_in: int, runs: int, keep: str = "smallest") -> DataFrame:
@@ -56,8 +58,15 @@ def exact_dedup(docs: DataFrame, keep: str = "smallest", runs: int = 16, fan_in:
     if keep not in ("smallest", "largest"):
         raise ValueError(f"keep: {keep}")
     rows, _ = materialise(digest_runs(docs, runs), "digest-runs")
-    groups = merge_runs(rows, fan_in, runs, keep)
-    key = ["digest", "n_chars", "check"]
-    return rows.join(groups, key).select(
-        "doc_id", "keep_id", "group_size", (F.col("row_no") == F.col("keep_row")).alias("kept"), F.col("digest").alias("text_sha256")
+    groups, _ = materialise(merge_runs(rows, fan_in, runs, keep).filter("group_size > 1"), "digest-groups")
+    total = groups.agg(F.coalesce(F.sum("group_size"), F.lit(0))).first()[0]
+    # a text without copies needs no partner
+    found = join_facts(rows, groups, ["digest", "n_chars", "check"], "group_size", total, "left")
+    alone = F.col("group_size").isNull()
+    return found.select(
+        "doc_id",
+        F.when(alone, F.col("doc_id")).otherwise(F.col("keep_id")).alias("keep_id"),
+        F.coalesce("group_size", F.lit(1).cast("long")).alias("group_size"),
+        (alone | (F.col("row_no") == F.col("keep_row"))).alias("kept"),
+        F.col("digest").alias("text_sha256"),
     )

@@ -11,14 +11,12 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lexigrove.llm.common import SPACED_WORD, materialise
+from lexigrove.llm.common import SPACED_WORD, materialise, unused
 
-#: Distinct (pattern, size) rows that the driver routes; more is an error, never a cut.
+#: Patterns that the driver routes each on its own; documents of further, smaller ones supply one of their sources.
 MAX_PATTERNS = 200_000
 #: Hash ranges of a pattern's documents, between which one is cut.
 BUCKETS = 4096
-#: Documents above this share of their pattern's size, and all of a pattern of so few, are chosen one by one.
-HEAVY, FEW = 1 / 64, 64
 
 
 def capped_targets(sizes: Mapping[object, int], weights: Mapping[object, float], total: float, max_epochs: float) -> dict[object, float]:
@@ -104,7 +102,7 @@ def route(patterns: Sequence[tuple[tuple, int]], quotas: Mapping[object, float],
     return given
 
 
-def mix(docs: DataFrame, sources_col: str, weights, id_col: str = "doc_id", text_col: str = "text", share: float = 1.0, max_epochs: int = 3, seed: int = 17, keep: Sequence[str] = ()) -> tuple[DataFrame, dict, dict]:
+def mix(docs: DataFrame, sources_col: str, weights, id_col: str = "doc_id", text_col: str = "text", share: float = 1.0, max_epochs: int = 3, seed: int = 17, keep: Sequence[str] = (), heavy: float = 1 / 64, few: int = 64) -> tuple[DataFrame, dict, dict]:
     """(per row: row_no, doc_id, pattern, size, epochs, and the columns of `keep`; target of each source; size of each source).
 
     `sources_col` holds the array of a document's sources.  `weights` maps the sorted list of
@@ -114,26 +112,38 @@ def mix(docs: DataFrame, sources_col: str, weights, id_col: str = "doc_id", text
 
     Within a pattern, documents stand by a seeded hash of their id, and the place where the
     further words are reached is found from sums of hash ranges, then within one range: no
-    task holds a pattern.  Documents of more than a 64th of their pattern, and all of a pattern
-    of up to 64 documents, are chosen first, so that the last document taken is a small one.
+    task holds a pattern.  Documents of more than the share `heavy` of their pattern (a 64th),
+    and all of a pattern of up to `few` documents (64), are chosen first, so that the last
+    document taken is a small one.
+
+    Of more than `MAX_PATTERNS` patterns of several sources, the largest are routed as they
+    are, and the documents of all others supply the first of their sources alone; every
+    document is still taken into account, and quotas hold.
     """
+    if few > 64 or heavy < 1 / 64:
+        raise ValueError("a task chooses among 64 documents at most: few <= 64, heavy >= 1/64")
     size = F.coalesce(F.regexp_count(docs[text_col], F.lit(SPACED_WORD)), F.lit(0)).cast("long")
+    key = unused(docs, "key")
     rows, _ = materialise(
-        docs.select(
+        docs.withColumn(key, F.array_sort(F.array_distinct(docs[sources_col]))).select(
             F.monotonically_increasing_id().alias("row_no"),
             docs[id_col].alias("doc_id"),
-            F.to_json(F.array_sort(F.array_distinct(docs[sources_col]))).alias("pattern"),
+            F.to_json(key).alias("pattern"),
+            F.to_json(F.slice(key, 1, 1)).alias("first_source"),
+            F.coalesce(F.size(key) > 1, F.lit(False)).alias("several"),
             size.alias("size"),
             F.xxhash64(F.lit(seed), docs[id_col]).alias("place"),
             *[docs[c] for c in keep],
         ),
         "mix-sizes",
     )
-    grouped = rows.groupBy("pattern").agg(F.sum("size").alias("size"), F.count(F.lit(1)).alias("n"))
-    if grouped.count() > MAX_PATTERNS:
-        raise ValueError(f"more than {MAX_PATTERNS} membership patterns; merge rare sources first")
-    # one row per pattern, at most MAX_PATTERNS
-    found = grouped.collect()
+    # the patterns of several sources that are routed as they are: MAX_PATTERNS rows at most
+    joint = rows.filter("several").groupBy("pattern").agg(F.sum("size").alias("size"))
+    if joint.count() > MAX_PATTERNS:
+        largest = joint.orderBy(F.desc("size"), "pattern").limit(MAX_PATTERNS).select("pattern", F.lit(True).alias("own"))
+        rows = rows.join(F.broadcast(largest), "pattern", "left").withColumn("pattern", F.when(F.col("own") | ~F.col("several"), F.col("pattern")).otherwise(F.col("first_source"))).drop("own")
+    # one row per pattern: a source each, and the above
+    found = rows.groupBy("pattern").agg(F.sum("size").alias("size"), F.count(F.lit(1)).alias("n")).collect()
     keys = {tuple(json.loads(r.pattern or "[]")): r.pattern for r in found}
     patterns = [(tuple(json.loads(r.pattern or "[]")), r["size"]) for r in found]
     sizes: dict[object, int] = {}
@@ -147,7 +157,7 @@ def mix(docs: DataFrame, sources_col: str, weights, id_col: str = "doc_id", text
     count = {r.pattern: r.n for r in found}
     rates = [(keys[p], count[keys[p]], int(n), min(float(max_epochs), sum(given.get(p, {}).values()) / n) if n else 0.0) for p, n in patterns]
     rate = docs.sparkSession.createDataFrame(rates, "pattern string, n_docs long, pattern_size long, rate double")
-    return _select(rows, rate, max_epochs, keep), targets, sizes
+    return _select(rows, rate, max_epochs, keep, heavy, few), targets, sizes
 
 
 def choose_heavy(sizes: Sequence[int], fair: float, least: float, most: float) -> list[bool]:
@@ -196,12 +206,12 @@ def _heavy(rows: DataFrame) -> DataFrame:
     return rows.groupBy("pattern").applyInPandas(choose, "pattern string, row_no long, size long, one int")
 
 
-def _select(rows: DataFrame, rate: DataFrame, max_epochs: int, keep: Sequence[str]) -> DataFrame:
+def _select(rows: DataFrame, rate: DataFrame, max_epochs: int, keep: Sequence[str], heavy_share: float, few: int) -> DataFrame:
     """The epochs of each row, from the rate of its pattern."""
-    # at most MAX_PATTERNS rows of a few words, here and below
+    # a row of a few words for each source, and at most MAX_PATTERNS more, here and below
     whole = F.floor("rate")
     placed = rows.join(F.broadcast(rate), "pattern").withColumns(
-        {"whole": whole.cast("int"), "extra": (F.col("rate") - whole) * F.col("pattern_size"), "heavy": (F.col("size") > F.col("pattern_size") * HEAVY) | (F.col("n_docs") <= FEW)}
+        {"whole": whole.cast("int"), "extra": (F.col("rate") - whole) * F.col("pattern_size"), "heavy": (F.col("size") > F.col("pattern_size") * heavy_share) | (F.col("n_docs") <= few)}
     )
     light = placed.groupBy("pattern").agg(F.sum(F.when(F.col("heavy"), 0).otherwise(F.col("size"))).alias("light"))
     chosen, _ = materialise(_heavy(placed.filter("heavy").join(F.broadcast(light), "pattern")), "mix-heavy")
@@ -244,22 +254,31 @@ def mix_report(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), max_epochs
     named = docs.select("doc_id", "text", F.array(docs["source"]).alias("sources"))
     picked, targets, sizes = mix(named, "sources", cycling(weights), max_epochs=max_epochs, seed=seed)
     facts = docs.sparkSession.createDataFrame([(s, int(sizes[s]), float(targets[s])) for s in sizes], "source string, source_size long, target double")
-    # one row per source, at most MAX_PATTERNS
+    # one row per source
     first = F.from_json("pattern", "array<string>")[0]
     joined = picked.join(F.broadcast(facts), first.eqNullSafe(facts["source"]), "left")
     return joined.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("epochs")).cast("long").alias("taken"))
 
 
 def mix_documents(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), max_epochs: int = 3, seed: int = 17) -> DataFrame:
-    """The rows of ``docs`` that the mix takes, each as often as it is taken.
+    """The rows of ``docs`` that the mix takes, each as often as it is taken; all columns as they are.
 
-    Rows that repeat an id, a text and a source are taken alike.
+    Rows that repeat an id, a text and a source share their copies evenly; what doesn't
+    divide goes to one of them.
     """
-    key = {"__text": F.xxhash64("text"), "__pattern": F.to_json(F.array("source"))}
-    named = docs.select("doc_id", "text", F.array(docs["source"]).alias("sources"), F.xxhash64("text").alias("text_hash"))
+    names = {x: unused(docs, f"mix_{x}") for x in ("id", "hash", "source", "copy", "of_id", "of_hash", "of_source", "each", "more")}
+    named = docs.select("doc_id", F.array(docs["source"]).alias("sources"), "text", F.xxhash64("text").alias("text_hash"))
     picked, _, _ = mix(named, "sources", cycling(weights), max_epochs=max_epochs, seed=seed, keep=("text_hash",))
-    taken = picked.filter("epochs > 0").groupBy("doc_id", "text_hash", "pattern").agg(F.max("epochs").alias("__epochs"))
-    chosen, _ = materialise(taken.select(F.col("doc_id").alias("__id"), "text_hash", "pattern", "__epochs"), "mix-taken")
-    on = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__text") == F.col("text_hash")) & F.col("__pattern").eqNullSafe(F.col("pattern"))
-    rows = docs.withColumns(key).join(chosen, on)
-    return rows.withColumn("__copy", F.explode(F.array_repeat(F.lit(1), F.col("__epochs")))).select(*docs.columns)
+    taken = picked.groupBy("doc_id", "text_hash", "pattern").agg(F.sum("epochs").alias("m"), F.count(F.lit(1)).alias("n")).filter("m > 0")
+    shares = {"of_id": F.col("doc_id"), "of_hash": F.col("text_hash"), "of_source": F.col("pattern"), "each": F.expr("m div n"), "more": F.col("m") % F.col("n")}
+    chosen, _ = materialise(taken.select(*(c.alias(names[x]) for x, c in shares.items())), "mix-taken")
+    rows = docs.withColumns({names["id"]: F.col("doc_id"), names["hash"]: F.xxhash64("text"), names["source"]: F.to_json(F.array("source"))})
+    on = [F.col(names[x]).eqNullSafe(F.col(names[f"of_{x}"])) for x in ("id", "hash", "source")]
+
+    def repeated(found: DataFrame, times: str) -> DataFrame:
+        return found.withColumn(names["copy"], F.explode(F.sequence(F.lit(1), F.col(names[times]).cast("int")))).select(*docs.columns)
+
+    more = chosen.filter(F.col(names["more"]) > 0)
+    whole = repeated(rows.join(chosen.filter(F.col(names["each"]) > 0), on), "each")
+    once = rows.join(more, on).dropDuplicates([names["id"], names["hash"], names["source"]])
+    return whole if more.isEmpty() else whole.unionByName(repeated(once, "more"))

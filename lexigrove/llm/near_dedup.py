@@ -25,14 +25,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lexigrove.llm.common import frugal, materialise, remove, slices, small_batches, unused
+from lexigrove.llm.common import few, frugal, join_facts, materialise, remove, slices, small_batches, unused
 
 WORDS, PERCENT, BANDS, ROWS = 5, 75, 32, 4
 #: Share of equal signature bytes below which a pair is not verified: over five standard
 #: deviations below the least similarity that counts.
 LEAST_AGREEMENT = 0.55
-#: Keys up to which a list of nodes is broadcast (some 40 bytes each); beyond, it is shuffled.
-BROADCAST_KEYS = 500_000
 #: Nodes of a bucket up to which its pairs are tried directly.
 DIRECT = 24
 #: Nodes on either side of a block in which a large group's outsiders are tried.
@@ -40,9 +38,6 @@ BLOCK = 512
 #: A shingle is common if more nodes have it than are tried directly.  Only the order in which
 #: the prefix filter takes shingles rests on this, never what it finds.
 COMMON = DIRECT + 1
-#: Keys of more than a so-manieth of all rows are joined apart, without a shuffle of their rows;
-#: there are at most so many.
-HOT_KEYS = 10_000
 #: Common shingles are marked in 2^26 bits, 8 MB, whatever their number.
 _MARKS = 1 << 26
 #: Bytes of text that a task holds as numpy arrays at a time.
@@ -231,15 +226,10 @@ def _shared(a: pa.Array, b: pa.Array) -> pa.Array:
     return pa.array(found, pa.int64())
 
 
-def _few(df: DataFrame) -> DataFrame:
-    """``df`` with a broadcast hint if it was counted to be small."""
-    return F.broadcast(df) if df.count() <= BROADCAST_KEYS else df
-
-
 def _wanted_sets(wanted: DataFrame, source: DataFrame, width: int, label: str) -> tuple[DataFrame, str]:
     """(node, elements) of the nodes of ``wanted`` (node, doc_id, text_hash), from one text of each."""
-    few = _few(wanted.select("node", F.col("doc_id").alias("want_id"), F.col("text_hash").alias("want_hash")))
-    found = source.join(few, (source["text_hash"] == few["want_hash"]) & source["doc_id"].eqNullSafe(few["want_id"])).select("node", "text")
+    names = few(wanted.select("node", F.col("doc_id").alias("want_id"), F.col("text_hash").alias("want_hash")))
+    found = source.join(names, (source["text_hash"] == names["want_hash"]) & source["doc_id"].eqNullSafe(names["want_id"])).select("node", "text")
     return materialise(found.mapInArrow(frugal(_sets(width)), "node binary, elements binary").dropDuplicates(["node"]), label)
 
 
@@ -261,23 +251,11 @@ def _confirm(pairs: DataFrame, nodes: DataFrame, source: DataFrame, width: int,
     return links
 
 
-def _joined_facts(rows: DataFrame, facts: DataFrame, key: str, n: str, total: int) -> DataFrame:
-    """``rows`` with the facts of their ``key``, of which ``facts`` has one row and counts the rows as ``n``.
-
-    Rows of hot keys meet a broadcast of at most `HOT_KEYS` facts, so no task gets them all.
-    ``facts`` is written already, as it is read several times.
-    """
-    least = max(1, total // HOT_KEYS)
-    hot = F.broadcast(facts.filter(F.col(n) > least))
-    others = rows.join(hot.select(key), key, "left_anti").join(facts.filter(F.col(n) <= least), key)
-    return rows.join(hot, key).unionByName(others)
-
-
 def _bucketed(members: DataFrame, label: str) -> tuple[DataFrame, str]:
     """(band, node, leader, n) of the buckets with several nodes."""
     counted, path = materialise(members.groupBy("band").agg(F.min("node").alias("leader"), F.count(F.lit(1)).alias("n")).filter("n > 1"), f"{label}-counts")
     total = counted.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    found = materialise(_joined_facts(members, counted, "band", "n", total), label)
+    found = materialise(join_facts(members, counted, ["band"], "n", total), label)
     remove(members.sparkSession, path)
     return found
 
@@ -296,7 +274,7 @@ def _mixed(buckets: DataFrame, found: DataFrame, label: str) -> tuple[DataFrame,
     facts = grouped.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high"), main.alias("main"), F.max("n").alias("n"))
     several, several_path = materialise(facts.filter("low <> high").select("band", "main", "n"), f"{label}-several")
     total = several.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    mixed = _joined_facts(grouped.filter("node <> leader").drop("n"), several, "band", "n", total)
+    mixed = join_facts(grouped.filter("node <> leader").drop("n"), several, ["band"], "n", total)
     out = materialise(mixed.select("band", "node", "root", "main", "n"), label)
     remove(spark, path)
     remove(spark, several_path)
@@ -479,7 +457,7 @@ def _components(docs: DataFrame, width: int, percent: int, bands: int, rows: int
 
     rooted, rooted_path = materialise(nodes.select("node", "row").join(found, "node", "left").withColumn("root", F.coalesce("root", "node")), "rooted")
     least, least_path = materialise(rooted.groupBy("root").agg(F.min("row").alias("component"), F.count(F.lit(1)).alias("n")), "least")
-    labelled, labelled_path = materialise(_joined_facts(rooted.drop("row"), least, "root", "n", nodes.count()).select("node", "component"), "labelled")
+    labelled, labelled_path = materialise(join_facts(rooted.drop("row"), least, ["root"], "n", nodes.count()).select("node", "component"), "labelled")
     for path in (nodes_path, buckets_path, mixed_path, wanted_path, rooted_path, least_path):
         remove(spark, path)
     return signed.drop("signature", "bands"), labelled, [signed_path, labelled_path]
@@ -527,14 +505,16 @@ def drop_near_duplicates(docs: DataFrame, width: int = WORDS, percent: int = PER
     first = F.col("component.doc_id").eqNullSafe(F.col("doc_id")) & (F.col("component.text_hash") == F.col("text_hash"))
     # a text of an id is a member of one component; it goes, or stays once
     held = some.groupBy(*key, "node").agg(F.count(F.lit(1)).alias("n")).join(labelled, "node")
-    decided, _ = materialise(held.filter(~first | (F.col("n") > 1)).select(F.col("doc_id").alias("__gone_id"), F.col("text_hash").alias("__gone_hash"), first.alias("__once")), "near-copies")
+    names = {x: unused(docs, f"near_{x}") for x in ("id", "hash", "of_id", "of_hash", "once")}
+    decided = held.filter(~first | (F.col("n") > 1)).select(F.col("doc_id").alias(names["of_id"]), F.col("text_hash").alias(names["of_hash"]), first.alias(names["once"]))
+    decided, _ = materialise(decided, "near-copies")
     for path in paths:
         remove(spark, path)
-    own, text_hash, number = docs[id_col].cast("long"), unused(docs, "text_hash"), unused(docs, "number")
-    rows_of = docs.withColumns({text_hash: F.xxhash64(docs[text_col]), number: own})
-    on = F.col(number).eqNullSafe(F.col("__gone_id")) & (F.col(text_hash) == F.col("__gone_hash"))
-    whole = rows_of.join(_few(decided), on, "left_anti").select(*docs.columns)
-    once = rows_of.join(_few(decided.filter("__once")), on, "left_semi")
-    if decided.filter("__once").isEmpty():
+    rows_of = docs.withColumns({names["hash"]: F.xxhash64(docs[text_col]), names["id"]: docs[id_col].cast("long")})
+    on = [F.col(names[x]).eqNullSafe(F.col(names[f"of_{x}"])) for x in ("id", "hash")]
+    whole = rows_of.join(few(decided), on, "left_anti").select(*docs.columns)
+    repeated = decided.filter(names["once"])
+    if repeated.isEmpty():
         return whole
-    return whole.unionByName(once.dropDuplicates([number, text_hash]).select(*docs.columns))
+    once = rows_of.join(few(repeated), on, "left_semi").dropDuplicates([names["id"], names["hash"]])
+    return whole.unionByName(once.select(*docs.columns))

@@ -37,7 +37,7 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lexigrove.llm.token_ids import token_table
 
-    return token_table(table(spark, sf_dir, "documents"), tokenizer_path(), end_id=2)
+    return token_table(table(spark, sf_dir, "documents"), tokenizer_path(), end_id=2, special_as_text=False)
 
 
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

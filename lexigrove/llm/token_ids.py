@@ -14,6 +14,7 @@ any span of ids from the block offsets and unpacks it with numpy.
 
 from __future__ import annotations
 
+import re
 import struct
 import uuid
 import zlib
@@ -131,14 +132,20 @@ class _Encoder:
     A byte-level vocabulary splits a text before each space that has no white space beside
     it, whatever stands around, so a text is the sequence of its space-led chunks.  Chunks
     repeat, so each distinct chunk goes to the tokenizer once and the ids of a batch are
-    gathered by numpy.  Texts with longer runs of white space are encoded whole.
+    gathered by numpy.  Texts with longer runs of white space are encoded whole, and so are
+    those with the string of an added token, which the tokenizer finds before all else; with
+    ``special_as_text``, strings of special tokens are ordinary text.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, special_as_text: bool = False):
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
-        self._tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self._tokenizer.encode_special_tokens = special_as_text
+        added = [t.content for t in self._tokenizer.get_added_tokens_decoder().values() if not (special_as_text and t.special)]
+        # an added token's string may stand within a chunk or over several
+        self._whole = "|".join([_JOINED_SPACES, *map(re.escape, added)])
+        self._tellable = not any(" " in x for x in added)
         self.size = self._tokenizer.get_vocab_size()
         self._leads = np.zeros(self.size, bool)
         for token, i in self._tokenizer.get_vocab().items():
@@ -178,7 +185,7 @@ class _Encoder:
 
     def encode(self, texts: pa.Array) -> list[np.ndarray]:
         """The ids of each text; there are no nulls."""
-        whole = pc.match_substring_regex(texts, _JOINED_SPACES).to_numpy(zero_copy_only=False)
+        whole = pc.match_substring_regex(texts, self._whole).to_numpy(zero_copy_only=False) | (not self._tellable)
         out: list[np.ndarray] = [None] * len(texts)  # type: ignore[list-item]
         at = np.flatnonzero(whole)
         for i, raw in zip(at, self._each(texts.take(pa.array(at)).to_pylist()) if len(at) else (), strict=True):
@@ -212,17 +219,17 @@ class _Encoder:
         return out
 
 
-_encoders: dict[str, _Encoder] = {}
+_encoders: dict[tuple[str, bool], _Encoder] = {}
 
 
-def _encoder(path: str) -> _Encoder:
-    if path not in _encoders:
-        _encoders[path] = _Encoder(path)
-    return _encoders[path]
+def _encoder(path: str, special_as_text: bool) -> _Encoder:
+    if (path, special_as_text) not in _encoders:
+        _encoders[path, special_as_text] = _Encoder(path, special_as_text)
+    return _encoders[path, special_as_text]
 
 
 def write_token_files(
-    docs: DataFrame, tokenizer: str, folder: str, end_id: int = 2, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, tokenizer: str, folder: str, end_id: int = 2, id_col: str = "doc_id", text_col: str = "text", special_as_text: bool = True
 ) -> DataFrame:
     """Encode every whole text and write the ids, in ascending id order, to packed files.
 
@@ -232,7 +239,7 @@ def write_token_files(
 
     Returns the index: (id, part, file, begin, n_tokens), `begin` within the file.  A null
     text is empty and yields the end id alone; rows with a null id come first; rows with the
-    same id stand next to each other, in no promised order; further columns are ignored; an
+    same id stand next to each other in one file, in no promised order; further columns are ignored; an
     empty table gives an empty index.
     """
     spark = docs.sparkSession
@@ -240,7 +247,7 @@ def write_token_files(
     rows = docs.select(docs[id_col].cast("long").alias("id"), docs[text_col].alias("text"))
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, writer = _encoder(tokenizer), None
+        encoder, writer = _encoder(tokenizer, special_as_text), None
         part = TaskContext.get().partitionId()
         name = f"part-{part:06d}-{uuid.uuid4().hex}.ids"
         end = np.array([end_id], np.uint32)
@@ -300,10 +307,14 @@ def read_token_files(index: DataFrame, folder: str) -> DataFrame:
     return placed.mapInArrow(frugal(read), "id long, start long, n_tokens long, ids_crc32 long")
 
 
-def token_table(docs: DataFrame, tokenizer: str, end_id: int = 2, folder: str | None = None) -> DataFrame:
-    """Write ``docs`` as token files and read them back: (doc_id, start, n_tokens, ids_crc32)."""
+def token_table(docs: DataFrame, tokenizer: str, end_id: int = 2, folder: str | None = None, special_as_text: bool = True) -> DataFrame:
+    """Write ``docs`` as token files and read them back: (doc_id, start, n_tokens, ids_crc32).
+
+    With `special_as_text`, the strings of special tokens in a text are ordinary text; without
+    it, they become those tokens, as the tokenizers library has it unless told otherwise.
+    """
     folder = folder or new_path(docs.sparkSession, "token-ids")
-    index = write_token_files(docs, tokenizer, folder, end_id)
+    index = write_token_files(docs, tokenizer, folder, end_id, special_as_text=special_as_text)
     return read_token_files(index, folder).withColumnRenamed("id", "doc_id")
 
 

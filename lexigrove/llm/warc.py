@@ -15,7 +15,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexigrove.llm.common import new_path
+from lexigrove.llm.common import join_facts, materialise, new_path
 
 DATE = "1970-01-01T00:00:00Z"
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -28,19 +28,20 @@ def with_revisits(pages: DataFrame, min_bytes: int = 0, id_col: str = "page_id",
     """(page_id, url, payload, refers_to): the smallest id of each equal payload, where another has it.
 
     Payloads of fewer than `min_bytes` bytes refer to nothing.  Equality is told by SHA-1,
-    length and a 64-bit hash; counts are pre-aggregated before the join, and the join splits
-    a payload that very many pages share.  A row that repeats the smallest id, or whose group
+    length and a 64-bit hash; counts are pre-aggregated before the join, and payloads aren't
+    shuffled where few of them are shared, nor those that very many pages share.  A row that repeats the smallest id, or whose group
     has null ids alone, refers to nothing.
     """
     text = F.coalesce(pages[html_col], F.lit(""))
     rows = pages.select(pages[id_col].cast("long").alias("page_id"), pages[url_col].alias("url"), text.alias("payload")).withColumns(
-        {"h1": F.sha1("payload"), "h2": F.xxhash64("payload"), "size": F.octet_length("payload")}
+        {"h1": F.unhex(F.sha1("payload")), "h2": F.xxhash64("payload"), "size": F.octet_length("payload")}
     )
     key = ["h1", "h2", "size"]
     groups = rows.filter(F.col("size") >= min_bytes).groupBy(*key).agg(F.min("page_id").alias("first"), F.count(F.lit(1)).alias("n"))
-    copies = groups.filter("n > 1 AND first IS NOT NULL").select(*key, "first")
+    copies, _ = materialise(groups.filter("n > 1 AND first IS NOT NULL"), "warc-copies")
+    total = copies.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     refers = F.when(~F.col("page_id").eqNullSafe(F.col("first")), F.col("first"))
-    return rows.join(copies, key, "left").select("page_id", "url", F.encode("payload", "UTF-8").alias("payload"), refers.alias("refers_to"))
+    return join_facts(rows, copies, key, "n", total, "left").select("page_id", "url", F.encode("payload", "UTF-8").alias("payload"), refers.alias("refers_to"))
 
 
 def _uri(page_id: int | None) -> str:
@@ -150,12 +151,18 @@ def coalesce_ranges(rows: Iterable[tuple[str, int, int]], max_gap: int, max_byte
         yield tuple(held)
 
 
-def read_records(index: DataFrame, folder: str, max_gap: int = 65_536, max_bytes: int = 8_388_608) -> DataFrame:
+def read_records(index: DataFrame, folder: str, max_gap: int = 65_536, max_bytes: int = 8_388_608, task_bytes: int = 33_554_432) -> DataFrame:
     """Read the records that ``index`` selects: page_id, url, payload_bytes, payload_digest, record_type, refers_to, payload.
 
     The selected rows are sorted by file and offset over the whole cluster; each task then
-    reads few long ranges instead of one range per record.
+    reads few long ranges instead of one range per record.  There is a task for each
+    `task_bytes` of records, and a batch of records goes on once it holds `max_bytes` inflated.
     """
+    kinds = [pa.int64(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.binary()]
+    names = [f.split()[0] for f in RECORD.split(", ")]
+
+    def batch_of(found: list[dict]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([r[c] for r in found], k) for c, k in zip(names, kinds, strict=True)], names=names)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         name, source = None, None
@@ -168,14 +175,19 @@ def read_records(index: DataFrame, folder: str, max_gap: int = 65_536, max_bytes
                     system, path = fs.FileSystem.from_uri(f"{folder}/{file}")
                     name, source = file, system.open_input_file(path)
                 data = source.read_at(end - begin, begin)
-                found = [parse_record(zlib.decompress(data[o - begin : o - begin + n], wbits=31)) for o, n in records]
-                kinds = [pa.int64(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.binary()]
-                names = [f.split()[0] for f in RECORD.split(", ")]
-                yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in found], k) for c, k in zip(names, kinds, strict=True)], names=names)
+                found, held = [], 0
+                for o, n in records:
+                    found.append(parse_record(zlib.decompress(data[o - begin : o - begin + n], wbits=31)))
+                    held += len(found[-1]["payload"] or b"")
+                    if held > max_bytes:
+                        yield batch_of(found)
+                        found, held = [], 0
+                yield batch_of(found)
         if source is not None:
             source.close()
 
-    places = index.select("file", "offset", "length").repartitionByRange("file", "offset").sortWithinPartitions("file", "offset")
+    tasks = max(1, -(-(index.agg(F.sum("length")).first()[0] or 0) // task_bytes))
+    places = index.select("file", "offset", "length").repartitionByRange(tasks, "file", "offset").sortWithinPartitions("file", "offset")
     return places.mapInArrow(read, RECORD)
 
 

@@ -110,3 +110,17 @@ def test_nearest_subset(sizes, goal):
     best = min(abs(goal - sum(c)) for k in range(len(sizes) + 1) for c in itertools.combinations(sizes, k))
     got = abs(goal - sum(n for n, t in zip(sizes, taken, strict=True) if t))
     assert got == best
+
+
+def test_many_patterns_and_repeated_rows(spark, monkeypatch):
+    monkeypatch.setattr(M, "MAX_PATTERNS", 2)
+    names = ["a", "b", "c", "d"]
+    rows = [(i, "w " * 10, [names[i % 4], names[i // 4 % 4], names[i // 16 % 4]]) for i in range(128)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, sources array<string>")
+    picked, target, _ = M.mix(docs, "sources", M.cycling((1, 1, 1)), max_epochs=2)
+    got = picked.collect()
+    assert len(got) == 128 and sum(r["size"] * r.epochs for r in got) == pytest.approx(1280, abs=60)
+    docs = spark.createDataFrame([(1, "a b c", "x", i) for i in range(7)] + [(2, "d " * 30, "y", 9)], "doc_id long, text string, source string, n int")
+    report = {r.doc_id: r.taken for r in M.mix_report(docs.limit(0).union(docs)).groupBy("doc_id").agg({"taken": "sum"}).withColumnRenamed("sum(taken)", "taken").collect()}
+    out = M.mix_documents(docs).collect()
+    assert {d: 3 * sum(r.doc_id == d for r in out) if d == 1 else 30 * sum(r.doc_id == 2 for r in out) for d in (1, 2)} == report

@@ -36,6 +36,17 @@ def test_edges(spark):
     assert T.token_table(empty_docs(spark), tokenizer_path()).count() == 0
 
 
+def test_special_strings(spark):
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|>y  z", "none of them", "<|endoftext", None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for as_text in (False, True):
+        tokenizer = Tokenizer.from_file(tokenizer_path())
+        tokenizer.encode_special_tokens = as_text
+        want = {i: [*tokenizer.encode(t or "", add_special_tokens=False).ids, 2] for i, t in enumerate(texts)}
+        got = T.token_table(docs, tokenizer_path(), special_as_text=as_text).collect()
+        assert {r.doc_id: (r.n_tokens, r.ids_crc32) for r in got} == {i: (len(x), zlib.crc32(np.array(x, "<u4").tobytes())) for i, x in want.items()}
+
+
 def test_random_access(spark, tmp_path):
     folder = f"file://{tmp_path}/ids"
     docs = spark.createDataFrame([(i, "word " * i) for i in range(50)], "doc_id long, text string")
