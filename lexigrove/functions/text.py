@@ -1,6 +1,6 @@
 """Text expressions: tokens, stems, character n-grams, keys, cleaners.
 
-All but `nfkc` run inside the JVM.
+All but `nfkc` and `ascii_letters`, and what is made of them, run inside the JVM.
 """
 
 from __future__ import annotations
@@ -19,11 +19,14 @@ SUFFIXES = ("ingly", "edly", "ing", "ed", "es", "s")
 #: Words whose immediate repetition is suspicious; shorter ones are never matched (fixed values).
 REPEATABLE = ("also", "and", "she", "the", "they", "this", "those")
 #: Words that a finished block doesn't end with (fixed values).
-DANGLING = "a an and as at by for from in into of on or that the to with".split()
+DANGLING = "a an and as at by for from in into of on or that the this to which with".split()
 
-#: ASCII white space between tokens.
-SPACE = r"[ \t\n\r\f]"
-NOT_SPACE = r"[^ \t\n\r\f]+"
+#: Small words that stay lower-case in titles (fixed values).
+SMALL_WORDS = "a an and at by for in of on or the to".split()
+
+#: White space of any script, and runs without it.
+SPACE = r"[\t-\r\x1C-\x20\x{85}\p{Z}]"
+NOT_SPACE = r"[^\t-\r\x1C-\x20\x{85}\p{Z}]+"
 
 
 @F.arrow_udf(T.StringType())
@@ -38,14 +41,20 @@ def squeeze(text: Column) -> Column:
 
 
 def match_key(text: Column) -> Column:
-    """Lower-case ASCII letters and digits only."""
-    return F.regexp_replace(F.lower(text), "[^a-z0-9]+", "")
+    """ASCII letters and digits only, in lower case, after NFKC: ligatures and wide letters count as what they stand for."""
+    return F.regexp_replace(F.lower(nfkc(text)), "[^a-z0-9]+", "")
+
+
+@F.arrow_udf(T.StringType())
+def ascii_letters(text: pa.Array) -> pa.Array:
+    """Letters without their accents (NFKD), and nothing else beyond ASCII."""
+    return pa.array([None if t is None else unicodedata.normalize("NFKD", t).encode("ascii", "ignore").decode() for t in text.to_pylist()], pa.string())
 
 
 def slug(text: Column) -> Column:
-    """Lower-case words joined by hyphens; "section" if nothing is left."""
-    out = F.regexp_replace(F.regexp_replace(F.lower(text), "[^a-z0-9]+", "-"), "^-+|-+$", "")
-    return F.when(out == "", "section").otherwise(out)
+    """Lower-case words without accents, joined by hyphens; "item" if nothing is left."""
+    out = F.regexp_replace(F.regexp_replace(F.lower(ascii_letters(text)), "[^a-z0-9]+", "-"), "^-+|-+$", "")
+    return F.when(out == "", "item").otherwise(out)
 
 
 def token_count(text: Column) -> Column:
@@ -99,7 +108,7 @@ def first_word(text: Column) -> Column:
 def title_case(text: Column) -> Column:
     """First letters upper-case; small words inside stay lower-case."""
     words = F.split(F.lower(squeeze(text)), " ")
-    cased = F.transform(words, lambda w, i: F.when((i > 0) & w.isin("a", "an", "and", "at", "by", "for", "in", "of", "on", "or", "the", "to"), w).otherwise(F.initcap(w)))
+    cased = F.transform(words, lambda w, i: F.when((i > 0) & w.isin(SMALL_WORDS), w).otherwise(F.initcap(w)))
     return F.array_join(cased, " ")
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from lexigrove.functions.text import DANGLING, first_word, repeated_words, squeeze, trailing_words
 
 #: Limits of the checks (fixed values).
-MICRO_CHARS, MICRO_REGIONS, SHORT_CHARS, MAX_BLOCK_TOKENS, COMPLEX_SHARE = 18, 6, 80, 1600, 0.35
+MICRO_CHARS, MICRO_REGIONS, SHORT_CHARS, SNIPPET = 18, 6, 80, 180
 #: Kinds of entries that have pages of their own (fixed values).
 LEAF_KINDS = ("frontmatter", "section", "epilogue", "index", "auxiliary")
 
@@ -41,6 +41,72 @@ def block_edge_issues(blocks: DataFrame) -> DataFrame:
     return marked.select("id", "ord", codes.alias("code"))
 
 
+def probe_blocks(blocks: DataFrame) -> DataFrame:
+    """(id, ord, code, snippet) of commentary blocks (id, ord, text, mode, sliced_start, sliced_end).
+
+    Comments are no text; only prose is checked.  The first block of an id may open in lower
+    case, and the last one stop anywhere, where the page is sliced there.  Snippets show up to
+    180 characters of the end in question.
+    """
+    body = squeeze(F.regexp_replace(F.coalesce(F.col("text"), F.lit("")), "(?s)<!--.*?-->", " "))
+    by = Window.partitionBy("id").orderBy("ord")
+    back = Window.partitionBy("id").orderBy(F.desc("ord"))
+    placed = blocks.withColumns({"body": body, "first": F.row_number().over(by) == 1, "last": F.row_number().over(back) == 1}).filter((F.col("mode") == "prose") & (F.col("body") != ""))
+    start, end = F.substring("body", 1, SNIPPET), F.substring(F.col("body"), F.greatest(F.length("body") - SNIPPET + 1, F.lit(1)), F.length("body"))
+    issue = lambda on, code, snippet: F.when(F.coalesce(on, F.lit(False)), F.struct(F.lit(code).alias("code"), snippet.alias("snippet")))
+    opening = F.substring(first_word(F.col("body")), 1, 1)
+    closes = F.col("last") & ~F.col("sliced_end")
+    hyphen = F.col("body").endswith("-")
+    tail = F.try_element_at(trailing_words(F.col("body"), 1), F.lit(-1))
+    found = [
+        issue(F.col("first") & ~F.col("sliced_start") & opening.rlike("^[a-z]$"), "block_lowercase_start", start),
+        issue(closes & hyphen, "block_hyphen_end", end),
+        issue(closes & ~hyphen & ~F.col("body").rlike("[.!?:\"”')\\]]$") & tail.isin(DANGLING), "block_dangling_end", end),
+    ]
+    return placed.select("id", "ord", F.explode(F.array_compact(F.array(*found))).alias("x")).select("id", "ord", "x.code", "x.snippet")
+
+
+def intentional_boundaries(overlaps: DataFrame, sliced_ends: DataFrame, sliced_starts: DataFrame) -> DataFrame:
+    """The boundary overlaps (left_id, right_id, kind) whose page is sliced on both sides (tables of `id`)."""
+    left = overlaps.filter("kind = 'boundary'").join(sliced_ends.select(F.col("id").alias("left_id")), "left_id", "left_semi")
+    return left.join(sliced_starts.select(F.col("id").alias("right_id")), "right_id", "left_semi")
+
+
+def entries_by_path(manifest: DataFrame, columns: Sequence[str], entry: str, order: str) -> DataFrame:
+    """(path, entry, column): the first manifest row that has a path in any of some columns, as the columns stand."""
+    pairs = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(c).alias("column"), F.col(c).alias("path")) for i, c in enumerate(columns)])
+    each = manifest.select(order, entry, F.explode(pairs).alias("x")).filter("x.path IS NOT NULL AND x.path <> ''")
+    first = F.min(F.struct(F.col(order).alias("at"), F.col("x.i").alias("i"), F.col(entry).alias("entry"), F.col("x.column").alias("column")))
+    return each.groupBy(F.col("x.path").alias("path")).agg(first.alias("f")).select("path", F.col("f.entry").alias(entry), F.col("f.column").alias("column"))
+
+
+def leaf_entries(manifest: DataFrame, part: str = "") -> DataFrame:
+    """The manifest rows (kind, path) that have pages of their own, and a path that contains ``part``."""
+    return manifest.filter(F.col("kind").isin(*LEAF_KINDS) & F.contains(F.col("path"), F.lit(part)))
+
+
+def means_where(rows: DataFrame, group: str, value: str, condition: Column) -> DataFrame:
+    """(group, n, mean, n_where, mean_where): a mean of all rows, and of those that a condition holds for."""
+    some = F.when(condition, F.col(value))
+    return rows.groupBy(group).agg(F.count(value).alias("n"), F.round(F.avg(value), 4).alias("mean"), F.count(some).alias("n_where"), F.round(F.avg(some), 4).alias("mean_where"))
+
+
+def first_seen(rows: DataFrame, group: str, order: str, value: str) -> DataFrame:
+    """(group, seen): the distinct values of a group by their first place, joined by spaces.
+
+    Each value is reduced to its first place before the group is put together.
+    """
+    places = rows.filter(F.col(value).isNotNull()).groupBy(group, value).agg(F.min(order).alias("at"))
+    ordered = F.array_sort(F.collect_list(F.struct("at", F.col(value).alias("v"))))
+    return places.groupBy(group).agg(F.array_join(F.transform(ordered, lambda x: x["v"]), " ").alias("seen"))
+
+
+def folder_digests(files: DataFrame, folder: str, path: str, text: str) -> DataFrame:
+    """(folder, n_files, sha256): a digest of all files of a folder by their sorted paths and contents."""
+    line = F.concat(F.col(path), F.lit(":"), F.sha2(F.coalesce(F.col(text), F.lit("")), 256))
+    return files.groupBy(folder).agg(F.count(F.lit(1)).alias("n_files"), F.sha2(F.array_join(F.array_sort(F.collect_list(line)), "\n"), 256).alias("sha256"))
+
+
 def micro_region_issues(texts: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(id, region_count) of texts with many very short lines; numbered anchors don't count."""
     lines = F.transform(F.split(F.coalesce(F.col(text_col), F.lit("")), "\n"), squeeze)
@@ -227,8 +293,3 @@ def over_limits(counts: DataFrame, limits: DataFrame) -> DataFrame:
     """(code, actual, most) of the codes that stand more often than their limit; codes without a count stand 0 times."""
     joined = limits.join(counts, "code", "left").select("code", F.coalesce("n", F.lit(0)).alias("actual"), "most")
     return joined.filter("actual > most")
-
-
-def spec_rows(spark, rows: Sequence[Mapping], schema: str) -> DataFrame:
-    """A small spec as a table."""
-    return spark.createDataFrame([tuple(r.get(f.split()[0]) for f in schema.split(", ")) for r in rows], schema)

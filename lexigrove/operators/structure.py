@@ -58,22 +58,25 @@ def monotonic_chain(observations: DataFrame, group: str) -> DataFrame:
     return observations.groupBy(group).applyInPandas(longest, observations.schema)
 
 
-def interpolate_pages(chain: DataFrame, wanted: DataFrame, page_count: int) -> DataFrame:
-    """(book_page, pdf_page): where wanted book pages stand, on straight lines between observations.
+def interpolate_pages(chain: DataFrame, wanted: DataFrame, page_count: int, book: str = "book") -> DataFrame:
+    """(book, book_page, pdf_page): where wanted book pages stand, on straight lines between a book's observations.
 
     Outside the chain the slope of its first or last two observations goes on; halves round to
-    even; results stay within the book.
+    even; results stay within the book; a book of one observation places nothing.  Every
+    wanted page finds the segment of its book by a window over both, not by pairs.
     """
-    by = Window.orderBy("book_page")  # a chain has one row per observed page of one book
-    ends = chain.select("book_page", "pdf_page", F.lead("book_page").over(by).alias("next_book"), F.lead("pdf_page").over(by).alias("next_pdf"), F.row_number().over(by).alias("n"))
-    segments = ends.filter("next_book IS NOT NULL").withColumn("last", F.col("n") == F.max("n").over(Window.partitionBy(F.lit(1))))
-    seg, want = segments.alias("s"), wanted.select(F.col("book_page").alias("want")).alias("w")
-    inside = (F.col("want") >= F.col("s.book_page")) & (F.col("want") <= F.col("s.next_book"))
-    outside = ((F.col("s.n") == 1) & (F.col("want") < F.col("s.book_page"))) | (F.col("s.last") & (F.col("want") > F.col("s.next_book")))
-    slope = (F.col("next_pdf") - F.col("pdf_page")) / F.greatest(F.col("next_book") - F.col("book_page"), F.lit(1))
-    placed = want.join(F.broadcast(seg), inside | outside).withColumn("estimate", F.bround(F.col("pdf_page") + (F.col("want") - F.col("book_page")) * slope, 0))
-    clipped = F.greatest(F.lit(1), F.least(F.lit(page_count), F.col("estimate").cast("int")))
-    return placed.groupBy("want").agg(F.min_by(clipped, "n").alias("pdf_page")).select(F.col("want").alias("book_page"), "pdf_page")
+    by = Window.partitionBy(book).orderBy("book_page")
+    ends = chain.select(book, "book_page", "pdf_page", F.lead("book_page").over(by).alias("next_book"), F.lead("pdf_page").over(by).alias("next_pdf"))
+    segments = ends.filter("next_book IS NOT NULL").select(book, F.col("book_page").alias("at"), F.struct(F.col("book_page").alias("b"), F.col("pdf_page").alias("p"), F.col("next_book").alias("nb"), F.col("next_pdf").alias("np")).alias("s"))
+    asked = wanted.select(book, F.col("book_page").alias("at"), F.lit(None).cast(segments.schema["s"].dataType).alias("s"), F.lit(True).alias("asked"))
+    # a page on an observation belongs to the segment that ends there, so segments stand behind the pages of equal number
+    line = Window.partitionBy(book).orderBy("at", F.col("s").isNotNull())
+    before, after = F.last("s", ignorenulls=True).over(line.rowsBetween(Window.unboundedPreceding, 0)), F.first("s", ignorenulls=True).over(line.rowsBetween(1, Window.unboundedFollowing))
+    placed = segments.withColumn("asked", F.lit(False)).unionByName(asked).withColumn("x", F.coalesce(before, after)).filter("asked AND x IS NOT NULL")
+    x = F.col("x")
+    slope = (x["np"] - x["p"]) / F.greatest(x["nb"] - x["b"], F.lit(1))
+    estimate = F.bround(x["p"] + (F.col("at") - x["b"]) * slope, 0).cast("int")
+    return placed.select(book, F.col("at").alias("book_page"), F.greatest(F.lit(1), F.least(F.lit(page_count), estimate)).alias("pdf_page"))
 
 
 def end_pages(entries: DataFrame, book: str) -> DataFrame:

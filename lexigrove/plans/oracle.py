@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from lexigrove.functions.text import DANGLING, REPEATABLE, STOPWORDS, SUFFIXES
+from lexigrove.functions.text import DANGLING, NOT_SPACE, REPEATABLE, SPACE, STOPWORDS, SUFFIXES
 from lexigrove.operators.retrieval import FUSION, K1, PROFILES, B
+from lexigrove.plans.documents import SQL
 
 
 def _in(words) -> str:
@@ -27,16 +28,17 @@ def _grams(text: str) -> str:
     return f"CASE WHEN trim({padded}) = '' THEN []::VARCHAR[] ELSE list_filter({whole}, lambda g: trim(g) <> '') END"
 
 
-_SQUEEZE = lambda x: f"trim(regexp_replace({x}, '[ \\t\\n\\r\\f]+', ' ', 'g'))"
-_TOKENS = lambda x: f"length(regexp_extract_all({x}, '[^ \\t\\n\\r\\f]+'))"
+_SQUEEZE = lambda x: f"trim(regexp_replace({x}, '{SPACE}+', ' ', 'g'))"
+_TOKENS = lambda x: f"length(regexp_extract_all({x}, '{NOT_SPACE}'))"
 _FIRST = "split_part(text, chr(10), 1)"
 _HTML = _SQUEEZE("regexp_replace(regexp_replace(regexp_replace(html, '<script[^>]*>.*?</script>|<style[^>]*>.*?</style>', ' ', 'gis'), '<[^>]*>', ' ', 'gs'), ' +', ' ', 'g')")
 _TITLE = _SQUEEZE("regexp_replace(regexp_extract(html, '<title[^>]*>(.*?)</title>', 1, 'is'), '<[^>]*>', ' ', 'gs')")
 
 
 def _slug(x: str) -> str:
-    core = f"regexp_replace(regexp_replace(lower({x}), '[^a-z0-9]+', '-', 'g'), '^-+|-+$', '', 'g')"
-    return f"CASE WHEN {core} = '' THEN 'section' ELSE {core} END"
+    plain = f"lower(regexp_replace(strip_accents({x}), '[^\\x00-\\x7F]', '', 'g'))"
+    core = f"regexp_replace(regexp_replace({plain}, '[^a-z0-9]+', '-', 'g'), '^-+|-+$', '', 'g')"
+    return f"CASE WHEN {core} = '' THEN 'item' ELSE {core} END"
 
 
 def _long(source: str, key: str, fields: dict[str, str]) -> str:
@@ -125,7 +127,7 @@ _EDGES = f"""edges AS (SELECT id, ord, 'block_lowercase_start' AS code FROM turn
   UNION ALL SELECT id, ord, 'block_dangling_end' FROM turns WHERE body <> '' AND {_OPEN} AND list_extract(regexp_extract_all(lower(body), '[a-z]+'), -1) IN ({_in(DANGLING)}))"""
 _MICRO = f"""micro AS (SELECT doc_id AS id, len(list_filter(list_transform(string_split(coalesce(text, ''), chr(10)), lambda x: {_SQUEEZE('x')}),
   lambda x: x <> '' AND length(x) <= 18 AND NOT regexp_matches(x, '^[0-9]+[a-z]\\)'))) AS region_count FROM documents)"""
-_PAIRS = "|".join(f"{w}[ \\t\\n\\r\\f]+{w}" for w in REPEATABLE)
+_PAIRS = "|".join(f"{w}{SPACE}+{w}" for w in REPEATABLE)
 _REPEATS = f"""repeats AS (SELECT doc_id AS id, regexp_extract(lower(unnest(regexp_extract_all(text, '(?i)\\b(?:{_PAIRS})\\b'))), '^[a-z]+') AS word FROM documents)"""
 _AUDIT = """SELECT 'doc/' || doc_id AS path, unnest(list_filter([
   CASE WHEN text IS NULL THEN 'fail missing_output_file' END, CASE WHEN contains(coalesce(text, ''), 'TODO') THEN 'fail todo_marker_left_in_output' END,
@@ -146,7 +148,7 @@ ORACLE_SQL: dict[str, str] = {
     "token_stats_by_lang": f"SELECT lang, {_STATS} FROM (SELECT lang, {_TOKENS(chr(99) + 'oalesce(text, ' + chr(39) * 2 + ')')} AS n_tokens FROM documents) GROUP BY lang",
     "stemmed_term_df": f"SELECT term, count(*) AS df, sum(tf)::BIGINT AS cf FROM (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest({_terms('text')}) AS term FROM documents) GROUP BY ALL) GROUP BY term",
     "chargram_df": f"SELECT gram, count(*) AS df FROM (SELECT item_id, unnest(list_distinct({_grams('text')})) AS gram FROM benchmark) GROUP BY gram",
-    "slug_keys": f"SELECT doc_id, {_slug(_FIRST)} AS slug, regexp_replace(lower({_FIRST}), '[^a-z0-9]+', '', 'g') AS match_key FROM documents",
+    "slug_keys": f"SELECT doc_id, {_slug(_FIRST)} AS slug, regexp_replace(lower(nfc_normalize({_FIRST})), '[^a-z0-9]+', '', 'g') AS match_key FROM documents",
     "title_case_norm": f"""SELECT p_partkey, list_aggregate(list_transform(string_split({_SQUEEZE('p_name')}, ' '), lambda w, i: CASE WHEN i > 1 AND lower(w) IN ('a','an','and','at','by','for','in','of','on','or','the','to') THEN lower(w) ELSE upper(substr(w, 1, 1)) || lower(substr(w, 2)) END), 'string_agg', ' ') AS title FROM part""",
     "html_clean": f"SELECT page_id, length(t) AS n_chars, {_TOKENS('t')} AS n_tokens, sha256(t) AS text_sha256 FROM (SELECT page_id, {_HTML} AS t FROM pages)",
     "retrieval_cleaning": "SELECT doc_id, sha256(trim(list_aggregate(list_transform(string_split(text, chr(10)), lambda x: substr(trim('- ' || x), 3)), 'string_agg', chr(10)))) AS text_sha256 FROM documents",
@@ -217,10 +219,6 @@ ORACLE_SQL: dict[str, str] = {
     "offset_votes": """WITH c AS (SELECT l_returnflag, date_diff('day', o_orderdate::DATE, l_shipdate::DATE) AS "offset", count(*) AS n FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY ALL),
       r AS (SELECT *, row_number() OVER w AS place, lead(n, 1, 0) OVER w AS second_count, sum(n) OVER (PARTITION BY l_returnflag) AS total FROM c WINDOW w AS (PARTITION BY l_returnflag ORDER BY n DESC, "offset"))
       SELECT l_returnflag, "offset"::INT AS "offset", n AS count, second_count, total::BIGINT AS total, round(n::DOUBLE / total, 4) AS confidence, n >= 25 AND n::DOUBLE / total >= 0.85 AND n >= greatest(10, second_count * 4) AS is_strong FROM r WHERE place = 1""",
-    "page_interpolation": """WITH seg(n, b, p, nb, np) AS (VALUES (1, 10, 54, 12, 56), (2, 12, 56, 13, 57), (3, 13, 57, 129, 170), (4, 129, 170, 132, 173)),
-      want AS (SELECT DISTINCT p_size AS w FROM part UNION ALL VALUES (3), (131), (140))
-      SELECT w AS book_page, greatest(1, least(300, min_by(round_even(p + (w - b) * (np - p)::DOUBLE / (nb - b), 0), n)::INT)) AS pdf_page
-      FROM want JOIN seg ON w BETWEEN b AND nb OR (n = 1 AND w < b) OR (n = 4 AND w > nb) GROUP BY w""",
     "entry_end_pages": "SELECT *, greatest(start_page, lead(start_page) OVER (PARTITION BY o_custkey ORDER BY sequence) - 1) AS end_page FROM (SELECT o_custkey, o_orderkey AS sequence, date_diff('day', DATE '1990-01-01', o_orderdate::DATE)::INT AS start_page FROM orders)",
     "line_regions_islands": """WITH g AS (SELECT *, CASE WHEN sec - lag(sec) OVER w > 3600 OR lag(sec) OVER w IS NULL THEN 1 ELSE 0 END AS s FROM (SELECT user_id, event_id, epoch(date_trunc('second', ts))::BIGINT AS sec FROM events) WINDOW w AS (PARTITION BY user_id ORDER BY event_id))
       SELECT user_id, island, count(*) AS n, min(event_id) AS first_event FROM (SELECT *, (sum(s) OVER (PARTITION BY user_id ORDER BY event_id ROWS UNBOUNDED PRECEDING))::BIGINT AS island FROM g) GROUP BY user_id, island""",
@@ -249,3 +247,5 @@ ORACLE_SQL: dict[str, str] = {
       UNION ALL SELECT 'c' || c_custkey, r_name || ' > ' || n_name || ' > ' || c_name FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey""",
     "roman_labels": """SELECT number, list_extract(['','x','xx','xxx','xl','l','lx','lxx','lxxx','xc'], number // 10 + 1) || list_extract(['','i','ii','iii','iv','v','vi','vii','viii','ix'], number % 10 + 1) AS label, number AS value FROM (SELECT DISTINCT p_size AS number FROM part)""",
 }
+
+ORACLE_SQL |= SQL

@@ -15,6 +15,7 @@ from lexigrove.operators import matching as M
 from lexigrove.operators import quality as Q
 from lexigrove.operators import retrieval as R
 from lexigrove.operators import structure as S
+from lexigrove.plans import documents
 from lexigrove.sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -365,13 +366,6 @@ def offset_votes(spark, sf):
     return S.offset_votes(items.select("l_returnflag", F.datediff("l_shipdate", "o_orderdate").alias("offset")), "l_returnflag", "offset")
 
 
-@query
-def page_interpolation(spark, sf):
-    chain = spark.sql("SELECT * FROM VALUES (54, 10), (56, 12), (57, 13), (170, 129), (173, 132) AS t(pdf_page, book_page)")
-    wanted = table(spark, sf, "part").select(F.col("p_size").alias("book_page")).distinct().union(spark.sql("SELECT explode(array(3, 131, 140))"))
-    return S.interpolate_pages(chain, wanted, 300)
-
-
 @query
 def monotonic_chain(spark, sf):
     nations = table(spark, sf, "nation").select(F.col("n_regionkey").alias("book"), F.col("n_nationkey").alias("pdf_page"), (F.col("n_nationkey") * 7 % 11).cast("int").alias("book_page"))
@@ -451,9 +445,9 @@ def gate_failures(spark, sf):
 
 @query
 def heading_matches(spark, sf):
-    """Page titles against the first words of the text of the page."""
-    pages = table(spark, sf, "pages").select("page_id", X.html_field(F.col("html"), "title").alias("title"), X.html_text(F.col("html")).alias("text"))
-    return pages.select("page_id", M.heading_match(F.substring("text", 1, 80), F.col("title")).alias("match_type"))
+    """Titles of pages against their first headings, whole; a page without a heading has an empty one."""
+    pages = table(spark, sf, "pages").select("page_id", X.html_field(F.col("html"), "title").alias("title"), X.html_field(F.col("html"), "h[1-3]").alias("heading"))
+    return pages.select("page_id", M.heading_match(F.col("heading"), F.col("title")).alias("match_type"))
 
 
 @query
@@ -469,7 +463,16 @@ def ancestor_paths(spark, sf):
 
 @query
 def toc_entries_parsed(spark, sf):
-    """Contents of one made-up book per nation."""
-    lines = ["Contents", "Preface  vii", "Introduction . . . . 1", "Part I: Nature", "1. The Sign  6", "Writing Before the Letter  27", "Chapter 2", "Sensibility and Cognition  61", "Epilogue  301", "Index 310"]
-    text = F.posexplode(F.array(*[F.lit(x) for x in lines])).alias("line_no", "text")
-    return S.parse_contents(table(spark, sf, "nation").select(F.col("n_name").alias("book"), text))
+    """Contents of a book per customer: front matter, then its orders as parts, chapters and sections by their numbers."""
+    key, page = F.col("o_orderkey"), F.row_number().over(Window.partitionBy("o_custkey").orderBy("o_orderkey")) * 4
+    line = (
+        F.when(key % 5 == 0, F.concat(F.lit("Part "), X.roman_numeral(key % 90 + 1), F.lit(": "), "o_orderpriority"))
+        .when(key % 5 == 1, F.concat((key % 30).cast("string"), F.lit(". "), "o_orderpriority", F.lit("  "), page.cast("string")))
+        .otherwise(F.concat("o_orderpriority", F.lit(" . . . "), page.cast("string")))
+    )
+    orders = table(spark, sf, "orders").select(F.concat(F.lit("c"), "o_custkey").alias("book"), key.alias("line_no"), line.alias("text"))
+    front = table(spark, sf, "customer").select(F.concat(F.lit("c"), "c_custkey").alias("book"), F.lit(-1).cast("long").alias("line_no"), F.lit("Preface  ix").alias("text"))
+    return S.parse_contents(orders.unionByName(front))
+
+
+QUERIES |= documents.QUERIES

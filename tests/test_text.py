@@ -26,8 +26,11 @@ def test_char_ngrams(spark):
 
 
 def test_keys(spark):
-    assert value(spark, X.slug(F.col("t")), t=" The Écho, of 2! ") == "the-cho-of-2"
-    assert value(spark, X.slug(F.col("t")), t="??") == "section"
+    assert value(spark, X.slug(F.col("t")), t=" The Écho, of 2! ") == "the-echo-of-2"
+    assert value(spark, X.slug(F.col("t")), t="??") == "item"
+    assert value(spark, X.slug(F.col("t")), t="Éﬁn²  Übergröße") == "efin2-ubergroe"
+    assert value(spark, X.match_key(F.col("t")), t="ﬁne Ｗｉｄｅ é²") == "finewide2"
+    assert value(spark, X.squeeze(F.col("t")), t="\u00a0a\u2003\x85b\x1fc \u3000") == "a b c"
     assert value(spark, X.match_key(F.col("t")), t="b. Language") == "blanguage"
     assert value(spark, X.title_case(F.col("t")), t="the ORDER of  things") == "The Order of Things"
 
