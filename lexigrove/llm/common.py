@@ -81,7 +81,7 @@ def unused(df: DataFrame, label: str) -> str:
 
 
 #: Keys up to which a counted table is broadcast (some 100 bytes each at the most); beyond, it is shuffled.
-BROADCAST_KEYS = 500_000
+BROADCAST_KEYS = 100_000
 #: Keys that have more than a so-manieth of all rows are joined apart, without a shuffle of their
 #: rows; there are at most so many.
 HOT_KEYS = 10_000
