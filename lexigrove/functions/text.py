@@ -79,13 +79,15 @@ def terms(text: Column) -> Column:
 def char_ngrams(text: Column, sizes: tuple[int, ...] = (3, 4, 5)) -> Column:
     """All n-grams of the lower-case ASCII words, one space between and around them."""
     cleaned = F.trim(F.regexp_replace(F.lower(text), "[^a-z0-9]+", " "))
-    padded = F.concat(F.lit(" "), cleaned, F.lit(" "))
+    letters = F.split(F.concat(F.lit(" "), cleaned, F.lit(" ")), "")
 
-    def of(size: int) -> Column:
-        places = F.when(F.length(padded) >= size, F.sequence(F.lit(1), F.length(padded) - size + 1)).otherwise(F.array().cast("array<int>"))
-        return F.filter(F.transform(places, lambda i: F.substring(padded, i, F.lit(size))), lambda g: F.trim(g) != "")
+    def of(c: Column, size: int) -> Column:
+        places = F.when(F.size(c) >= size, F.sequence(F.lit(0), F.size(c) - size)).otherwise(F.array().cast("array<int>"))
+        return F.transform(places, lambda i: F.concat(*[F.get(c, i + k) for k in range(size)]))
 
-    return F.when(cleaned == "", F.array().cast("array<string>")).otherwise(F.concat(*[of(n) for n in sizes]))
+    # the letters are bound to a lambda's variable, so they are split once for all grams
+    grams = F.flatten(F.transform(F.array(letters), lambda c: F.concat(*[of(c, n) for n in sizes])))
+    return F.when(cleaned == "", F.array().cast("array<string>")).otherwise(F.filter(grams, lambda g: F.trim(g) != ""))
 
 
 def repeated_words(text: Column) -> Column:

@@ -32,10 +32,21 @@ def long_fields(docs: DataFrame, id_col: str, fields: Mapping[str, Column]) -> D
     return docs.select(docs[id_col].alias("doc_id"), F.explode(pairs).alias("x")).select("doc_id", "x.field", "x.text")
 
 
-def postings(corpus: DataFrame, tokens=terms) -> DataFrame:
-    """(doc_id, field, term, tf, n_terms)."""
+#: Query terms up to which their table is broadcast (some 100 bytes each); beyond, it is shuffled.
+BROADCAST_TERMS = 200_000
+
+
+def postings(corpus: DataFrame, tokens=terms, wanted: DataFrame | None = None) -> DataFrame:
+    """(doc_id, field, term, tf, n_terms), of the terms in ``wanted`` (term) if it is given.
+
+    Other terms leave before anything is shuffled.
+    """
     split = corpus.select("doc_id", "field", tokens(F.col("text")).alias("terms"))
-    return split.select("doc_id", "field", F.size("terms").alias("n_terms"), F.explode("terms").alias("term")).groupBy("doc_id", "field", "n_terms", "term").agg(F.count(F.lit(1)).alias("tf"))
+    each = split.select("doc_id", "field", F.size("terms").alias("n_terms"), F.explode("terms").alias("term"))
+    if wanted is not None:
+        few = wanted.count() <= BROADCAST_TERMS
+        each = each.join(F.broadcast(wanted) if few else wanted, "term", "left_semi")
+    return each.groupBy("doc_id", "field", "n_terms", "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
 def query_terms(probes: DataFrame, tokens=terms) -> DataFrame:
@@ -56,11 +67,10 @@ def bm25_components(corpus: DataFrame, probes: DataFrame, weights: Mapping[str,
 
     Lengths average over all documents, empty fields included.
     """
-    found = postings(corpus.filter(F.col("field").isin(list(weights))))
-    sizes = corpus.groupBy("field").agg(F.count(F.lit(1)).alias("n_docs"), F.avg(F.size(terms(F.col("text")))).alias("mean_terms"))
     wanted = query_terms(probes)
-    # only postings of probed terms are counted and scored; one row per distinct probe term
-    hit = found.join(wanted.select("term").distinct(), "term", "left_semi")
+    # only postings of probed terms are counted and scored
+    hit = postings(corpus.filter(F.col("field").isin(list(weights))), wanted=wanted.select("term").distinct())
+    sizes = corpus.groupBy("field").agg(F.count(F.lit(1)).alias("n_docs"), F.avg(F.size(terms(F.col("text")))).alias("mean_terms"))
     df = hit.groupBy("field", "term").agg(F.count(F.lit(1)).alias("df"))
     idf = F.ln(1.0 + (F.col("n_docs") - F.col("df") + 0.5) / (F.col("df") + 0.5))
     length = 1.0 - B + B * F.col("n_terms") / F.when(F.col("mean_terms") == 0, 1.0).otherwise(F.col("mean_terms"))

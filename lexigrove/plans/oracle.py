@@ -23,9 +23,9 @@ def _terms(text: str) -> str:
 
 def _grams(text: str) -> str:
     padded = f"(' ' || trim(regexp_replace(lower({text}), '[^a-z0-9]+', ' ', 'g')) || ' ')"
-    parts = [f"list_transform(range(1, length({padded}) - {n} + 2), lambda i: substr({padded}, i, {n}))" for n in (3, 4, 5)]
-    whole = " || ".join(parts)
-    return f"CASE WHEN trim({padded}) = '' THEN []::VARCHAR[] ELSE list_filter({whole}, lambda g: trim(g) <> '') END"
+    # a lambda's variable holds the text, so it is cleaned once
+    parts = " || ".join(f"list_transform(range(1, length(p) - {n} + 2), lambda i: substr(p, i, {n}))" for n in (3, 4, 5))
+    return f"list_transform([{padded}], lambda p: CASE WHEN trim(p) = '' THEN []::VARCHAR[] ELSE list_filter({parts}, lambda g: trim(g) <> '') END)[1]"
 
 
 _SQUEEZE = lambda x: f"trim(regexp_replace({x}, '{SPACE}+', ' ', 'g'))"
@@ -154,8 +154,8 @@ ORACLE_SQL: dict[str, str] = {
     "retrieval_cleaning": "SELECT doc_id, sha256(trim(list_aggregate(list_transform(string_split(text, chr(10)), lambda x: substr(trim('- ' || x), 3)), 'string_agg', chr(10)))) AS text_sha256 FROM documents",
     "bm25_topk": f"WITH {_bm25('s', _BODY, 'body_bm25')} {_top('s', 5)}",
     "fielded_bm25_topk": f"WITH {_bm25('s', _FIELDS, 'fielded_bm25')} {_top('s', 5)}",
-    "chargram_tfidf_topk": f"WITH {_tfidf('s', 'SELECT * FROM (' + _PAGES + ') WHERE field <> ' + chr(39) + 'body' + chr(39))} {_top('s', 5)}",
-    "rrf_topk": f"""WITH {_bm25('a', _PAGES, 'fielded_bm25')}, {_tfidf('b', 'SELECT * FROM (' + _PAGES + ') WHERE field <> ' + chr(39) + 'body' + chr(39))},
+    "chargram_tfidf_topk": f"WITH {_tfidf('s', _PAGES)} {_top('s', 5)}",
+    "rrf_topk": f"""WITH {_bm25('a', _PAGES, 'fielded_bm25')}, {_tfidf('b', _PAGES)},
       grid AS (SELECT item_id AS probe_id, page_id AS doc_id FROM benchmark, pages),
       placed AS (SELECT probe_id, doc_id, row_number() OVER (PARTITION BY probe_id ORDER BY coalesce(a.score, 0) DESC, doc_id) AS ra, row_number() OVER (PARTITION BY probe_id ORDER BY coalesce(b.score, 0) DESC, doc_id) AS rb
         FROM grid LEFT JOIN a USING (probe_id, doc_id) LEFT JOIN b USING (probe_id, doc_id)),

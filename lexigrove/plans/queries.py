@@ -118,15 +118,14 @@ def fielded_bm25_topk(spark, sf):
 
 @query
 def chargram_tfidf_topk(spark, sf):
-    titles = _pages(spark, sf).filter("field <> 'body'")
-    return R.ranked(R.chargram_tfidf(titles, _probes(spark, sf), R.PROFILES["chargram_tfidf"]), 5)
+    return R.ranked(R.chargram_tfidf(_pages(spark, sf), _probes(spark, sf), R.PROFILES["chargram_tfidf"]), 5)
 
 
 @query
 def rrf_topk(spark, sf):
     pages, probes = _pages(spark, sf), _probes(spark, sf)
     ordinal = table(spark, sf, "pages").select(F.col("page_id").alias("doc_id"), (F.col("page_id") + 1).alias("ord"))
-    runs = [R.bm25(pages, probes, R.PROFILES["fielded_bm25"]), R.chargram_tfidf(pages.filter("field <> 'body'"), probes, R.PROFILES["chargram_tfidf"])]
+    runs = [R.bm25(pages, probes, R.PROFILES["fielded_bm25"]), R.chargram_tfidf(pages, probes, R.PROFILES["chargram_tfidf"])]
     return R.ranked(R.fuse(runs, ordinal), 5)
 
 
