@@ -24,7 +24,7 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each component of near-copies."""
+    """One document of each component of near-copies, with its smallest id."""
     return drop_near_duplicates(docs)
 
 
@@ -40,7 +40,7 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, start, n_tokens and ids_crc32 of each document, as the token files have them."""
-    return token_table(docs, tokenizer_path(), end_id=2)
+    return token_table(docs, tokenizer_path(), end_id=2, special_as_text=False)
 
 
 STAGES = [
