@@ -128,12 +128,13 @@ def scope_matches(issues: DataFrame, scopes: DataFrame, keys: Sequence[str]) ->
     """Each issue with the first scope (scope_ord, group, keys...) all of whose present keys it has.
 
     Scopes are a spec of a few rows, so the inequality join broadcasts them; keys compare as text.
+    Issues that are alike stay rows of their own.
     """
-    issue, scope = issues.alias("i"), scopes.alias("s")
+    issue, scope = issues.withColumn("__row", F.monotonically_increasing_id()).alias("i"), scopes.alias("s")
     on = F.lit(True)
     for k in keys:
         on = on & (F.col(f"s.{k}").isNull() | (F.col(f"i.{k}").cast("string") == F.col(f"s.{k}").cast("string")))
-    best = issue.join(F.broadcast(scope), on, "left").groupBy("i.id", *[F.col(f"i.{k}") for k in keys])
+    best = issue.join(F.broadcast(scope), on, "left").groupBy("i.__row", "i.id", *[F.col(f"i.{k}") for k in keys])
     return best.agg(F.min(F.struct(F.col("s.scope_ord"), F.col("s.group"))).alias("x")).select("id", *keys, F.coalesce("x.group", F.lit("unclassified")).alias("group"))
 
 

@@ -132,14 +132,15 @@ def fuse(runs: Sequence[DataFrame], ordinal: DataFrame) -> DataFrame:
     return placed.select("probe_id", "doc_id", F.round(score, 6).alias("score"))
 
 
-def containing(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", block: int = 20_000) -> DataFrame:
+def containing(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", block: int = 20_000, block_chars: int = 4_000_000) -> DataFrame:
     """(item_id, doc_id) of the documents whose text contains the item's, as it stands.
 
-    The items go through the documents in blocks of an automaton of bounded size.
+    The items go through the documents in blocks of an automaton of bounded size: `block` items
+    and `block_chars` characters at most (or a single longer item).
     """
     import ahocorasick
 
-    found, part = None, []
+    found, part, held = None, [], 0
 
     def scan(part: list[tuple]) -> DataFrame:
         shared = docs.sparkSession.sparkContext.broadcast(part)
@@ -160,9 +161,10 @@ def containing(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
         return docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text")).mapInArrow(run, "item_id long, doc_id long")
 
     for row in items.filter("text <> ''").select("item_id", "text").toLocalIterator():
+        if part and (len(part) == block or held + len(row.text) > block_chars):
+            found, part, held = scan(part) if found is None else found.unionAll(scan(part)), [], 0
         part.append((row.item_id, row.text))
-        if len(part) == block:
-            found, part = scan(part) if found is None else found.unionAll(scan(part)), []
+        held += len(row.text)
     if part:
         found = scan(part) if found is None else found.unionAll(scan(part))
     if found is None:

@@ -100,3 +100,9 @@ def test_streams(spark, tmp_path):
     want = Q.repeated_word_issues(spark.read.parquet(f"{folder}/documents.parquet"), "doc_id", "text").count()
     assert spark.table("issues").count() == want
     assert stream_event_counts(spark.read.parquet(f"{folder}/events.parquet")).count() > 0
+
+
+def test_alike_issues_stay_apart(spark):
+    issues = spark.createDataFrame([(1, "a"), (1, "a"), (2, None)], "id int, code string")
+    scopes = spark.createDataFrame([(1, "target", "a"), (2, "holdout", None)], "scope_ord int, `group` string, code string")
+    assert sorted((r.id, r.group) for r in Q.scope_matches(issues, scopes, ["code"]).collect()) == [(1, "target"), (1, "target"), (2, "holdout")]
