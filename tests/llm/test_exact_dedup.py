@@ -30,3 +30,8 @@ def test_tree_shapes_agree(spark, runs, fan_in):
     got = exact_dedup(docs, "smallest", runs, fan_in).collect()
     assert {(r.doc_id, r.keep_id) for r in got} == {(i, i % 7) for i in range(200)}
     assert {r.doc_id for r in got if r.kept} == set(range(7))
+
+
+def test_native(spark):
+    plan = exact_dedup(edge_docs(spark))._jdf.queryExecution().executedPlan().toString()
+    assert not any(x in plan for x in ("ArrowEvalPython", "BatchEvalPython", "MapInArrow", "MapInPandas"))

@@ -1,5 +1,8 @@
+import math
+import random
 import re
 
+import pytest
 from helpers import SMALL, edge_docs, empty_docs
 
 from lexigrove.llm import licenses as L
@@ -61,3 +64,43 @@ def test_edges(spark):
 def test_native(spark):
     plan = L.license_report(edge_docs(spark))._jdf.queryExecution().executedPlan().toString()
     assert not any(x in plan for x in ("ArrowEvalPython", "BatchEvalPython", "MapInArrow", "MapInPandas"))
+
+
+def labels_and_score(texts):
+    """What the positional index finds, by trying every start of every notice."""
+    split = [WORD.findall((t or "").translate(LOWER)) for t in texts]
+    df = {w: sum(w in words for words in split) for w in L.VOCABULARY}
+    idf = {w: math.log((len(texts) + 1) / (n + 1)) for w, n in df.items()}
+    for words in split:
+        labels, best = set(), 0.0
+        for p, lab in L.BASE_PHRASES.items():
+            if any(words[i : i + len(p.split())] == p.split() for i in range(len(words))):
+                labels.add(lab)
+                best = 1.0
+        for lab, notice, phrase in L.TEMPLATES:
+            own, must = notice.split(), phrase.split()
+            rare = sorted({(w, own.index(w)) for w in own if w in idf}, key=lambda x: (-idf[x[0]], x))[:3]
+            at = next(i for i in range(len(own)) if own[i : i + len(must)] == must)
+            for start in range(-len(own), len(words)):
+                held = lambda i: words[i] if 0 <= i < len(words) else None
+                if all(held(start + o) == w for w, o in rare) and start + at >= 0 and words[start + at : start + at + len(must)] == must:
+                    labels.add(lab)
+                    best = max(best, sum(held(start + i) == w for i, w in enumerate(own)) / len(own))
+        yield ",".join(sorted(labels)), best
+
+
+def test_labels_and_scores_equal_a_plain_search(spark):
+    pick = random.Random(4)
+    texts = [r.text for r in spark.read.parquet(f"{SMALL}/documents.parquet").orderBy("doc_id").limit(60).collect()] + [None, ""]
+    for _ in range(80):
+        parts = []
+        for _, notice, _ in pick.sample(L.TEMPLATES, 3):
+            words = notice.split()
+            for _ in range(pick.randrange(3)):
+                words[pick.randrange(len(words))] = pick.choice(["other", "license", "the", words[0]])
+            parts.append(" ".join(words[pick.randrange(3) :]))
+        texts.append(pick.choice(["", "Some text. "]) + "\n".join(parts))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: (r.labels, r.score) for r in L.license_report(docs).collect()}
+    for i, (labels, score) in enumerate(labels_and_score(texts)):
+        assert got[i] == (labels, pytest.approx(score)), texts[i]
