@@ -83,6 +83,24 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_report(table(spark, sf_dir, "documents"))
 
 
+def op11_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lexigrove.llm.embedding_dedup import embedding_components
+
+    return embedding_components(table(spark, sf_dir, "embeddings"), cosine=0.9)
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lexigrove.llm.filter_audit import filter_audit
+
+    return filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lexigrove.llm.periodic_runs import periodic_runs
+
+    return periodic_runs(table(spark, sf_dir, "documents"), plant=True)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filters": op1_url_filters,
     "op2_warc": op2_warc,
@@ -94,6 +112,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_near_dedup": op9_near_dedup,
     "op10_licenses": op10_licenses,
+    "op11_embedding_dedup": op11_embedding_dedup,
+    "op12_filter_audit": op12_filter_audit,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 _OP4 = """
@@ -137,4 +158,47 @@ SELECT conv_id, count(*) AS n_turns,
 FROM put GROUP BY conv_id
 """
 
-ORACLE_SQL: dict[str, str] = {"op2_warc": _OP2, "op4_exact_dedup": _OP4, "op6_chat_format": _OP6}
+_OP11 = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+                      THEN embedding::DOUBLE[] END AS e FROM embeddings
+), u AS (SELECT vec_id, list_transform(e, lambda x: x / sqrt(list_dot_product(e, e))) AS e FROM v),
+l AS MATERIALIZED (SELECT a.vec_id AS a, b.vec_id AS b FROM u a JOIN u b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e) AND list_dot_product(a.e, b.e) >= 0.9),
+r AS (
+  WITH RECURSIVE reach(a, b) AS (SELECT a, b FROM l UNION SELECT reach.a, l.b FROM reach JOIN l ON reach.b = l.a)
+  SELECT a, min(b) AS least FROM reach GROUP BY a
+), n AS (SELECT a, count(*) AS n FROM l GROUP BY a)
+SELECT vec_id, coalesce(n, 0) AS n_links, coalesce(least(least, vec_id), vec_id) AS component_id, coalesce(least(least, vec_id), vec_id) = vec_id AS kept
+FROM v LEFT JOIN n ON n.a = vec_id LEFT JOIN r ON r.a = vec_id
+"""
+
+_OP12 = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+         coalesce(min(doc_id) OVER (PARTITION BY coalesce(text, '')) < doc_id, false) AS e FROM documents
+), l AS (SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+f AS (
+  SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+         (len(w) < 200)::INT + 2 * (100 * len(list_distinct(w)) < 50 * len(w))::INT + 4 * (100 * length(regexp_replace(text, '[^A-Z]+', '', 'g')) > 3 * length(text))::INT
+           + 8 * regexp_matches(text, '[#$%&*|]')::INT + 16 * e::INT AS failed
+  FROM d LEFT JOIN l USING (doc_id)
+), c AS (SELECT part, failed, count(*) AS n, count(*) FILTER (good) AS n_good, count(*) FILTER (toxic) AS n_toxic FROM f GROUP BY ALL),
+x AS (SELECT * FROM (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)) AS t(k, bit)),
+o AS (
+  SELECT a.k || b.k || c.k || d.k || e.k AS filter_order, [a.bit, b.bit, c.bit, d.bit, e.bit] AS bits
+  FROM x a, x b, x c, x d, x e WHERE a.bit + b.bit + c.bit + d.bit + e.bit = 31 AND a.bit | b.bit | c.bit | d.bit | e.bit = 31
+), s AS (
+  SELECT filter_order, k AS step, bits[k] AS own, coalesce(list_sum(bits[1:k - 1]), 0)::INT AS before FROM o, (SELECT unnest(range(1, 6))::INT AS k)
+)
+SELECT part, filter_order, step,
+       (coalesce(sum(n) FILTER (failed & (own | before) = 0), 0))::BIGINT AS kept,
+       (coalesce(sum(n) FILTER (failed & own <> 0 AND failed & before = 0), 0))::BIGINT AS removed,
+       (coalesce(sum(n) FILTER (failed & own <> 0 AND failed & before <> 0), 0))::BIGINT AS redundant,
+       (coalesce(sum(n) FILTER (failed = own), 0))::BIGINT AS unique_fails,
+       (coalesce(sum(n_good) FILTER (failed & own <> 0 AND failed & before = 0), 0))::BIGINT AS good_lost,
+       (coalesce(sum(n_toxic) FILTER (failed & own <> 0 AND failed & before = 0), 0))::BIGINT AS toxic_lost,
+       (coalesce(sum(n * 120 // nullif(bit_count(failed), 0)) FILTER (failed & own <> 0), 0))::BIGINT AS shapley
+FROM c, s GROUP BY ALL
+"""
+
+ORACLE_SQL: dict[str, str] = {"op11_embedding_dedup": _OP11, "op12_filter_audit": _OP12, "op2_warc": _OP2, "op4_exact_dedup": _OP4, "op6_chat_format": _OP6}
