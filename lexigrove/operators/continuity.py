@@ -1,7 +1,6 @@
 """Whether neighbouring regions of a page go on in each other, and what they become when joined.
 
-Regions are rows (book, page, ord, zone, text, x0, y0, x1, y1); columns of the region before are
-named with the prefix ``last_``.  All rules are expressions over one row; only the repair of a
+Regions are rows (book, page, ord, zone, text, x0, y0, x1, y1).  All rules are expressions over one row; only the repair of a
 page folds, over the regions of that page.
 """
 
@@ -10,12 +9,20 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lexigrove.functions.text import squeeze
+from lexigrove.functions.text import slug, squeeze
 
 #: Words whose repetition across a boundary is an artifact (fixed values).
-BOUNDARY_WORDS = "a also an and he i in it of on or she the they this those to we".split()
-#: Farthest shifts and gaps of regions that go on in each other, in points (fixed values).
-X0_SHIFT, X1_SHIFT, LEAST_GAP, MOST_GAP, FOOT, HEAD, FEW_WORDS = 60.0, 120.0, -2.0, 28.0, 430.0, 90.0, 7
+BOUNDARY_WORDS = "a also an and he i in it of on or she the they this those to we you".split()
+#: How far left and right edges may shift, the widest gap, where the foot of a page begins and
+#: its head ends, in points, by how readily regions are joined (fixed values).
+LIMITS = {"conservative": (48.0, 96.0, 20.0, 470.0, 72.0), "balanced": (60.0, 120.0, 28.0, 430.0, 90.0), "aggressive": (84.0, 156.0, 40.0, 395.0, 110.0)}
+LEAST_GAP, FEW_WORDS = -2.0, 7
+#: Authors whose names mark a source reference (fixed values).
+CITED = ("Levinas", "Derrida")
+#: Region texts that are apparatus by themselves (fixed values).
+APPARATUS = ("chapter", "wn", "cf.", "supra", "infra", "op. cit.")
+#: Short regions: characters or words; how many of them, and how many notes among them, make a list of notes (fixed values).
+MICRO_CHARS, MICRO_WORDS, TITLED_MICRO, TITLED_NOTES, ASIDE_MICRO, ASIDE_NOTES = 24, 4, 4, 3, 6, 4
 #: Where notes at the foot of a page begin, and how their lines may shift (fixed values).
 NOTE_FOOT, NOTE_GAP, NOTE_X0, NOTE_X1, NOTE_LINE, NOTE_WIDER = 520.0, 20.0, 18.0, 48.0, 8.0, 120.0
 
@@ -23,6 +30,8 @@ _CAPITALS = "^[A-Z][A-Z .&/-]*$"
 _WORD = "[A-Za-z][A-Za-z'’-]*"
 _ENDED = "[.!?][\"”')\\]]?$"
 _REGION = ("zone", "text", "x0", "y0", "x1", "y1")
+#: Columns for a row's region and the one before it, while they are compared.
+_HERE, _LAST = "__continuity_here", "__continuity_last"
 
 
 def unfinished(text: Column) -> Column:
@@ -36,10 +45,42 @@ def goes_on(text: Column) -> Column:
     return squeeze(text).rlike("^(?U)[\\p{Ll},;:)\\]}’\"'-]")
 
 
+def reference_note(text: Column, cited: tuple[str, ...] = CITED) -> Column:
+    """Whether a short text is a reference: capitals, numbers, an author with a number, or a bracket."""
+    return _note(squeeze(text), cited)
+
+
+def note_apparatus(text: Column) -> Column:
+    """Whether a text is part of the apparatus of notes and not of a sentence: references, numerals, short capitals."""
+    return _apparatus(squeeze(text))
+
+
 def running_prose(text: Column) -> Column:
-    """Whether a text may be a part of a sentence: no note marker opens it and it is no line of capitals."""
-    flat = squeeze(text)
-    return (flat != "") & ~flat.rlike("^[0-9]+[a-z]?\\)") & ~(flat.rlike(_CAPITALS) & (F.length(flat) <= 32))
+    """Whether a text may be a part of a sentence: no apparatus, no note marker before it, no line of capitals."""
+    return _prose(squeeze(text))
+
+
+# the same of texts whose white space is squeezed already
+
+
+def _note(flat: Column, cited: tuple[str, ...] = CITED) -> Column:
+    digit = flat.rlike("[0-9]")
+    numbers = (F.length(flat) <= 40) & flat.rlike("^[\\[\\]0-9A-Za-z .,/–—-]+$")
+    named = (F.length(flat) <= 50) & flat.rlike(rf"\b({'|'.join(cited)})\b") if cited else F.lit(False)
+    bracket = (F.length(flat) <= 24) & flat.startswith("[") & flat.endswith("]")
+    return (flat != "") & (((F.length(flat) <= 16) & flat.rlike(_CAPITALS)) | (digit & (numbers | named)) | bracket)
+
+
+def _apparatus(flat: Column) -> Column:
+    numeral = flat.rlike("(?i)^([ivxlcdm]+|[0-9]+[.)]?)$")
+    dotted = flat.startswith(".") & (F.length(flat) <= 24)
+    capitals = (flat == F.upper(flat)) & (flat != F.lower(flat)) & ~flat.rlike("^[^ ]+ [^ ]+ ")
+    numbered = (F.length(flat) <= 18) & flat.rlike("[0-9]")
+    return (flat != "") & (_note(flat) | F.lower(flat).isin(*APPARATUS) | numeral | dotted | capitals | numbered)
+
+
+def _prose(flat: Column) -> Column:
+    return (flat != "") & ~_apparatus(flat) & ~flat.rlike("^[0-9]+[a-z]?\\)") & ~(flat.rlike(_CAPITALS) & (F.length(flat) <= 32))
 
 
 def repeated_word(left: Column, right: Column) -> Column:
@@ -49,45 +90,84 @@ def repeated_word(left: Column, right: Column) -> Column:
     return F.when((last == first) & last.isin(BOUNDARY_WORDS), first)
 
 
-def join_verdict(last: dict[str, Column], own: dict[str, Column], page_gap: Column) -> Column:
+def aligned(last: dict[str, Column], own: dict[str, Column], page_gap: Column, mode: str = "balanced") -> tuple[Column, Column]:
+    """Whether two regions stand in one column, and whether the second follows the first on its page or the next."""
+    x0_shift, x1_shift, gap, foot, head = LIMITS[mode]
+    beside = (last["zone"] == own["zone"]) | (F.abs(last["x0"] - own["x0"]) <= x0_shift) | (F.abs(last["x1"] - own["x1"]) <= x1_shift)
+    below = (own["y0"] - last["y1"]).between(LEAST_GAP, gap)
+    over_page = (last["y1"] >= foot) & (own["y0"] <= head)
+    return beside, F.when(page_gap == 0, below).when(page_gap == 1, over_page).otherwise(False)
+
+
+def text_verdict(before: Column, after: Column, opening: str = "") -> Column:
+    """How the second of two squeezed texts goes on in the first, or null; ``opening`` has further marks that it may open with."""
+    few = F.regexp_count(after, F.lit("[^ ]+")) <= FEW_WORDS
+    opens = after.rlike(f"^[{opening}]") if opening else F.lit(False)
+    return (
+        F.when(before.endswith("-") & after.rlike("^[A-Za-z0-9]"), "hyphen")
+        .when(repeated_word(before, after).isNotNull() & (unfinished(before) | goes_on(after)), "duplicate")
+        .when(unfinished(before) & (goes_on(after) | few | opens), "space")
+    )
+
+
+def join_verdict(last: dict[str, Column], own: dict[str, Column], page_gap: Column, mode: str = "balanced", content: Column | None = None) -> Column:
     """How a region joins the one before it ("hyphen", "duplicate", "space"), or why it doesn't.
 
-    The regions are given by their columns zone, text, x0, y0, x1 and y1.
+    The regions are given by their columns zone, x0, y0, x1 and y1, `text` with squeezed white
+    space, and `prose`, whether `running_prose` holds; ``content`` is the content mode of the
+    page, prose where it isn't given.
     """
-    before, after = (squeeze(F.coalesce(x["text"], F.lit(""))) for x in (last, own))
-    aligned = (last["zone"] == own["zone"]) | (F.abs(last["x0"] - own["x0"]) <= X0_SHIFT) | (F.abs(last["x1"] - own["x1"]) <= X1_SHIFT)
-    below = (own["y0"] - last["y1"]).between(LEAST_GAP, MOST_GAP)
-    over_page = (last["y1"] >= FOOT) & (own["y0"] <= HEAD)
-    follows = F.when(page_gap == 0, below).otherwise(over_page)
-    few = F.regexp_count(after, F.lit("[^ ]+")) <= FEW_WORDS
-    opens = after.rlike("^[\"'“(\\[]")
+    before, after = last["text"], own["text"]
+    beside, follows = aligned(last, own, page_gap, mode)
     return (
-        F.when((before == "") | (after == ""), "empty-fragment")
+        F.when(F.coalesce(content, F.lit("prose")) != "prose" if content is not None else F.lit(False), "non-prose-page")
+        .when((before == "") | (after == ""), "empty-fragment")
         .when(~page_gap.isin(0, 1), "page-gap")
-        .when(~running_prose(before) | ~running_prose(after), "non-prose-fragment")
-        .when(~aligned, "x-incompatible")
+        .when(~last["prose"] | ~own["prose"], "non-prose-fragment")
+        .when(~beside, "x-incompatible")
         .when(~follows, "y-incompatible")
-        .when(before.endswith("-") & after.rlike("^[A-Za-z0-9]"), "hyphen")
-        .when(repeated_word(before, after).isNotNull() & (unfinished(before) | goes_on(after)), "duplicate")
-        .when(unfinished(before) & (goes_on(after) | few | opens), "space")
-        .otherwise("no-continuation-signal")
+        .otherwise(F.coalesce(text_verdict(before, after, "\"'“(\\["), F.lit("no-continuation-signal")))
     )
 
 
 def joined_text(left: Column, right: Column, mode: Column) -> Column:
-    """Both texts as one: without the hyphen, without the repeated word, or with a space between."""
+    """Both texts as one: without the hyphen, without the repeated word if the right text opens with it, or with a space between."""
     a, b = squeeze(left), squeeze(right)
-    rest = F.ltrim(F.regexp_replace(b, f"^[^A-Za-z]*{_WORD}", ""))
-    return F.when(mode == "hyphen", F.concat(F.regexp_replace(a, "-$", ""), b)).when(mode == "duplicate", F.rtrim(F.concat(a, F.lit(" "), rest))).otherwise(F.concat(a, F.lit(" "), b))
+    rest = F.ltrim(F.regexp_replace(b, rf"^(?i)({'|'.join(BOUNDARY_WORDS)})\b", ""))
+    return F.when(mode == "hyphen", F.concat(F.regexp_replace(a, "-$", ""), b)).when((mode == "duplicate") & repeated_word(a, b).isNotNull(), F.rtrim(F.concat(a, F.lit(" "), rest))).otherwise(F.trim(F.concat(a, F.lit(" "), b)))
+
 
+def adjacent_joins(regions: DataFrame, mode: str = "balanced") -> DataFrame:
+    """``regions`` with `verdict` of `join_verdict` against the region before in the book, null for the first.
 
-def adjacent_joins(regions: DataFrame) -> DataFrame:
-    """``regions`` with `verdict` of `join_verdict` against the region before in the book, null for the first."""
+    A column `content_mode` says what a page holds; without it, all pages hold prose.
+    """
     by = Window.partitionBy("book").orderBy("page", "ord")
-    last = {c: F.lag(c).over(by) for c in ("page", *_REGION)}
-    seen = regions.withColumns({f"last_{c}": v for c, v in last.items()})
-    verdict = join_verdict({c: F.col(f"last_{c}") for c in _REGION}, {c: F.col(c) for c in _REGION}, F.col("page") - F.col("last_page"))
-    return seen.withColumn("verdict", F.when(F.col("last_page").isNotNull(), verdict)).drop(*(f"last_{c}" for c in last))
+    flat = squeeze(F.coalesce("text", F.lit("")))
+    fields = ("page", "zone", "text", "x0", "y0", "x1", "y1", "prose")
+    own = F.struct("page", "zone", flat.alias("text"), "x0", "y0", "x1", "y1", _prose(flat).alias("prose"))
+    seen = regions.withColumn(_HERE, own).withColumn(_LAST, F.lag(_HERE).over(by))
+    last, here = ({c: F.col(f"{side}.{c}") for c in fields} for side in (_LAST, _HERE))
+    content = F.col("content_mode") if "content_mode" in regions.columns else None
+    verdict = join_verdict(last, here, here["page"] - last["page"], mode, content)
+    return seen.withColumn("verdict", F.when(F.col(_LAST).isNotNull(), verdict)).drop(_LAST, _HERE)
+
+
+def content_modes(regions: DataFrame, pages: DataFrame) -> DataFrame:
+    """(book, page, content_mode): index, table or prose, of pages (book, page, entry_kind, entry_title, layout_kind).
+
+    A page of an index entry is an index, a page with a table's layout a table.  Else a page is
+    an index if its entry is called notes or index and it holds short regions and notes among
+    them, or if it is set as an aside and at least half of its many short regions are notes.
+    """
+    flat = squeeze(F.coalesce("text", F.lit("")))
+    short = (F.length(flat) <= MICRO_CHARS) | (F.regexp_count(flat, F.lit("[^ ]+")) <= MICRO_WORDS)
+    counts = regions.filter(flat != "").groupBy("book", "page").agg(F.count_if(short).alias("micro"), F.count_if(_apparatus(flat)).alias("notes"))
+    kind, layout = F.coalesce("entry_kind", F.lit("")), F.coalesce("layout_kind", F.lit(""))
+    titled = slug(F.coalesce("entry_title", F.lit(""))).isin("notes", "index") & (F.col("micro") >= TITLED_MICRO) & (F.col("notes") >= TITLED_NOTES)
+    aside = (layout == "aside") & (F.col("micro") >= ASIDE_MICRO) & (F.col("notes") >= F.greatest(F.lit(ASIDE_NOTES), F.floor(F.col("micro") / 2)))
+    mode = F.when(kind == "index", "index").when(layout == "table", "table").when(F.coalesce(titled | aside, F.lit(False)), "index").otherwise("prose")
+    return pages.join(counts, ["book", "page"], "left").select("book", "page", mode.alias("content_mode"))
 
 
 def repair_pages(regions: DataFrame) -> DataFrame:
@@ -101,7 +181,8 @@ def repair_pages(regions: DataFrame) -> DataFrame:
 
     def step(held: Column, region: Column) -> Column:
         last = F.element_at(held, -1)
-        mode = join_verdict({c: last[c] for c in _REGION}, {c: region[c] for c in _REGION}, F.lit(0))
+        sides = [{c: x[c] for c in _REGION} | {"text": squeeze(x["text"])} for x in (last, region)]
+        mode = join_verdict(*(x | {"prose": _prose(x["text"])} for x in sides), F.lit(0))
         whole = F.struct(
             last["ord"].alias("ord"), last["zone"].alias("zone"), joined_text(last["text"], region["text"], mode).alias("text"), F.least(last["x0"], region["x0"]).alias("x0"),
             F.least(last["y0"], region["y0"]).alias("y0"), F.greatest(last["x1"], region["x1"]).alias("x1"), F.greatest(last["y1"], region["y1"]).alias("y1"), (last["parts"] + 1).alias("parts"),
@@ -120,22 +201,19 @@ def note_lines(regions: DataFrame, is_note: Column) -> DataFrame:
     A line goes on in a note if it stands at the foot, close below the line before it, in the
     same zone or column, and that line is a note or goes on in one.
     """
+    own = "__"
+    while any(c.startswith(own) for c in regions.columns):
+        own += "_"
+    tied, run = f"{own}tied", f"{own}run"
     by = Window.partitionBy("book", "page").orderBy("ord")
     last = {c: F.lag(c).over(by) for c in ("zone", "x0", "y0", "x1", "y1")}
-    at = {c: F.col(f"__{c}") for c in last}
+    at = {c: F.col(f"{own}{c}") for c in last}
     shift = F.abs(at["x0"] - F.col("x0")) <= NOTE_X0
     same_line = (F.abs(at["y0"] - F.col("y0")) <= NOTE_LINE) & shift & (F.col("x1") - at["x1"] >= NOTE_WIDER)
     band = (at["zone"] == F.col("zone")) | (shift & (F.abs(at["x1"] - F.col("x1")) <= NOTE_X1)) | same_line
-    tied = F.coalesce(band & (F.col("y0") >= NOTE_FOOT) & (F.col("y0") - at["y1"] <= NOTE_GAP), F.lit(False))
-    marked = regions.withColumns({f"__{c}": v for c, v in last.items()}).withColumns({"seed": is_note & (F.col("y0") >= NOTE_FOOT), "__tied": tied})
-    marked = marked.withColumn("__run", F.sum((~F.col("__tied")).cast("int")).over(by.rowsBetween(Window.unboundedPreceding, 0)))
-    before = Window.partitionBy("book", "page", "__run").orderBy("ord").rowsBetween(Window.unboundedPreceding, -1)
-    continues = F.col("__tied") & F.coalesce(F.bool_or("seed").over(before), F.lit(False))
-    return marked.withColumn("continues", continues).drop(*(f"__{c}" for c in (*last, "tied", "run")))
-
-
-def reference_note(text: Column) -> Column:
-    """Whether a short text looks like the apparatus of notes: capitals, numbers, or a bracket."""
-    flat = squeeze(text)
-    numbers = (F.length(flat) <= 40) & flat.rlike("^[\\[\\]0-9A-Za-z .,/–—-]+$") & flat.rlike("[0-9]")
-    return (flat != "") & (((F.length(flat) <= 16) & flat.rlike(_CAPITALS)) | numbers | ((F.length(flat) <= 24) & flat.rlike("^\\[.*\\]$")))
+    close = F.coalesce(band & (F.col("y0") >= NOTE_FOOT) & (F.col("y0") - at["y1"] <= NOTE_GAP), F.lit(False))
+    marked = regions.withColumns({f"{own}{c}": v for c, v in last.items()}).withColumns({"seed": is_note & (F.col("y0") >= NOTE_FOOT), tied: close})
+    marked = marked.withColumn(run, F.sum((~F.col(tied)).cast("int")).over(by.rowsBetween(Window.unboundedPreceding, 0)))
+    before = Window.partitionBy("book", "page", run).orderBy("ord").rowsBetween(Window.unboundedPreceding, -1)
+    continues = F.col(tied) & F.coalesce(F.bool_or("seed").over(before), F.lit(False))
+    return marked.withColumn("continues", continues).drop(*(f"{own}{c}" for c in last), tied, run)

@@ -8,6 +8,7 @@ from lexigrove.functions.text import DANGLING, SPACE, html_field, html_text, squ
 from lexigrove.operators import continuity as C
 from lexigrove.operators import layout as L
 from lexigrove.operators import paging as P
+from lexigrove.operators import passages as G
 from lexigrove.operators import projection as J
 from lexigrove.operators import quality as Q
 from lexigrove.operators import structure as S
@@ -50,18 +51,99 @@ def region_joins(spark, sf):
 
 
 _WORD = "[A-Za-z][A-Za-z''’-]*"
-_PROSE = lambda x: f"{x} <> '' AND NOT regexp_matches({x}, '^[0-9]+[a-z]?\\)') AND NOT (regexp_matches({x}, '^[A-Z][A-Z .&/-]*$') AND length({x}) <= 32)"
+_DIGIT = lambda x: f"regexp_matches({x}, '[0-9]')"
+_NOTE = lambda x: f"({x} <> '' AND ((length({x}) <= 16 AND regexp_matches({x}, '^[A-Z][A-Z .&/-]*$')) OR (length({x}) <= 40 AND regexp_matches({x}, '^[\\[\\]0-9A-Za-z .,/–—-]+$') AND {_DIGIT(x)}) OR (length({x}) <= 50 AND regexp_matches({x}, '\\b(Levinas|Derrida)\\b') AND {_DIGIT(x)}) OR (length({x}) <= 24 AND {x}[1] = '[' AND {x}[-1] = ']')))"
+_APPARATUS = lambda x: f"({_NOTE(x)} OR lower({x}) IN ('chapter', 'wn', 'cf.', 'supra', 'infra', 'op. cit.') OR regexp_matches(lower({x}), '^([ivxlcdm]+|[0-9]+[.)]?)$') OR ({x}[1] = '.' AND length({x}) <= 24) OR ({x} = upper({x}) AND {x} <> lower({x}) AND {_N(x)} <= 2) OR (length({x}) <= 18 AND {_DIGIT(x)}))"
+_PROSE = lambda x: f"({x} <> '' AND NOT {_APPARATUS(x)} AND NOT regexp_matches({x}, '^[0-9]+[a-z]?\\)') AND NOT (regexp_matches({x}, '^[A-Z][A-Z .&/-]*$') AND length({x}) <= 32))"
 _OPEN_END = "NOT regexp_matches(b, '[.!?][\"”'')\\]]?$')"
 _GOES_ON = "regexp_matches(a, '^[\\p{Ll},;:)\\]}’\"''-]')"
+_LAST_WORD, _FIRST_WORD = f"lower(list_extract(regexp_extract_all(b, '{_WORD}'), -1))", f"lower(list_extract(regexp_extract_all(a, '{_WORD}'), 1))"
+_REPEATED = f"{_LAST_WORD} = {_FIRST_WORD} AND {_LAST_WORD} IN ('a', 'also', 'an', 'and', 'he', 'i', 'in', 'it', 'of', 'on', 'or', 'she', 'the', 'they', 'this', 'those', 'to', 'we', 'you')"
 SQL["region_joins"] = f"""WITH {_LINES}, flat AS (SELECT *, {_SQ('text')} AS a FROM lines),
-  pairs AS (SELECT *, lag(a) OVER w AS b, page - lag(page) OVER w AS gap, lag(zone) OVER w AS lz, lag(x0) OVER w AS lx0, lag(x1) OVER w AS lx1, lag(y1) OVER w AS ly1 FROM flat WINDOW w AS (PARTITION BY book ORDER BY page, ord)),
-  words AS (SELECT *, lower(list_extract(regexp_extract_all(b, '{_WORD}'), -1)) AS lw, lower(list_extract(regexp_extract_all(a, '{_WORD}'), 1)) AS fw FROM pairs)
+  pairs AS (SELECT *, lag(a) OVER w AS b, page - lag(page) OVER w AS gap, lag(zone) OVER w AS lz, lag(x0) OVER w AS lx0, lag(x1) OVER w AS lx1, lag(y1) OVER w AS ly1 FROM flat WINDOW w AS (PARTITION BY book ORDER BY page, ord))
   SELECT book, verdict, count(*) AS n FROM (SELECT book, CASE WHEN b IS NULL THEN 'first' WHEN a = '' OR b = '' THEN 'empty-fragment' WHEN gap NOT IN (0, 1) THEN 'page-gap'
-    WHEN NOT ({_PROSE('a')}) OR NOT ({_PROSE('b')}) THEN 'non-prose-fragment' WHEN NOT (zone = lz OR abs(x0 - lx0) <= 60 OR abs(x1 - lx1) <= 120) THEN 'x-incompatible'
+    WHEN NOT {_PROSE('a')} OR NOT {_PROSE('b')} THEN 'non-prose-fragment' WHEN NOT (zone = lz OR abs(x0 - lx0) <= 60 OR abs(x1 - lx1) <= 120) THEN 'x-incompatible'
     WHEN NOT (CASE WHEN gap = 0 THEN y0 - ly1 BETWEEN -2 AND 28 ELSE ly1 >= 430 AND y0 <= 90 END) THEN 'y-incompatible'
     WHEN ends_with(b, '-') AND regexp_matches(a, '^[A-Za-z0-9]') THEN 'hyphen'
-    WHEN lw = fw AND lw IN ({', '.join(f"'{w}'" for w in C.BOUNDARY_WORDS)}) AND ({_OPEN_END} OR {_GOES_ON}) THEN 'duplicate'
-    WHEN {_OPEN_END} AND ({_GOES_ON} OR {_N('a')} <= 7 OR regexp_matches(a, '^["''“(\\[]')) THEN 'space' ELSE 'no-continuation-signal' END AS verdict FROM words) GROUP BY ALL"""
+    WHEN {_REPEATED} AND ({_OPEN_END} OR {_GOES_ON}) THEN 'duplicate'
+    WHEN {_OPEN_END} AND ({_GOES_ON} OR {_N('a')} <= 7 OR regexp_matches(a, '^["''“(\\[]')) THEN 'space' ELSE 'no-continuation-signal' END AS verdict FROM pairs) GROUP BY ALL"""
+
+
+# passages
+
+
+def _book_regions(spark, sf):
+    """Sentences of a document as regions, twenty a page, some of which become anchors, notes or unfinished ones."""
+    found = table(spark, sf, "documents").select(F.col("doc_id").alias("book"), F.posexplode(F.regexp_extract_all("text", F.lit(r"[^.!?\n]+[.!?]?"), F.lit(0))).alias("i", "t"))
+    i, t, no = F.col("i"), F.trim(F.regexp_replace("t", r"^[-*•\s]+", "")), (F.floor(F.col("i") / 17) + 1).cast("string")
+    text = (
+        F.when(i % 17 == 3, F.concat(no, F.lit("a) "), t)).when(i % 17 == 9, F.concat(no, F.lit("b)"))).when(i % 23 == 7, F.concat(F.lit("["), i.cast("string"), F.lit("]")))
+        .when(i % 29 == 11, F.concat(t, F.lit(" "), i.cast("string"), F.lit("c) "), t)).when(i % 3 == 0, F.regexp_replace(t, "[.!?]$", "")).otherwise(t)
+    )
+    zone = F.when(i % 5 == 4, "right").when(i % 7 == 6, "left").otherwise("center")
+    x0 = F.when(zone == "left", 50).when(zone == "right", 310).otherwise(180) + (i * 53 + F.col("book")) % 40
+    y0 = 40 + i % 20 * 27 - F.when((i % 17).isin(4, 10), 19).otherwise(0)
+    page = F.floor(i / 20).cast("int")
+    return found.select(
+        "book", page.alias("page"), F.concat(F.lit("p"), page.cast("string")).alias("page_label"), i.alias("ord"), F.when(i % 31 == 30, "aside").otherwise("main").alias("role"), zone.alias("zone"),
+        F.lit("simple").alias("layout_kind"), F.when(page % 9 == 8, "table").otherwise("prose").alias("content_mode"), text.alias("text"),
+        x0.cast("double").alias("x0"), y0.cast("double").alias("y0"), (x0 + 120).cast("double").alias("x1"), (y0 + 12).cast("double").alias("y1"),
+    )
+
+
+@query
+def passage_buckets(spark, sf):
+    """Each fragment of a book with its passage and bucket, by the machine over all pages."""
+    found = G.bucketed(G.flatten(_book_regions(spark, sf)))
+    return found.select("book", "page", "ord", "frag", "passage", "label", "bucket", "inherited", "attach", "join_mode")
+
+
+_REASON = f"""CASE WHEN NOT note AND NOT is_anchor AND n_y0 - y0 <= 18 AND {_N('a')} <= 10 AND NOT regexp_matches(a, '[.!?][\"”'')\\]]?$')
+    THEN CASE WHEN ord = n_ord THEN 'embedded-anchor-fragment' WHEN zone <> n_zone THEN 'cross-zone-next-anchor' WHEN regexp_matches(n_text, '(?i)^([-*]\\s*)?[0-9]+[a-z]\\)\\s*$') THEN 'marker-only-next-anchor' END END"""
+SQL["passage_buckets"] = f"""WITH RECURSIVE src AS (SELECT doc_id AS book, unnest(s) AS t, unnest(range(len(s)))::INT AS i FROM (SELECT doc_id, regexp_extract_all(text, '[^.!?\\n]+[.!?]?') AS s FROM documents)),
+  named AS (SELECT book, i, trim(regexp_replace(t, '^[-*•\\s]+', '')) AS t, i // 17 + 1 AS no, i // 20 AS page, CASE WHEN i % 5 = 4 THEN 'right' WHEN i % 7 = 6 THEN 'left' ELSE 'center' END AS zone FROM src),
+  regions AS (SELECT book, page, i AS ord, CASE WHEN i % 31 = 30 THEN 'aside' ELSE 'main' END AS role, zone, CASE WHEN page % 9 = 8 THEN 'table' ELSE 'prose' END AS content_mode,
+    CASE WHEN i % 17 = 3 THEN no || 'a) ' || t WHEN i % 17 = 9 THEN no || 'b)' WHEN i % 23 = 7 THEN '[' || i || ']' WHEN i % 29 = 11 THEN t || ' ' || i || 'c) ' || t WHEN i % 3 = 0 THEN regexp_replace(t, '[.!?]$', '') ELSE t END AS text,
+    (CASE zone WHEN 'left' THEN 50 WHEN 'right' THEN 310 ELSE 180 END + (i * 53 + book) % 40)::DOUBLE AS x0, (40 + i % 20 * 27 - CASE WHEN i % 17 IN (4, 10) THEN 19 ELSE 0 END)::DOUBLE AS y0 FROM named),
+  pieces AS (SELECT *, string_split(regexp_replace({_SQ("regexp_replace(trim(text), '^[-*•]\\s*', '')")}, '\\s([0-9]+[A-Za-z]\\))', chr(1) || '\\1', 'g'), chr(1)) AS cut FROM regions),
+  frags AS (SELECT book, page, ord, role, zone, content_mode, x0, y0, trim(unnest(cut)) AS a, unnest(range(len(cut)))::INT AS frag FROM pieces),
+  f AS (SELECT *, row_number() OVER (PARTITION BY book ORDER BY page, ord, frag) AS n, regexp_matches(a, '(?i)^([-*]\\s*)?[0-9]+[a-z]\\)') AS is_anchor, {_NOTE('a')} AS note,
+    lower(regexp_extract(a, '(?i)^([-*]\\s*)?([0-9]+[a-z])\\)', 2)) AS own_label, {_SQ("regexp_extract(a, '(?i)^([-*]\\s*)?[0-9]+[a-z]\\)\\s*(.*)$', 2)")} AS rest FROM frags WHERE a <> ''),
+  seeds AS (SELECT *, is_anchor AND NOT (rest = '' OR regexp_matches(rest, '^\\[[^\\]]*\\]$') OR regexp_matches(rest, '^(Levinas|Derrida)\\s+\\S+\\s+\\S+$')
+      OR (length(rest) <= 42 AND regexp_matches(rest, '^([A-Z][A-Za-z]+(\\s+[A-Z][A-Za-z0-9.]+){{0,4}}|(Levinas|Derrida)\\b.*)$'))) AS seeded FROM f),
+  near AS (SELECT *, lead(n) OVER p AS n2, first_value(CASE WHEN is_anchor THEN own_label END IGNORE NULLS) OVER (PARTITION BY book, page ORDER BY n ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS page_anchor,
+      coalesce(bool_or(is_anchor) OVER (PARTITION BY book, page ORDER BY n ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), false) AS seen,
+      first_value(CASE WHEN is_anchor THEN {{'y0': y0, 'zone': zone, 'ord': ord, 'a': a}} END IGNORE NULLS) OVER (PARTITION BY book, page ORDER BY n ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS nx,
+      lag({{'page': page, 'zone': zone, 'x0': x0, 'y0': y0, 'a': a, 'note': note, 'mode': content_mode, 'is_anchor': is_anchor}}) OVER p AS pv FROM seeds WINDOW p AS (PARTITION BY book ORDER BY n)),
+  ties AS (SELECT *, nx.y0 AS n_y0, nx.zone AS n_zone, nx.ord AS n_ord, nx.a AS n_text, pv.a AS b,
+      coalesce(pv.page = page AND y0 >= 520 AND y0 - (pv.y0 + 12) <= 20 AND (pv.zone = zone OR (abs(pv.x0 - x0) <= 18) ), false) AS tied FROM near),
+  runs AS (SELECT *, sum((NOT tied)::INT) OVER (PARTITION BY book, page ORDER BY n ROWS UNBOUNDED PRECEDING) AS run FROM ties),
+  facts AS (SELECT *, tied AND coalesce(bool_or(note AND y0 >= 520) OVER (PARTITION BY book, page, run ORDER BY n ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), false) AS note_goes, {_REASON} AS attach,
+      CASE WHEN NOT is_anchor AND NOT pv.is_anchor AND NOT note AND NOT pv.note AND content_mode = 'prose' AND pv.mode = 'prose' AND (zone = pv.zone OR abs(x0 - pv.x0) <= 60 OR abs((x0 + 120) - (pv.x0 + 120)) <= 120)
+          AND CASE page - pv.page WHEN 0 THEN y0 - (pv.y0 + 12) BETWEEN -2 AND 28 WHEN 1 THEN pv.y0 + 12 >= 430 AND y0 <= 90 ELSE false END
+        THEN CASE WHEN ends_with(b, '-') AND regexp_matches(a, '^[A-Za-z0-9]') THEN 'hyphen' WHEN {_REPEATED} AND ({_OPEN_END} OR {_GOES_ON}) THEN 'duplicate' WHEN {_OPEN_END} AND ({_GOES_ON} OR {_N('a')} <= 7) THEN 'space' END END AS join_mode FROM runs),
+  stops AS (SELECT x.book, x.n, min(y.n) FILTER (y.is_anchor OR y.y0 - x.y0 > 12) AS stop FROM facts x JOIN facts y ON x.book = y.book AND x.page = y.page AND y.n > x.n WHERE x.is_anchor AND x.zone = 'center' AND NOT x.seeded GROUP BY ALL),
+  cited AS (SELECT x.book, x.n, arg_min(y.zone, y.n) AS zone FROM facts x JOIN stops USING (book, n) JOIN facts y ON x.book = y.book AND x.page = y.page AND y.n > x.n AND y.n < coalesce(stop, y.n + 1) AND y.zone <> x.zone AND NOT y.note GROUP BY ALL),
+  anchors AS (SELECT f.book, f.n, own_label AS label, seeded, CASE WHEN f.zone = 'center' AND NOT seeded THEN coalesce(c.zone, f.zone) ELSE f.zone END AS czone, row_number() OVER (PARTITION BY f.book ORDER BY f.n) AS passage FROM facts f LEFT JOIN cited c USING (book, n) WHERE is_anchor),
+  upto AS (SELECT *, sum(is_anchor::INT) OVER (PARTITION BY book ORDER BY n ROWS UNBOUNDED PRECEDING) + (attach IS NOT NULL)::INT AS passage FROM facts),
+  placed AS (SELECT u.*, p.label AS label, p.czone, row_number() OVER (PARTITION BY u.book ORDER BY u.passage, CASE WHEN is_anchor THEN 0 WHEN attach IS NOT NULL THEN 1 ELSE 2 END, u.n) AS m FROM upto u LEFT JOIN anchors p ON p.book = u.book AND p.passage = u.passage),
+  ready AS (SELECT *, CASE WHEN note OR note_goes THEN 'reference' WHEN label IS NULL THEN CASE WHEN role = 'main' THEN 'commentary' ELSE 'reference' END
+      WHEN page_anchor IS NOT NULL AND NOT seen AND page_anchor <> label THEN 'commentary' WHEN zone = czone THEN 'citation' ELSE 'commentary' END AS plain, label IS NOT NULL AND zone = 'center' AND {_N('a')} <= 4 AND NOT note AS lead FROM placed),
+  machine(book, m, bucket, inherited, cit, ref) AS (
+    SELECT book, 0::BIGINT, NULL::VARCHAR, false, false, false FROM (SELECT DISTINCT book FROM ready)
+    UNION ALL
+    SELECT r.book, r.m, nb, NOT r.is_anchor AND r.join_mode IS NOT NULL AND s.bucket IS NOT NULL, CASE WHEN r.is_anchor THEN r.seeded ELSE s.cit OR nb = 'citation' END, CASE WHEN r.is_anchor THEN false ELSE s.ref OR nb = 'reference' END
+    FROM (SELECT s.*, r.m AS next_m, CASE WHEN r.is_anchor THEN CASE WHEN r.seeded THEN 'citation' END WHEN r.attach IS NOT NULL THEN 'commentary' WHEN r.join_mode IS NOT NULL AND s.bucket IS NOT NULL THEN s.bucket
+        WHEN r.lead AND NOT s.cit AND NOT s.ref THEN 'citation' ELSE r.plain END AS nb FROM machine s JOIN ready r ON r.book = s.book AND r.m = s.m + 1) s JOIN ready r ON r.book = s.book AND r.m = s.next_m)
+  SELECT book, page, ord, frag, passage::BIGINT AS passage, label, bucket, inherited, attach, join_mode FROM machine JOIN ready USING (book, m)"""
+
+
+@query
+def passages_repaired(spark, sf):
+    """Passages with commentary and bibliography where they belong.  No SQL: parts are joined by rules over texts; the tests fold in plain Python."""
+    found = G.passages(_book_regions(spark, sf))
+    digest = lambda c: F.sha2(F.array_join(c, "\u0001"), 256).alias(f"{c}_sha256")
+    return found.select("book", "passage", "passage_id", "source_ref", *map(digest, G.BUCKETS), F.sha2(G.merged(F.col("commentary")), 256).alias("merged_sha256"), F.array_join("page_labels", ",").alias("page_labels"))
 
 
 @query

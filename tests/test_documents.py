@@ -1,6 +1,4 @@
-"""Region repair against a plain fold, and the new operators on nulls, empty tables and clashing columns."""
-
-import re
+"""Region joins and repair on literal cases, and the operators on nulls, empty tables and clashing columns."""
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,86 +8,104 @@ from lexigrove.operators import paging as P
 from lexigrove.operators import projection as J
 from lexigrove.operators import quality as Q
 
-SPACE = re.compile("[\t-\r\x1c-\x20\x85\\s]+")
-REGIONS = "book int, page int, ord int, zone string, text string, x0 double, y0 double, x1 double, y1 double"
-TEXTS = ["It goes on and", "and so it ends.", "A new one", "goes with-", "out end", "NOTES", "12) a note", None, "", "The last of the", "The rest, here", "  who said that ", "“Quoted” words stand here for a while now.", "lower again"]
-
-
-def flat(text):
-    return SPACE.sub(" ", text or "").strip()
-
-
-def words(text):
-    return re.findall("[A-Za-z][A-Za-z'’-]*", text)
 
-
-def prose(t):
-    return t != "" and not re.match(r"[0-9]+[a-z]?\)", t) and not (re.fullmatch("[A-Z][A-Z .&/-]*", t) and len(t) <= 32)
+REGIONS = "book int, page int, ord int, zone string, text string, x0 double, y0 double, x1 double, y1 double"
 
 
-def open_end(t):
-    return t != "" and not re.search("[.!?][\"”')\\]]?$", t)
+def pair(i, left, right, zone="center", x=(100, 300), y=(60, 72, 90), pages=(1, 1)):
+    """Two regions of a book, the second with its own zone, edges, top and page."""
+    return [(i, pages[0], 0, "center", left, 100.0, float(y[0]), 300.0, float(y[1])), (i, pages[1], 1, zone, right, float(x[0]), float(y[2]), float(x[1]), float(y[2]) + 12)]
+
+
+#: What two regions say, where the second stands, and how it joins the first, worked out by hand.
+JOINS = [
+    (("It goes on and", "so it ends."), {}, "space"),
+    (("It goes on and", "So it ends here and nowhere else at all."), {}, "no-continuation-signal"),
+    (("It goes on and", "So it ends at once here."), {}, "space"),
+    (("It goes on and", "“So it ends here and nowhere else at all."), {}, "space"),
+    (("It has ended.", "so it goes."), {}, "no-continuation-signal"),
+    (("It goes with-", "out end"), {}, "hyphen"),
+    (("It goes with-", "“out” end"), {}, "space"),
+    (("That was for you", "You went on with many more words than seven."), {}, "duplicate"),
+    (("This is what the", "The rest of it has many more words than seven."), {}, "duplicate"),
+    (("This is the.", "The rest of it has many more words than seven."), {}, "no-continuation-signal"),
+    (("This is what was", "Was it so with many more words than these."), {}, "no-continuation-signal"),
+    (("", "so it ends."), {}, "empty-fragment"),
+    (("It goes on and", None), {}, "empty-fragment"),
+    (("NOTES", "so it ends."), {}, "non-prose-fragment"),
+    (("cf.", "so it ends."), {}, "non-prose-fragment"),
+    (("It goes on and", "12"), {}, "non-prose-fragment"),
+    (("It goes on and", ".. 7"), {}, "non-prose-fragment"),
+    (("It goes on and", "12) a note on this"), {}, "non-prose-fragment"),
+    (("It goes on and", "xiv"), {}, "non-prose-fragment"),
+    (("It goes on and", "see Derrida, who says so: on page 7"), {}, "non-prose-fragment"),
+    (("It goes on and", "so it ends."), {"zone": "right", "x": (400, 600)}, "x-incompatible"),
+    (("It goes on and", "so it ends."), {"zone": "right", "x": (160, 600)}, "space"),
+    (("It goes on and", "so it ends."), {"zone": "right", "x": (400, 420)}, "space"),
+    (("It goes on and", "so it ends."), {"y": (60, 72, 101)}, "y-incompatible"),
+    (("It goes on and", "so it ends."), {"y": (60, 72, 69)}, "y-incompatible"),
+    (("It goes on and", "so it ends."), {"y": (60, 72, 70)}, "space"),
+    (("It goes on and", "so it ends."), {"pages": (1, 2), "y": (500, 512, 60)}, "space"),
+    (("It goes on and", "so it ends."), {"pages": (1, 2), "y": (400, 412, 60)}, "y-incompatible"),
+    (("It goes on and", "so it ends."), {"pages": (1, 2), "y": (500, 512, 95)}, "y-incompatible"),
+    (("It goes on and", "so it ends."), {"pages": (1, 3), "y": (500, 512, 60)}, "page-gap"),
+]
 
 
-def goes_on(t):
-    return t != "" and (t[0].islower() or t[0] in ",;:)]}’\"'-")
+def test_adjacent_joins(spark):
+    rows = [r for i, (texts, where, _) in enumerate(JOINS) for r in pair(i, *texts, **where)]
+    found = C.adjacent_joins(spark.createDataFrame(rows, REGIONS)).collect()
+    assert {r.book: r.verdict for r in found if r.ord == 1} == {i: want for i, (*_, want) in enumerate(JOINS)}
+    assert all(r.verdict is None for r in found if r.ord == 0)
 
 
-def verdict(a, b, gap=0):
-    left, right = flat(a["text"]), flat(b["text"])
-    if not left or not right:
-        return "empty-fragment"
-    if gap not in (0, 1):
-        return "page-gap"
-    if not prose(left) or not prose(right):
-        return "non-prose-fragment"
-    if not (a["zone"] == b["zone"] or abs(a["x0"] - b["x0"]) <= 60 or abs(a["x1"] - b["x1"]) <= 120):
-        return "x-incompatible"
-    if not (-2 <= b["y0"] - a["y1"] <= 28 if gap == 0 else a["y1"] >= 430 and b["y0"] <= 90):
-        return "y-incompatible"
-    if left.endswith("-") and re.match("[A-Za-z0-9]", right):
-        return "hyphen"
-    ends, opens = words(left)[-1:], words(right)[:1]
-    if ends and opens and ends[0].lower() == opens[0].lower() and ends[0].lower() in C.BOUNDARY_WORDS and (open_end(left) or goes_on(right)):
-        return "duplicate"
-    if open_end(left) and (goes_on(right) or len(right.split(" ")) <= 7 or right[0] in "\"'“(["):
-        return "space"
-    return "no-continuation-signal"
+def test_join_modes_widen(spark):
+    """What a stricter mode joins, a looser one joins as well."""
+    rows = [r for i, gap in enumerate(range(0, 60, 4)) for r in pair(i, "It goes on and", "so it ends.", zone="right", x=(100 + 3 * gap, 420 + 4 * gap), y=(60, 72, 72 + gap))]
+    df = spark.createDataFrame(rows, REGIONS)
+    joined = {m: {r.book for r in C.adjacent_joins(df, m).filter("verdict = 'space'").collect()} for m in C.LIMITS}
+    assert joined["conservative"] < joined["balanced"] < joined["aggressive"]
 
 
-def region_rows():
-    return [(1, i // 9, i, "right" if i % 6 == 5 else "center", TEXTS[i % len(TEXTS)], float(i * 17 % 130), 40.0 + i % 9 * 20 + (i % 4) * 3, float(i * 17 % 130 + 150), 55.0 + i % 9 * 20) for i in range(80)]
+def test_pages_that_hold_no_prose_join_nothing(spark):
+    df = spark.createDataFrame(pair(1, "It goes on and", "so it ends."), REGIONS)
+    assert [r.verdict for r in C.adjacent_joins(df.withColumn("content_mode", F.lit("index"))).orderBy("ord").collect()] == [None, "non-prose-page"]
 
 
-def test_adjacent_joins(spark):
-    rows = [dict(zip(("book", "page", "ord", "zone", "text", "x0", "y0", "x1", "y1"), r, strict=True)) for r in region_rows()]
-    got = {r.ord: r.verdict for r in C.adjacent_joins(spark.createDataFrame(region_rows(), REGIONS)).collect()}
-    assert got == {b["ord"]: verdict(a, b, b["page"] - a["page"]) if a else None for a, b in zip([None, *rows], rows, strict=False)}
-    assert len(set(got.values())) > 5
-
-
-def test_repair_equals_a_plain_fold(spark):
-    want, page = [], None
-    for r in region_rows():
-        own = dict(zip(("book", "page", "ord", "zone", "text", "x0", "y0", "x1", "y1"), r, strict=True)) | {"parts": 1}
-        own["text"] = own["text"] or ""
-        last = want[-1] if want and page == own["page"] else None
-        page = own["page"]
-        mode = verdict(last, own) if last else None
-        if mode not in ("hyphen", "duplicate", "space"):
-            want.append(own)
-            continue
-        a, b = flat(last["text"]), flat(own["text"])
-        if mode == "hyphen":
-            last["text"] = a[:-1] + b
-        elif mode == "duplicate":
-            last["text"] = (a + " " + re.sub("^[^A-Za-z]*[A-Za-z][A-Za-z'’-]*", "", b).lstrip(" ")).rstrip(" ")
-        else:
-            last["text"] = a + " " + b
-        last |= {"x0": min(last["x0"], own["x0"]), "y0": min(last["y0"], own["y0"]), "x1": max(last["x1"], own["x1"]), "y1": max(last["y1"], own["y1"]), "parts": last["parts"] + 1}
-    columns = ("page", "ord", "text", "x0", "y0", "x1", "y1", "parts")
-    got = sorted(tuple(r[c] for c in columns) for r in C.repair_pages(spark.createDataFrame(region_rows(), REGIONS)).collect())
-    assert got == sorted(tuple(r[c] for c in columns) for r in want) and max(r["parts"] for r in want) > 1
+@pytest.mark.parametrize(
+    "left, right, mode, want",
+    [
+        ("It goes with-", "out end", "hyphen", "It goes without end"), ("at the", "The mill", "duplicate", "at the mill"), ("at the", "“The mill", "duplicate", "at the “The mill"),
+        ("at the", "the", "duplicate", "at the"), ("one", "two", "space", "one two"), ("at the", "theory", "duplicate", "at the theory"),
+    ],
+)
+def test_joined_text(spark, left, right, mode, want):
+    df = spark.createDataFrame([(left, right, mode)], "a string, b string, m string")
+    assert df.select(C.joined_text(F.col("a"), F.col("b"), F.col("m"))).first()[0] == want
+
+
+def test_repair(spark):
+    """A page of five regions, three of which are one; the pages apart."""
+    rows = [
+        (1, 1, 0, "center", "It goes on and", 100.0, 60.0, 300.0, 72.0), (1, 1, 1, "right", "so it goes with-", 120.0, 80.0, 340.0, 92.0), (1, 1, 2, "center", "out any end.", 90.0, 100.0, 300.0, 112.0),
+        (1, 1, 3, "center", "Another sentence stands here by itself, and it is long.", 100.0, 120.0, 300.0, 132.0), (1, 1, 4, "center", None, 100.0, 140.0, 300.0, 152.0),
+        (1, 2, 0, "center", "lower case again", 100.0, 60.0, 300.0, 72.0),
+    ]
+    got = [tuple(r)[1:] for r in C.repair_pages(spark.createDataFrame(rows, REGIONS)).orderBy("page", "ord").collect()]
+    assert got == [
+        (1, 0, "It goes on and so it goes without any end.", 90.0, 60.0, 340.0, 112.0, 3), (1, 3, rows[3][4], 100.0, 120.0, 300.0, 132.0, 1), (1, 4, "", 100.0, 140.0, 300.0, 152.0, 1),
+        (2, 0, "lower case again", 100.0, 60.0, 300.0, 72.0, 1),
+    ]
+
+
+def test_content_modes(spark):
+    notes = ["12", "cf.", "NOTES", "[3]", "a short one", "another"]
+    rows = [("b", p, i, t) for p in range(1, 8) for i, t in enumerate(notes)] + [("b", 8, 0, "A page with one long sentence of many words."), ("b", 9, 0, None)]
+    regions = spark.createDataFrame(rows, "book string, page int, ord int, text string")
+    pages = [(1, "chapter", "One", "simple"), (2, "index", "Index", "simple"), (3, "chapter", "One", "table"), (4, "chapter", " Nótes ", "simple"), (5, "chapter", "One", "aside"), (6, None, None, None), (7, "index", "", "table"), (8, "chapter", "Notes", "aside"), (9, "x", "Notes", "aside")]
+    df = spark.createDataFrame([("b", *p) for p in pages], "book string, page int, entry_kind string, entry_title string, layout_kind string")
+    got = {r.page: r.content_mode for r in C.content_modes(regions, df).collect()}
+    assert got == {1: "prose", 2: "index", 3: "table", 4: "index", 5: "index", 6: "prose", 7: "index", 8: "prose", 9: "prose"}
 
 
 def test_heading_is_searched_near_its_page_only(spark):

@@ -6,8 +6,8 @@ from lexigrove.operators import layout as L
 
 
 @pytest.mark.parametrize("text, y0, want", [
-    ("Body text starts high on this page and goes on for quite a while, well past any header.", 37.34, False), ("Part II: Nature, Culture, Writing", 19.8, True),
-    ("Part II: Nature, Culture, Writing", 35.08, True), ("xiv", 40.0, True), ("12", 43.0, False), ("", 10.0, False), ("y" * 121, 10.0, False), ("Plain words in a row here", 41.0, False),
+    ("The rain had come down for days on end, and nobody in the valley remembered a spring so wet.", 37.34, False), ("Part IV: Bread, Salt, Honey", 19.8, True),
+    ("Part IV: Bread, Salt, Honey", 35.08, True), ("xiv", 40.0, True), ("12", 43.0, False), ("", 10.0, False), ("y" * 121, 10.0, False), ("Plain words in a row here", 41.0, False),
 ])
 def test_margin(spark, text, y0, want):
     assert spark.range(1).select(L.top_margin(F.lit(text), F.lit(y0))).first()[0] is want
@@ -27,7 +27,7 @@ def test_slices(spark):
 def test_profiles(spark):
     long, short = "a line of text that is long enough", "short"
     rows = [("simple", long, 50.0, 60.0 + i, 10.0) for i in range(9)]
-    rows += [("table", "TABLE 2. Logics", 50.0, 60.0, 10.0)]
+    rows += [("table", "TABLE 2. Yields", 50.0, 60.0, 10.0)]
     rows += [("aside", long, 200.0, 60.0 + i, 8.0 if i < 2 else 10.0) for i in range(9)]
     rows += [("columns", short, x, 60.0 + i, 10.0) for x in (10.0, 60.0, 110.0) for i in range(2)]
     df = spark.createDataFrame(rows + [("top", long, 50.0, 10.0, 10.0), ("simple", " ", 1.0, 1.0, 1.0)], "page string, text string, x0 double, y0 double, size double")
