@@ -22,8 +22,8 @@ from lexigrove.llm.common import frugal, materialise, remove, small_batches, unu
 SAMPLE = 20_000
 #: Labelled toxic documents that a lexicon entry must stand in.
 LEAST_COUNT = 3
-#: Least log-likelihood ratio (G2) of an entry's counts in both classes; chance reaches it once in ten million terms.
-LEAST_RATIO = 28.4
+#: Share of the entries that may owe their place to chance.
+CHANCE = 0.05
 #: Share of an entry's labelled documents, both classes weighted alike, that must be toxic.
 LEAST_PRECISION = 0.9
 #: Terms whose counts a task holds before it passes them on; some 20 MB.
@@ -296,11 +296,33 @@ def training_rows(docs: DataFrame, labels: DataFrame, limit: int = SAMPLE, id_co
     return materialise(found.filter("text IS NOT NULL").select("text", (F.col("__toxic") == 1).alias("toxic")), "toxicity-rows")
 
 
-def ratio(bad: Column, good: Column, n_bad: int, n_good: int) -> Column:
-    """The log-likelihood ratio of a term's document counts against equal shares of both classes."""
-    n, having = n_bad + n_good, bad + good
-    cells = [(bad, having * n_bad), (good, having * n_good), (n_bad - bad, (n - having) * n_bad), (n_good - good, (n - having) * n_good)]
-    return 2 * sum((F.when(seen > 0, seen * F.log(seen * n / met)).otherwise(0.0) for seen, met in cells), F.lit(0.0))
+def chances(bad: np.ndarray, good: np.ndarray, n_bad: int, n_good: int) -> np.ndarray:
+    """The chance that a term of `bad` + `good` documents stands in `bad` toxic ones or more, if labels mean nothing (hypergeometric)."""
+    logs = np.concatenate([[0.0], np.cumsum(np.log(np.arange(1, n_bad + n_good + 1)))])
+    choose = lambda n, k: logs[n] - logs[k] - logs[n - k]
+    out = np.ones(len(bad))
+    for i, (b, g) in enumerate(zip(np.asarray(bad).tolist(), np.asarray(good).tolist(), strict=True)):
+        if b * n_good > g * n_bad:  # others are no likelier in toxic documents
+            x = np.arange(b, min(n_bad, b + g) + 1)
+            out[i] = min(1.0, float(np.exp(choose(n_bad, x) + choose(n_good, b + g - x) - choose(n_bad + n_good, b + g)).sum()))
+    return out
+
+
+def bar(chance: np.ndarray, times: np.ndarray, share: float = CHANCE) -> float:
+    """The largest chance of a term that is admitted, of terms with these chances, each so many times.
+
+    Terms that stand out among all that are tested (Bonferroni) are certain.  Of the others as
+    many are admitted as keep the share of false ones (Benjamini and Hochberg); the certain
+    ones don't count there, so many of them make no room for doubtful ones.
+    """
+    order = np.argsort(chance, kind="stable")
+    chance, times = np.asarray(chance)[order], np.asarray(times)[order]
+    total = int(times.sum())
+    certain = chance * total <= share
+    rest = total - int(times[certain].sum())
+    ranks = np.cumsum(np.where(certain, 0, times))
+    admitted = certain | (chance * max(rest, 1) <= share * ranks)
+    return float(chance[admitted].max()) if admitted.any() else -1.0
 
 
 def _terms(word: str) -> list[str]:
@@ -351,8 +373,8 @@ def _places(rows: DataFrame, terms: set[str]) -> dict[str, int]:
 def learn_lexicon(rows: DataFrame) -> Lexicon:
     """Learn words and stems that stand in toxic documents alone, as good as.
 
-    A term needs `LEAST_COUNT` toxic documents, the precision and a significant difference of
-    both classes; none of these grows with the sample.  Copies of a text say nothing of
+    A term needs `LEAST_COUNT` toxic documents, the precision, and counts that chance hardly
+    gives: words, and stems of each length, are tested together, and `bar` says what is enough.  Copies of a text say nothing of
     misspellings and other words, so a stem must pass, and a word be met with edits, by its
     toxic documents counted at most as often as it stands in different places.  Counts are
     taken on the executors; what reaches the driver is the entries that pass and the ordinary
@@ -369,11 +391,19 @@ def learn_lexicon(rows: DataFrame) -> Lexicon:
     n_bad, n_good = total.bad, total.good
     share, rest = F.col("bad") / n_bad, F.col("good") / n_good
     able = counts.filter("term <> ''").filter((F.col("bad") >= LEAST_COUNT) & (share >= LEAST_PRECISION * (share + rest)))
-    likely = able.filter(ratio(F.col("bad"), F.col("good"), n_bad, n_good) >= LEAST_RATIO).collect()
+    family = F.when(F.endswith("term", F.lit("*")), F.length("term") - 1).otherwise(0)
+    # pairs of counts are few: the sample bounds them
+    pairs = counts.filter("term <> '' AND bad > 0").groupBy(family.alias("family"), "bad", "good").agg(F.count(F.lit(1)).alias("times")).toPandas()
+    pairs["chance"] = chances(pairs.bad.to_numpy(), pairs.good.to_numpy(), n_bad, n_good)
+    bars = {int(f): bar(part.chance.to_numpy(), part.times.to_numpy()) for f, part in pairs.groupby("family")}
+    enough = pairs[pairs.chance <= pairs.family.map(bars)][["family", "bad", "good"]]
+    enough = spark.createDataFrame(list(enough.itertuples(index=False, name=None)), "family int, bad long, good long")
+    likely = able.withColumn("family", family).join(F.broadcast(enough), ["family", "bad", "good"]).collect()
     places = _places(rows, {r.term for r in likely})
-    apart = [(r.term, min(r.bad, places.get(r.term, 0)), r.good) for r in likely]
+    apart = [(r.term, min(r.bad, places.get(r.term, 0)), r.good, bars[r.family]) for r in likely]
     precise = lambda bad, good: bad / n_bad >= LEAST_PRECISION * (bad / n_bad + good / n_good)
-    wide = {t: bad for t, bad, good in apart if bad >= LEAST_COUNT and precise(bad, good) and log_ratio(bad, good, n_bad, n_good) >= LEAST_RATIO}
+    again = chances(np.array([x[1] for x in apart]), np.array([x[2] for x in apart]), n_bad, n_good)
+    wide = {t: bad for (t, bad, good, most), c in zip(apart, again.tolist(), strict=True) if bad >= LEAST_COUNT and precise(bad, good) and c <= most}
     # log-likelihood ratios; 1 stands for a hundred times likelier in toxic documents
     weight = {r.term: min(1.5, math.log((r.bad + 0.5) / (n_bad + 1) * (n_good + 1) / (r.good + 0.5)) / math.log(100)) for r in likely}
     exact = {r.term: r.bad for r in likely if not r.term.endswith("*")}
@@ -407,13 +437,6 @@ def learn_lexicon(rows: DataFrame) -> Lexicon:
     return Lexicon(words, stems, ordinary, exactly)
 
 
-def log_ratio(bad: int, good: int, n_bad: int, n_good: int) -> float:
-    """`ratio` of single counts."""
-    n, having = n_bad + n_good, bad + good
-    cells = [(bad, having * n_bad), (good, having * n_good), (n_bad - bad, (n - having) * n_bad), (n_good - good, (n - having) * n_good)]
-    return 2 * sum(seen * math.log(seen * n / met) for seen, met in cells if seen > 0)
-
-
 def mass(lexicon: Lexicon, text: str | None) -> float:
     return sum(w for _, w in lexicon.hits(text)) if text else 0.0
 
