@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from lexigrove.functions.text import DANGLING, NOT_SPACE, REPEATABLE, SPACE, STOPWORDS, SUFFIXES
 from lexigrove.operators.retrieval import FUSION, K1, PROFILES, B
+from lexigrove.plans import books
 from lexigrove.plans.documents import SQL
 
 
@@ -248,4 +249,4 @@ ORACLE_SQL: dict[str, str] = {
     "roman_labels": """SELECT number, list_extract(['','x','xx','xxx','xl','l','lx','lxx','lxxx','xc'], number // 10 + 1) || list_extract(['','i','ii','iii','iv','v','vi','vii','viii','ix'], number % 10 + 1) AS label, number AS value FROM (SELECT DISTINCT p_size AS number FROM part)""",
 }
 
-ORACLE_SQL |= SQL
+ORACLE_SQL |= SQL | books.SQL

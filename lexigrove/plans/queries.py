@@ -15,7 +15,7 @@ from lexigrove.operators import matching as M
 from lexigrove.operators import quality as Q
 from lexigrove.operators import retrieval as R
 from lexigrove.operators import structure as S
-from lexigrove.plans import documents
+from lexigrove.plans import books, documents
 from lexigrove.sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -474,4 +474,4 @@ def toc_entries_parsed(spark, sf):
     return S.parse_contents(orders.unionByName(front))
 
 
-QUERIES |= documents.QUERIES
+QUERIES |= documents.QUERIES | books.QUERIES
