@@ -56,7 +56,7 @@ def test_boxes_hold_their_spans(spark):
 
 @pytest.mark.parametrize(
     "text, want",
-    [("The Old Mill of the North", True), ("The old mill", False), ("2. The Old Mill", True), ("iv. Of the Mill", True), ("", False), ("12", False), ("Mill " * 15, False), ("The Mill and a Tale of it all", True)],
+    [("The Old Mill of the North", True), ("The old mill", False), ("2. The Old Mill", True), ("iv. Of the Mill", True), ("", False), ("12", False), ("Barn " * 15, False), ("The Mill and a Tale of it all", True)],
 )
 def test_title_style(spark, text, want):
     assert spark.createDataFrame([(text,)], "t string").select(N.title_style(F.col("t"))).first()[0] is want
