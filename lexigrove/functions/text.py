@@ -22,7 +22,7 @@ REPEATABLE = ("also", "and", "she", "the", "they", "this", "those")
 DANGLING = "a an and as at by for from in into of on or that the this to which with".split()
 
 #: Small words that stay lower-case in titles (fixed values).
-SMALL_WORDS = "a an and at by for in of on or the to".split()
+SMALL_WORDS = "a an and as at for in of on or the to".split()
 
 #: White space of any script, and runs without it.
 SPACE = r"[\t-\r\x1C-\x20\x{85}\p{Z}]"
@@ -108,10 +108,11 @@ def first_word(text: Column) -> Column:
 
 
 def title_case(text: Column) -> Column:
-    """First letters upper-case; small words inside stay lower-case."""
-    words = F.split(F.lower(squeeze(text)), " ")
-    cased = F.transform(words, lambda w, i: F.when((i > 0) & w.isin(SMALL_WORDS), w).otherwise(F.initcap(w)))
-    return F.array_join(cased, " ")
+    """Lines in capitals with only first letters upper-case, small words inside in lower case; other lines stay, white space squeezed."""
+    flat = squeeze(text)
+    words = F.split(F.lower(flat), " ")
+    cased = F.transform(words, lambda w, i: F.when((i > 0) & w.isin(SMALL_WORDS), w).otherwise(F.concat(F.upper(F.substring(w, 1, 1)), F.substring(w, F.lit(2), F.length(w)))))
+    return F.when((flat == F.upper(flat)) & (flat != F.lower(flat)), F.array_join(cased, " ")).otherwise(flat)
 
 
 def html_text(html: Column) -> Column:

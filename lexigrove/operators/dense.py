@@ -1,57 +1,49 @@
 """Dense vectors: exact neighbours of a stated query set, overlaps, twins.
 
-Query vectors go through all rows in blocks: a block is broadcast, a task keeps its own best
-`k` per query, and the best of those are ranked per query.
+Queries and rows are dealt into blocks.  A task meets one block of each and keeps its best `k` of
+every query; the best of those are ranked per query.  Nothing passes through the driver.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+#: Rows and queries of a block.
+BLOCK = 4096
+
+
+def _matrix(table: pa.Table) -> np.ndarray:
+    return np.stack(table["embedding"].to_numpy(zero_copy_only=False)).astype(np.float64)
+
 
-def neighbours(vectors: DataFrame, queries: DataFrame, k: int = 5, block: int = 2048) -> DataFrame:
+def neighbours(vectors: DataFrame, queries: DataFrame, k: int = 5, block: int = BLOCK) -> DataFrame:
     """(query_id, vec_id, rank, score) of each query's `k` nearest rows by dot product, itself left out.
 
     ``vectors`` and ``queries`` are (vec_id, embedding).  Scores are rounded to 6 before they
-    are ranked and ties go by vec_id.
+    are ranked and ties go by vec_id.  A task holds `block` rows of either side, more or less.
     """
-    found, held = None, []
-
-    def scan(part: list[tuple[int, list[float]]]) -> DataFrame:
-        shared = vectors.sparkSession.sparkContext.broadcast((np.array([i for i, _ in part], np.int64), np.array([v for _, v in part], np.float64)))
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            ids, matrix = shared.value
-            best = None
-            for batch in batches:
-                own = batch.column(0).to_numpy()
-                rows = np.stack(batch.column(1).to_numpy(zero_copy_only=False)).astype(np.float64) if len(own) else np.empty((0, matrix.shape[1]))
-                scores = np.round(matrix @ rows.T, 6)
-                scores[ids[:, None] == own[None, :]] = -np.inf
-                owners = np.broadcast_to(own, scores.shape)
-                if best is not None:
-                    owners, scores = np.concatenate([best[0], owners], 1), np.concatenate([best[1], scores], 1)
-                order = np.lexsort((owners, -scores), axis=1)[:, :k]
-                best = np.take_along_axis(owners, order, 1), np.take_along_axis(scores, order, 1)
-            if best is not None:
-                keep = np.isfinite(best[1])
-                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(ids, keep.sum(1))), pa.array(best[0][keep]), pa.array(best[1][keep])], names=["query_id", "vec_id", "score"])
-
-        return vectors.select("vec_id", "embedding").mapInArrow(run, "query_id long, vec_id long, score double")
-
-    for row in queries.select("vec_id", "embedding").toLocalIterator():
-        held.append((row.vec_id, row.embedding))
-        if len(held) == block:
-            found, held = scan(held) if found is None else found.unionAll(scan(held)), []
-    if held:
-        found = scan(held) if found is None else found.unionAll(scan(held))
-    if found is None:
-        found = vectors.sparkSession.createDataFrame([], "query_id long, vec_id long, score double")
+    n_rows, n_queries = (max(1, -(-df.count() // block)) for df in (vectors, queries))
+    deal = lambda n: F.pmod(F.xxhash64("vec_id"), F.lit(n))
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
+    names = ("i", "j", "vec_id", "embedding")
+    rows = vectors.select("vec_id", "embedding", deal(n_rows).alias("i"), every(n_queries).alias("j")).select(*names).toDF(*names)
+    asked = queries.select("vec_id", "embedding", deal(n_queries).alias("j"), every(n_rows).alias("i")).select(*names).toDF(*names)
+
+    def meet(own: pa.Table, wanted: pa.Table) -> pa.Table:
+        if not own.num_rows or not wanted.num_rows:
+            return pa.table({"query_id": pa.array([], pa.int64()), "vec_id": pa.array([], pa.int64()), "score": pa.array([], pa.float64())})
+        ids, asks = own["vec_id"].to_numpy(), wanted["vec_id"].to_numpy()
+        scores = np.round(_matrix(wanted) @ _matrix(own).T, 6)
+        scores[asks[:, None] == ids[None, :]] = -np.inf
+        order = np.lexsort((np.broadcast_to(ids, scores.shape), -scores), axis=1)[:, :k]
+        best, owners = np.take_along_axis(scores, order, 1), ids[order]
+        keep = np.isfinite(best)
+        return pa.table({"query_id": np.repeat(asks, keep.sum(1)), "vec_id": owners[keep], "score": best[keep]})
+
+    found = rows.groupBy("i", "j").cogroup(asked.groupBy("i", "j")).applyInArrow(meet, "query_id long, vec_id long, score double")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", rank.cast("long")).filter(F.col("rank") <= k)
 

@@ -52,7 +52,7 @@ def page_profiles(lines: DataFrame, page: str) -> DataFrame:
     sizes = own.groupBy(page, F.round("size", 1).alias("s")).agg(F.count(F.lit(1)).alias("n"))
     main = sizes.groupBy(page).agg(F.max_by("s", F.struct("n", -F.col("s"))).alias("main"))
     has_body = F.max((F.col("y0") >= BODY_TOP).cast("int")).over(Window.partitionBy(page)) == 1
-    body = own.withColumn("has_body", has_body).filter("NOT has_body OR y0 >= 45").withColumn("cluster", F.bround(F.col("x0") / GRID, 0) * GRID)
+    body = own.withColumn("has_body", has_body).filter(~F.col("has_body") | (F.col("y0") >= BODY_TOP)).withColumn("cluster", F.bround(F.col("x0") / GRID, 0) * GRID)
     columns = body.groupBy(page, "cluster").agg(F.count(F.lit(1)).alias("n")).groupBy(page).agg(F.count_if(F.col("n") >= 2).alias("clusters"))
     counted = body.join(main, page).groupBy(page).agg(
         F.count(F.lit(1)).alias("body_lines"),

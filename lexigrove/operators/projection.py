@@ -12,6 +12,10 @@ METADATA = ("Context:", "Source pages:", "Representation:", "Label:", "Source re
 MATERIAL = ("Supplementary side material from source page ", "Table-like content from source page ")
 #: Largest share of a supplement that is shown, its characters, and those of a body excerpt (fixed values).
 SUPPLEMENT_SHARE, SUPPLEMENT_CHARS = 0.25, 180
+#: Characters of a body in a contextual view, and least of a supplement that isn't normalised (fixed values).
+BODY_CHARS, RAW_SUPPLEMENT = 1600, 350
+#: Views of a document that are embedded (fixed values).
+VIEWS = ("body", "contextual")
 #: Mismatches that a report shows (fixed value).
 WORST = 10
 
@@ -25,6 +29,30 @@ def embedding_text(markdown: Column) -> Column:
     return squeeze(F.array_join(F.transform(kept, lambda x: F.regexp_replace(x, "^- ", "")), " "))
 
 
+def excerpt(text: Column, limit: int) -> Column:
+    """The first ``limit`` characters of a text, ended at a word."""
+    flat = squeeze(text)
+    cut = F.substring(flat, 1, limit)
+    return F.when(F.length(flat) <= limit, flat).otherwise(F.trim(F.regexp_replace(cut, " [^ ]*$", "")))
+
+
+def embedded_view(view: str, title: Column, context: Column, kind: Column, body: Column, supplement: Column, limit: int = BODY_CHARS, normalised: bool = True) -> Column:
+    """The text of a view: the whole body, or title, context, kind, the body's excerpt and the supplement's, parted by blank lines.
+
+    Of texts that are normalised, a supplement is shown if it is small against the body.  An
+    unknown view is an error; null texts count as empty.
+    """
+    if view not in VIEWS:
+        raise ValueError(f"unknown view: {view}")
+    title, context, kind, body, supplement = (squeeze(F.coalesce(x, F.lit(""))) for x in (title, context, kind, body, supplement))
+    if view == "body":
+        return body
+    small = F.length(supplement) <= F.greatest(F.length(body), F.lit(1)) * SUPPLEMENT_SHARE
+    shown = F.when(small, excerpt(supplement, SUPPLEMENT_CHARS)).otherwise("") if normalised else excerpt(supplement, max(RAW_SUPPLEMENT, limit // 4))
+    parts = F.array(title, context, kind, excerpt(body, limit), F.when(shown != "", F.concat(F.lit("Supplement: "), shown)).otherwise(""))
+    return F.trim(F.array_join(F.filter(parts, lambda p: p != ""), "\n\n"))
+
+
 def projection_facts(docs: DataFrame, body: Column, supplement: Column) -> DataFrame:
     """``docs`` with sizes of both texts, the supplement's share, and whether a preview of it is shown."""
     sized = docs.withColumns({"body_chars": F.length(body).cast("long"), "supplement_chars": F.length(supplement).cast("long")})

@@ -102,9 +102,13 @@ def first_seen(rows: DataFrame, group: str, order: str, value: str) -> DataFrame
 
 
 def folder_digests(files: DataFrame, folder: str, path: str, text: str) -> DataFrame:
-    """(folder, n_files, sha256): a digest of all files of a folder by their sorted paths and contents."""
-    line = F.concat(F.col(path), F.lit(":"), F.sha2(F.coalesce(F.col(text), F.lit("")), 256))
-    return files.groupBy(folder).agg(F.count(F.lit(1)).alias("n_files"), F.sha2(F.array_join(F.array_sort(F.collect_list(line)), "\n"), 256).alias("sha256"))
+    """(folder, n_files, sha256): the digest of a folder's files in the order of their paths: path, NUL, contents, NUL of each.
+
+    The digest is of one stream of bytes, so a row holds the texts of a folder.
+    """
+    one = F.struct(F.col(path).alias("p"), F.coalesce(F.col(text), F.lit("")).alias("t"))
+    stream = F.array_join(F.transform(F.array_sort(F.collect_list(one)), lambda f: F.concat(F.coalesce(f["p"], F.lit("")), F.lit("\0"), f["t"], F.lit("\0"))), "")
+    return files.groupBy(folder).agg(F.count(F.lit(1)).alias("n_files"), F.sha2(stream, 256).alias("sha256"))
 
 
 def micro_region_issues(texts: DataFrame, id_col: str, text_col: str) -> DataFrame:

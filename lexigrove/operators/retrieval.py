@@ -6,13 +6,14 @@ probes on shared terms only, so a query costs what its postings hold.  `doc_id`
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lexigrove.functions.text import char_ngrams, terms
+from lexigrove.functions.text import SPACE, terms
 
 #: Fixed values of the two rankings and of their fusion.
 K1, B, FUSION = 1.5, 0.75, 60
@@ -26,6 +27,25 @@ PROFILES: dict[str, dict[str, float]] = {
 }
 
 
+#: Documents and probes of a block in which n-gram vectors are multiplied.
+DOCS_BLOCK, PROBES_BLOCK = 2048, 64
+#: Longest run of characters by which items of one or two words are looked up.
+GRAM = 8
+
+
+def profile(name: str) -> dict[str, float]:
+    """The field weights of a profile; an unknown name is an error."""
+    if name not in PROFILES:
+        raise ValueError(f"unknown profile: {name}; known are {', '.join(PROFILES)}")
+    return PROFILES[name]
+
+
+def known_only(wanted: Sequence[str], corpora: DataFrame) -> list[str]:
+    """Those of some corpora that there are, in the order asked for; unknown ones are dropped.  ``corpora`` is (corpus)."""
+    found = {r.corpus for r in corpora.filter(F.col("corpus").isin(list(wanted))).select("corpus").distinct().collect()}
+    return [c for c in wanted if c in found]
+
+
 def long_fields(docs: DataFrame, id_col: str, fields: Mapping[str, Column]) -> DataFrame:
     """(doc_id, field, text) from one expression per field."""
     pairs = F.array(*[F.struct(F.lit(name).alias("field"), F.coalesce(text, F.lit("")).alias("text")) for name, text in fields.items()])
@@ -90,19 +110,92 @@ def explained_share(components: DataFrame) -> DataFrame:
     return ranked(totals, 1).select("probe_id", "doc_id", F.round(F.col("most") / F.col("sum"), 4).alias("explained_share"))
 
 
+def gram_counts(rows: DataFrame, *keys: str) -> DataFrame:
+    """(keys, gram, tf, n): how often each character n-gram of `text` stands in a row, and how many it has.
+
+    Grams are those of `char_ngrams`; up to five ASCII letters are one number, so nothing
+    collides.  They are counted within the row, so a row leaves a task with its distinct grams.
+    """
+    typed = rows.select(*keys, F.trim(F.regexp_replace(F.lower(F.coalesce("text", F.lit(""))), "[^a-z0-9]+", " ")).alias("text"))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            grams, counts, totals = [], [], []
+            for text in batch.column("text").to_pylist():
+                found = np.zeros(0, np.int64)
+                if text:
+                    letters = np.frombuffer(f" {text} ".encode(), np.uint8).astype(np.int64)
+                    each = []
+                    for size in (3, 4, 5):
+                        n = max(0, len(letters) - size + 1)
+                        code = np.zeros(n, np.int64)
+                        for k in range(size):
+                            code = code * 256 + letters[k : k + n]
+                        each.append(code)
+                    found = np.concatenate(each)
+                own, times = np.unique(found, return_counts=True)
+                grams.append(own)
+                counts.append(times)
+                totals.append(len(found))
+            ends = np.cumsum([0, *map(len, grams)]).astype(np.int32)
+            flat = lambda parts: pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(parts) if parts else np.zeros(0, np.int64), pa.int64()))
+            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in keys), flat(grams), flat(counts), pa.array(totals, pa.int64())], names=[*keys, "gram", "tf", "n"])
+
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in typed.schema if f.name in keys)
+    counted = typed.mapInArrow(count, f"{kinds}, gram array<long>, tf array<long>, n long")
+    return counted.select(*keys, "n", F.explode(F.arrays_zip("gram", "tf")).alias("x")).select(*keys, "x.gram", "x.tf", "n")
+
+
 def chargram_tfidf(corpus: DataFrame, probes: DataFrame, weights: Mapping[str, float]) -> DataFrame:
-    """(probe_id, doc_id, score): weighted cosine of character n-gram TF-IDF vectors of each field."""
-    found = postings(corpus.filter(F.col("field").isin(list(weights))), char_ngrams)
+    """(probe_id, doc_id, score): weighted cosine of character n-gram TF-IDF vectors of each field.
+
+    All grams of a document count for its norm, but only those of some probe leave the pass
+    that weighs them.  Blocks of documents then meet blocks of probes, and a task multiplies the
+    two as matrices: common grams cost no row for each pair that has them.
+    """
+    found = gram_counts(corpus.filter(F.col("field").isin(list(weights))), "doc_id", "field")
     sizes = corpus.groupBy("field").agg(F.count(F.lit(1)).alias("n_docs"))
-    df = found.groupBy("field", "term").agg(F.count(F.lit(1)).alias("df"))
-    idf = df.join(F.broadcast(sizes), "field").select("field", "term", (F.ln((1.0 + F.col("n_docs")) / (1.0 + F.col("df"))) + 1.0).alias("idf"))  # a row per field
-    vectors = found.join(idf, ["field", "term"]).select("doc_id", "field", "term", (F.col("tf") / F.col("n_terms") * F.col("idf")).alias("w"))
-    norms = vectors.groupBy("doc_id", "field").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    asked = query_terms(probes, char_ngrams).join(idf, "term").select("probe_id", "field", "term", (F.col("qtf") / F.col("n_query") * F.col("idf")).alias("q"))
-    lengths = asked.groupBy("probe_id", "field").agg(F.sqrt(F.sum(F.col("q") * F.col("q"))).alias("length"))
-    dots = asked.join(vectors, ["field", "term"]).groupBy("probe_id", "doc_id", "field").agg(F.sum(F.col("q") * F.col("w")).alias("dot"))
-    cosines = dots.join(norms, ["doc_id", "field"]).join(lengths, ["probe_id", "field"])
-    return cosines.groupBy("probe_id", "doc_id").agg(F.round(F.sum(weight_of(weights) * F.col("dot") / (F.col("norm") * F.col("length"))), 6).alias("score"))
+    df = found.groupBy("field", "gram").agg(F.count(F.lit(1)).alias("df"))
+    terms_of = gram_counts(probes.select("probe_id", F.col("query").alias("text")), "probe_id")
+    marked = df.join(terms_of.select("gram").distinct().withColumn("asked", F.lit(True)), "gram", "left")
+    idf = F.ln((1.0 + F.col("n_docs")) / (1.0 + F.col("df"))) + 1.0
+    idf = marked.join(F.broadcast(sizes), "field").select("field", "gram", "asked", idf.alias("idf"))  # a row per field
+    weight = F.col("tf") / F.col("n") * F.col("idf")
+    one = F.struct("gram", weight.alias("w"))
+    collected = [F.sqrt(F.sum(weight * weight)).alias("norm"), F.collect_list(F.when(F.col("asked"), one)).alias("x")]
+    names = ("field", "i", "j", "id", "gram", "w", "norm")
+
+    def dealt(rows: DataFrame, id_col: str, own: str, n_own: int, other: str, n_other: int) -> DataFrame:
+        placed = rows.withColumns({own: F.pmod(F.xxhash64(id_col), F.lit(n_own)), other: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_other - 1).cast("long")))})
+        return placed.select("field", "i", "j", F.col(id_col).alias("id"), F.col("x.gram").alias("gram"), F.col("x.w").alias("w"), "norm").toDF(*names)
+
+    n_docs, n_probes = (max(1, -(-df.select(c).distinct().count() // size)) for df, c, size in ((corpus, "doc_id", DOCS_BLOCK), (probes, "probe_id", PROBES_BLOCK)))
+    docs = dealt(found.join(idf, ["field", "gram"]).groupBy("field", "doc_id").agg(*collected).filter(F.size("x") > 0), "doc_id", "i", n_docs, "j", n_probes)
+    asked = dealt(terms_of.join(idf.filter("asked"), "gram").groupBy("field", "probe_id").agg(*collected), "probe_id", "j", n_probes, "i", n_docs)
+
+    def meet(own: pa.Table, wanted: pa.Table) -> pa.Table:
+        out = {"field": [], "probe_id": [], "doc_id": [], "cosine": []}
+        if own.num_rows and wanted.num_rows:
+            field, lists = own["field"][0].as_py(), [np.asarray(x) for x in wanted["gram"].to_numpy(zero_copy_only=False)]
+            known = np.unique(np.concatenate(lists))
+            matrix = np.zeros((len(known), len(lists)))
+            for c, (grams, w, norm) in enumerate(zip(lists, wanted["w"].to_numpy(zero_copy_only=False), wanted["norm"].to_pylist(), strict=True)):
+                matrix[np.searchsorted(known, grams), c] = np.asarray(w) / norm
+            ids = wanted["id"].to_numpy()
+            for doc, grams, w, norm in zip(own["id"].to_pylist(), own["gram"].to_numpy(zero_copy_only=False), own["w"].to_numpy(zero_copy_only=False), own["norm"].to_pylist(), strict=True):
+                at = np.minimum(np.searchsorted(known, grams), len(known) - 1)
+                hit = known[at] == grams
+                cosines = (np.asarray(w)[hit] / norm) @ matrix[at[hit]]
+                some = np.flatnonzero(cosines)
+                out["probe_id"] += ids[some].tolist()
+                out["doc_id"] += [doc] * len(some)
+                out["cosine"] += cosines[some].tolist()
+            out["field"] = [field] * len(out["doc_id"])
+        return pa.table({k: pa.array(v, t) for (k, v), t in zip(out.items(), (pa.string(), pa.int64(), pa.int64(), pa.float64()), strict=True)})
+
+    key = ["field", "i", "j"]
+    cosines = docs.groupBy(*key).cogroup(asked.groupBy(*key)).applyInArrow(meet, "field string, probe_id long, doc_id long, cosine double")
+    return cosines.groupBy("probe_id", "doc_id").agg(F.round(F.sum(weight_of(weights) * F.col("cosine")), 6).alias("score"))
 
 
 def ranked(scores: DataFrame, k: int | None = None) -> DataFrame:
@@ -132,69 +225,72 @@ def fuse(runs: Sequence[DataFrame], ordinal: DataFrame) -> DataFrame:
     return placed.select("probe_id", "doc_id", F.round(score, 6).alias("score"))
 
 
-def containing(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", block: int = 20_000, block_chars: int = 4_000_000) -> DataFrame:
+def containing(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(item_id, doc_id) of the documents whose text contains the item's, as it stands.
 
-    The items go through the documents in blocks of an automaton of bounded size: `block` items
-    and `block_chars` characters at most (or a single longer item).
+    The words inside an item, all but its first and last, stand whole in each document that
+    contains it.  So an item is looked up by the one of them that the fewest documents have, and
+    confirmed on the texts.  An item of fewer words is looked up by its rarest run of up to
+    `GRAM` characters; runs are made of the documents only where there are such items.  An
+    empty item is contained nowhere.
     """
-    import ahocorasick
-
-    found, part, held = None, [], 0
-
-    def scan(part: list[tuple]) -> DataFrame:
-        shared = docs.sparkSession.sparkContext.broadcast(part)
-
-        def run(batches):
-            machine = ahocorasick.Automaton()
-            for item, text in shared.value:
-                machine.add_word(text, (*machine.get(text, ()), item))
-            machine.make_automaton()
-            for batch in batches:
-                ids, items = [], []
-                for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                    hit = {i for _, held in machine.iter(text or "") for i in held}
-                    ids += [doc] * len(hit)
-                    items += sorted(hit)
-                yield pa.RecordBatch.from_arrays([pa.array(items, pa.int64()), pa.array(ids, pa.int64())], names=["item_id", "doc_id"])
-
-        return docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text")).mapInArrow(run, "item_id long, doc_id long")
-
-    for row in items.filter("text <> ''").select("item_id", "text").toLocalIterator():
-        if part and (len(part) == block or held + len(row.text) > block_chars):
-            found, part, held = scan(part) if found is None else found.unionAll(scan(part)), [], 0
-        part.append((row.item_id, row.text))
-        held += len(row.text)
-    if part:
-        found = scan(part) if found is None else found.unionAll(scan(part))
-    if found is None:
-        found = docs.sparkSession.createDataFrame([], "item_id long, doc_id long")
-    return found.distinct()
-
-
-def probe_metrics(scores: DataFrame, gold: DataFrame) -> DataFrame:
-    """(probe_id, n_gold, best_rank, mrr, hit_at_1, recall_at_3, recall_at_5, margin), each rounded to 4, the margin to 6."""
-    run = ranked(scores)
-    marked = run.join(gold.withColumn("is_gold", F.lit(True)), ["probe_id", "doc_id"], "left").withColumn("is_gold", F.coalesce("is_gold", F.lit(False)))
-    n_gold = gold.groupBy("probe_id").agg(F.count(F.lit(1)).alias("n_gold"))
-    within = lambda k: F.sum(F.when(F.col("is_gold") & (F.col("rank") <= k), 1).otherwise(0))
-    best = marked.groupBy("probe_id").agg(
-        F.min(F.when(F.col("is_gold"), F.col("rank"))).alias("best_rank"),
-        within(3).alias("in_3"),
-        within(5).alias("in_5"),
-        F.max(F.when(F.col("is_gold"), F.col("score"))).alias("best_gold"),
-        F.max(F.when(~F.col("is_gold"), F.col("score"))).alias("best_other"),
-    )
-    out = n_gold.join(best, "probe_id", "left")
+    own = docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text")).filter("text IS NOT NULL")
+    asked = items.filter("text <> ''").select("item_id", F.col("text").alias("item"))
+    words = asked.select("item_id", "item", F.split("item", SPACE + "+").alias("w"))
+    inner = words.filter(F.size("w") >= 3).select("item_id", "item", F.explode(F.array_distinct(F.slice("w", F.lit(2), F.size("w") - 2))).alias("key"))
+    found = _looked_up(own, inner, F.array_distinct(F.split("text", SPACE + "+")))
+    short = words.filter(F.size("w") < 3)
+    least = short.agg(F.min(F.length("item")).alias("n")).first()["n"]
+    if least is None:
+        return found
+    size = min(GRAM, least)
+    runs = lambda c: F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(c) - size + 1), lambda i: F.col(c).substr(i, F.lit(size))))
+    grams = short.select("item_id", "item", F.explode(runs("item")).alias("key"))
+    return found.unionByName(_looked_up(own.filter(F.length("text") >= size), grams, runs("text")))
+
+
+def _looked_up(docs: DataFrame, keyed: DataFrame, keys: Column) -> DataFrame:
+    """(item_id, doc_id) of the documents that have an item's rarest key and contain the item."""
+    held = docs.select("doc_id", F.explode(keys).alias("key")).join(keyed.select("key").distinct(), "key", "left_semi")
+    df = held.groupBy("key").agg(F.count(F.lit(1)).alias("df"))
+    # an item with a key that no document has is nowhere
+    counted = keyed.join(df, "key", "left").groupBy("item_id", "item").agg(F.min_by("key", F.struct(F.coalesce("df", F.lit(0)), "key")).alias("key"))
+    met = held.join(counted, "key").select("item_id", "item", "doc_id")
+    return met.join(docs, "doc_id").filter(F.contains("text", F.col("item"))).select("item_id", "doc_id").distinct()
+
+
+def probe_metrics(scores: DataFrame, gold: DataFrame, ordinal: DataFrame) -> DataFrame:
+    """(probe_id, n_gold, best_rank, mrr, hit_at_1, recall_at_3, recall_at_5, margin), each rounded to 4, the margin to 6.
+
+    All documents of ``ordinal`` (doc_id, ord from 1) are ranked: those without a score stand
+    behind the others, in the order of their ids, with a score of 0.  A gold document's rank
+    is counted from the documents before it, so nothing is sorted.  The margin is null where
+    there is no document but gold ones.
+    """
+    run = scores.filter("score > 0").select("probe_id", F.col("doc_id").alias("other"), F.col("score").alias("other_score"))
+    mine = gold.select("probe_id", "doc_id").distinct().join(scores, ["probe_id", "doc_id"], "left").join(ordinal, "doc_id").withColumn("score", F.coalesce("score", F.lit(0.0)))
+    better = (F.col("other_score") > F.col("score")) | ((F.col("other_score") == F.col("score")) & (F.col("other") < F.col("doc_id")))
+    earlier = F.col("other") < F.col("doc_id")
+    counted = mine.join(run, "probe_id", "left").groupBy("probe_id", "doc_id", "score", "ord").agg(
+        F.count_if(better).alias("better"), F.count_if(earlier).alias("earlier"), F.count("other").alias("scored")
+    )
+    rank = F.when(F.col("score") > 0, F.col("better") + 1).otherwise(F.col("scored") + F.col("ord") - F.col("earlier"))
+    best = counted.withColumn("rank", rank).groupBy("probe_id").agg(
+        F.count(F.lit(1)).alias("n_gold"), F.min("rank").alias("best_rank"), F.count_if(F.col("rank") <= 3).alias("in_3"), F.count_if(F.col("rank") <= 5).alias("in_5"), F.max("score").alias("best_gold")
+    )
+    others = run.join(gold.select("probe_id", F.col("doc_id").alias("other")).distinct(), ["probe_id", "other"], "left_anti").groupBy("probe_id").agg(F.max("other_score").alias("best_other"))
+    total = ordinal.agg(F.count(F.lit(1)).alias("n_docs"))
+    out = best.join(others, "probe_id", "left").crossJoin(F.broadcast(total))  # one row
+    other = F.coalesce("best_other", F.when(F.col("n_docs") > F.col("n_gold"), 0.0))
     return out.select(
         "probe_id",
         "n_gold",
         "best_rank",
-        F.round(F.coalesce(1.0 / F.col("best_rank"), F.lit(0.0)), 4).alias("mrr"),
-        F.coalesce((F.col("best_rank") == 1).cast("double"), F.lit(0.0)).alias("hit_at_1"),
-        F.round(F.coalesce("in_3", F.lit(0)) / F.col("n_gold"), 4).alias("recall_at_3"),
-        F.round(F.coalesce("in_5", F.lit(0)) / F.col("n_gold"), 4).alias("recall_at_5"),
-        F.round(F.col("best_gold") - F.col("best_other"), 6).alias("margin"),
+        F.round(1.0 / F.col("best_rank"), 4).alias("mrr"),
+        (F.col("best_rank") == 1).cast("double").alias("hit_at_1"),
+        F.round(F.col("in_3") / F.col("n_gold"), 4).alias("recall_at_3"),
+        F.round(F.col("in_5") / F.col("n_gold"), 4).alias("recall_at_5"),
+        F.round(F.col("best_gold") - other, 6).alias("margin"),
     )
 
 

@@ -197,6 +197,25 @@ SQL["sliced_lines"] = f"""WITH {_LINES} SELECT book AS entry_id, count(*) AS lin
   WHERE page = 0 AND (book % 3 = 0 OR y0 >= 54 + book % 7 * 28) AND (book % 4 = 0 OR y0 < 200 + book % 7 * 28) GROUP BY book"""
 
 
+@query
+def margin_lines(spark, sf):
+    """Lines of a page that are running headers, by the third of the page in which they stand; every fourth line is in capitals, every seventh a number."""
+    lines = _lines(spark, sf)
+    i = F.col("ord")
+    text = F.when(i % 7 == 3, F.concat(F.lit(" "), (i + 1).cast("string"))).when(i % 11 == 5, F.concat(F.lit("Chapter "), "text")).when(i % 2 == 1, F.substring("text", 1, 30)).otherwise(F.col("text"))
+    placed = lines.select("book", text.alias("text"), (20.0 + (i * 7) % 30).alias("y0"), L.zone(F.col("x0") * 2, F.col("x0") * 2 + 20, F.lit(600.0)).alias("zone"))
+    return placed.groupBy("book", "zone").agg(F.count_if(L.top_margin(F.col("text"), F.col("y0"))).alias("headers"), F.count(F.lit(1)).alias("lines"))
+
+
+_TITLED = """CASE WHEN a = upper(a) AND a <> lower(a) THEN list_aggregate(list_transform(string_split(lower(a), ' '), lambda w, i: CASE WHEN i > 1 AND w IN ('a','an','and','as','at','for','in','of','on','or','the','to') THEN w
+    ELSE upper(substr(w, 1, 1)) || substr(w, 2) END), 'string_agg', ' ') ELSE a END"""
+SQL["margin_lines"] = f"""WITH {_LINES}, t AS (SELECT book, (20 + (ord * 7) % 30)::DOUBLE AS y0, (x0 * 2 + 10) / 600 AS m,
+    {_SQ("CASE WHEN ord % 7 = 3 THEN ' ' || (ord + 1) WHEN ord % 11 = 5 THEN 'Chapter ' || text WHEN ord % 2 = 1 THEN substr(text, 1, 30) ELSE text END")} AS a FROM lines),
+  h AS (SELECT book, CASE WHEN m <= 0.33 THEN 'left' WHEN m >= 0.67 THEN 'right' ELSE 'center' END AS zone, a <> '' AND CASE WHEN y0 < 30 THEN regexp_matches(a, '(?i)^([0-9]+|[ivxlcdm]+)$') OR length(a) <= 120 WHEN y0 > 42 THEN false
+    WHEN regexp_matches(a, '(?i)^([0-9]+|[ivxlcdm]+)$') THEN true WHEN regexp_matches(a, '(?i)^(part|chapter|contents|translator''?s preface|preface)\\b') THEN {_N('a')} <= 10 ELSE {_N('a')} <= 8 AND a = {_TITLED} END AS header FROM t)
+  SELECT book, zone, count(*) FILTER (header) AS headers, count(*) AS lines FROM h GROUP BY ALL"""
+
+
 @query
 def reading_order(spark, sf):
     """Lines that stand in seven rows of a page, read from top to bottom and left to right."""
@@ -231,18 +250,22 @@ SQL["heading_pages"] = f"""WITH d AS (SELECT doc_id, lang, text, substr({_KEY('s
 
 @query
 def contents_ranges(spark, sf):
-    """Forty documents make a book; lines of two runs of its pages get page labels, and one page of the first names the contents."""
+    """Forty documents make a book.  Three pages in a row list entries, eight or, on one that names the contents, four; others have one too few, or follow later."""
     page, n = F.col("doc_id") % 40 + 1, F.floor(F.col("doc_id") / 40) % 5 + 3
-    listed = page.between(n, n + 2) | page.between(n + 5, n + 6)
-    labelled = F.when(listed, F.concat(F.when(page == n, "Contents\n").otherwise(""), F.regexp_replace("text", "\n", " 12\n"), F.lit(" xii"))).otherwise(F.col("text"))
-    pages = table(spark, sf, "documents").select(F.floor(F.col("doc_id") / 40).alias("book"), page.alias("page"), labelled.alias("text"))
-    return P.contents_range(pages, with_word=1, alone=1)
+    entry = F.lit("\nAn entry of the list 12")
+    listed = (
+        F.when(page == n, F.concat(F.lit("Contents"), F.repeat(entry, 4))).when(page.between(n + 1, n + 2) | (page == n + 6), F.repeat(entry, 8))
+        .when(page == n - 1, F.concat(F.lit("Contents"), F.repeat(entry, 3))).when(page == n + 4, F.repeat(entry, 7)).otherwise("")
+    )
+    pages = table(spark, sf, "documents").select(F.floor(F.col("doc_id") / 40).alias("book"), page.alias("page"), F.concat_ws("\n", listed, F.regexp_replace("text", "[0-9]+", "")).alias("text"))
+    return P.contents_range(pages)
 
 
-SQL["contents_ranges"] = f"""WITH d AS (SELECT doc_id // 40 AS book, doc_id % 40 + 1 AS page, doc_id // 40 % 5 + 3 AS n, text FROM documents),
-  t AS (SELECT book, page, CASE WHEN page BETWEEN n AND n + 2 OR page BETWEEN n + 5 AND n + 6 THEN CASE WHEN page = n THEN 'Contents' || chr(10) ELSE '' END || replace(text, chr(10), ' 12' || chr(10)) || ' xii' ELSE text END AS text FROM d),
-  c AS (SELECT *, len(list_filter(list_transform(string_split(text, chr(10)), lambda x: {_SQ('x')}), lambda x: regexp_matches(x, '(?i) ([ivxlcdm]+|[0-9]( ?[0-9]){{0,3}})$'))) AS k FROM t),
-  p AS (SELECT book, page FROM c WHERE k >= 1),
+SQL["contents_ranges"] = f"""WITH d AS (SELECT doc_id // 40 AS book, doc_id % 40 + 1 AS page, doc_id // 40 % 5 + 3 AS n, text, chr(10) || 'An entry of the list 12' AS e FROM documents),
+  t AS (SELECT book, page, concat_ws(chr(10), CASE WHEN page = n THEN 'Contents' || repeat(e, 4) WHEN page BETWEEN n + 1 AND n + 2 OR page = n + 6 THEN repeat(e, 8) WHEN page = n - 1 THEN 'Contents' || repeat(e, 3)
+    WHEN page = n + 4 THEN repeat(e, 7) ELSE '' END, regexp_replace(text, '[0-9]+', '', 'g')) AS text FROM d),
+  c AS (SELECT *, len(list_filter(list_transform(string_split(text, chr(10)), lambda x: {_SQ('x')}), lambda x: regexp_matches(x, '(?i) ([ivxlcdm]+|[0-9]( ?[0-9]){{0,3}})$'))) AS k, contains({_KEY('text')}, 'contents') AS named FROM t),
+  p AS (SELECT book, page FROM c WHERE page <= 40 AND (k >= 8 OR (named AND k >= 4))),
   r AS (SELECT book, min(page) AS first_page, max(page) AS last_page FROM (SELECT *, page - row_number() OVER (PARTITION BY book ORDER BY page) AS run FROM p) GROUP BY book, run)
   SELECT * FROM r QUALIFY row_number() OVER (PARTITION BY book ORDER BY first_page) = 1"""
 
@@ -324,6 +347,22 @@ SQL["embedding_projection"] = f"""WITH p AS (SELECT doc_id, coalesce({_SQ(_EMBED
     round(share, 6) AS supplement_ratio, sup <> '' AND share <= 0.25 AS supplement_shown, CASE WHEN sup <> '' AND share <= 0.25 THEN least(length(sup), 180) ELSE 0 END AS preview_chars, sha256(body) AS body_sha256 FROM s"""
 
 
+@query
+def embedded_views(spark, sf):
+    """Both views of documents, with first lines as titles and last lines as supplements."""
+    docs = table(spark, sf, "documents")
+    args = [F.substring_index("text", "\n", 1), F.col("source"), F.lit("section"), F.col("text"), F.substring_index("text", "\n", -1)]
+    view = lambda name, **kw: F.sha2(J.embedded_view(name, *args, **kw), 256)
+    return docs.select("doc_id", view("body").alias("body"), view("contextual").alias("contextual"), view("contextual", normalised=False).alias("raw"))
+
+
+_CUT = lambda x, n: f"CASE WHEN length({x}) <= {n} THEN {x} ELSE trim(regexp_replace(substr({x}, 1, {n}), ' [^ ]*$', '')) END"
+_JOIN_PARTS = lambda side: f"array_to_string(list_filter([title, coalesce(source, ''), 'section', {_CUT('body', 1600)}, CASE WHEN {side} <> '' THEN 'Supplement: ' || {side} ELSE '' END], lambda x: x <> ''), chr(10) || chr(10))"
+SQL["embedded_views"] = f"""WITH t AS (SELECT doc_id, source, {_SQ("split_part(coalesce(text, ''), chr(10), 1)")} AS title, {_SQ("coalesce(text, '')")} AS body, {_SQ("split_part(coalesce(text, ''), chr(10), -1)")} AS sup FROM documents),
+  s AS (SELECT *, CASE WHEN length(sup) <= greatest(length(body), 1) * 0.25 THEN {_CUT('sup', 180)} ELSE '' END AS small, {_CUT('sup', 400)} AS large FROM t)
+  SELECT doc_id, sha256(body) AS body, sha256({_JOIN_PARTS('small')}) AS contextual, sha256({_JOIN_PARTS('large')}) AS raw FROM s"""
+
+
 @query
 def projection_collisions(spark, sf):
     return J.collisions(table(spark, sf, "documents").filter("text IS NOT NULL"), J.embedding_text(F.col("text")), "lang")
@@ -462,4 +501,4 @@ def folder_digests(spark, sf):
     return Q.folder_digests(turns, "conv_id", "path", "text")
 
 
-SQL["folder_digests"] = """SELECT conv_id, count(*) AS n_files, sha256(string_agg(line, chr(10) ORDER BY line)) AS sha256 FROM (SELECT conv_id, lpad(turn::VARCHAR, 4, '0') || '.md:' || sha256(coalesce(text, '')) AS line FROM conversations) GROUP BY conv_id"""
+SQL["folder_digests"] = """SELECT conv_id, count(*) AS n_files, sha256(string_agg(lpad(turn::VARCHAR, 4, '0') || '.md' || chr(0) || coalesce(text, '') || chr(0), '' ORDER BY turn)) AS sha256 FROM conversations GROUP BY conv_id"""

@@ -98,13 +98,13 @@ def _metrics(name: str) -> str:
     """Common table expressions that end in `name`_m."""
     n = name
     return f"""
-{n}_run AS (SELECT *, row_number() OVER (PARTITION BY probe_id ORDER BY score DESC, doc_id) AS rank FROM {n}),
-{n}_best AS (SELECT probe_id, min(rank) FILTER (g) AS best_rank, count(*) FILTER (g AND rank <= 3) AS in_3, count(*) FILTER (g AND rank <= 5) AS in_5,
-             max(score) FILTER (g) AS best_gold, max(score) FILTER (NOT g) AS best_other
-             FROM (SELECT r.*, gold.doc_id IS NOT NULL AS g FROM {n}_run r LEFT JOIN gold USING (probe_id, doc_id)) GROUP BY ALL),
-{n}_m AS (SELECT probe_id, n_gold, best_rank, round(coalesce(1.0::DOUBLE / best_rank, 0), 4) AS mrr, coalesce(CASE WHEN best_rank = 1 THEN 1.0 ELSE 0.0 END, 0)::DOUBLE AS hit_at_1,
-          round(coalesce(in_3, 0)::DOUBLE / n_gold, 4) AS recall_at_3, round(coalesce(in_5, 0)::DOUBLE / n_gold, 4) AS recall_at_5, round(best_gold - best_other, 6) AS margin
-          FROM (SELECT probe_id, count(*) AS n_gold FROM gold GROUP BY ALL) LEFT JOIN {n}_best USING (probe_id))"""
+{n}_run AS (SELECT probe_id, doc_id, coalesce(score, 0) AS score, row_number() OVER (PARTITION BY probe_id ORDER BY coalesce(score, 0) DESC, doc_id) AS rank, g
+            FROM (SELECT p.probe_id, d.doc_id, score, gold.doc_id IS NOT NULL AS g FROM (SELECT DISTINCT probe_id FROM gold) p CROSS JOIN documents d
+                  LEFT JOIN {n} s ON s.probe_id = p.probe_id AND s.doc_id = d.doc_id LEFT JOIN gold ON gold.probe_id = p.probe_id AND gold.doc_id = d.doc_id)),
+{n}_best AS (SELECT probe_id, min(rank) FILTER (g) AS best_rank, count(*) FILTER (g) AS n_gold, count(*) FILTER (g AND rank <= 3) AS in_3, count(*) FILTER (g AND rank <= 5) AS in_5,
+             max(score) FILTER (g) AS best_gold, max(score) FILTER (NOT g) AS best_other FROM {n}_run GROUP BY ALL),
+{n}_m AS (SELECT probe_id, n_gold, best_rank, round(1.0::DOUBLE / best_rank, 4) AS mrr, CASE WHEN best_rank = 1 THEN 1.0 ELSE 0.0 END::DOUBLE AS hit_at_1,
+          round(in_3::DOUBLE / n_gold, 4) AS recall_at_3, round(in_5::DOUBLE / n_gold, 4) AS recall_at_5, round(best_gold - best_other, 6) AS margin FROM {n}_best)"""
 
 
 _MEANS = ", ".join(f"round(avg({m}), 4) AS {m}" for m in ("mrr", "hit_at_1", "recall_at_3", "recall_at_5"))
@@ -150,7 +150,7 @@ ORACLE_SQL: dict[str, str] = {
     "stemmed_term_df": f"SELECT term, count(*) AS df, sum(tf)::BIGINT AS cf FROM (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest({_terms('text')}) AS term FROM documents) GROUP BY ALL) GROUP BY term",
     "chargram_df": f"SELECT gram, count(*) AS df FROM (SELECT item_id, unnest(list_distinct({_grams('text')})) AS gram FROM benchmark) GROUP BY gram",
     "slug_keys": f"SELECT doc_id, {_slug(_FIRST)} AS slug, regexp_replace(lower(nfc_normalize({_FIRST})), '[^a-z0-9]+', '', 'g') AS match_key FROM documents",
-    "title_case_norm": f"""SELECT p_partkey, list_aggregate(list_transform(string_split({_SQUEEZE('p_name')}, ' '), lambda w, i: CASE WHEN i > 1 AND lower(w) IN ('a','an','and','at','by','for','in','of','on','or','the','to') THEN lower(w) ELSE upper(substr(w, 1, 1)) || lower(substr(w, 2)) END), 'string_agg', ' ') AS title FROM part""",
+    "title_case_norm": f"""SELECT p_partkey, CASE WHEN p_partkey % 3 = 0 THEN {_SQUEEZE('p_name')} ELSE list_aggregate(list_transform(string_split({_SQUEEZE('p_name')}, ' '), lambda w, i: CASE WHEN i > 1 AND lower(w) IN ('a','an','and','as','at','for','in','of','on','or','the','to') THEN lower(w) ELSE upper(substr(w, 1, 1)) || lower(substr(w, 2)) END), 'string_agg', ' ') END AS title FROM part""",
     "html_clean": f"SELECT page_id, length(t) AS n_chars, {_TOKENS('t')} AS n_tokens, sha256(t) AS text_sha256 FROM (SELECT page_id, {_HTML} AS t FROM pages)",
     "retrieval_cleaning": "SELECT doc_id, sha256(trim(list_aggregate(list_transform(string_split(text, chr(10)), lambda x: substr(trim('- ' || x), 3)), 'string_agg', chr(10)))) AS text_sha256 FROM documents",
     "bm25_topk": f"WITH {_bm25('s', _BODY, 'body_bm25')} {_top('s', 5)}",

@@ -7,7 +7,7 @@ from lexigrove.operators import layout as L
 
 @pytest.mark.parametrize("text, y0, want", [
     ("The rain had come down for days on end, and nobody in the valley remembered a spring so wet.", 37.34, False), ("Part IV: Bread, Salt, Honey", 19.8, True),
-    ("Part IV: Bread, Salt, Honey", 35.08, True), ("xiv", 40.0, True), ("12", 43.0, False), ("", 10.0, False), ("y" * 121, 10.0, False), ("Plain words in a row here", 41.0, False),
+    ("Part IV: Bread, Salt, Honey", 35.08, True), ("xiv", 40.0, True), ("12", 43.0, False), ("", 10.0, False), ("y" * 121, 10.0, False), ("Plain words in a row here", 41.0, True), ("Plain words in a row here that go on for ten", 41.0, False), ("PLAIN WORDS", 41.0, False),
 ])
 def test_margin(spark, text, y0, want):
     assert spark.range(1).select(L.top_margin(F.lit(text), F.lit(y0))).first()[0] is want

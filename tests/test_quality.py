@@ -1,4 +1,5 @@
 import json
+import random
 import shutil
 
 import pytest
@@ -70,11 +71,44 @@ def test_neighbours_in_blocks(spark):
     assert one == many and len(one) == 18
 
 
-def test_containing_in_blocks(spark):
-    docs = spark.createDataFrame([(1, "a needle here"), (2, None), (3, "hay")], "doc_id long, text string")
-    items = spark.createDataFrame([(7, "needle"), (8, "ha"), (9, ""), (10, "needle")], "item_id long, text string")
-    for block in (1, 100):
-        assert sorted(map(tuple, R.containing(docs, items, block=block).collect())) == [(7, 1), (8, 3), (10, 1)]
+def test_containing(spark):
+    docs = spark.createDataFrame([(1, "a needle here"), (2, None), (3, "hay"), (4, "sineedles hereafter"), (5, "a  needle here")], "doc_id long, text string")
+    items = spark.createDataFrame([(7, "needle"), (8, "ha"), (9, ""), (10, "needle"), (11, None), (12, "a needle h"), (13, "no such words here"), (14, "eedle her")], "item_id long, text string")
+    assert sorted(map(tuple, R.containing(docs, items).collect())) == [(7, 1), (7, 4), (7, 5), (8, 3), (10, 1), (10, 4), (10, 5), (12, 1), (14, 1), (14, 5)]
+    assert R.containing(docs, items.limit(0)).collect() == R.containing(docs.limit(0), items).collect() == []
+
+
+def test_containing_equals_plain_search(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    texts = {r.doc_id: r.text for r in docs.collect() if r.text}
+    pick = random.Random(1)
+    items = []
+    for i in range(60):
+        text = pick.choice(list(texts.values()))
+        at = pick.randrange(len(text))
+        items.append((i, text[at : at + pick.choice((1, 3, 12, 40, 200))] + pick.choice(("", "", "x"))))
+    got = {tuple(r) for r in R.containing(docs, spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert got == {(i, d) for i, item in items for d, text in texts.items() if item in text}
+
+
+def test_metrics_rank_all_documents(spark):
+    """Gold documents without a score stand behind the scored ones, in the order of their ids."""
+    scores = spark.createDataFrame([(1, 3, 2.0), (1, 5, 2.0), (1, 1, 1.0), (2, 4, 1.0)], "probe_id int, doc_id int, score double")
+    gold = spark.createDataFrame([(1, 5), (1, 2), (2, 3), (3, 6), (2, 3)], "probe_id int, doc_id int")
+    ordinal = spark.createDataFrame([(i, i) for i in range(1, 7)], "doc_id int, ord long")
+    got = {r.probe_id: (r.n_gold, r.best_rank, r.mrr, r.hit_at_1, r.recall_at_3, r.recall_at_5, r.margin) for r in R.probe_metrics(scores, gold, ordinal).collect()}
+    # probe 1: 3, 5, 1, 2, 4, 6; probe 2: 4, 1, 2, 3, 5, 6; probe 3: in order
+    assert got == {1: (2, 2, 0.5, 0.0, 0.5, 1.0, 0.0), 2: (1, 4, 0.25, 0.0, 0.0, 1.0, -1.0), 3: (1, 6, 0.1667, 0.0, 0.0, 0.0, 0.0)}
+    alone = R.probe_metrics(scores.limit(0), spark.createDataFrame([(1, 1)], "probe_id int, doc_id int"), ordinal.limit(1)).first()
+    assert (alone.best_rank, alone.mrr, alone.margin) == (1, 1.0, None)
+
+
+def test_names_are_checked(spark):
+    assert R.profile("body_bm25") == R.PROFILES["body_bm25"]
+    with pytest.raises(ValueError, match="unknown profile"):
+        R.profile("other")
+    corpora = spark.createDataFrame([("a",), ("b",), (None,)], "corpus string")
+    assert R.known_only(["b", "none", "a"], corpora) == ["b", "a"]
 
 
 def test_bundle(spark, tmp_path):

@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lexigrove.functions import text as X
-from lexigrove.operators.views import body_view, contextual_view
+from lexigrove.operators.projection import embedded_view
 
 
 def value(spark, column, **cols):
@@ -32,7 +32,9 @@ def test_keys(spark):
     assert value(spark, X.match_key(F.col("t")), t="ﬁne Ｗｉｄｅ é²") == "finewide2"
     assert value(spark, X.squeeze(F.col("t")), t="\u00a0a\u2003\x85b\x1fc \u3000") == "a b c"
     assert value(spark, X.match_key(F.col("t")), t="b. Language") == "blanguage"
-    assert value(spark, X.title_case(F.col("t")), t="the ORDER of  things") == "The Order of Things"
+    assert value(spark, X.title_case(F.col("t")), t="THE ORDER OF  THINGS AS THEY ARE BY NIGHT") == "The Order of Things as They Are By Night"
+    assert value(spark, X.title_case(F.col("t")), t=" the ORDER of  things") == "the ORDER of things"
+    assert value(spark, X.title_case(F.col("t")), t="12 34") == "12 34"
 
 
 def test_repeated_words(spark):
@@ -71,8 +73,14 @@ def test_nfkc(spark):
 
 
 def test_views(spark):
-    body, long, short = "Main body sentence. " * 80, "Dense side annotation. " * 60, "Short margin gloss. " * 20
-    assert "Dense" not in value(spark, body_view(F.lit(body), F.lit(long)))
-    out = value(spark, body_view(F.lit("Main body sentence. " * 140), F.lit(short)))
-    assert "Short margin gloss." in out and len(out.split("\n\n")[1]) <= 180
-    assert value(spark, contextual_view(F.lit("T"), F.lit(""), F.lit("section"), F.lit("b"), F.lit(""))) == "T\nsection\nb"
+    t = [F.lit(x) for x in ("A Title", None, "section")]
+    body, short, long = "Words of the body. " * 120, "A gloss at the margin. " * 20, "Side matter. " * 60
+    assert value(spark, embedded_view("body", *t, F.lit(body), F.lit(short))) == body.strip()
+    title, kind, text, side = value(spark, embedded_view("contextual", *t, F.lit(body), F.lit(short))).split("\n\n")
+    assert (title, kind) == ("A Title", "section") and 1580 < len(text) <= 1600 and text.endswith("body.") or text.endswith("the")
+    assert side.startswith("Supplement: A gloss") and len(side) <= 12 + 180
+    assert "Supplement" not in value(spark, embedded_view("contextual", *t, F.lit(body), F.lit(long)))
+    assert len(value(spark, embedded_view("contextual", *t, F.lit(body), F.lit(long), normalised=False)).split("Supplement: ")[1]) <= 400
+    assert value(spark, embedded_view("contextual", *t, F.lit(None), F.lit("x"))) == "A Title\n\nsection"
+    with pytest.raises(ValueError):
+        embedded_view("other", *t, F.lit("a"), F.lit("b"))
