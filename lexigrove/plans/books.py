@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from lexigrove.operators import credits as K
 from lexigrove.operators import outline as O
 from lexigrove.operators import page_map as M
 from lexigrove.operators import spans as N
@@ -153,3 +154,44 @@ SQL["outline_children"] = """WITH l AS (SELECT doc_id AS book, unnest(range(len(
   e AS MATERIALIZED (SELECT book, seq + 1 AS n, (book * 7 + seq * seq * 5 + seq * 3) % 9 + 1 AS level FROM l),
   p AS (SELECT e.book, e.n, max(a.n) FILTER (a.n < e.n AND a.level < e.level) AS parent FROM e JOIN e a USING (book) GROUP BY ALL)
   SELECT book, parent, string_agg(n::VARCHAR, ',' ORDER BY n) AS children FROM p GROUP BY ALL"""
+
+
+# front pages
+
+
+def _front(spark, sf):
+    """Ten documents are the front pages of a book; their first lines name people and years by turns."""
+    docs = table(spark, sf, "documents").select(F.floor(F.col("doc_id") / 10).cast("int").alias("book"), (F.col("doc_id") % 10 + 1).cast("int").alias("page"), "doc_id", "text")
+    lines = docs.select("book", "page", "doc_id", F.posexplode(F.slice(F.split("text", "\n"), 1, 6)).alias("line_no", "t"))
+    words = F.filter(F.split(F.initcap(F.regexp_replace(F.col("t"), "[^A-Za-z ]", "")), " "), lambda w: F.length(w) > 1)
+    name = F.array_join(F.slice(words, 1, 2), " ")
+    k, year = (F.col("doc_id") + F.col("line_no")) % 11, (1900 + F.col("doc_id") % 100).cast("string")
+    text = (
+        F.when(k == 0, F.concat(F.lit("By "), name)).when(k == 1, F.concat(F.lit("Translated by "), name)).when(k == 2, F.upper(name)).when(k == 3, F.concat(F.lit("Copyright "), year, F.lit(", 1899")))
+        .when(k == 4, F.concat(F.lit("First published "), year)).when(k == 5, F.concat(F.lit("Originally published in "), year)).when((k == 6) & (F.col("doc_id") % 3 == 0), F.concat(F.lit("Corrected edition "), year)).otherwise(F.substring("t", 1, 60))
+    )
+    return lines.select("book", "page", "line_no", text.alias("text"))
+
+
+@query
+def book_contributors(spark, sf):
+    """People of each book's front pages with their roles.  No SQL: names are merged by what they abbreviate; the tests have cases."""
+    found = K.contributors(K.evidence(_front(spark, sf)))
+    return found.select("book", "person", "name", F.array_join("roles", ",").alias("roles"), "weight", "mentions", "first_page", "rank")
+
+
+@query
+def publication_years(spark, sf):
+    return K.year_candidates(_front(spark, sf)).select("book", "page", F.col("line_no").cast("long").alias("line_no"), "year", "priority", F.col("rank").cast("long").alias("rank"))
+
+
+SQL["publication_years"] = """WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))[1:6]) AS t, unnest(range(least(6, len(string_split(text, chr(10)))))) AS i FROM documents),
+  k AS (SELECT doc_id // 10 AS book, doc_id % 10 + 1 AS page, i, (doc_id + i) % 11 AS k, 1900 + doc_id % 100 AS y, doc_id FROM l),
+  c AS (SELECT book, page, i, CASE k WHEN 3 THEN greatest(y, 1899) ELSE y END AS year, CASE k WHEN 3 THEN 80 WHEN 4 THEN 90 WHEN 5 THEN 70 ELSE 100 END AS priority FROM k WHERE k IN (3, 4, 5) OR (k = 6 AND doc_id % 3 = 0))
+  SELECT book::INT AS book, page::INT AS page, i AS line_no, year::INT AS year, priority, row_number() OVER (PARTITION BY book ORDER BY priority DESC, year DESC, page, i) AS rank FROM c"""
+
+
+@query
+def book_citations(spark, sf):
+    """Author, publisher and year of each book.  No SQL, as of contributors."""
+    return K.citations(_front(spark, sf))
