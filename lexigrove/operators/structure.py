@@ -173,13 +173,24 @@ def segment_text(text: Column, limit: int) -> Column:
     return F.aggregate(parts, zero, step, lambda h: F.when(h["open"] != "", F.concat(h["done"], F.array(h["open"]))).otherwise(h["done"]))
 
 
-def ancestor_paths(nodes: DataFrame, depth: int = 3) -> DataFrame:
-    """(node_id, path): names from the root down to each node (node_id, parent_id, name); trees are at most ``depth`` deep."""
-    out = nodes.select("node_id", F.col("parent_id").alias("up"), F.col("name").alias("path"))
-    for _ in range(depth - 1):
-        parent = nodes.select(F.col("node_id").alias("up"), F.col("parent_id").alias("__up"), F.col("name").alias("__name"))
-        out = out.join(parent, "up", "left").select("node_id", F.col("__up").alias("up"), F.concat_ws(" > ", "__name", "path").alias("path"))
-    return out.select("node_id", "path")
+def ancestor_paths(nodes: DataFrame, deepest: int = 64) -> DataFrame:
+    """(node_id, path): names from the root down to each node (node_id, parent_id, name).
+
+    A round joins every open path with the parents, until all paths begin at a root; a parent
+    that isn't a node ends a path.  A tree of more than ``deepest`` levels, or nodes in a circle,
+    are an error.  Contents whose entries stand in order need no rounds: see `outline.nested_sets`.
+    """
+    parents = nodes.select(F.col("node_id").alias("up"), F.col("parent_id").alias("above"), F.col("name").alias("above_name"))
+    open_ = nodes.select("node_id", F.col("parent_id").alias("up"), F.col("name").alias("path"))
+    done = open_.filter("up IS NULL").select("node_id", "path")
+    open_ = open_.filter("up IS NOT NULL")
+    for _ in range(deepest):
+        if open_.isEmpty():
+            return done
+        joined = open_.join(parents, "up", "left").select("node_id", F.col("above").alias("up"), F.concat_ws(" > ", "above_name", "path").alias("path"))
+        done = done.unionByName(joined.filter("up IS NULL").select("node_id", "path"))
+        open_ = joined.filter("up IS NOT NULL")
+    raise ValueError(f"a tree of more than {deepest} levels, or a circle")
 
 
 _ENTRY = re.compile(r"^(?P<title>.*?\S)[ .·…]*\s(?P<page>\d{1,4}|[ivxlcdm]+)\s*$")

@@ -112,3 +112,12 @@ def test_ancestors(spark, depth):
 def test_end_pages(spark):
     df = spark.createDataFrame([("b", 1, 5), ("b", 2, 5), ("b", 3, 9)], "book string, sequence int, start_page int")
     assert [r.end_page for r in S.end_pages(df, "book").orderBy("sequence").collect()] == [5, 8, 9]
+
+
+def test_paths_of_any_depth(spark):
+    rows = [(i, i - 1 if i else None, f"n{i}") for i in range(7)] + [(20, 99, "lost"), (21, 20, "below")]
+    df = spark.createDataFrame(rows, "node_id int, parent_id int, name string")
+    got = {r.node_id: r.path for r in S.ancestor_paths(df).collect()}
+    assert got == {i: " > ".join(f"n{k}" for k in range(i + 1)) for i in range(7)} | {20: "lost", 21: "lost > below"}
+    with pytest.raises(ValueError):
+        S.ancestor_paths(spark.createDataFrame([(1, 2, "a"), (2, 1, "b")], df.schema), deepest=4)
