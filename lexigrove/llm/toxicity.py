@@ -51,8 +51,8 @@ _DIGIT = re.compile("[0-9]")
 _QUOTES = {'"': '"', "“": "”", "„": "“", "«": "»", "‘": "’"}
 #: Texts that are scored together.
 TOGETHER = 256
-#: Words that a worker remembers; some 30 MB.
-_REMEMBERED = 300_000
+#: Words that a task remembers; some 60 MB.
+_REMEMBERED = 150_000
 #: Bits of the mark table of shortened entries, 2 MB.
 _MARKS = 24
 _BASE, _GOLDEN = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
@@ -151,6 +151,11 @@ class Lexicon:
         self._met: set[bytes] = set()
         self._words: set[str] = set()  # that meet an entry, of the runs in `_met`
 
+    def forget(self) -> None:
+        """Drops what was looked up: a worker waits for other tasks, which need the room."""
+        self._known.clear()
+        self._plain, self._met, self._words = set(), set(), set()
+
     def _bound(self, node: dict) -> int:
         """Notes at each node the most edits that an entry beneath it allows."""
         own = allowed(len(node["word"])) if "word" in node else -1
@@ -430,6 +435,7 @@ def learn_lexicon(rows: DataFrame) -> Lexicon:
         for batch in batches:
             met = shared.value.meeting(batch.column(0).to_pylist())
             yield pa.RecordBatch.from_arrays([pa.array([t for t in met if shared.value.search(t)[2]], pa.string())], names=["term"])
+        shared.value.forget()
 
     clean = counts.filter("good > 0 AND term <> '' AND NOT endswith(term, '*')").select("term")
     ordinary = sorted(r.term for r in clean.mapInArrow(frugal(near), "term string").collect())
@@ -454,6 +460,7 @@ def learn_half(rows: DataFrame, lexicon: Lexicon) -> float:
                     m = sum(w for _, w in hits)
                     counts.update((k, toxic) for k, cut in enumerate(grid) if m >= cut)
                     counts["all"] += toxic
+        lexicon.forget()
         keys = [(k, sum(v for c, v in counts.items() if c == (k, True)), sum(v for c, v in counts.items() if c == (k, False))) for k in range(len(grid))]
         yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in keys] , pa.int64()) for i in range(3)] + [pa.array([counts["all"]] * len(keys), pa.int64())], names=["k", "hit", "wrong", "bad"])
 
@@ -493,6 +500,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_
                     scores.append(m / (m + half))
                     met.append(sorted({e for e, _ in hits}))
             yield pa.StructArray.from_arrays([pa.array(scores, pa.float64()), pa.array(met, pa.list_(pa.string()))], ["score", "hits"])
+        lexicon.forget()
 
     own = unused(docs, "toxicity")
     scored = docs.withColumn(own, score(docs[text_col]))
