@@ -40,7 +40,7 @@ _JOINED_SPACES = r"[\t-\r \x{85}\p{Z}] (?:[\t-\r \x{85}\p{Z}]|\z)"
 #: Chunks after which a worker forgets those it has met, of either kind; some 30 MB.
 _REMEMBERED = 100_000
 #: Bytes of text that a worker encodes at a time.
-_SLICE = 4_000_000
+_SLICE = 2_000_000
 
 
 def bit_width(vocabulary: int) -> int:
