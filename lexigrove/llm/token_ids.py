@@ -14,6 +14,7 @@ any span of ids from the block offsets and unpacks it with numpy.
 
 from __future__ import annotations
 
+import os
 import re
 import struct
 import uuid
@@ -138,6 +139,8 @@ class _Encoder:
     """
 
     def __init__(self, path: str, special_as_text: bool = False):
+        # a task has one core; threads of the library would each keep memory of their own
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
