@@ -38,10 +38,10 @@ _TRAILER = struct.Struct("<QQII8s")
 #: A space with white space on both sides (or at the end of the text): there, words are not
 #: tokenised independently of each other.
 _JOINED_SPACES = r"[\t-\r \x{85}\p{Z}] (?:[\t-\r \x{85}\p{Z}]|\z)"
-#: Chunks after which a worker forgets those it has met, of either kind; some 30 MB.
-_REMEMBERED = 100_000
+#: Chunks that a worker remembers; some 70 MB.
+_REMEMBERED = 300_000
 #: Bytes of text that a worker encodes at a time.
-_SLICE = 2_000_000
+_SLICE = 4_000_000
 
 
 def bit_width(vocabulary: int) -> int:
