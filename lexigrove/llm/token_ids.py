@@ -19,7 +19,8 @@ import re
 import struct
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from string import punctuation
 
 import numpy as np
 import pyarrow as pa
@@ -38,10 +39,10 @@ _TRAILER = struct.Struct("<QQII8s")
 #: A space with white space on both sides (or at the end of the text): there, words are not
 #: tokenised independently of each other.
 _JOINED_SPACES = r"[\t-\r \x{85}\p{Z}] (?:[\t-\r \x{85}\p{Z}]|\z)"
-#: Chunks that a worker remembers; some 70 MB.
+#: Chunks after which a worker starts a new generation of those it remembers; it holds two, some 70 MB each.
 _REMEMBERED = 300_000
 #: Bytes of text that a worker encodes at a time.
-_SLICE = 4_000_000
+_SLICE = 8_000_000
 
 
 def bit_width(vocabulary: int) -> int:
@@ -153,41 +154,73 @@ class _Encoder:
         self._leads = np.zeros(self.size, bool)
         for token, i in self._tokenizer.get_vocab().items():
             self._leads[i] = token.startswith("Ġ")
-        self._led: dict[str, bytes] = {}
-        self._first: dict[str, bytes] = {}
+        (self._newline,) = self._each(["\n"])
+        self._marks: dict[str, bytes] = {}
+        # ids of chunks with a space before them (True) and without: those met lately, and before that
+        self._known: dict[bool, tuple[dict[str, bytes], dict[str, bytes]]] = {True: ({}, {}), False: ({}, {})}
 
     def _each(self, texts: list[str]) -> list[bytes]:
         found = self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, "<u4").tobytes() for e in found]
 
-    def _learn(self, chunks: list[str]) -> None:
-        """Encode space-led chunks, many in one text; the ids that open with a space part them."""
-        groups = [chunks[i : i + 256] for i in range(0, len(chunks), 256)]
-        for group, raw in zip(groups, self._each([" " + " ".join(g) for g in groups]), strict=True):
-            cuts = (np.flatnonzero(self._leads[np.frombuffer(raw, "<u4")]) * 4).tolist()
-            if len(cuts) == len(group):
-                self._led.update((c, raw[i:j]) for c, i, j in zip(group, cuts, [*cuts[1:], len(raw)], strict=True))
+    def _learn(self, chunks: list[str], led: bool) -> None:
+        """Encode chunks; words many in one text, which the ids that open with a space (or those of line ends) part again."""
+        new, lead, gap = self._known[led][0], " " * led, " " if led else "\n"
+        words = [c for c in chunks if c.split() == [c]]
+        alone = [c for c in chunks if c.split() != [c]]
+        for group in (words[i : i + 256] for i in range(0, len(words), 256)):
+            (raw,) = self._each([lead + gap.join(group)])
+            ids = np.frombuffer(raw, "<u4")
+            cuts = (np.flatnonzero(self._leads[ids] if led else ids == np.frombuffer(self._newline, "<u4")[0]) * 4).tolist()
+            begins, ends = (cuts, [*cuts[1:], len(raw)]) if led else ([0, *(c + 4 for c in cuts)], [*cuts, len(raw)])
+            if len(begins) == len(group):
+                new.update((c, raw[i:j]) for c, i, j in zip(group, begins, ends, strict=True))
             else:
-                self._led.update(zip(group, self._each([" " + c for c in group]), strict=True))
-
-    def _ids_of(self, distinct: list[str], known: dict[str, bytes], led: bool) -> list[bytes]:
-        if len(known) > _REMEMBERED:
-            known.clear()
-        if new := [c for c in distinct if c not in known]:
-            if not led:
-                known.update(zip(new, self._each(new), strict=True))
-            else:
-                # a word with one mark behind it is the word's ids and the mark's
-                marked = [c for c in new if c[:-1].isalpha() and c[-1] in ".,;:!?"]
-                heads = {c[:-1] for c in marked}
-                other = {c for c in new if not (c[:-1].isalpha() and c[-1] in ".,;:!?")}
-                self._learn([c for c in heads | other if c not in known])
-                marks = {m: self._each([m])[0] for m in {c[-1] for c in marked}}
-                known.update((c, known[c[:-1]] + marks[c[-1]]) for c in marked)
-        return [known[c] for c in distinct]
+                alone += group
+        new.update(zip(alone, self._each([lead + c for c in alone]), strict=True))
+
+    def _remember(self, chunks: Iterable[str], led: bool) -> None:
+        """Have the ids of chunks in the newer generation."""
+        new, old = self._known[led]
+        missing, marked = [], []
+        for c in chunks:
+            if c not in new:
+                if (ids := old.get(c)) is not None:
+                    new[c] = ids
+                elif len(word := c.rstrip(punctuation)) < len(c) and word.isalpha():
+                    marked.append((c, word))
+                else:
+                    missing.append(c)
+        if marked:
+            self._remember({word for _, word in marked}, led)
+        if missing := [c for c in missing if c not in new]:
+            self._learn(missing, led)
+        # a word with marks behind it is the word's ids and the marks'
+        for c, word in marked:
+            marks = c[len(word) :]
+            if marks not in self._marks:
+                if len(self._marks) >= 10_000:
+                    self._marks.clear()
+                (self._marks[marks],) = self._each([marks])
+            new[c] = new[word] + self._marks[marks]
+
+    def _ids_of(self, distinct: list[str], led: bool) -> list[bytes]:
+        """The ids of chunks; one with a line's end between two words is made of theirs each time."""
+        lines = {}
+        for c in distinct:
+            if "\n" in c and len(words := c.split()) == 2 and len(words[0]) + len(words[1]) + 1 == len(c):
+                lines[c] = words
+        self._remember([c for c in distinct if c not in lines] if lines else distinct, led)
+        self._remember({left for left, _ in lines.values()}, led)
+        self._remember({right for _, right in lines.values()}, False)
+        known, first = self._known[led][0], self._known[False][0]
+        return [known[lines[c][0]] + self._newline + first[lines[c][1]] if c in lines else known[c] for c in distinct]
 
     def encode(self, texts: pa.Array) -> list[np.ndarray]:
         """The ids of each text; there are no nulls."""
+        for led, (new, _) in self._known.items():
+            if len(new) > _REMEMBERED:  # what isn't met until the next time is forgotten
+                self._known[led] = {}, new
         whole = pc.match_substring_regex(texts, self._whole).to_numpy(zero_copy_only=False) | (not self._tellable)
         out: list[np.ndarray] = [None] * len(texts)  # type: ignore[list-item]
         at = np.flatnonzero(whole)
@@ -207,9 +240,9 @@ class _Encoder:
         words = chunks.dictionary.to_pylist()
         led = [w for w, u in zip(words, used, strict=False) if u]
         ids = [b""] * len(used)
-        for i, raw in zip(np.flatnonzero(used[: len(words)]), self._ids_of(led, self._led, True), strict=True):
+        for i, raw in zip(np.flatnonzero(used[: len(words)]), self._ids_of(led, True), strict=True):
             ids[i] = raw
-        ids[len(words) :] = self._ids_of(first.dictionary.to_pylist(), self._first, False)
+        ids[len(words) :] = self._ids_of(first.dictionary.to_pylist(), False)
         sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
         flat = np.frombuffer(b"".join(ids), "<u4")
         starts = np.cumsum(sizes) - sizes

@@ -1,9 +1,10 @@
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from helpers import SMALL, edge_docs, empty_docs
-from hypothesis import given
+from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
@@ -13,7 +14,6 @@ from lexigrove.llm.queries import op3_token_ids, tokenizer_path
 
 def brute(rows):
     tokenizer = Tokenizer.from_file(tokenizer_path())
-    tokenizer.encode_special_tokens = True
     start = 0
     for doc_id, text in rows:
         ids = tokenizer.encode(text or "", add_special_tokens=False).ids + [2]
@@ -29,7 +29,7 @@ def test_query_equals_plain_encoding(spark):
 
 def test_edges(spark):
     docs = edge_docs(spark)
-    got = T.token_table(docs, tokenizer_path()).select("doc_id", "n_tokens", "ids_crc32").collect()
+    got = T.token_table(docs, tokenizer_path(), special_as_text=False).select("doc_id", "n_tokens", "ids_crc32").collect()
     want = [(d, n, c) for d, _, n, c in brute([(r.doc_id, r.text) for r in docs.collect()])]
     key = lambda r: (r[0] is not None, r)
     assert sorted(map(tuple, got), key=lambda r: (r[0] or -1, r[1:])) == sorted(want, key=lambda r: (r[0] or -1, r[1:])), key
@@ -47,6 +47,28 @@ def test_special_strings(spark):
         assert {r.doc_id: (r.n_tokens, r.ids_crc32) for r in got} == {i: (len(x), zlib.crc32(np.array(x, "<u4").tobytes())) for i, x in want.items()}
 
 
+ENCODERS: list = []
+PIECES = ["word", "Ñandú", "x", "12", "...", "%%%", "'s", "'", "_", " ", " ", " ", "\n", "\t", "\u00a0", "\u2003", "\x1c", "日本", "é", "</s>"]
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(PIECES), max_size=14).map("".join), min_size=1, max_size=8))
+def test_chunks_equal_whole_texts(texts):
+    if not ENCODERS:
+        ENCODERS.extend((Tokenizer.from_file(tokenizer_path()), T._Encoder(tokenizer_path())))
+    plain, encoder = ENCODERS
+    for _ in range(2):  # learned, and remembered
+        assert [x.tolist() for x in encoder.encode(pa.array(texts))] == [plain.encode(t, add_special_tokens=False).ids for t in texts]
+
+def test_words_are_forgotten_by_generations(monkeypatch):
+    monkeypatch.setattr(T, "_REMEMBERED", 20)
+    encoder, plain = T._Encoder(tokenizer_path()), Tokenizer.from_file(tokenizer_path())
+    for i in range(30):
+        text = " ".join(f"w{chr(97 + (i + k) % 26)}{k}.\nthe" for k in range(15))
+        assert encoder.encode(pa.array([text]))[0].tolist() == plain.encode(text).ids
+        assert all(len(new) + len(old) <= 120 for new, old in encoder._known.values())
+
+
 def test_random_access(spark, tmp_path):
     folder = f"file://{tmp_path}/ids"
     docs = spark.createDataFrame([(i, "word " * i) for i in range(50)], "doc_id long, text string")
