@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexigrove.llm.common import join_facts, materialise
+from lexigrove.llm.common import join_facts, materialise, remove
 
 
 def digest_runs(docs: DataFrame, runs: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -27,24 +29,36 @@ def digest_runs(docs: DataFrame, runs: int, id_col: str = "doc_id", text_col: st
 
 
 def merge_runs(rows: DataFrame, fan_in: int, runs: int, keep: str = "smallest") -> DataFrame:
-    """Merge the runs, ``fan_in`` at a time, until one is left.
+    """Merge the runs, ``fan_in`` at a time, in rounds until one is left.
 
-    A level groups each run's sorted digests with those of its neighbours and keeps, of each
-    verified text, the winning identifier and the count.  Every level is split by digest over
-    all tasks, so that no run stands in one task, and a text with very many copies has at
-    most one row per run, whatever their number.
+    A run holds each of its verified texts once, with the winning identifier and the count.  In
+    a round, each run meets its ``fan_in`` - 1 neighbours: tasks exchange their digests by hash,
+    sort them, and a full outer sort-merge join passes over two sorted runs at a time, keeping
+    the winner and the sum of counts where both hold the text.  So no run stands in one task,
+    and a text of very many copies is one row of each run at the most.  The result of a round
+    is written, which the next one reads.
     """
-    best = F.max if keep == "largest" else F.min
-    key = ["digest", "n_chars", "check"]
-    level = rows.groupBy("run", *key).agg(best(F.struct("doc_id", "row_no")).alias("best"), F.count(F.lit(1)).alias("n"))
+    best, of_two = (F.max, F.greatest) if keep == "largest" else (F.min, F.least)
+    key = ["run", "digest", "n_chars", "check"]
+    level = rows.groupBy(key).agg(best(F.struct("doc_id", "row_no")).alias("best"), F.count(F.lit(1)).alias("n"))
+    spark, written = rows.sparkSession, None
     while runs > 1:
-        runs = -(-runs // fan_in)
-        level = (
-            level.withColumn("run", F.floor(F.col("run") / fan_in).cast("int"))
-            .groupBy("run", *key)
-            .agg(best("best").alias("best"), F.sum("n").alias("n"))
-        )
-    return level.select(*key, F.col("best.doc_id").alias("keep_id"), F.col("best.row_no").alias("keep_row"), F.col("n").alias("group_size"))
+        level, path = materialise(level, "digest-level")
+        if written:
+            remove(spark, written)
+        runs, written = -(-runs // fan_in), path
+
+        def sides(level: DataFrame = level) -> Iterator[DataFrame]:
+            for i in range(fan_in):
+                run = level.filter(F.pmod("run", F.lit(fan_in)) == i)
+                yield run.withColumn("run", F.floor(F.col("run") / fan_in).cast("int"))
+
+        level, *others = sides()
+        for side in others:
+            side = side.withColumnsRenamed({"best": "other_best", "n": "other_n"})
+            met = level.hint("merge").join(side.hint("merge"), key, "full_outer")
+            level = met.select(*key, of_two("best", "other_best").alias("best"), (F.coalesce("n", F.lit(0)) + F.coalesce("other_n", F.lit(0))).alias("n"))
+    return level.select(*key[1:], F.col("best.doc_id").alias("keep_id"), F.col("best.row_no").alias("keep_row"), F.col("n").alias("group_size"))
 
 
 def exact_dedup(docs: DataFrame, keep: str = "smallest", runs: int = 16, fan_in: int = 4) -> DataFrame:

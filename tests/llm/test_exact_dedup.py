@@ -3,7 +3,7 @@ import hashlib
 import pytest
 from helpers import edge_docs, empty_docs
 
-from lexigrove.llm.exact_dedup import exact_dedup
+from lexigrove.llm.exact_dedup import digest_runs, exact_dedup, merge_runs
 
 
 @pytest.mark.parametrize("keep, best", [("largest", max), ("smallest", min)])
@@ -35,3 +35,9 @@ def test_tree_shapes_agree(spark, runs, fan_in):
 def test_native(spark):
     plan = exact_dedup(edge_docs(spark))._jdf.queryExecution().executedPlan().toString()
     assert not any(x in plan for x in ("ArrowEvalPython", "BatchEvalPython", "MapInArrow", "MapInPandas"))
+
+
+def test_rounds_merge_sorted_runs(spark):
+    rows = digest_runs(edge_docs(spark), 4)
+    plan = merge_runs(rows, 4, 4)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("SortMergeJoin") >= 3 and "FullOuter" in plan and "Aggregate" not in plan
