@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lexigrove.llm.common import materialise, remove
-from lexigrove.llm.toxicity import ratio
 
 #: Least log-likelihood ratio (G2) of a rule's counts; chance reaches it once in ten million rules.
 LEAST_RATIO = 28.4
@@ -91,6 +90,13 @@ class RuleSet:
         return max((c for t in tokens for need, c in self.by_token.get(t, ()) if not any(map(tokens.isdisjoint, need))), default=0.0)
 
 
+def ratio(bad: Column, good: Column, n_bad: int, n_good: int) -> Column:
+    """The log-likelihood ratio (G2) of a combination's counts against equal shares of both classes."""
+    n, having = n_bad + n_good, bad + good
+    cells = [(bad, having * n_bad), (good, having * n_good), (n_bad - bad, (n - having) * n_bad), (n_good - good, (n - having) * n_good)]
+    return 2 * sum((F.when(seen > 0, seen * F.log(seen * n / met)).otherwise(0.0) for seen, met in cells), F.lit(0.0))
+
+
 def mine_rule_sets(pages: DataFrame, labels: DataFrame, min_support: float = 0.0, min_count: int = 20, min_confidence: float = 0.5, min_lift: float = 1.5) -> DataFrame:
     """(sets, confidence, support): rules for unwanted URLs.
 

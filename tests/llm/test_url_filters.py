@@ -130,3 +130,15 @@ def test_words_that_always_stand_together_are_one_item(spark):
     labels = [(i, 1, i % 2) for i in range(200)]
     rules = U.mine_rule_sets(spark.createDataFrame(pages, "page_id long, url string"), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")).collect()
     assert len(U.minimal([(r.sets, r.confidence) for r in rules])) == 1 and len(rules) <= 4
+
+
+def test_ratio_of_counts(spark):
+    rows = spark.createDataFrame([(20, 0), (10, 10), (0, 7)], "bad long, good long").withColumn("g2", U.ratio(U.F.col("bad"), U.F.col("good"), 40, 60))
+
+    def want(bad, good):
+        n, having = 100, bad + good
+        cells = [(bad, having * 40), (good, having * 60), (40 - bad, (n - having) * 40), (60 - good, (n - having) * 60)]
+        return 2 * sum(x * math.log(x * n / m) for x, m in cells if x)
+
+    got = rows.collect()
+    assert len(got) == 3 and all(abs(r.g2 - want(r.bad, r.good)) < 1e-9 for r in got)
