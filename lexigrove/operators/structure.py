@@ -74,8 +74,9 @@ def interpolate_pages(chain: DataFrame, wanted: DataFrame, page_count: int, book
     before, after = F.last("s", ignorenulls=True).over(line.rowsBetween(Window.unboundedPreceding, 0)), F.first("s", ignorenulls=True).over(line.rowsBetween(1, Window.unboundedFollowing))
     placed = segments.withColumn("asked", F.lit(False)).unionByName(asked).withColumn("x", F.coalesce(before, after)).filter("asked AND x IS NOT NULL")
     x = F.col("x")
-    slope = (x["np"] - x["p"]) / F.greatest(x["nb"] - x["b"], F.lit(1))
-    estimate = F.bround(x["p"] + (F.col("at") - x["b"]) * slope, 0).cast("int")
+    # a whole product is divided once: a slope that is rounded already would miss exact halves
+    rise = (F.col("at") - x["b"]) * (x["np"] - x["p"]).cast("double") / F.greatest(x["nb"] - x["b"], F.lit(1))
+    estimate = F.bround(x["p"] + rise, 0).cast("int")
     return placed.select(book, F.col("at").alias("book_page"), F.greatest(F.lit(1), F.least(F.lit(page_count), estimate)).alias("pdf_page"))
 
 

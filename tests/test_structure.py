@@ -43,6 +43,12 @@ def test_interpolation(spark):
     assert got == sorted((b, w, place(books[b], w)) for b, w in map(tuple, wanted.collect()) if len(books[b]) > 1)
 
 
+def test_interpolation_of_exact_halves(spark):
+    chain = spark.createDataFrame([("a", 3, 1), ("a", 10, 7)], "book string, pdf_page int, book_page int")
+    wanted = spark.createDataFrame([("a", 52)], "book string, book_page int")
+    assert [r.pdf_page for r in S.interpolate_pages(chain, wanted, 100).collect()] == [62]  # 3 + 51 * 7 / 6 = 62.5
+
+
 def test_offsets(spark):
     votes = [9] * 120 + [-3, 44, 45]
     df = spark.createDataFrame([("b", v) for v in votes] + [("weak", 1), ("weak", 2)], "book string, offset int")
