@@ -1,3 +1,4 @@
+from lexigrove.operators import dense as D
 from lexigrove.operators import retrieval as R
 
 TEXTS = ["alpha beta gamma", "alpha alpha delta", "", "beta walking walked", "gamma delta epsilon alpha", None]
@@ -52,3 +53,20 @@ def test_ranks_of_many_gold_documents(spark):
         assert (r.n_gold, r.best_rank) == (len(mine), min(ranks))
         assert (r.recall_at_3, r.recall_at_5) == tuple(round(sum(x <= k for x in ranks) / len(mine), 4) for k in (3, 5))
         assert r.margin == max(held.get(d, 0.0) for d in mine) - max(held.get(d, 0.0) for d in range(40) if d not in mine)
+
+
+def test_neighbours_in_slices(spark, monkeypatch):
+    vectors = [(i, [float(i % 5), float(i % 3), float("nan") if i == 17 else 1.0]) for i in range(60)]
+    monkeypatch.setattr(D, "SCORES", 70)  # sent to the tasks with the function's globals
+    df = spark.createDataFrame(vectors, "vec_id long, embedding array<double>")
+    got = sorted((r.query_id, r["rank"], r.vec_id) for r in D.neighbours(df, df.filter("vec_id % 10 = 7"), 5, 40).collect())
+    want = []
+    for q, a in vectors:
+        if q % 10 == 7 and q != 17:
+            order = sorted((-sum(x * y for x, y in zip(a, b, strict=True)), i) for i, b in vectors if i not in (q, 17))
+            want += [(q, k + 1, i) for k, (_, i) in enumerate(order[:5])]
+    assert got == want
+
+
+def test_scores_of_a_block_are_made_in_slices(spark):
+    assert D.SCORES <= 1_000_000 < D.BLOCK * D.BLOCK
