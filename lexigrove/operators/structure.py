@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -206,45 +207,55 @@ def parse_contents(lines: DataFrame) -> DataFrame:
     Parts stand at level 1, chapters at 2 below a part and 1 else, sections one below their
     chapter; a line without a page label is carried into the next one.  A group is one book.
     """
-    schema = "book string, sequence long, kind string, level long, title string, page_label string, numbering string, parent long"
-
-    def parse(rows: pd.DataFrame) -> pd.DataFrame:
-        out, carried, part, chapter = [], "", None, None
-        for text in rows.sort_values("line_no").text.fillna(""):
-            line = (carried + " " + re.sub(r"\s+", " ", text).strip()).strip()
-            carried = ""
-            if not line or line.lower() in ("contents", "table of contents"):
-                continue
-            if _NUMBERED.match(line):
-                carried = line + ":"
-                continue
-            found = _ENTRY.match(line)
-            title, page = (found["title"].rstrip(" ."), found["page"]) if found else (line, None)
-            low, n = title.lower(), len(out) + 1
-            if _PART.match(title):
-                kind, level, parent, part, chapter = "part", 1, None, n, None
-            elif page is None:
-                carried = line
-                continue
-            elif re.match(r"^(preface|foreword|acknowledge?ments?|abbreviations|translator.s)", low):
-                kind, level, parent = "frontmatter", 1, None
-            elif low.startswith("introduction"):
-                kind, level, parent = "introduction", 1, None
-            elif re.match(r"^(epilogue|afterword|conclusion)", low):
-                kind, level, parent, part, chapter = "epilogue", 1, None, None, None
-            elif re.match(r"^(index|notes|bibliography)", low):
-                kind, level, parent, part, chapter = "index", 1, None, None, None
-            elif _CHAPTER.match(title):
-                kind, level, parent, chapter = "chapter", 2 if part else 1, part, n
-            else:
-                kind, parent = "section", chapter or part
-                level = 1 if parent is None else out[parent - 1][3] + 1
-            numbering = "none" if page is None else "arabic" if page.isdigit() else "roman"
-            out.append((rows.book.iloc[0], n, kind, level, title, page, numbering, parent))
-        frame = pd.DataFrame(out, columns=[c.split()[0] for c in schema.split(", ")])
-        return frame.astype({"parent": "Int64"})
-
-    return lines.groupBy("book").applyInPandas(parse, schema)
+    entry = "struct<sequence:bigint,kind:string,level:bigint,title:string,page_label:string,numbering:string,parent:bigint>"
+
+    @F.arrow_udf(f"array<{entry}>")
+    def parsed(texts: pa.Array) -> pa.Array:
+        return pa.array([_entries(x) for x in texts.to_pylist()], pa.list_(pa.struct(_ENTRY_FIELDS)))
+
+    texts = F.transform(F.array_sort(F.collect_list(F.struct("line_no", F.coalesce("text", F.lit("")).alias("text")))), lambda x: x["text"])
+    books = lines.groupBy("book").agg(texts.alias("texts"))
+    return books.select(F.col("book").cast("string").alias("book"), F.explode(parsed("texts")).alias("x")).select("book", "x.*")
+
+
+_ENTRY_FIELDS = [("sequence", pa.int64()), ("kind", pa.string()), ("level", pa.int64()), ("title", pa.string()), ("page_label", pa.string()), ("numbering", pa.string()), ("parent", pa.int64())]
+
+
+def _entries(texts: list[str]) -> list[tuple]:
+    """The entries of one book's lines, in order."""
+    out, carried, part, chapter = [], "", None, None
+    for text in texts:
+        line = (carried + " " + re.sub(r"\s+", " ", text).strip()).strip()
+        carried = ""
+        if not line or line.lower() in ("contents", "table of contents"):
+            continue
+        if _NUMBERED.match(line):
+            carried = line + ":"
+            continue
+        found = _ENTRY.match(line)
+        title, page = (found["title"].rstrip(" ."), found["page"]) if found else (line, None)
+        low, n = title.lower(), len(out) + 1
+        if _PART.match(title):
+            kind, level, parent, part, chapter = "part", 1, None, n, None
+        elif page is None:
+            carried = line
+            continue
+        elif re.match(r"^(preface|foreword|acknowledge?ments?|abbreviations|translator.s)", low):
+            kind, level, parent = "frontmatter", 1, None
+        elif low.startswith("introduction"):
+            kind, level, parent = "introduction", 1, None
+        elif re.match(r"^(epilogue|afterword|conclusion)", low):
+            kind, level, parent, part, chapter = "epilogue", 1, None, None, None
+        elif re.match(r"^(index|notes|bibliography)", low):
+            kind, level, parent, part, chapter = "index", 1, None, None, None
+        elif _CHAPTER.match(title):
+            kind, level, parent, chapter = "chapter", 2 if part else 1, part, n
+        else:
+            kind, parent = "section", chapter or part
+            level = 1 if parent is None else out[parent - 1][2] + 1
+        numbering = "none" if page is None else "arabic" if page.isdigit() else "roman"
+        out.append((n, kind, level, title, page, numbering, parent))
+    return out
 
 
 def harvest_metadata(pages: DataFrame) -> DataFrame:

@@ -49,6 +49,15 @@ def test_interpolation_of_exact_halves(spark):
     assert [r.pdf_page for r in S.interpolate_pages(chain, wanted, 100).collect()] == [62]  # 3 + 51 * 7 / 6 = 62.5
 
 
+def test_contents_of_many_books_pass_in_batches(spark):
+    lines = spark.createDataFrame([("a", 2, "1. Start 4"), ("a", 1, "Part i: One"), ("a", 3, None), ("a", 4, "Some . . . 9"), ("b", 1, None), (None, 1, "Preface ix")], "book string, line_no long, text string")
+    found = S.parse_contents(lines)
+    assert {tuple(r) for r in found.collect()} == {
+        ("a", 1, "part", 1, "Part i: One", None, "none", None), ("a", 2, "chapter", 2, "1. Start", "4", "arabic", 1), ("a", 3, "section", 3, "Some", "9", "arabic", 2), (None, 1, "frontmatter", 1, "Preface", "ix", "roman", None)
+    }
+    assert "FlatMapGroups" not in found._jdf.queryExecution().executedPlan().toString()
+
+
 def test_offsets(spark):
     votes = [9] * 120 + [-3, 44, 45]
     df = spark.createDataFrame([("b", v) for v in votes] + [("weak", 1), ("weak", 2)], "book string, offset int")
