@@ -85,8 +85,8 @@ def _prose(flat: Column) -> Column:
 
 def repeated_word(left: Column, right: Column) -> Column:
     """The word that ends the left text and opens the right one again, in lower case, or null."""
-    last = F.lower(F.try_element_at(F.regexp_extract_all(left, F.lit(_WORD), F.lit(0)), F.lit(-1)))
-    first = F.lower(F.try_element_at(F.regexp_extract_all(right, F.lit(_WORD), F.lit(0)), F.lit(1)))
+    last = F.lower(F.regexp_extract(left, f"({_WORD})[^A-Za-z]*$", 1))
+    first = F.lower(F.regexp_extract(right, _WORD, 0))
     return F.when((last == first) & last.isin(BOUNDARY_WORDS), first)
 
 
@@ -132,7 +132,11 @@ def join_verdict(last: dict[str, Column], own: dict[str, Column], page_gap: Colu
 
 def joined_text(left: Column, right: Column, mode: Column) -> Column:
     """Both texts as one: without the hyphen, without the repeated word if the right text opens with it, or with a space between."""
-    a, b = squeeze(left), squeeze(right)
+    return joined_flat(squeeze(left), squeeze(right), mode)
+
+
+def joined_flat(a: Column, b: Column, mode: Column) -> Column:
+    """`joined_text` of texts whose white space is squeezed already."""
     rest = F.ltrim(F.regexp_replace(b, rf"^(?i)({'|'.join(BOUNDARY_WORDS)})\b", ""))
     return F.when(mode == "hyphen", F.concat(F.regexp_replace(a, "-$", ""), b)).when((mode == "duplicate") & repeated_word(a, b).isNotNull(), F.rtrim(F.concat(a, F.lit(" "), rest))).otherwise(F.trim(F.concat(a, F.lit(" "), b)))
 
@@ -204,7 +208,7 @@ def note_lines(regions: DataFrame, is_note: Column) -> DataFrame:
     own = "__"
     while any(c.startswith(own) for c in regions.columns):
         own += "_"
-    tied, run = f"{own}tied", f"{own}run"
+    tied, row = f"{own}tied", f"{own}row"
     by = Window.partitionBy("book", "page").orderBy("ord")
     last = {c: F.lag(c).over(by) for c in ("zone", "x0", "y0", "x1", "y1")}
     at = {c: F.col(f"{own}{c}") for c in last}
@@ -212,8 +216,9 @@ def note_lines(regions: DataFrame, is_note: Column) -> DataFrame:
     same_line = (F.abs(at["y0"] - F.col("y0")) <= NOTE_LINE) & shift & (F.col("x1") - at["x1"] >= NOTE_WIDER)
     band = (at["zone"] == F.col("zone")) | (shift & (F.abs(at["x1"] - F.col("x1")) <= NOTE_X1)) | same_line
     close = F.coalesce(band & (F.col("y0") >= NOTE_FOOT) & (F.col("y0") - at["y1"] <= NOTE_GAP), F.lit(False))
-    marked = regions.withColumns({f"{own}{c}": v for c, v in last.items()}).withColumns({"seed": is_note & (F.col("y0") >= NOTE_FOOT), tied: close})
-    marked = marked.withColumn(run, F.sum((~F.col(tied)).cast("int")).over(by.rowsBetween(Window.unboundedPreceding, 0)))
-    before = Window.partitionBy("book", "page", run).orderBy("ord").rowsBetween(Window.unboundedPreceding, -1)
-    continues = F.col(tied) & F.coalesce(F.bool_or("seed").over(before), F.lit(False))
-    return marked.withColumn("continues", continues).drop(*(f"{own}{c}" for c in last), tied, run)
+    marked = regions.withColumns({row: F.row_number().over(by)} | {f"{own}{c}": v for c, v in last.items()}).withColumns({"seed": is_note & (F.col("y0") >= NOTE_FOOT), tied: close})
+    # a note in the run of tied lines, before the line: both places are found in the order of the page
+    seeds = F.max(F.when(F.col("seed"), F.col(row))).over(by.rowsBetween(Window.unboundedPreceding, -1))
+    begins = F.max(F.when(~F.col(tied), F.col(row))).over(by.rowsBetween(Window.unboundedPreceding, 0))
+    continues = F.col(tied) & F.coalesce(seeds >= begins, F.lit(False))
+    return marked.withColumn("continues", continues).drop(*(f"{own}{c}" for c in last), tied, row)

@@ -3,8 +3,8 @@
 Regions are rows (book, page, page_label, ord, role, zone, layout_kind, content_mode, text, x0,
 y0, x1, y1).  A region such as "3b) [Source] opening words" is an anchor: it opens a passage.
 All other fragments go to a bucket of the passage that is open: citation, commentary or
-reference.  The bucket depends on the fragments before it, which a finite-state machine
-holds; `scan.prefix_states` runs it over all pages at once.
+reference.  The bucket depends on the fragments before it in the passage; windows over books,
+pages and passages tell it, so rows are shuffled once, by book, and never met with themselves.
 
 What a rule looks at is on one page, but for the first fragment of a page, which may go on
 in the last one of the page before, and for the passage that is open where a page begins.
@@ -16,8 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexigrove.functions.text import squeeze
-from lexigrove.operators import scan
-from lexigrove.operators.continuity import BOUNDARY_WORDS, CITED, aligned, joined_text, note_lines, reference_note, repeated_word, text_verdict
+from lexigrove.operators.continuity import CITED, aligned, joined_flat, joined_text, note_lines, reference_note, repeated_word, text_verdict
 from lexigrove.operators.matching import attach_reason
 
 BUCKETS = ("citation", "commentary", "reference")
@@ -33,7 +32,6 @@ IMPRINT = ("Press", "University", "Companion", r"Trans\.", r"ed\.", "Routledge",
 _ANCHOR = r"(?i)^([-*]\s*)?([0-9]+[a-z])\)\s*(.*)$"
 _ENDED = "[.!?][\"”')\\]]?$"
 _NAMES = "[A-Z][A-Za-z'’.-]+,\\s+[A-Z][A-Za-z'’.-]+"
-_STATES = 16  # the last bucket (none or one of three), and whether citation and reference have parts
 
 
 # text of a region
@@ -46,7 +44,7 @@ def region_text(text: Column) -> Column:
 
     def step(held: Column, line: Column) -> Column:
         mode = F.when(held.endswith("-") & line.rlike("^[A-Za-z0-9]"), "hyphen").when(repeated_word(held, line).isNotNull(), "duplicate").otherwise("space")
-        return F.when(held == "", line).otherwise(joined_text(held, line, mode))
+        return F.when(held == "", line).otherwise(joined_flat(held, line, mode))
 
     return F.coalesce(F.aggregate(lines, F.lit(""), step), F.lit(""))
 
@@ -82,68 +80,52 @@ def flatten(regions: DataFrame, mode: str = "balanced") -> DataFrame:
 
     Adds `frag` (the place in the region), `rag_text`, `anchor`, `note`, `note_continues`,
     `page_anchor` (label of the page's first anchor), `before_anchor`, `attach` (why the
-    fragment belongs to the next anchor) and `join_mode` (how it goes on in the fragment before).
+    fragment belongs to the next anchor), `join_mode` (how it goes on in the fragment before),
+    `opened` (anchors of the book up to here) and `cited` (the zone of an anchor's citation).
     """
     pieces = regions.select("*", F.posexplode(fragments_of(region_text(F.coalesce("text", F.lit(""))))).alias("frag", "rag_text"))
     seq = F.struct(F.col("ord").cast("long").alias("ord"), F.col("frag"))
     rows = pieces.withColumns({"anchor": anchor_of(F.col("rag_text")), "note": reference_note(F.col("rag_text")), "at": seq})
+    is_anchor = F.col("anchor").isNotNull()
+
+    # in reading order: the fragment before, on the page or at the end of the page before
+    book = Window.partitionBy("book").orderBy("page", "at")
+    fields = ("page", "zone", "x0", "y0", "x1", "y1", "rag_text", "note", "content_mode", "anchor")
+    rows = rows.withColumns({"last": F.lag(F.struct(*fields)).over(book), "opened": F.count_if(is_anchor).over(book.rowsBetween(Window.unboundedPreceding, 0))})
     page = Window.partitionBy("book", "page").orderBy("at")
-    whole = page.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    after, before = page.rowsBetween(1, Window.unboundedFollowing), page.rowsBetween(Window.unboundedPreceding, -1)
-    here = F.when(F.col("anchor").isNotNull(), F.struct("at", "rag_text", "zone", "ord", "y0", "anchor.label"))
-    rows = rows.withColumns({"next_at": F.first(here, ignorenulls=True).over(after), "page_anchor": F.first("anchor.label", ignorenulls=True).over(whole)})
-    seen = F.coalesce(F.bool_or(F.col("anchor").isNotNull()).over(before), F.lit(False))
+    upto, before, whole = (page.rowsBetween(Window.unboundedPreceding, end) for end in (0, -1, Window.unboundedFollowing))
+    rows = rows.withColumns(
+        {
+            "page_anchor": F.first("anchor.label", ignorenulls=True).over(whole),
+            "seen": F.coalesce(F.bool_or(is_anchor).over(before), F.lit(False)),
+            "under": F.last(F.when(is_anchor, F.struct("zone", "y0")), ignorenulls=True).over(upto),
+        }
+    )
+    rows = note_lines(rows.drop("ord").withColumnRenamed("at", "ord"), F.col("note")).withColumnRenamed("ord", "at").withColumnRenamed("continues", "note_continues").withColumn("ord", F.col("at.ord"))
+
+    # backwards: the next anchor, and what ends the search for the zone of an anchor's citation
+    after = Window.partitionBy("book", "page").orderBy(F.desc("at")).rowsBetween(Window.unboundedPreceding, -1)
+    here = F.when(is_anchor, F.struct("at", "rag_text", "zone", "ord", "y0", "anchor.label"))
+    low = F.col("y0") - F.col("under.y0") > ZONE_POINTS
+    hit = ~low & (F.col("zone") != F.col("under.zone")) & ~F.col("note")
+    stop = F.when(is_anchor | F.coalesce(low | hit, F.lit(True)), F.struct(F.when(~is_anchor & hit, F.col("zone")).alias("zone")))
+    rows = rows.withColumns({"next_at": F.last(here, ignorenulls=True).over(after), "next_stop": F.last(stop, ignorenulls=True).over(after)})
     near = attach_reason(F.col("rag_text"), F.col("zone"), F.col("ord"), F.col("next_at.rag_text"), F.col("next_at.zone"), F.col("next_at.ord"), F.col("next_at.y0") - F.col("y0"))
-    rows = rows.withColumns({"before_anchor": F.col("page_anchor").isNotNull() & ~seen, "attach": F.when(~F.col("note") & F.col("anchor").isNull(), near)})
-    noted = note_lines(rows.drop("ord").withColumnRenamed("at", "ord"), F.col("note")).withColumnRenamed("ord", "at").withColumnRenamed("continues", "note_continues").withColumn("ord", F.col("at.ord"))
+    # a centred anchor without words cites what stands beside it
+    beside_it = F.when((F.col("zone") == "center") & (F.col("anchor.seed") == ""), F.coalesce("next_stop.zone", "zone")).otherwise(F.col("zone"))
+    rows = rows.withColumns({"before_anchor": F.col("page_anchor").isNotNull() & ~F.col("seen"), "attach": F.when(~F.col("note") & ~is_anchor, near), "cited": F.when(is_anchor, beside_it)})
 
-    # the fragment before: on the page, or the last one of the page before
-    fields = ("page", "zone", "x0", "y0", "x1", "y1", "rag_text", "note", "content_mode", "anchor")
-    own = F.struct(*fields)
-    noted = noted.withColumns({"last": F.lag(own).over(page), "is_first": F.row_number().over(page) == 1})
-    feet = noted.groupBy(F.col("book").alias("of_book"), (F.col("page") + 1).alias("of_page")).agg(F.max_by(own, "at").alias("foot"))
-    noted = noted.join(feet, F.col("is_first") & F.col("book").eqNullSafe(F.col("of_book")) & (F.col("page") == F.col("of_page")), "left")
-    last = F.coalesce("last", "foot")
+    last = F.col("last")
     held = {c: last[c] for c in ("zone", "x0", "y0", "x1", "y1")}
-    beside, follows = aligned(held, {c: F.col(c) for c in held}, F.col("page") - last["page"], mode)
+    same_page = F.col("page").eqNullSafe(last["page"])
+    beside, follows = aligned(held, {c: F.col(c) for c in held}, F.when(same_page, 0).otherwise(F.col("page") - last["page"]), mode)
     prose = (last["content_mode"] == "prose") & (F.col("content_mode") == "prose")
-    free = last["anchor"].isNull() & F.col("anchor").isNull() & ~last["note"] & ~F.col("note")
+    free = last["anchor"].isNull() & ~is_anchor & ~last["note"] & ~F.col("note")
     joins = F.when(last.isNotNull() & prose & free & beside & follows, text_verdict(last["rag_text"], F.col("rag_text")))
-    return noted.withColumn("join_mode", joins).drop("next_at", "last", "foot", "of_book", "of_page", "is_first", "seed")
+    return rows.withColumn("join_mode", joins).drop("next_at", "next_stop", "last", "seen", "under", "seed")
 
 
-# the machine
-
-
-def _step(fragment: Column, state: Column) -> Column:
-    """The state after a fragment: bits 0 and 1 are the last bucket (from 1; 0: none), bit 2 a citation, bit 3 a reference."""
-    last, filled = state.bitwiseAND(F.lit(3)), state.bitwiseAND(F.lit(12))
-    inherited = F.when(fragment["inherits"] & (last > 0), last)
-    lead = F.when(fragment["lead"] & (filled == 0), 1)
-    bucket = F.coalesce(fragment["forced"], inherited, lead, fragment["plain"])
-    return bucket.bitwiseOR(filled).bitwiseOR(F.when(bucket == 1, 4).when(bucket == 3, 8).otherwise(0))
-
-
-def _map(fragment: Column) -> Column:
-    """The states that follow each state; an anchor leads to one state from everywhere."""
-    opened = F.when(fragment["seeded"], 5).otherwise(0)
-    states = F.array(*(F.lit(s) for s in range(_STATES)))
-    return F.when(fragment["is_anchor"], F.transform(states, lambda s: opened)).otherwise(F.transform(states, lambda s: _step(fragment, s)))
-
-
-def _citation_zone(page: Column, i: Column) -> Column:
-    """Zone of an anchor's citation: its own, or for a centred anchor without words the first other zone beside it."""
-    own = F.get(page, i)
-    rest = F.slice(page, i + 2, F.size(page))
-    state = F.struct(F.lit(False).alias("over"), F.lit(None).cast("string").alias("zone"))
-
-    def step(held: Column, x: Column) -> Column:
-        over = held["over"] | x["is_anchor"] | (x["y0"] - own["y0"] > ZONE_POINTS)
-        hit = ~over & (x["zone"] != own["zone"]) & ~x["note"]
-        return F.struct((over | hit).alias("over"), F.when(held["over"], held["zone"]).when(hit, x["zone"]).otherwise(held["zone"]).alias("zone"))
-
-    found = F.aggregate(rest, state, step, lambda h: h["zone"])
-    return F.when((own["zone"] == "center") & ~own["seeded"], F.coalesce(found, own["zone"])).otherwise(own["zone"])
+# buckets
 
 
 def bucketed(fragments: DataFrame) -> DataFrame:
@@ -151,62 +133,42 @@ def bucketed(fragments: DataFrame) -> DataFrame:
 
     `seq` is the order within the page after fragments that belong to the next anchor have
     moved behind it; anchors have a bucket where words of the citation follow their label.
+
+    Fragments that don't inherit head a run with one bucket.  A short lead heads a citation if no
+    citation or reference stands in the passage before it.  As such a lead makes one itself, the
+    first lead and all heads that follow plain rules are known row by row.
     """
-    is_anchor = F.col("anchor").isNotNull()
-    held = F.struct(
-        "at", "zone", "y0", "note", is_anchor.alias("is_anchor"), F.coalesce(F.col("anchor.seed") != "", F.lit(False)).alias("seeded"), F.col("anchor.label").alias("label"),
-        F.col("join_mode").isNotNull().alias("inherits"), F.when(F.col("attach").isNotNull(), 2).alias("forced"), F.col("note_continues").alias("note_continues"),
-        F.col("role").isin("main", "table").alias("main"), (F.col("before_anchor") & F.col("page_anchor").isNotNull()).alias("early"), "page_anchor",
-        ((F.col("zone") == "center") & (F.regexp_count(squeeze("rag_text"), F.lit("[^ ]+")) <= LEAD_WORDS) & ~F.col("note")).alias("short"),
-    )
-    pages = fragments.groupBy("book", "page").agg(F.array_sort(F.collect_list(held)).alias("f"))
-    zoned = F.transform("f", lambda x, i: x.withField("cited", F.when(x["is_anchor"], _citation_zone(F.col("f"), i))))
-    pages = pages.withColumn("f", zoned)
-    opened = F.transform(F.filter("f", lambda x: x["is_anchor"]), lambda x: F.struct(x["label"].alias("label"), x["cited"].alias("zone")))
-    pages = pages.withColumns({"opened": opened}).withColumn("n_opened", F.size("opened"))
-    earlier = Window.partitionBy("book").orderBy("page").rowsBetween(Window.unboundedPreceding, -1)
-    pages = pages.withColumns(
-        {
-            "open": F.last(F.when(F.col("n_opened") > 0, F.element_at("opened", -1)), ignorenulls=True).over(earlier),
-            "passages": F.coalesce(F.sum("n_opened").over(earlier), F.lit(0)).cast("long"),
-        }
+    is_anchor, forced = F.col("anchor").isNotNull(), F.col("attach").isNotNull()
+    seeded = is_anchor & (F.col("anchor.seed") != "")
+    rank = F.when(is_anchor, 0).when(forced, 1).otherwise(2)
+    rows = fragments.withColumns({"passage": (F.col("opened") + forced.cast("int")).cast("long"), "rank": rank})
+    # both have the same order: a book's passages follow each other, as do the pages of one
+    book = Window.partitionBy("book").orderBy("passage", "page", "rank", "at")
+    passage = Window.partitionBy("book", "passage").orderBy("page", "rank", "at")
+    upto, before = (passage.rowsBetween(Window.unboundedPreceding, end) for end in (0, -1))
+    rows = rows.withColumns({"n": F.row_number().over(book), "turned": ~F.lag("page").over(book).eqNullSafe(F.col("page"))})
+    opening = F.when(is_anchor, F.struct(F.col("anchor.label").alias("label"), F.col("cited").alias("zone")))
+    rows = rows.withColumns({"open": F.first(opening).over(upto), "follows": F.lag(~is_anchor | seeded).over(passage)})
+
+    elsewhere = F.col("before_anchor") & ~F.col("page_anchor").eqNullSafe(F.col("open.label"))
+    plain = (
+        F.when(F.col("note") | F.col("note_continues"), 3)
+        .when(F.col("open").isNull(), F.when(F.col("role").isin("main", "table"), 2).otherwise(3))
+        .when(elsewhere, 2)
+        .when(F.col("zone") == F.col("open.zone"), 1)
+        .otherwise(2)
     )
-    # of a page's fragments: how many anchors stand up to each
-    counts = F.slice(F.aggregate("f", F.array(F.lit(0)), lambda done, x: F.concat(done, F.array(F.element_at(done, -1) + x["is_anchor"].cast("int")))), 2, F.size("f"))
-
-    def placed(x: Column, n: Column) -> Column:
-        of = n + F.when(~x["is_anchor"] & x["forced"].isNotNull(), 1).otherwise(0)
-        rank = F.when(x["is_anchor"], 0).when(x["forced"].isNotNull(), 1).otherwise(2)
-        passage = F.when(of > 0, F.get("opened", of - 1)).otherwise(F.col("open"))
-        elsewhere = x["early"] & ~x["page_anchor"].eqNullSafe(passage["label"])
-        plain = (
-            F.when(x["note"] | x["note_continues"], 3)
-            .when(passage.isNull(), F.when(x["main"], 2).otherwise(3))
-            .when(elsewhere, 2)
-            .when(x["zone"] == passage["zone"], 1)
-            .otherwise(2)
-        )
-        return F.struct(
-            of.alias("of"), rank.alias("rank"), x["at"].alias("at"), passage["label"].alias("label"), x["is_anchor"].alias("is_anchor"), x["seeded"].alias("seeded"),
-            x["inherits"].alias("inherits"), x["forced"].alias("forced"), (x["short"] & passage.isNotNull()).alias("lead"), plain.alias("plain"),
-        )
-
-    pages = pages.withColumn("f", F.array_sort(F.zip_with("f", counts, placed)))
-    pages = pages.withColumn("map", scan.composed(F.transform("f", _map), _STATES))
-    before = scan.prefix_states(pages.select("book", F.col("page").cast("long").alias("pos"), "map"), "book", _STATES)
-    before = before.select(F.col("book").alias("of_book"), F.col("pos").alias("of_page"), "state")
-    pages = pages.join(before, F.col("book").eqNullSafe(F.col("of_book")) & (F.col("page") == F.col("of_page")))
-    states = scan.states_before(F.transform("f", _map), F.col("state"))
-    each = pages.select("book", "page", "passages", F.posexplode(F.arrays_zip(F.col("f").alias("x"), states.alias("s"))).alias("seq", "z"))
-    x, s = F.col("z.x"), F.col("z.s")
-    ends = F.when(x["is_anchor"], F.when(x["seeded"], 1)).otherwise(_step(x, s).bitwiseAND(F.lit(3)))
-    bucket = F.when(ends.isNotNull(), F.element_at(F.array(*(F.lit(b) for b in BUCKETS)), ends))
-    found = each.select(
-        F.col("book").alias("of_book"), F.col("page").alias("of_page"), x["at"].alias("of_at"), "seq", (F.col("passages") + x["of"]).alias("passage"), x["label"].alias("label"), bucket.alias("bucket"),
-        (~x["is_anchor"] & x["inherits"] & (s.bitwiseAND(F.lit(3)) > 0)).alias("inherited"),
-    )
-    same = F.col("book").eqNullSafe(F.col("of_book")) & (F.col("page") == F.col("of_page")) & (F.col("at") == F.col("of_at"))
-    return fragments.join(found, same).drop("of_book", "of_page", "of_at")
+    inherits = ~is_anchor & F.col("join_mode").isNotNull() & F.coalesce("follows", F.lit(False))
+    short = (F.col("zone") == "center") & (F.regexp_count("rag_text", F.lit("[^ ]+")) <= LEAD_WORDS) & ~F.col("note")
+    rows = rows.withColumns({"plain": plain, "inherited": inherits, "lead": F.coalesce(short & F.col("open").isNotNull(), F.lit(False))})
+    heads = ~is_anchor & ~forced & ~F.col("inherited")
+    fills = seeded | (heads & (F.col("lead") | F.col("plain").isin(1, 3)))
+    first_n = F.max(F.when((F.col("n") == 1) | F.col("turned"), F.col("n"))).over(book.rowsBetween(Window.unboundedPreceding, 0))
+    rows = rows.withColumns({"filled": F.coalesce(F.bool_or(fills).over(before), F.lit(False)), "seq": F.col("n") - first_n})
+    own = F.when(seeded, 1).when(forced, 2).when(heads & F.col("lead") & ~F.col("filled"), 1).when(heads, F.col("plain"))
+    ends = F.when(~is_anchor | seeded, F.last(own, ignorenulls=True).over(upto))
+    bucket = F.get(F.array(*(F.lit(b) for b in BUCKETS)), ends - 1)
+    return rows.withColumns({"label": F.col("open.label"), "bucket": bucket}).drop("opened", "cited", "rank", "n", "turned", "open", "follows", "plain", "lead", "filled")
 
 
 # passages
@@ -227,24 +189,27 @@ def assembled(rows: DataFrame) -> DataFrame:
 
     def joined(pieces: Column) -> Column:
         first = F.get(pieces, F.lit(0))["piece"]
-        return F.aggregate(F.slice(pieces, 2, F.size(pieces)), first, lambda held, x: joined_text(held, x["piece"], x["join_mode"]))
+        return F.aggregate(F.slice(pieces, 2, F.size(pieces)), first, lambda held, x: joined_flat(held, x["piece"], x["join_mode"]))
 
-    texts = rows.filter("bucket IS NOT NULL").groupBy("book", "passage", "bucket", "part").agg(F.array_sort(F.collect_list(F.struct("place", "piece", "join_mode"))).alias("pieces"))
-    texts = texts.select("book", "passage", "bucket", "part", joined(F.col("pieces")).alias("text"))
+    # fragments without a bucket are a part without text, which has only places
+    texts = rows.groupBy("book", "passage", "bucket", "part").agg(
+        F.max("label").alias("label"), F.max("anchor.source_ref").alias("source_ref"), F.sort_array(F.collect_list(F.struct("place", "piece", "join_mode", "page_label", "page"))).alias("pieces")
+    )
+    places = F.transform("pieces", lambda x: F.struct(x["place"].alias("place"), x["page_label"].alias("page_label"), x["page"].alias("page")))
+    texts = texts.select("book", "passage", "bucket", "part", "label", "source_ref", F.when(F.col("bucket").isNotNull(), joined(F.col("pieces"))).alias("text"), places.alias("places"))
 
     def parts(bucket: str) -> Column:
-        held = F.array_sort(F.collect_list(F.when(F.col("bucket") == bucket, F.struct("part", "text"))))
+        held = F.sort_array(F.collect_list(F.when(F.col("bucket") == bucket, F.struct("part", "text"))))
         return F.transform(held, lambda x: x["text"]).alias(bucket)
 
-    buckets = texts.groupBy("book", "passage").agg(*map(parts, BUCKETS))
-    places = rows.groupBy("book", "passage").agg(
-        F.max("label").alias("label"), F.max("anchor.source_ref").alias("source_ref"), F.array_sort(F.collect_list(F.struct("place", "page_label", "page"))).alias("places")
+    out = texts.groupBy("book", "passage").agg(
+        *map(parts, BUCKETS), F.count("bucket").alias("n"), F.max("label").alias("label"), F.max("source_ref").alias("source_ref"), F.sort_array(F.flatten(F.collect_list("places"))).alias("places")
     )
     labels = F.array_distinct(F.filter(F.transform("places", lambda x: x["page_label"]), lambda x: F.coalesce(x != "", F.lit(False))))
     pages = F.array_distinct(F.transform("places", lambda x: x["page"]))
-    places = places.select(F.col("book").alias("of_book"), F.col("passage").alias("of_passage"), "label", F.coalesce("source_ref", F.lit("")).alias("source_ref"), labels.alias("page_labels"), pages.alias("pages"))
-    out = buckets.join(places, F.col("book").eqNullSafe(F.col("of_book")) & (F.col("passage") == F.col("of_passage")))
-    return out.select("book", "passage", F.coalesce("label", F.lit("preamble-01")).alias("passage_id"), "label", "source_ref", *BUCKETS, "page_labels", "pages")
+    return out.filter("n > 0").select(
+        "book", "passage", F.coalesce("label", F.lit("preamble-01")).alias("passage_id"), "label", F.coalesce("source_ref", F.lit("")).alias("source_ref"), *BUCKETS, labels.alias("page_labels"), pages.alias("pages")
+    )
 
 
 def sentence_tail(text: Column) -> Column:
@@ -268,17 +233,16 @@ def boundaries_repaired(passages: DataFrame) -> DataFrame:
     """
     book = Window.partitionBy("book")
     by = book.orderBy("passage")
-    labelled = passages.groupBy(F.col("book").alias("of_book")).agg((F.count("label") > F.count_distinct("label")).alias("repeats"))
-    rows = passages.join(labelled, F.col("book").eqNullSafe(F.col("of_book"))).drop("of_book")
+    again = passages.withColumn("again", F.col("label").isNotNull() & (F.count(F.lit(1)).over(Window.partitionBy("book", "label")) > 1))
+    rows = again.withColumn("repeats", F.bool_or("again").over(by.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))).drop("again")
     tail, head = squeeze(F.element_at(F.lag("commentary").over(by), -1)), squeeze(F.get("commentary", F.lit(0)))
     gap = F.get("pages", F.lit(0)) - F.element_at(F.lag("pages").over(by), -1)
     both = (F.lag(F.size("commentary")).over(by) > 0) & (F.size("commentary") > 0)
     may = F.when(both, (tail != "") & ~tail.rlike(_ENDED) & head.rlike('^[a-z(\\["“]') & (F.coalesce(gap, F.lit(0)) <= 1))
     rows = rows.withColumn("follows", F.coalesce(may, F.lit(False)))
     rows = rows.withColumn("run", F.sum((~F.col("follows")).cast("int")).over(by.rowsBetween(Window.unboundedPreceding, 0)))
-    own = F.struct("passage", "commentary", "page_labels", "pages")
-    runs = rows.groupBy("book", "run").agg(F.array_sort(F.collect_list(own)).alias("xs"), F.first("repeats").alias("repeats"))
-    runs = runs.filter(F.size("xs") > 1)
+    own = F.struct("passage", *(c for c in passages.columns if c not in ("book", "passage")))
+    runs = rows.groupBy("book", "run").agg(F.sort_array(F.collect_list(own)).alias("xs"), F.first("repeats").alias("repeats"))
 
     def step(held: Column, x: Column) -> Column:
         last, rest = F.element_at(held, -1), F.slice(held, 1, F.size(held) - 1)
@@ -302,12 +266,9 @@ def boundaries_repaired(passages: DataFrame) -> DataFrame:
         more = more.withField("pages", F.concat(F.reverse(F.array_except(last["pages"], x["pages"])), x["pages"]))
         return F.when(moves, F.concat(rest, F.array(fewer, more))).otherwise(F.concat(held, F.array(x)))
 
-    folded = runs.select("book", F.explode(F.aggregate(F.slice("xs", 2, F.size("xs")), F.slice("xs", 1, 1), step)).alias("x"))
-    folded = folded.select(F.col("book").alias("of_book"), F.col("x.passage").alias("of_passage"), F.struct("x.commentary", "x.page_labels", "x.pages").alias("new"))
-    rows = rows.join(folded, F.col("book").eqNullSafe(F.col("of_book")) & (F.col("passage") == F.col("of_passage")), "left")
-    changed = {c: F.coalesce(F.col(f"new.{c}"), F.col(c)) for c in ("commentary", "page_labels", "pages")}
-    rows = rows.withColumns(changed).drop("of_book", "of_passage", "new", "follows", "run", "repeats")
-    return bibliography_moved(rows)
+    folded = F.aggregate(F.slice("xs", 2, F.size("xs")), F.slice("xs", 1, 1), step)
+    rows = runs.select("book", F.explode(F.when(F.size("xs") > 1, folded).otherwise(F.col("xs"))).alias("x")).select("book", "x.*")
+    return bibliography_moved(rows.select(*passages.columns))
 
 
 def bibliography(part: Column) -> Column:
@@ -329,16 +290,23 @@ def bibliography_moved(passages: DataFrame) -> DataFrame:
 def merged(parts: Column) -> Column:
     """A bucket's text: blank lines stand between its parts, but parts that obviously go on are joined."""
     chunks = F.flatten(F.transform(parts, lambda p: F.filter(F.transform(F.split(p, "\n\n"), lambda c: F.trim(c)), lambda c: c != "")))
+    # each text as it is shown, and squeezed
+    texts = F.transform(chunks, lambda c: F.struct(c.alias("text"), squeeze(c).alias("flat")))
 
     def step(held: Column, chunk: Column) -> Column:
-        last = F.element_at(held, -1)
-        a, b = squeeze(last), squeeze(chunk)
+        a, b = F.element_at(held, -1)["flat"], chunk["flat"]
         few = F.regexp_count(b, F.lit("[^ ]+")) <= 7
         goes = b.rlike("^(?U)[\\p{Ll},;:)\\]}’\"'-]")
         mode = F.when(a.endswith("-") & b.rlike("^[A-Za-z0-9]"), "hyphen").when(repeated_word(a, b).isNotNull(), "duplicate").when(~a.rlike(_ENDED) & (goes | few), "space")
-        return F.when(mode.isNotNull(), F.concat(F.slice(held, 1, F.size(held) - 1), F.array(joined_text(last, chunk, mode)))).otherwise(F.concat(held, F.array(chunk)))
 
-    return F.array_join(F.aggregate(F.slice(chunks, 2, F.size(chunks)), F.slice(chunks, 1, 1), step), "\n\n")
+        def put(m: Column) -> Column:
+            whole = F.transform(F.array(joined_flat(a, b, m)), lambda t: F.struct(t.alias("text"), t.alias("flat")))
+            return F.when(m.isNotNull(), F.concat(F.slice(held, 1, F.size(held) - 1), whole)).otherwise(F.concat(held, F.array(chunk)))
+
+        # the mode is bound to a lambda's variable, so it is found once
+        return F.get(F.transform(F.array(mode), put), F.lit(0))
+
+    return F.array_join(F.transform(F.aggregate(F.slice(texts, 2, F.size(texts)), F.slice(texts, 1, 1), step), lambda x: x["text"]), "\n\n")
 
 
 def passages(regions: DataFrame, mode: str = "balanced") -> DataFrame:

@@ -225,3 +225,16 @@ def test_nothing_is_lost(spark):
     found = key(QUERIES["passages_repaired"](spark, "/root/testdata/sf0.001"))
     assert len(found) == len(set(found)) > 500
     assert set(found) == set(key(QUERIES["passage_buckets"](spark, "/root/testdata/sf0.001").filter("bucket IS NOT NULL")))
+
+
+def test_fragments_are_shuffled_once(spark):
+    """By book; neither the buckets nor the repairs meet the fragments with themselves again."""
+    regions = book(spark, [region(1, 0, "1a) Words.", "left"), region(1, 1, "a tail without", "right")])
+    for found in (G.bucketed(G.flatten(regions)), G.passages(regions)):
+        plan = found._jdf.queryExecution().executedPlan().toString().partition("== Initial Plan ==")[0]
+        assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
+
+
+def test_an_anchor_without_a_page_keeps_its_fragments(spark):
+    rows = [("b", None, *region(1, 0, "1a) Words.", "left")[2:]), ("b", None, *region(1, 1, "Cited words stand here in full.", "left")[2:])]
+    assert [(r.passage, r.bucket) for r in G.bucketed(G.flatten(book(spark, rows))).orderBy("seq").collect()] == [(1, "citation"), (1, "citation")]
