@@ -72,10 +72,14 @@ def role_of(line: Column) -> Column:
 
 def byline(line: Column) -> Column:
     """The author of a line such as "By Anna Miller", up to a word that no name has; null if fewer than two words are left."""
-    words = F.split(person(F.regexp_extract(squeeze(line), _BYLINE, 1)), " ")
-    cut = F.array_min(F.transform(F.array(*map(F.lit, NAME_ENDS)), lambda w: F.nullif(F.array_position(words, w), F.lit(0).cast("long"))))
-    kept = F.when(cut.isNotNull(), F.slice(words, F.lit(1), (cut - 1).cast("int"))).otherwise(words)
-    return F.when(squeeze(line).rlike(_BYLINE) & (F.size(kept) >= 2), F.array_join(kept, " "))
+    def upto_end(words: Column) -> Column:
+        ends = F.array_position(F.transform(words, lambda w: w.isin(*NAME_ENDS)), True)
+        return F.when(ends > 0, F.slice(words, F.lit(1), (ends - 1).cast("int"))).otherwise(words)
+
+    # the words are bound to a lambda's variable, so the name is made once
+    kept = F.transform(F.array(F.split(person(F.regexp_extract(squeeze(line), _BYLINE, 1)), " ")), upto_end)
+    named = F.get(F.transform(kept, lambda words: F.when(F.size(words) >= 2, F.array_join(words, " "))), F.lit(0))
+    return F.when(squeeze(line).rlike(_BYLINE), named)
 
 
 def evidence(lines: DataFrame) -> DataFrame:
@@ -96,7 +100,8 @@ def evidence(lines: DataFrame) -> DataFrame:
     alone = F.col("next_text").isNotNull() & F.col("last_said").isNull() & ~F.coalesce(F.lower("last_text").rlike("and$"), F.lit(False))
     mention = lambda name, role, weight: F.array(F.struct(name.alias("name"), F.lit(role).alias("role") if isinstance(role, str) else role.alias("role"), F.lit(weight).alias("weight")))
     named = people(F.regexp_replace(F.col("said.names"), r"(?i)\band\s*$", ""))
-    written = byline(F.col("text"))
+    rows = rows.withColumn("written", byline(F.col("text")))
+    written = F.col("written")
     found = (
         F.when(F.col("said").isNotNull(), F.transform(named, lambda n: F.struct(n.alias("name"), F.col("said.role").alias("role"), F.lit(NAMED).alias("weight"))))
         .when(below.isNotNull() & is_person(F.col("name")), mention(F.col("name"), below, BELOW))
@@ -119,59 +124,77 @@ def contributors(mentions: DataFrame) -> DataFrame:
     """
     keyed = mentions.withColumn("key", person_key(F.col("name"))).filter("key <> ''")
     counted = keyed.groupBy("book", "key", "name", "role", "page").agg(F.max("weight").alias("weight"))
-    names = counted.select("book", "key").distinct().withColumn("words", F.split("key", " "))
-    block = [F.element_at("words", -1), F.substring(F.get("words", F.lit(0)), 1, 1)]
-    names = names.withColumns({"last": block[0], "initial": block[1], "n": F.size("words")})
-    # of each word but the last, one opens with the other
-    short = names.select(F.col("book").alias("b"), F.col("last").alias("l"), F.col("initial").alias("i"), F.col("key").alias("short"), F.col("words").alias("w"), F.col("n").alias("m"))
-    met = short.join(names, F.col("b").eqNullSafe(F.col("book")) & (F.col("l") == F.col("last")) & (F.col("i") == F.col("initial")) & (F.col("short") != F.col("key")))
-    heads = lambda c, n: F.slice(c, F.lit(1), n - 1)
-    fits = F.forall(F.zip_with(heads("w", F.col("m")), F.slice("words", F.lit(1), F.col("m") - 1), lambda a, b: (F.length(a) == 1) & F.startswith(b, a) | (a == b)), lambda x: F.coalesce(x, F.lit(False)))
-    met = met.filter((F.col("m") <= F.col("n")) & (F.col("m") > 1) & fits & F.exists("w", lambda a: F.length(a) == 1))
-    full = met.groupBy("b", "short").agg(F.count(F.lit(1)).alias("choices"), F.min("key").alias("full")).filter("choices = 1").drop("choices")
-    merged = counted.join(full, F.col("book").eqNullSafe(F.col("b")) & (F.col("key") == F.col("short")), "left").withColumn("person", F.coalesce("full", "key")).drop("b", "short", "full")
-    shown = merged.groupBy("book", "person", "name").agg(F.sum("weight").alias("w"))
-    shown = shown.groupBy("book", "person").agg(F.max_by("name", F.struct("w", F.length("name"), "name")).alias("name"))
-    each = merged.groupBy("book", "person", "role", "page").agg(F.max("weight").alias("weight"))
-    people_of = each.groupBy("book", "person").agg(F.sort_array(F.collect_set("role")).alias("roles"), F.sum("weight").alias("weight"), F.count(F.lit(1)).alias("mentions"), F.min("page").alias("first_page"))
-    named = shown.select(F.col("book").alias("b"), F.col("person").alias("p"), "name")
-    out = people_of.join(named, F.col("book").eqNullSafe(F.col("b")) & (F.col("person") == F.col("p"))).drop("b", "p")
+    # keys of the same book, last name and first initial meet in one window, so mentions are never joined with themselves
+    rows = counted.withColumn("words", F.split("key", " "))
+    rows = rows.withColumns({"last": F.element_at("words", -1), "initial": F.substring(F.get("words", F.lit(0)), 1, 1)})
+    rows = rows.withColumn("block", F.collect_set("key").over(Window.partitionBy("book", "last", "initial")))
+    n = F.size("words")
+
+    def abbreviates(key: Column) -> Column:
+        """Of each word but the last, one opens with the other."""
+        other = F.split(key, " ")
+        alike = F.zip_with(F.slice("words", F.lit(1), n - 1), F.slice(other, F.lit(1), n - 1), lambda a, b: (F.length(a) == 1) & F.startswith(b, a) | (a == b))
+        return (key != F.col("key")) & (n <= F.size(other)) & F.forall(alike, lambda x: F.coalesce(x, F.lit(False)))
+
+    short = (n > 1) & F.exists("words", lambda a: F.length(a) == 1)
+    rows = rows.withColumn("longer", F.when(short, F.filter("block", abbreviates)))
+    rows = rows.withColumn("person", F.when(F.size("longer") == 1, F.get("longer", F.lit(0))).otherwise(F.col("key")))
+    once = Window.partitionBy("book", "person", "role", "page").orderBy(F.desc("weight"))
+    rows = rows.withColumns({"shown": F.sum("weight").over(Window.partitionBy("book", "person", "name")), "first": F.row_number().over(once) == 1})
+    out = rows.groupBy("book", "person").agg(
+        F.sort_array(F.collect_set("role")).alias("roles"), F.sum(F.when(F.col("first"), F.col("weight"))).alias("weight"), F.count_if("first").alias("mentions"), F.min("page").alias("first_page"),
+        F.max_by("name", F.struct("shown", F.length("name"), "name")).alias("name"),
+    )
     return out.withColumn("rank", F.row_number().over(Window.partitionBy("book").orderBy(F.desc("weight"), "first_page", "person")))
 
 
-def year_candidates(lines: DataFrame) -> DataFrame:
-    """(book, page, line_no, year, priority, rank): years that lines of the front pages tell, the likeliest first.
+def year_of(text: Column) -> Column:
+    """struct(year, priority) that a line tells, or null.
 
     The first pattern that fits a line counts; of several years of a line the latest, but where
     a book was published before, the first.
     """
-    low = F.lower(squeeze(F.col("text")))
+    low = F.lower(squeeze(text))
     out = F.lit(None)
     for priority, pattern in reversed(YEARS):
         groups = [F.nullif(F.regexp_extract(low, pattern, g), F.lit("")) for g in range(1, pattern.count(r"(\d") + 1)]
         years = F.array_compact(F.array(*(g.cast("int") for g in groups)))
         year = F.array_max(years) if priority >= 80 else F.get(years, F.lit(0))
         out = F.when(low.rlike(pattern), F.struct(year.alias("year"), F.lit(priority).alias("priority"))).otherwise(out)
-    found = lines.filter(F.col("page") <= FRONT).select("book", "page", "line_no", out.alias("x")).filter("x IS NOT NULL").select("book", "page", "line_no", "x.year", "x.priority")
+    return out
+
+
+def year_candidates(lines: DataFrame) -> DataFrame:
+    """(book, page, line_no, year, priority, rank): years of `year_of` in the lines of the front pages, the likeliest first."""
+    found = lines.filter(F.col("page") <= FRONT).select("book", "page", "line_no", year_of(F.col("text")).alias("x")).filter("x IS NOT NULL").select("book", "page", "line_no", "x.year", "x.priority")
     return found.withColumn("rank", F.row_number().over(Window.partitionBy("book").orderBy(F.desc("priority"), F.desc("year"), "page", "line_no")))
 
 
-def publisher_candidates(lines: DataFrame) -> DataFrame:
-    """(book, page, line_no, publisher, rank): publishers that lines of the front pages name, the earliest page first, then the longest name."""
-    flat = F.regexp_replace(squeeze(F.col("text")), "(?i)^published by ", "")
+def publisher_of(text: Column) -> Column:
+    """The publisher that a line names, or null or nothing."""
+    flat = F.regexp_replace(squeeze(text), "(?i)^published by ", "")
     tail = F.regexp_replace(F.regexp_extract(flat, "(?i)^.* by (.+)$", 1), r"^[ ,;.]+|[ ,;.]+$", "")
     by = (tail != "") & ~tail.rlike("[0-9]")
     inside = F.regexp_extract(F.when(by, tail).otherwise(flat), PUBLISHER, 1)
-    name = F.when(inside != "", F.regexp_replace(inside, r"^[ ,;.]+|[ ,;.]+$", "")).when(by, tail)
-    found = lines.filter(F.col("page") <= FRONT).select("book", "page", "line_no", title_case(name).alias("publisher")).filter("publisher <> ''")
+    return title_case(F.when(inside != "", F.regexp_replace(inside, r"^[ ,;.]+|[ ,;.]+$", "")).when(by, tail))
+
+
+def publisher_candidates(lines: DataFrame) -> DataFrame:
+    """(book, page, line_no, publisher, rank): publishers that lines of the front pages name, the earliest page first, then the longest name."""
+    found = lines.filter(F.col("page") <= FRONT).select("book", "page", "line_no", publisher_of(F.col("text")).alias("publisher")).filter("publisher <> ''")
     return found.withColumn("rank", F.row_number().over(Window.partitionBy("book").orderBy("page", F.desc(F.length("publisher")), "line_no")))
 
 
 def citations(lines: DataFrame) -> DataFrame:
     """(book, author, publisher, year, citation) of books: the best candidate of each; the citation is null where one lacks."""
-    best = lambda df, c: df.filter("rank = 1").select("book", c)
     authors = contributors(evidence(lines)).filter(F.array_contains("roles", "author"))
-    first = authors.groupBy("book").agg(F.min_by("name", "rank").alias("author"))
-    out = lines.select("book").distinct().join(first, "book", "left").join(best(publisher_candidates(lines), "publisher"), "book", "left").join(best(year_candidates(lines), "year"), "book", "left")
+    first = authors.groupBy(F.col("book").alias("of_book")).agg(F.min_by("name", "rank").alias("author"))
+    # the first of `publisher_candidates` and `year_candidates`, in one pass over the lines
+    front = F.col("page") <= FRONT
+    told = lines.select("book", "page", "line_no", F.when(front, publisher_of(F.col("text"))).alias("publisher"), F.when(front, year_of(F.col("text"))).alias("y"))
+    earliest = F.when(F.col("publisher") != "", F.struct("page", (-F.length("publisher")).alias("longest"), "line_no"))
+    likeliest = F.when(F.col("y").isNotNull(), F.struct((-F.col("y.priority")).alias("priority"), (-F.col("y.year")).alias("latest"), "page", "line_no"))
+    books = told.groupBy("book").agg(F.min_by("publisher", earliest).alias("publisher"), F.min_by("y.year", likeliest).alias("year"))
+    out = books.join(first, F.col("book").eqNullSafe(F.col("of_book")), "left").select("book", "author", "publisher", "year")
     whole = F.col("author").isNotNull() & F.col("publisher").isNotNull() & F.col("year").isNotNull()
     return out.withColumn("citation", F.when(whole, F.concat("author", F.lit(". "), "publisher", F.lit(", "), F.col("year").cast("string"), F.lit("."))))

@@ -78,3 +78,11 @@ def test_citation(spark):
     got = {r.book: r.citation for r in K.citations(lines).collect()}
     assert got == {"b": "Anna Miller. North Press, 1988.", "c": None}
     assert K.citations(lines.limit(0)).collect() == []
+
+
+def test_citations_read_the_lines_twice(spark):
+    """Once for people, once for years and publishers; mentions never meet themselves in a join."""
+    found = K.citations(front(spark, ["By Anna Miller", "North Press", "Copyright 1990"]))
+    assert [(r.author, r.publisher, r.year) for r in found.collect()] == [("Anna Miller", "North Press", 1990)]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("LogicalRDD") + plan.count("LocalRelation") == 2 and plan.count("Join") == 1
