@@ -103,3 +103,11 @@ def test_every_run_of_lines_is_tried(spark):
             if fits and styled[texts[i]] and styled[" ".join(r[2] for r in run)]:
                 want[i + 1, k] = " ".join(r[2] for r in run)
     assert found == want and len(want) > 7
+
+
+def test_headings_are_prepared_before_they_meet(spark):
+    """Keys of lines and variants are made once for each, not for each pair of them."""
+    entries = spark.createDataFrame([(1, "b", 1, ["A Title"])], "entry_id int, book string, page int, variants array<string>")
+    lines = spark.createDataFrame([("b", 1, "A Title", 0.0, 40.0, 300.0, 50.0)], LINES)
+    plan = N.heading_bands(entries, lines)._jdf.queryExecution().optimizedPlan().toString()
+    assert 0 < plan.index("Join") < plan.index("ArrowEvalPython")
