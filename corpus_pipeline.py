@@ -40,7 +40,8 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, start, n_tokens and ids_crc32 of each document, as the token files have them."""
-    return token_table(docs, tokenizer_path(), end_id=2, special_as_text=False)
+    # workers hold what earlier stages left them, so the encoder remembers less than by itself
+    return token_table(docs, tokenizer_path(), end_id=2, special_as_text=False, remembered=150_000, at_once=2_000_000)
 
 
 STAGES = [

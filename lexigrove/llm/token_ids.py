@@ -139,11 +139,12 @@ class _Encoder:
     ``special_as_text``, strings of special tokens are ordinary text.
     """
 
-    def __init__(self, path: str, special_as_text: bool = False):
+    def __init__(self, path: str, special_as_text: bool = False, remembered: int | None = None):
         # a task has one core; threads of the library would each keep memory of their own
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
+        self._limit = remembered
         self._tokenizer = Tokenizer.from_file(path)
         self._tokenizer.encode_special_tokens = special_as_text
         added = [t.content for t in self._tokenizer.get_added_tokens_decoder().values() if not (special_as_text and t.special)]
@@ -219,7 +220,7 @@ class _Encoder:
     def encode(self, texts: pa.Array) -> list[np.ndarray]:
         """The ids of each text; there are no nulls."""
         for led, (new, _) in self._known.items():
-            if len(new) > _REMEMBERED:  # what isn't met until the next time is forgotten
+            if len(new) > (self._limit or _REMEMBERED):  # what isn't met until the next time is forgotten
                 self._known[led] = {}, new
         whole = pc.match_substring_regex(texts, self._whole).to_numpy(zero_copy_only=False) | (not self._tellable)
         out: list[np.ndarray] = [None] * len(texts)  # type: ignore[list-item]
@@ -255,17 +256,17 @@ class _Encoder:
         return out
 
 
-_encoders: dict[tuple[str, bool], _Encoder] = {}
+_encoders: dict[tuple[str, bool, int | None], _Encoder] = {}
 
 
-def _encoder(path: str, special_as_text: bool) -> _Encoder:
-    if (path, special_as_text) not in _encoders:
-        _encoders[path, special_as_text] = _Encoder(path, special_as_text)
-    return _encoders[path, special_as_text]
+def _encoder(*settings) -> _Encoder:
+    if settings not in _encoders:
+        _encoders[settings] = _Encoder(*settings)
+    return _encoders[settings]
 
 
 def write_token_files(
-    docs: DataFrame, tokenizer: str, folder: str, end_id: int = 2, id_col: str = "doc_id", text_col: str = "text", special_as_text: bool = True
+    docs: DataFrame, tokenizer: str, folder: str, end_id: int = 2, id_col: str = "doc_id", text_col: str = "text", special_as_text: bool = True, remembered: int | None = None, at_once: int = _SLICE
 ) -> DataFrame:
     """Encode every whole text and write the ids, in ascending id order, to packed files.
 
@@ -276,14 +277,15 @@ def write_token_files(
     Returns the index: (id, part, file, begin, n_tokens), `begin` within the file.  A null
     text is empty and yields the end id alone; rows with a null id come first; rows with the
     same id stand next to each other in one file, in no promised order; further columns are ignored; an
-    empty table gives an empty index.
+    empty table gives an empty index.  A worker remembers `remembered` chunks before a new
+    generation and encodes ``at_once`` bytes of text; less takes less memory and more time.
     """
     spark = docs.sparkSession
     small_batches(spark)
     rows = docs.select(docs[id_col].cast("long").alias("id"), docs[text_col].alias("text"))
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, writer = _encoder(tokenizer, special_as_text), None
+        encoder, writer = _encoder(tokenizer, special_as_text, remembered), None
         part = TaskContext.get().partitionId()
         name = f"part-{part:06d}-{uuid.uuid4().hex}.ids"
         end = np.array([end_id], np.uint32)
@@ -291,7 +293,7 @@ def write_token_files(
             if writer is None:
                 writer = PackedWriter(f"{folder}/{name}", bit_width(max(encoder.size, end_id + 1)))
             begins, counts = [], []
-            for _, texts in slices(batch.column(1), _SLICE):
+            for _, texts in slices(batch.column(1), at_once):
                 for ids in encoder.encode(texts):
                     begins.append(writer.count)
                     writer.add(ids)
@@ -343,14 +345,14 @@ def read_token_files(index: DataFrame, folder: str) -> DataFrame:
     return placed.mapInArrow(frugal(read), "id long, start long, n_tokens long, ids_crc32 long")
 
 
-def token_table(docs: DataFrame, tokenizer: str, end_id: int = 2, folder: str | None = None, special_as_text: bool = True) -> DataFrame:
+def token_table(docs: DataFrame, tokenizer: str, end_id: int = 2, folder: str | None = None, special_as_text: bool = True, remembered: int | None = None, at_once: int = _SLICE) -> DataFrame:
     """Write ``docs`` as token files and read them back: (doc_id, start, n_tokens, ids_crc32).
 
     With `special_as_text`, the strings of special tokens in a text are ordinary text; without
     it, they become those tokens, as the tokenizers library has it unless told otherwise.
     """
     folder = folder or new_path(docs.sparkSession, "token-ids")
-    index = write_token_files(docs, tokenizer, folder, end_id, special_as_text=special_as_text)
+    index = write_token_files(docs, tokenizer, folder, end_id, special_as_text=special_as_text, remembered=remembered, at_once=at_once)
     return read_token_files(index, folder).withColumnRenamed("id", "doc_id")
 
 

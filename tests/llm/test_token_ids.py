@@ -87,3 +87,9 @@ def test_packing_round_trip(width, data):
 @pytest.mark.parametrize("vocabulary, bits", [(2, 1), (3, 2), (256, 8), (257, 9), (50257, 16), (65537, 17)])
 def test_width(vocabulary, bits):
     assert T.bit_width(vocabulary) == bits
+
+
+def test_an_encoder_with_less_memory_gives_the_same_ids(spark):
+    docs = edge_docs(spark)
+    got = [sorted(map(str, T.token_table(docs, tokenizer_path(), **less).collect())) for less in ({}, {"remembered": 1, "at_once": 10})]
+    assert got[0] == got[1]
