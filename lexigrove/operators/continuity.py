@@ -6,6 +6,8 @@ page folds, over the regions of that page.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -29,7 +31,8 @@ NOTE_FOOT, NOTE_GAP, NOTE_X0, NOTE_X1, NOTE_LINE, NOTE_WIDER = 520.0, 20.0, 18.0
 _CAPITALS = "^[A-Z][A-Z .&/-]*$"
 _WORD = "[A-Za-z][A-Za-z'’-]*"
 _ENDED = "[.!?][\"”')\\]]?$"
-_REGION = ("zone", "text", "x0", "y0", "x1", "y1")
+_GOES_ON = "^(?U)[\\p{Ll},;:)\\]}’\"'-]"
+_BOX = ("zone", "x0", "y0", "x1", "y1")
 #: Columns for a row's region and the one before it, while they are compared.
 _HERE, _LAST = "__continuity_here", "__continuity_last"
 
@@ -42,7 +45,7 @@ def unfinished(text: Column) -> Column:
 
 def goes_on(text: Column) -> Column:
     """Whether a text opens in lower case or with a mark that follows something."""
-    return squeeze(text).rlike("^(?U)[\\p{Ll},;:)\\]}’\"'-]")
+    return squeeze(text).rlike(_GOES_ON)
 
 
 def reference_note(text: Column, cited: tuple[str, ...] = CITED) -> Column:
@@ -64,7 +67,7 @@ def running_prose(text: Column) -> Column:
 
 
 def _note(flat: Column, cited: tuple[str, ...] = CITED) -> Column:
-    digit = flat.rlike("[0-9]")
+    digit = (F.length(flat) <= 50) & flat.rlike("[0-9]")
     numbers = (F.length(flat) <= 40) & flat.rlike("^[\\[\\]0-9A-Za-z .,/–—-]+$")
     named = (F.length(flat) <= 50) & flat.rlike(rf"\b({'|'.join(cited)})\b") if cited else F.lit(False)
     bracket = (F.length(flat) <= 24) & flat.startswith("[") & flat.endswith("]")
@@ -74,20 +77,34 @@ def _note(flat: Column, cited: tuple[str, ...] = CITED) -> Column:
 def _apparatus(flat: Column) -> Column:
     numeral = flat.rlike("(?i)^([ivxlcdm]+|[0-9]+[.)]?)$")
     dotted = flat.startswith(".") & (F.length(flat) <= 24)
-    capitals = (flat == F.upper(flat)) & (flat != F.lower(flat)) & ~flat.rlike("^[^ ]+ [^ ]+ ")
+    capitals = ~flat.rlike("^[^ ]+ [^ ]+ ") & (flat == F.upper(flat)) & (flat != F.lower(flat))
     numbered = (F.length(flat) <= 18) & flat.rlike("[0-9]")
-    return (flat != "") & (_note(flat) | F.lower(flat).isin(*APPARATUS) | numeral | dotted | capitals | numbered)
+    return (flat != "") & (_note(flat) | ((F.length(flat) <= max(map(len, APPARATUS))) & F.lower(flat).isin(*APPARATUS)) | numeral | dotted | capitals | numbered)
 
 
 def _prose(flat: Column) -> Column:
-    return (flat != "") & ~_apparatus(flat) & ~flat.rlike("^[0-9]+[a-z]?\\)") & ~(flat.rlike(_CAPITALS) & (F.length(flat) <= 32))
+    return (flat != "") & ~_apparatus(flat) & ~flat.rlike("^[0-9]+[a-z]?\\)") & ~((F.length(flat) <= 32) & flat.rlike(_CAPITALS))
+
+
+def _boundary_word(word: Column) -> Column:
+    return F.when(F.lower(word).isin(BOUNDARY_WORDS), F.lower(word))
+
+
+def last_boundary_word(text: Column) -> Column:
+    """The boundary word that ends a text, whatever marks follow it, in lower case, or null; read backwards, so only the end is searched."""
+    return _boundary_word(F.reverse(F.regexp_extract(F.reverse(text), "^(?:[^A-Za-z]*[^A-Za-z'’-])?([A-Za-z]+)['’-]*(?:[^A-Za-z'’-]|$)", 1)))
+
+
+def first_boundary_word(text: Column) -> Column:
+    """The boundary word that opens a text, whatever marks stand before it, in lower case, or null."""
+    return _boundary_word(F.regexp_extract(text, _WORD, 0))
 
 
 def repeated_word(left: Column, right: Column) -> Column:
     """The word that ends the left text and opens the right one again, in lower case, or null."""
-    last = F.lower(F.regexp_extract(left, f"({_WORD})[^A-Za-z]*$", 1))
-    first = F.lower(F.regexp_extract(right, _WORD, 0))
-    return F.when((last == first) & last.isin(BOUNDARY_WORDS), first)
+    first = first_boundary_word(right)
+    # few texts open with such a word
+    return F.when(first.isNotNull() & (last_boundary_word(left) == first), first)
 
 
 def aligned(last: dict[str, Column], own: dict[str, Column], page_gap: Column, mode: str = "balanced") -> tuple[Column, Column]:
@@ -99,37 +116,51 @@ def aligned(last: dict[str, Column], own: dict[str, Column], page_gap: Column, m
     return beside, F.when(page_gap == 0, below).when(page_gap == 1, over_page).otherwise(False)
 
 
-def text_verdict(before: Column, after: Column, opening: str = "") -> Column:
-    """How the second of two squeezed texts goes on in the first, or null; ``opening`` has further marks that it may open with."""
-    few = F.regexp_count(after, F.lit("[^ ]+")) <= FEW_WORDS
-    opens = after.rlike(f"^[{opening}]") if opening else F.lit(False)
+def text_end(flat: Column) -> dict[str, Column]:
+    """What `text_verdict` asks of the end of a squeezed text."""
+    return {"dash": flat.endswith("-"), "last_word": last_boundary_word(flat), "open": (flat != "") & ~flat.rlike(_ENDED)}
+
+
+def text_opening(flat: Column, opening: str = "") -> dict[str, Column]:
+    """What `text_verdict` asks of a squeezed text that may go on in another; ``opening`` has further marks that it may open with."""
+    first = F.substring(flat, 1, 1)
+    goes, opens = first.rlike(_GOES_ON), first.rlike(f"[{opening}]") if opening else F.lit(False)
+    few = ~flat.rlike(f"^([^ ]+ +){{{FEW_WORDS}}}[^ ]")
+    return {"letter": first.rlike("[A-Za-z0-9]"), "first_word": first_boundary_word(flat), "goes": goes, "may_follow": goes | opens | few}
+
+
+def text_verdict(before: dict[str, Column], after: dict[str, Column]) -> Column:
+    """How the second of two texts goes on in the first, or null, by `text_end` of the first and `text_opening` of the second."""
     return (
-        F.when(before.endswith("-") & after.rlike("^[A-Za-z0-9]"), "hyphen")
-        .when(repeated_word(before, after).isNotNull() & (unfinished(before) | goes_on(after)), "duplicate")
-        .when(unfinished(before) & (goes_on(after) | few | opens), "space")
+        F.when(before["dash"] & after["letter"], "hyphen")
+        .when((before["last_word"] == after["first_word"]) & (before["open"] | after["goes"]), "duplicate")
+        .when(before["open"] & after["may_follow"], "space")
     )
 
 
 def join_verdict(last: dict[str, Column], own: dict[str, Column], page_gap: Column, mode: str = "balanced", content: Column | None = None) -> Column:
     """How a region joins the one before it ("hyphen", "duplicate", "space"), or why it doesn't.
 
-    The regions are given by their columns zone, x0, y0, x1 and y1, `text` with squeezed white
-    space, and `prose`, whether `running_prose` holds; ``content`` is the content mode of the
-    page, prose where it isn't given.
+    The regions are given by their columns zone, x0, y0, x1 and y1 and `text_facts`; ``content``
+    is the content mode of the page, prose where it isn't given.
     """
-    before, after = last["text"], own["text"]
     beside, follows = aligned(last, own, page_gap, mode)
     return (
         F.when(F.coalesce(content, F.lit("prose")) != "prose" if content is not None else F.lit(False), "non-prose-page")
-        .when((before == "") | (after == ""), "empty-fragment")
+        .when(last["empty"] | own["empty"], "empty-fragment")
         .when(~page_gap.isin(0, 1), "page-gap")
         .when(~last["prose"] | ~own["prose"], "non-prose-fragment")
         .when(~beside, "x-incompatible")
         .when(~follows, "y-incompatible")
-        .otherwise(F.coalesce(text_verdict(before, after, "\"'“(\\["), F.lit("no-continuation-signal")))
+        .otherwise(F.coalesce(text_verdict(last, own), F.lit("no-continuation-signal")))
     )
 
 
+def text_facts(flat: Column) -> dict[str, Column]:
+    """All that `join_verdict` asks of a region's squeezed text, so that texts needn't meet."""
+    return {"empty": flat == "", "prose": _prose(flat)} | text_end(flat) | text_opening(flat, "\"'“(\\[")
+
+
 def joined_text(left: Column, right: Column, mode: Column) -> Column:
     """Both texts as one: without the hyphen, without the repeated word if the right text opens with it, or with a space between."""
     return joined_flat(squeeze(left), squeeze(right), mode)
@@ -141,15 +172,20 @@ def joined_flat(a: Column, b: Column, mode: Column) -> Column:
     return F.when(mode == "hyphen", F.concat(F.regexp_replace(a, "-$", ""), b)).when((mode == "duplicate") & repeated_word(a, b).isNotNull(), F.rtrim(F.concat(a, F.lit(" "), rest))).otherwise(F.trim(F.concat(a, F.lit(" "), b)))
 
 
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is found once, as a lambda's variable, however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def adjacent_joins(regions: DataFrame, mode: str = "balanced") -> DataFrame:
     """``regions`` with `verdict` of `join_verdict` against the region before in the book, null for the first.
 
     A column `content_mode` says what a page holds; without it, all pages hold prose.
     """
     by = Window.partitionBy("book").orderBy("page", "ord")
-    flat = squeeze(F.coalesce("text", F.lit("")))
-    fields = ("page", "zone", "text", "x0", "y0", "x1", "y1", "prose")
-    own = F.struct("page", "zone", flat.alias("text"), "x0", "y0", "x1", "y1", _prose(flat).alias("prose"))
+    facts = text_facts(squeeze(F.coalesce("text", F.lit(""))))
+    fields = ("page", *_BOX, *facts)
+    own = F.struct("page", *_BOX, *(v.alias(c) for c, v in facts.items()))
     seen = regions.withColumn(_HERE, own).withColumn(_LAST, F.lag(_HERE).over(by))
     last, here = ({c: F.col(f"{side}.{c}") for c in fields} for side in (_LAST, _HERE))
     content = F.col("content_mode") if "content_mode" in regions.columns else None
@@ -178,24 +214,32 @@ def repair_pages(regions: DataFrame) -> DataFrame:
     """(book, page, ord, text, x0, y0, x1, y1, parts): regions of a page, those that go on in each other as one.
 
     A joined region keeps the zone of its first part, and its box holds all parts; the next
-    region is tried against that.  One row's fold holds one page.
+    region is tried against that.  What the rules ask of a text is found once, before the fold,
+    and again only for texts that were joined.  One row's fold holds one page.
     """
-    kind = "array<struct<ord:bigint,zone:string,text:string,x0:double,y0:double,x1:double,y1:double,parts:int>>"
-    own = F.struct(F.col("ord").cast("bigint").alias("ord"), "zone", F.coalesce("text", F.lit("")).alias("text"), *(F.col(c).cast("double").alias(c) for c in ("x0", "y0", "x1", "y1")), F.lit(1).alias("parts"))
+    text = F.coalesce("text", F.lit(""))
+    facts = text_facts(F.col(_LAST))
+    own = F.struct(
+        F.col("ord").cast("bigint").alias("ord"), "zone", text.alias("text"), *(F.col(c).cast("double").alias(c) for c in _BOX[1:]), F.lit(1).alias("parts"), *(v.alias(c) for c, v in facts.items())
+    )
+    # columns of their own: an aggregate would find the squeezed text anew for every fact
+    rows = regions.withColumn(_LAST, squeeze(text)).select("book", "page", own.alias(_HERE))
+
+    def whole(last: Column, region: Column, mode: Column) -> Column:
+        box = (f(last[c], region[c]).alias(c) for c, f in zip(_BOX[1:], (F.least, F.least, F.greatest, F.greatest)))
+        fields = (last["ord"].alias("ord"), last["zone"].alias("zone"), *box, (last["parts"] + 1).alias("parts"))
+        return bound(joined_text(last["text"], region["text"], mode), lambda t: F.struct(*fields[:2], t.alias("text"), *fields[2:], *(v.alias(c) for c, v in text_facts(t).items())))
 
     def step(held: Column, region: Column) -> Column:
-        last = F.element_at(held, -1)
-        sides = [{c: x[c] for c in _REGION} | {"text": squeeze(x["text"])} for x in (last, region)]
-        mode = join_verdict(*(x | {"prose": _prose(x["text"])} for x in sides), F.lit(0))
-        whole = F.struct(
-            last["ord"].alias("ord"), last["zone"].alias("zone"), joined_text(last["text"], region["text"], mode).alias("text"), F.least(last["x0"], region["x0"]).alias("x0"),
-            F.least(last["y0"], region["y0"]).alias("y0"), F.greatest(last["x1"], region["x1"]).alias("x1"), F.greatest(last["y1"], region["y1"]).alias("y1"), (last["parts"] + 1).alias("parts"),
-        )
-        joins = mode.isin("hyphen", "duplicate", "space")
-        return F.when(joins, F.concat(F.slice(held, 1, F.size(held) - 1), F.array(whole))).otherwise(F.concat(held, F.array(region)))
-
-    pages = regions.groupBy("book", "page").agg(F.array_sort(F.collect_list(own)).alias("r"))
-    repaired = F.aggregate(F.slice("r", 2, F.size("r")), F.slice("r", 1, 1).cast(kind), step)
+        def tried(last: Column) -> Column:
+            mode = join_verdict(*({c: x[c] for c in (*_BOX, *facts)} for x in (last, region)), F.lit(0))
+            kept = F.slice(held, 1, F.size(held) - 1)
+            return bound(mode, lambda m: F.when(m.isin("hyphen", "duplicate", "space"), F.concat(kept, F.array(whole(last, region, m)))).otherwise(F.concat(held, F.array(region))))
+
+        return bound(F.element_at(held, -1), tried)
+
+    pages = rows.groupBy("book", "page").agg(F.sort_array(F.collect_list(_HERE)).alias("r"))
+    repaired = F.aggregate(F.slice("r", 2, F.size("r")), F.slice("r", 1, 1), step)
     return pages.select("book", "page", F.explode(repaired).alias("x")).select("book", "page", "x.ord", "x.text", "x.x0", "x.y0", "x.x1", "x.y1", "x.parts")
 
 

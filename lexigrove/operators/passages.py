@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexigrove.functions.text import squeeze
-from lexigrove.operators.continuity import CITED, aligned, joined_flat, joined_text, note_lines, reference_note, repeated_word, text_verdict
+from lexigrove.operators.continuity import CITED, aligned, joined_flat, joined_text, note_lines, reference_note, repeated_word, text_end, text_opening, text_verdict
 from lexigrove.operators.matching import attach_reason
 
 BUCKETS = ("citation", "commentary", "reference")
@@ -121,7 +121,7 @@ def flatten(regions: DataFrame, mode: str = "balanced") -> DataFrame:
     beside, follows = aligned(held, {c: F.col(c) for c in held}, F.when(same_page, 0).otherwise(F.col("page") - last["page"]), mode)
     prose = (last["content_mode"] == "prose") & (F.col("content_mode") == "prose")
     free = last["anchor"].isNull() & ~is_anchor & ~last["note"] & ~F.col("note")
-    joins = F.when(last.isNotNull() & prose & free & beside & follows, text_verdict(last["rag_text"], F.col("rag_text")))
+    joins = F.when(last.isNotNull() & prose & free & beside & follows, text_verdict(text_end(last["rag_text"]), text_opening(F.col("rag_text"))))
     return rows.withColumn("join_mode", joins).drop("next_at", "next_stop", "last", "seen", "under", "seed")
 
 

@@ -1,5 +1,8 @@
 """Region joins and repair on literal cases, and the operators on nulls, empty tables and clashing columns."""
 
+import random
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -98,6 +101,27 @@ def test_repair(spark):
     ]
 
 
+def test_boundary_words_are_those_of_a_whole_search(spark):
+    """Whatever marks stand about them; the texts' ends alone are searched."""
+    rng, word = random.Random(4), "[A-Za-z][A-Za-z'’-]*"
+    parts = ["the", "The", "and", "mill", "é", "to", " ", " ", "'", "’", "-", ".", ") ", "12", "x"]
+    texts = ["", "the", "'the", "x'the", "the-", "the -", "the'’ 12", *("".join(rng.choices(parts, k=rng.randrange(1, 7))) for _ in range(400))]
+    want = []
+    for t in texts:
+        last, first = re.search(f"({word})[^A-Za-z]*$", t), re.search(word, t)
+        want.append(tuple(w.lower() if w and w.lower() in C.BOUNDARY_WORDS else None for w in (last and last[1], first and first[0])))
+    found = spark.createDataFrame(list(enumerate(texts)), "i int, t string").select("i", C.last_boundary_word(F.col("t")), C.first_boundary_word(F.col("t")))
+    assert [tuple(r)[1:] for r in found.orderBy("i").collect()] == want
+    assert {True, False} == {a is None for a, _ in want}
+
+
+def test_a_fold_over_a_page_asks_little_of_texts(spark):
+    """Facts of texts are found before it; it had 72 patterns and 248 replacements and extractions for every region."""
+    plan = C.repair_pages(spark.createDataFrame([], REGIONS))._jdf.queryExecution().optimizedPlan()
+    fold = plan.toString().partition("Aggregate [book")[0] + plan.toString().partition("Aggregate [book")[2].partition("\n")[0]
+    assert fold.count("RLIKE") < 30 and fold.count("regexp_") < 40
+
+
 def test_content_modes(spark):
     notes = ["12", "cf.", "NOTES", "[3]", "a short one", "another"]
     rows = [("b", p, i, t) for p in range(1, 8) for i, t in enumerate(notes)] + [("b", 8, 0, "A page with one long sentence of many words."), ("b", 9, 0, None)]
