@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from lexigrove.functions.text import slug, squeeze
@@ -50,7 +50,7 @@ def goes_on(text: Column) -> Column:
 
 def reference_note(text: Column, cited: tuple[str, ...] = CITED) -> Column:
     """Whether a short text is a reference: capitals, numbers, an author with a number, or a bracket."""
-    return _note(squeeze(text), cited)
+    return squeezed_note(squeeze(text), cited)
 
 
 def note_apparatus(text: Column) -> Column:
@@ -66,7 +66,7 @@ def running_prose(text: Column) -> Column:
 # the same of texts whose white space is squeezed already
 
 
-def _note(flat: Column, cited: tuple[str, ...] = CITED) -> Column:
+def squeezed_note(flat: Column, cited: tuple[str, ...] = CITED) -> Column:
     digit = (F.length(flat) <= 50) & flat.rlike("[0-9]")
     numbers = (F.length(flat) <= 40) & flat.rlike("^[\\[\\]0-9A-Za-z .,/–—-]+$")
     named = (F.length(flat) <= 50) & flat.rlike(rf"\b({'|'.join(cited)})\b") if cited else F.lit(False)
@@ -79,7 +79,7 @@ def _apparatus(flat: Column) -> Column:
     dotted = flat.startswith(".") & (F.length(flat) <= 24)
     capitals = ~flat.rlike("^[^ ]+ [^ ]+ ") & (flat == F.upper(flat)) & (flat != F.lower(flat))
     numbered = (F.length(flat) <= 18) & flat.rlike("[0-9]")
-    return (flat != "") & (_note(flat) | ((F.length(flat) <= max(map(len, APPARATUS))) & F.lower(flat).isin(*APPARATUS)) | numeral | dotted | capitals | numbered)
+    return (flat != "") & (squeezed_note(flat) | ((F.length(flat) <= max(map(len, APPARATUS))) & F.lower(flat).isin(*APPARATUS)) | numeral | dotted | capitals | numbered)
 
 
 def _prose(flat: Column) -> Column:
@@ -92,7 +92,9 @@ def _boundary_word(word: Column) -> Column:
 
 def last_boundary_word(text: Column) -> Column:
     """The boundary word that ends a text, whatever marks follow it, in lower case, or null; read backwards, so only the end is searched."""
-    return _boundary_word(F.reverse(F.regexp_extract(F.reverse(text), "^(?:[^A-Za-z]*[^A-Za-z'’-])?([A-Za-z]+)['’-]*(?:[^A-Za-z'’-]|$)", 1)))
+    token = F.substring_index(text, " ", -1)
+    end = F.when(token.rlike("[A-Za-z]"), token).otherwise(text)
+    return _boundary_word(F.reverse(F.regexp_extract(F.reverse(end), "^(?:[^A-Za-z]*[^A-Za-z'’-])?([A-Za-z]+)['’-]*(?:[^A-Za-z'’-]|$)", 1)))
 
 
 def first_boundary_word(text: Column) -> Column:
@@ -116,9 +118,14 @@ def aligned(last: dict[str, Column], own: dict[str, Column], page_gap: Column, m
     return beside, F.when(page_gap == 0, below).when(page_gap == 1, over_page).otherwise(False)
 
 
+def closed(flat: Column) -> Column:
+    """Whether a closing mark ends a squeezed text; its last two characters tell."""
+    return F.substring(flat, -2, 2).rlike(_ENDED)
+
+
 def text_end(flat: Column) -> dict[str, Column]:
     """What `text_verdict` asks of the end of a squeezed text."""
-    return {"dash": flat.endswith("-"), "last_word": last_boundary_word(flat), "open": (flat != "") & ~flat.rlike(_ENDED)}
+    return {"dash": flat.endswith("-"), "last_word": last_boundary_word(flat), "open": (flat != "") & ~closed(flat)}
 
 
 def text_opening(flat: Column, opening: str = "") -> dict[str, Column]:
@@ -254,15 +261,23 @@ def note_lines(regions: DataFrame, is_note: Column) -> DataFrame:
         own += "_"
     tied, row = f"{own}tied", f"{own}row"
     by = Window.partitionBy("book", "page").orderBy("ord")
-    last = {c: F.lag(c).over(by) for c in ("zone", "x0", "y0", "x1", "y1")}
-    at = {c: F.col(f"{own}{c}") for c in last}
-    shift = F.abs(at["x0"] - F.col("x0")) <= NOTE_X0
-    same_line = (F.abs(at["y0"] - F.col("y0")) <= NOTE_LINE) & shift & (F.col("x1") - at["x1"] >= NOTE_WIDER)
-    band = (at["zone"] == F.col("zone")) | (shift & (F.abs(at["x1"] - F.col("x1")) <= NOTE_X1)) | same_line
-    close = F.coalesce(band & (F.col("y0") >= NOTE_FOOT) & (F.col("y0") - at["y1"] <= NOTE_GAP), F.lit(False))
+    last = {c: F.lag(c).over(by) for c in _BOX}
+    close = note_tie({c: F.col(f"{own}{c}") for c in last})
     marked = regions.withColumns({row: F.row_number().over(by)} | {f"{own}{c}": v for c, v in last.items()}).withColumns({"seed": is_note & (F.col("y0") >= NOTE_FOOT), tied: close})
-    # a note in the run of tied lines, before the line: both places are found in the order of the page
-    seeds = F.max(F.when(F.col("seed"), F.col(row))).over(by.rowsBetween(Window.unboundedPreceding, -1))
-    begins = F.max(F.when(~F.col(tied), F.col(row))).over(by.rowsBetween(Window.unboundedPreceding, 0))
-    continues = F.col(tied) & F.coalesce(seeds >= begins, F.lit(False))
+    continues = note_continues(F.col("seed"), F.col(tied), F.col(row), by)
     return marked.withColumn("continues", continues).drop(*(f"{own}{c}" for c in last), tied, row)
+
+
+def note_tie(last: dict[str, Column]) -> Column:
+    """Whether a line would go on in the line ``last`` of its page, if that is part of a note."""
+    shift = F.abs(last["x0"] - F.col("x0")) <= NOTE_X0
+    same_line = (F.abs(last["y0"] - F.col("y0")) <= NOTE_LINE) & shift & (F.col("x1") - last["x1"] >= NOTE_WIDER)
+    band = (last["zone"] == F.col("zone")) | (shift & (F.abs(last["x1"] - F.col("x1")) <= NOTE_X1)) | same_line
+    return F.coalesce(band & (F.col("y0") >= NOTE_FOOT) & (F.col("y0") - last["y1"] <= NOTE_GAP), F.lit(False))
+
+
+def note_continues(seed: Column, tied: Column, row: Column, by: WindowSpec) -> Column:
+    """Whether a line goes on in a note: one stands before it in its run of tied lines; ``row`` rises in the order of the page, ``by``."""
+    seeds = F.max(F.when(seed, row)).over(by.rowsBetween(Window.unboundedPreceding, -1))
+    begins = F.max(F.when(~tied, row)).over(by.rowsBetween(Window.unboundedPreceding, 0))
+    return tied & F.coalesce(seeds >= begins, F.lit(False))

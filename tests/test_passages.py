@@ -235,6 +235,21 @@ def test_fragments_are_shuffled_once(spark):
         assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
 
 
+def test_fragments_are_sorted_twice(spark):
+    """As they are read and as passages hold them; texts stand in one column each time, and facts of them elsewhere."""
+    plan = G.bucketed(G.flatten(book(spark, [region(1, 0, "1a) Words.", "left")])))._jdf.queryExecution().executedPlan().toString().partition("== Initial Plan ==")[0]
+    assert plan.count("Sort [") == 2 and plan.count("Window [") <= 8
+
+
+def test_forced_fragments_go_on_in_each_other(spark):
+    """The first behind an anchor begins a part, even if it goes on in what stands before the anchor; a second may be joined to it."""
+    rows = [
+        region(1, 0, "1a) The cited words.", "left", y0=60), region(1, 1, "A comment that goes", "right", y0=100), region(1, 2, "on and on to", "right", y0=114),
+        region(1, 3, "what comes", "right", y0=126), region(1, 4, "2b) Other words.", "left", y0=130),
+    ]
+    assert built(spark, rows, repaired=False)["2b"][1] == ["on and on to what comes"]
+
+
 def test_an_anchor_without_a_page_keeps_its_fragments(spark):
     rows = [("b", None, *region(1, 0, "1a) Words.", "left")[2:]), ("b", None, *region(1, 1, "Cited words stand here in full.", "left")[2:])]
     assert [(r.passage, r.bucket) for r in G.bucketed(G.flatten(book(spark, rows))).orderBy("seq").collect()] == [(1, "citation"), (1, "citation")]
